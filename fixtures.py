@@ -181,3 +181,82 @@ def domain(spark: SparkSession, sf_dir: str) -> Domain:
     if key not in _DOMAINS:
         _DOMAINS[key] = Domain(spark, sf_dir)
     return _DOMAINS[key]
+
+
+# The words part names are made of.
+ADJECTIVES = ["small", "large", "red", "blue", "hot", "cold", "old", "new"]
+NOUNS = ["ring", "bolt", "gear", "gizmo", "plate", "rod", "anvil", "widget"]
+
+
+class Names:
+    """Name linkage inputs from the part table: parents, and units with perturbed names."""
+
+    def __init__(self, d: Domain):
+        self.d = d
+
+    @cached_property
+    def parents(self) -> DataFrame:
+        return (self.d.table("part").groupBy(F.col("p_type").alias("parent_grp"), F.col("p_name").alias("parent_name"))
+                .agg(F.min("p_partkey").alias("parent_code"))
+                .select("parent_code", "parent_grp", "parent_name"))
+
+    @cached_property
+    def units(self) -> DataFrame:
+        """One unit per parent name, perturbed by a rule on the code; equal results are one unit."""
+        name, rule = F.col("parent_name"), F.col("parent_code") % 7
+        first, second = F.split(name, " ")[0], F.split(name, " ")[1]
+        text = (F.when(rule == 1, F.concat_ws(" ", second, first))
+                .when(rule == 2, F.concat(F.upper(name), F.lit(" District")))
+                .when(rule == 3, F.concat(name, F.substring(name, -1, 1)))
+                .when(rule == 4, F.translate(name, "oe", "öé"))
+                .when(rule == 5, F.concat(F.when(first == "hot", F.lit("cold ")).otherwise(F.lit("hot ")), second))
+                .when(rule == 6, F.concat(F.lit("zqx "), F.substring(second, 1, 3)))
+                .otherwise(name))
+        return (self.parents.groupBy(F.col("parent_grp").alias("grp"), text.alias("unit_name"))
+                .agg(F.min("parent_code").alias("unit_id")).select("unit_id", "grp", "unit_name"))
+
+    @cached_property
+    def group_map(self) -> DataFrame:
+        """Group to candidate parent groups; one group has two."""
+        also = F.when(F.col("grp") == "MEDIUM", F.array("grp", F.lit("LARGE"))).otherwise(F.array("grp"))
+        return self.units.select("grp").distinct().withColumn("parent_groups", also)
+
+    @cached_property
+    def overrides(self) -> DataFrame:
+        rule = F.col("unit_id") % 23
+        base = self.units.join(self.parents.select(F.col("parent_code").alias("unit_id"), "parent_name"), "unit_id")
+        return base.filter(rule.isin(0, 1, 2, 3)).select(
+            "grp", "unit_name", F.col("grp").alias("target_grp"),
+            F.when(rule == 1, F.lit("Blue Anvil")).when(rule == 3, F.lit("no such name"))
+            .otherwise(F.col("parent_name")).alias("target_name"),
+            F.when(rule == 1, F.lit("child_of")).when(rule == 2, F.lit("exclude")).otherwise(F.lit("rename")).alias("rule"),
+            F.concat(F.lit("manual row "), rule.cast("string")).alias("override_note"))
+
+
+class Raw:
+    """The verbatim text form of the facts, with its source defects."""
+
+    def __init__(self, d: Domain):
+        self.d = d
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        pairs = ", ".join(f"{i}, coalesce(n{i}, 0), v{i}" for i in IDS)
+        long = (self.d.unit_dim.join(self.d.measures, "unit_id", "left")
+                .selectExpr("unit_id", "unit_name", "grp", f"stack({len(IDS)}, {pairs}) as (id, n, v)"))
+        key = F.element_at(F.create_map(*[F.lit(x) for i, k, _, _ in cfg.INDICATORS for x in (i, k)]), F.col("id"))
+        label = F.concat(F.col("id").cast("string"), F.lit(". Share of "), key)
+        text = (F.when((F.col("unit_id") % 101 == 0) & (F.col("id") == 7), F.lit("Share without a number"))
+                .when(F.col("unit_id") % 97 == 0, F.concat(F.lit("Section header "), label))
+                .when((F.col("unit_id") % 5 == 0) & (F.col("id") == 5), F.concat(label, F.lit(" (rev)")))
+                .otherwise(label))
+        value = (F.when(F.col("n") == 0, F.lit("NA")).when(F.col("n") < 2, F.lit("*"))
+                 .otherwise(F.col("v").cast("string")))
+        earlier = F.when(F.col("unit_id") % 10 == 0, F.lit("NA")).otherwise(
+            (F.coalesce("v", F.lit(0)) + F.col("unit_id") % 100).cast("string"))
+        first = long.select("unit_id", "unit_name", "grp", text.alias("indicator_text"), value.alias("value_text"),
+                            earlier.alias("earlier_text"), (F.col("unit_id") * 20 + F.col("id")).alias("line"))
+        again = first.filter(F.col("unit_id") % 50 == 0).select(
+            "unit_id", "unit_name", "grp", "indicator_text", F.lit("NA").alias("value_text"), "earlier_text",
+            (F.col("line") + 10).alias("line"))
+        return first.unionByName(again)

@@ -73,3 +73,78 @@ def sql(body: str, recursive: bool = False, **extra: str) -> str:
     ctes = {**CTES, **extra}
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(f"{name} AS ({text})" for name, text in ctes.items()) + "\n" + body
+
+
+_KEYS = " ".join(f"WHEN {i} THEN '{k}'" for i, k, _, _ in cfg.INDICATORS)
+
+NAMES = {
+    "nm_parent": """SELECT min(p_partkey) AS parent_code, p_type AS parent_grp, p_name AS parent_name FROM part GROUP BY 2, 3""",
+    "nm_unit": """SELECT min(parent_code) AS unit_id, parent_grp AS grp, CASE parent_code % 7
+            WHEN 1 THEN split_part(parent_name, ' ', 2) || ' ' || split_part(parent_name, ' ', 1)
+            WHEN 2 THEN upper(parent_name) || ' District'
+            WHEN 3 THEN parent_name || right(parent_name, 1)
+            WHEN 4 THEN replace(replace(parent_name, 'o', 'ö'), 'e', 'é')
+            WHEN 5 THEN (CASE WHEN parent_name LIKE 'hot %' THEN 'cold ' ELSE 'hot ' END) || split_part(parent_name, ' ', 2)
+            WHEN 6 THEN 'zqx ' || substr(split_part(parent_name, ' ', 2), 1, 3)
+            ELSE parent_name END AS unit_name FROM nm_parent GROUP BY 2, 3""",
+    "nm_block": """SELECT DISTINCT parent_grp AS grp, parent_grp FROM nm_parent
+        UNION SELECT 'MEDIUM', 'LARGE' WHERE EXISTS (SELECT 1 FROM nm_parent WHERE parent_grp = 'MEDIUM')
+          AND EXISTS (SELECT 1 FROM nm_parent WHERE parent_grp = 'LARGE')""",
+    "nm_override": """SELECT u.grp, u.unit_name, u.grp AS target_grp, CASE unit_id % 23 WHEN 1 THEN 'Blue Anvil'
+            WHEN 3 THEN 'no such name' ELSE parent_name END AS target_name,
+            CASE unit_id % 23 WHEN 1 THEN 'child_of' WHEN 2 THEN 'exclude' ELSE 'rename' END AS rule,
+            'manual row ' || (unit_id % 23) AS override_note
+        FROM nm_unit u JOIN nm_parent p ON parent_code = unit_id WHERE unit_id % 23 IN (0, 1, 2, 3)""",
+}
+
+
+def normalised(x: str) -> str:
+    """The normalisation steps in DuckDB's own functions."""
+    s = f"lower(strip_accents({x}))"
+    s = f"replace(replace(replace({s}, '&', ' and '), '-', ' '), '.', ' ')"
+    s = f"regexp_replace({s}, '\\b(district|dist|zila|zilla|pargana|division)\\b', ' ', 'g')"
+    s = f"regexp_replace({s}, '[^a-z0-9 ]', ' ', 'g')"
+    return f"trim(regexp_replace({s}, ' +', ' ', 'g'))"
+
+
+def sorted_tokens(norm: str) -> str:
+    return f"array_to_string(list_sort(string_split({norm}, ' ')), ' ')"
+
+
+def qualifiers(norm: str, words) -> str:
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"list_sort(list_distinct(list_filter(string_split({norm}, ' '), lambda t: t IN ({listed}))))"
+
+
+def similarity_ctes(pairs: str) -> dict:
+    """Scores of the distinct (a, b) in ``pairs`` by the textbook table, one row of it per step."""
+    return {
+        "lcs_run": f"""SELECT a, b, 0 AS i, list_transform(range(0, length(b) + 1), lambda x: 0::BIGINT) AS r
+                FROM (SELECT DISTINCT a, b FROM {pairs})
+            UNION ALL SELECT a, b, i + 1, list_reduce(list_transform(range(1, length(b) + 1), lambda j: [j]),
+                lambda acc, j: list_append(acc, CASE WHEN a[i + 1] = b[j[1]] THEN r[j[1]] + 1
+                  ELSE greatest(r[j[1] + 1], acc[-1]) END), [0::BIGINT]) FROM lcs_run WHERE i < length(a)""",
+        "scores": """SELECT a, b, CASE WHEN length(a) + length(b) = 0 THEN 1000000
+            ELSE r[-1] * 2000000 // (length(a) + length(b)) END AS score_e4 FROM lcs_run WHERE i = length(a)""",
+    }
+
+
+RAW = {
+    "fx_label": f"""SELECT u.unit_id, u.unit_name, u.grp, i.indicator_id AS id, coalesce(f.n, 0) AS n, f.value_bp AS v,
+            i.indicator_id || '. Share of ' || CASE i.indicator_id {_KEYS} END AS label
+        FROM fx_unit u CROSS JOIN fx_indicator i LEFT JOIN fx_fact f ON f.unit_id = u.unit_id AND f.indicator_id = i.indicator_id""",
+    "fx_raw_once": """SELECT unit_id, unit_name, grp, CASE WHEN unit_id % 101 = 0 AND id = 7 THEN 'Share without a number'
+            WHEN unit_id % 97 = 0 THEN 'Section header ' || label
+            WHEN unit_id % 5 = 0 AND id = 5 THEN label || ' (rev)' ELSE label END AS indicator_text,
+            CASE WHEN n = 0 THEN 'NA' WHEN n < 2 THEN '*' ELSE CAST(v AS VARCHAR) END AS value_text,
+            CASE WHEN unit_id % 10 = 0 THEN 'NA' ELSE CAST(coalesce(v, 0) + unit_id % 100 AS VARCHAR) END AS earlier_text,
+            unit_id * 20 + id AS line FROM fx_label""",
+    "fx_raw": """SELECT * FROM fx_raw_once UNION ALL
+        SELECT unit_id, unit_name, grp, indicator_text, 'NA', earlier_text, line + 10 FROM fx_raw_once WHERE unit_id % 50 = 0""",
+    "fx_parsed": r"""SELECT *, CAST(coalesce(nullif(regexp_extract(indicator_text, '^\s*(\d+)\.', 1), ''),
+            nullif(regexp_extract(indicator_text, '(?:^|\s)(\d{1,3})\.\s*[A-Z]', 1), '')) AS INTEGER) AS indicator_id FROM fx_raw""",
+    "fx_typed": """SELECT u.unit_id, p.indicator_id, try_cast(value_text AS BIGINT) AS value_bp, try_cast(earlier_text AS BIGINT) AS earlier_bp,
+            CASE value_text WHEN '*' THEN 'suppressed' WHEN 'NA' THEN 'absent' ELSE 'present' END AS flag
+        FROM (SELECT *, row_number() OVER (PARTITION BY grp, unit_name, indicator_id ORDER BY line) AS copy FROM fx_parsed
+              WHERE indicator_id BETWEEN 1 AND 104) p JOIN fx_unit u USING (grp, unit_name) WHERE copy = 1""",
+}
