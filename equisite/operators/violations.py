@@ -17,9 +17,9 @@ def _rows(df: DataFrame, rule: str, key: Column, detail: Column) -> DataFrame:
 
 
 def unique(df: DataFrame, rule: str, keys: Sequence[str]) -> DataFrame:
-    """Keys are counted with partial sums; the copies themselves never meet."""
-    counts = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])) if len(keys) == 1 else df
-    counts = counts.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    """Keys are counted with partial sums; the copies themselves never meet. NULL keys pass."""
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = df.filter(present).groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
     return _rows(counts, rule, F.concat_ws("|", *[F.col(k).cast("string") for k in keys]),
                  F.concat(F.col("_n").cast("string"), F.lit(" rows")))
 
@@ -44,6 +44,12 @@ def all_of(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def rule_counts(rules: dict[str, DataFrame]) -> DataFrame:
+    """How many rows break each rule, rules that hold included."""
+    return all_of(*[df.agg(F.count("*").alias("broken")).select(F.lit(name).alias("rule"), "broken")
+                    for name, df in rules.items()])
+
+
 def weight_sums(weights: DataFrame, total_ppm: int = 1_000_000) -> DataFrame:
     sums = weights.groupBy("scheme").agg(F.sum("w_ppm").alias("_s"))
     return holds(sums, "weights sum to one", "scheme", F.col("_s") == total_ppm, F.col("_s").cast("string"))
@@ -68,33 +74,34 @@ def sensitivity_rules(sens: DataFrame) -> DataFrame:
 
 
 def standing_rules(units: DataFrame, indicators: DataFrame, weights: DataFrame, facts: DataFrame,
-                   score: DataFrame) -> DataFrame:
-    """Keys, references, ranges and implications of the derived relations."""
-    text = F.col("terrain")
-    norm_agrees = ((text == "plains") & (F.col("catchment_norm") == 2_000_000)) | (
-        (text != "plains") & (F.col("catchment_norm") == 1_200_000))
+                   score: DataFrame, norms: dict[str, int]) -> dict[str, DataFrame]:
+    """Keys, references, ranges and implications of the derived relations, by rule."""
+    kind = F.col("terrain")
+    norm_of = F.create_map(*[F.lit(x) for kv in norms.items() for x in kv])
     specified = F.col("indicator_key").isNotNull() & F.col("domain").isNotNull() & F.col("higher_is_worse").isNotNull()
-    return all_of(
-        unique(units, "unit key", ["unit_id"]),
-        unique(units, "unit natural key", ["grp", "unit_name"]),
-        unique(indicators, "indicator key", ["indicator_key"]),
-        unique(facts, "fact key", ["unit_id", "indicator_id"]),
-        unique(weights, "weight key", ["scheme", "indicator_id"]),
-        unique(score, "score key", ["scheme", "unit_id"]),
-        foreign_key(facts, "fact unit", "indicator_id", "unit_id", units),
-        foreign_key(facts, "fact indicator", "unit_id", "indicator_id", indicators),
-        not_null(units, "unit zone", "unit_id", "zone"),
-        not_null(units, "unit terrain", "unit_id", "terrain"),
-        holds(indicators, "indicator range", "indicator_id", F.col("indicator_id").between(1, 104),
-              F.col("indicator_id").cast("string")),
-        holds(indicators, "index member specified", "indicator_id", specified, F.col("indicator_key"), False),
-        holds(units, "terrain known", "unit_id", text.isin("plains", "hilly", "tribal", "desert"), text),
-        holds(units, "norm agrees with terrain", "unit_id", norm_agrees, text),
-        holds(units, "rural within total", "unit_id", F.col("rural_population") <= F.col("population"),
-              F.col("rural_population").cast("string")),
-        holds(weights, "weight not negative", "scheme", F.col("w_ppm") >= 0, F.col("w_ppm").cast("string"), False),
-        weight_sums(weights), weight_cover(weights, indicators),
-        holds(facts, "value in range", "unit_id", F.col("value_bp").between(0, 10_000), F.col("value_bp").cast("string")))
+    text = lambda c: F.col(c).cast("string")
+    rules = {
+        "unit key": unique(units, "unit key", ["unit_id"]),
+        "unit natural key": unique(units, "unit natural key", ["grp", "unit_name"]),
+        "indicator key": unique(indicators, "indicator key", ["indicator_key"]),
+        "fact key": unique(facts, "fact key", ["unit_id", "indicator_id"]),
+        "weight key": unique(weights, "weight key", ["scheme", "indicator_id"]),
+        "score key": unique(score, "score key", ["scheme", "unit_id"]),
+        "fact unit": foreign_key(facts, "fact unit", "indicator_id", "unit_id", units),
+        "fact indicator": foreign_key(facts, "fact indicator", "unit_id", "indicator_id", indicators),
+        "unit zone": not_null(units, "unit zone", "unit_id", "zone"),
+        "unit terrain": not_null(units, "unit terrain", "unit_id", "terrain"),
+        "indicator range": holds(indicators, "indicator range", "indicator_id", F.col("indicator_id").between(1, 104), text("indicator_id")),
+        "index member specified": holds(indicators, "index member specified", "indicator_id", specified, text("indicator_key"), False),
+        "terrain known": holds(units, "terrain known", "unit_id", kind.isin(list(norms)), kind),
+        "norm agrees with terrain": holds(units, "norm agrees with terrain", "unit_id", F.col("catchment_norm") == F.try_element_at(norm_of, kind), kind),
+        "rural within total": holds(units, "rural within total", "unit_id", F.col("rural_population") <= F.col("population"), text("rural_population")),
+        "weight not negative": holds(weights, "weight not negative", "scheme", F.col("w_ppm") >= 0, text("w_ppm"), False),
+        "value in range": holds(facts, "value in range", "unit_id", F.col("value_bp").between(0, 10_000), text("value_bp")),
+    }
+    rules["weights sum to one"] = weight_sums(weights)
+    rules["scheme covers the index"] = weight_cover(weights, indicators)
+    return rules
 
 
 def apportioned_rule(units: DataFrame) -> DataFrame:

@@ -202,7 +202,7 @@ _BAD_UNIT = """SELECT *, CASE WHEN unit_id % 41 = 0 THEN rural_population + popu
 
 @register("violations", sql("""SELECT rule, key, detail FROM (
     SELECT 'unique line key' AS rule, unit_id || '|' || indicator_id AS key, count(*) || ' rows' AS detail FROM fx_parsed
-      GROUP BY unit_id, indicator_id HAVING count(*) > 1 UNION ALL
+      WHERE indicator_id IS NOT NULL GROUP BY unit_id, indicator_id HAVING count(*) > 1 UNION ALL
     SELECT 'indicator known', CAST(line AS VARCHAR), CAST(indicator_id AS VARCHAR) FROM fx_parsed
       WHERE indicator_id IS NOT NULL AND indicator_id NOT IN (SELECT indicator_id FROM fx_indicator WHERE indicator_id <> 6) UNION ALL
     SELECT 'indicator parsed', CAST(line AS VARCHAR), 'indicator_id is null' FROM fx_parsed WHERE indicator_id IS NULL UNION ALL
@@ -228,7 +228,34 @@ def _(d):
         vi.holds(typed, "value in range", "line", F.col("value_bp").between(0, 9000), F.col("value_bp").cast("string")))
 
 
-@register("schema_rules", sql("SELECT 'none' AS rule, '' AS key, '' AS detail WHERE false"))
+def _count_rows(rule, text):
+    return f"SELECT '{rule}' AS rule, count(*) AS broken FROM ({text})"
+
+
+_RULES = " UNION ALL ".join(_count_rows(r, t) for r, t in {
+    "unit key": "SELECT unit_id FROM fx_district GROUP BY 1 HAVING count(*) > 1",
+    "unit natural key": "SELECT grp, unit_name FROM fx_district GROUP BY 1, 2 HAVING count(*) > 1",
+    "indicator key": "SELECT indicator_key FROM fx_indicator GROUP BY 1 HAVING count(*) > 1",
+    "fact key": "SELECT unit_id, indicator_id FROM fx_fact GROUP BY 1, 2 HAVING count(*) > 1",
+    "weight key": "SELECT scheme, indicator_id FROM fx_weight GROUP BY 1, 2 HAVING count(*) > 1",
+    "score key": "SELECT scheme, unit_id FROM fx_scored GROUP BY 1, 2 HAVING count(*) > 1",
+    "fact unit": "SELECT 1 FROM fx_fact WHERE unit_id NOT IN (SELECT unit_id FROM fx_district)",
+    "fact indicator": "SELECT 1 FROM fx_fact WHERE indicator_id NOT IN (SELECT indicator_id FROM fx_indicator)",
+    "unit zone": "SELECT 1 FROM fx_district WHERE zone IS NULL",
+    "unit terrain": "SELECT 1 FROM fx_district WHERE terrain IS NULL",
+    "indicator range": "SELECT 1 FROM fx_indicator WHERE indicator_id NOT BETWEEN 1 AND 104",
+    "index member specified": "SELECT 1 FROM fx_indicator WHERE indicator_key IS NULL OR domain IS NULL OR higher_is_worse IS NULL",
+    "terrain known": "SELECT 1 FROM fx_district WHERE terrain NOT IN ('plains', 'hilly', 'tribal', 'desert')",
+    "norm agrees with terrain": "SELECT 1 FROM fx_district WHERE (terrain = 'plains') <> (catchment_norm = 2000000)",
+    "rural within total": "SELECT 1 FROM fx_district WHERE rural_population > population",
+    "weight not negative": "SELECT 1 FROM fx_weight WHERE w_ppm < 0",
+    "value in range": "SELECT 1 FROM fx_fact WHERE value_bp NOT BETWEEN 0 AND 10000",
+    "weights sum to one": "SELECT scheme FROM fx_weight GROUP BY 1 HAVING sum(w_ppm) <> 1000000",
+    "scheme covers the index": "SELECT scheme FROM fx_weight GROUP BY 1 HAVING count(DISTINCT indicator_id) <> 7",
+}.items())
+
+
+@register("schema_rules", sql(_RULES))
 def _(d):
-    """The standing constraints on the derived relations; every one must hold."""
-    return vi.standing_rules(d.units, d.indicators, d.weights, d.facts, d.score)
+    """The standing constraints on the derived relations, with how many rows break each."""
+    return vi.rule_counts(vi.standing_rules(d.units, d.indicators, d.weights, d.facts, d.score, cfg.NORMS))
