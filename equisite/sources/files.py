@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GEOMETRY = ("struct<type:string,coordinates:array<array<array<double>>>>")
-
-
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str], comment: str | None = None) -> DataFrame:
     """CSV with a header; every column stays text, so no marker is lost on the way in."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -28,26 +25,52 @@ def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()])
 
 
-def write_geojson(features: DataFrame, path: str, properties: Sequence[str], geometry: str = "geometry") -> None:
-    """One Feature per line: scalable, and readable in parts."""
-    feature = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"),
-                       F.col(geometry).alias("geometry"))
-    features.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
+def geometry_json(parts: Column) -> Column:
+    """Parts (polygons of rings of [x, y]) as a Polygon, or a MultiPolygon when there are several."""
+    one = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.element_at(parts, 1).alias("coordinates")))
+    many = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), parts.alias("coordinates")))
+    return F.when(F.size(parts) == 1, one).otherwise(many)
+
+
+def feature_json(properties: Sequence[str], parts: str = "parts") -> Column:
+    return F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(*properties)),
+                    F.lit(',"geometry":'), geometry_json(F.col(parts)), F.lit("}"))
+
+
+def write_geojson(features: DataFrame, path: str, properties: Sequence[str], parts: str = "parts") -> None:
+    """One Feature per line: written and read in parallel."""
+    features.select(feature_json(properties, parts).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_collections(features: DataFrame, path: str, properties: Sequence[str], id_col: str,
+                      per_document: int = 100, parts: str = "parts") -> None:
+    """FeatureCollection documents of a fixed number of ids each, one document per line."""
+    docs = (features.select((F.col(id_col) / per_document).cast("long").alias("_doc"),
+                            feature_json(properties, parts).alias("_f"))
+            .groupBy("_doc").agg(F.collect_list("_f").alias("_all")))
+    text = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join("_all", ","), F.lit("]}"))
+    docs.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
-def read_geojson(spark: SparkSession, path: str, properties: str, collection: bool = False) -> DataFrame:
-    """Features with their properties as columns.
+def read_geojson(spark: SparkSession, path: str, properties: str, collection: bool = False,
+                 whole_file: bool = False) -> DataFrame:
+    """Features with their properties as columns and ``parts``, whether Polygon or MultiPolygon.
 
-    ``collection`` reads FeatureCollection documents (one document per file, as published);
-    otherwise one feature per line. ``properties`` is the struct's DDL.
+    ``collection`` reads FeatureCollection documents, one per line or, with ``whole_file``, one
+    indented document per file as published; otherwise one feature per line. ``properties`` is DDL.
     """
-    feature = f"struct<type:string,properties:struct<{properties}>,geometry:{GEOMETRY}>"
+    geometry = "struct<type:string,coordinates:string>"
+    feature = f"struct<properties:struct<{properties}>,geometry:{geometry}>"
+    reader = spark.read.option("multiLine", whole_file)
     if collection:
-        docs = spark.read.schema(f"type string, features array<{feature}>").option("multiLine", True).json(path)
+        docs = reader.schema(f"features array<{feature}>").json(path)
         rows = docs.select(F.explode("features").alias("f")).select("f.*")
     else:
-        rows = spark.read.schema(f"type string, properties struct<{properties}>, geometry {GEOMETRY}").json(path)
-    return rows.select("properties.*", "geometry")
+        rows = reader.schema(f"properties struct<{properties}>, geometry {geometry}").json(path)
+    ring = "array<array<array<double>>>"
+    parts = (F.when(F.col("geometry.type") == "Polygon", F.array(F.from_json("geometry.coordinates", ring)))
+             .when(F.col("geometry.type") == "MultiPolygon", F.from_json("geometry.coordinates", f"array<{ring}>")))
+    return rows.select("properties.*", parts.alias("parts"))
 
 
 def write_manifest(entries: DataFrame, path: str) -> None:

@@ -260,3 +260,70 @@ class Raw:
             "unit_id", "unit_name", "grp", "indicator_text", F.lit("NA").alias("value_text"), "earlier_text",
             (F.col("line") + 10).alias("line"))
         return first.unionByName(again)
+
+
+def _box(a: float, b: float, c: float, d: float) -> list:
+    return [[a, b], [c, b], [c, d], [a, d], [a, b]]
+
+
+# Outlines of the group layer (ordinal, name, rings); the last overlaps earlier ones.
+OUTLINES = [
+    (1, "Econömy District", [_box(-0.45, -0.45, -0.05, 0.0)]),
+    (2, "LARGÉ", [[[-0.05, -0.45], [0.1, -0.45], [0.1, -0.1], [0.05, -0.1], [0.05, 0.0], [-0.05, 0.0], [-0.05, -0.45]]]),
+    (3, "Medium Zila", [_box(0.1, -0.45, 0.45, 0.0)]),
+    (4, "Promo-Dist", [_box(-0.45, 0.0, -0.05, 0.45), _box(-0.2, 0.05, -0.15, 0.1)]),
+    (5, "Smal", [_box(-0.05, 0.0, 0.1, 0.45)]),
+    (6, "Standart", [_box(0.1, 0.0, 0.45, 0.45)]),
+    (7, "Nowhere", [_box(-0.2, -0.2, 0.2, 0.12)]),
+]
+
+
+class Shapes:
+    """Unit polygons around the embedding points, and the group layer."""
+
+    def __init__(self, d: Domain):
+        self.d, self.names = d, Names(d)
+
+    @cached_property
+    def shapes(self) -> DataFrame:
+        """Squares, L shapes and squares with a hole; every twentieth has a second part."""
+        e = F.col("embedding")
+        rows = self.d.table("embeddings").select(
+            F.col("vec_id").alias("shape_id"), e[0].cast("double").alias("x"), e[1].cast("double").alias("y"),
+            (F.abs(e[2].cast("double")) / 20 + 0.002).alias("h"))
+        x, y, h = F.col("x"), F.col("y"), F.col("h")
+
+        def ring(*points):
+            return F.array(*[F.array(a, b) for a, b in points])
+
+        def square(s, dx=0.0):
+            return ring((x - s + dx, y - s), (x + s + dx, y - s), (x + s + dx, y + s), (x - s + dx, y + s), (x - s + dx, y - s))
+
+        ell = ring((x - h, y - h), (x + h, y - h), (x + h, y), (x, y), (x, y + h), (x - h, y + h), (x - h, y - h))
+        kind = F.col("shape_id") % 3
+        rings = (F.when(kind == 0, F.array(square(h))).when(kind == 1, F.array(ell))
+                 .otherwise(F.array(square(h), square(h / 2))))
+        parts = F.when(F.col("shape_id") % 20 == 0, F.array(rings, F.array(square(h / 4, 0.5)))).otherwise(F.array(rings))
+        adjective = F.element_at(F.array(*[F.lit(a) for a in ADJECTIVES]), (F.col("shape_id") % 8 + 1).cast("int"))
+        noun = F.element_at(F.array(*[F.lit(n) for n in NOUNS]), (F.floor(F.col("shape_id") / 8) % 8 + 1).cast("int"))
+        rule = F.col("shape_id") % 5
+        name = (F.when(rule == 1, F.concat_ws(" ", adjective, noun, F.lit("district")))
+                .when(rule == 2, F.concat(adjective, F.lit(" "), noun, F.substring(noun, -1, 1)))
+                .when(rule == 3, F.concat_ws(" ", noun, adjective))
+                .when(rule == 4, F.concat(F.lit("zz"), F.concat_ws(" ", adjective, noun)))
+                .otherwise(F.concat_ws(" ", adjective, noun)))
+        return rows.select("shape_id", name.alias("shape_name"), parts.alias("parts"))
+
+    @cached_property
+    def outlines(self) -> DataFrame:
+        rows = [(o, n, [r]) for o, n, r in OUTLINES]
+        return self.d.spark.createDataFrame(rows, "ordinal int, geo_group string, parts array<array<array<array<double>>>>")
+
+    @cached_property
+    def units(self) -> DataFrame:
+        return self.names.parents.select(F.col("parent_code").alias("unit_id"), F.col("parent_grp").alias("grp"),
+                                         F.col("parent_name").alias("unit_name"))
+
+    @cached_property
+    def groups(self) -> DataFrame:
+        return self.units.groupBy(F.col("grp").alias("parent_name")).agg(F.min("unit_id").alias("parent_code"))
