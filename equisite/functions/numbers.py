@@ -20,8 +20,16 @@ def div(a: Column | str, b: Column | str) -> Column:
     return F.call_function("div", col(a), F.nullif(col(b), F.lit(0)))
 
 
+def mul_div_sql(a: str, b: str | int, c: str | int) -> str:
+    """``mul_div`` as SQL text, for wide projections built from names."""
+    wide = [f"CAST({x} AS DECIMAL(19,0))" for x in (a, b, c)]
+    return f"({wide[0]} * {wide[1]}) div nullif({wide[2]}, 0BD)"
+
+
 def mul_div(a: Column | str, b: Column | str, c: Column | str) -> Column:
     """``a * b div c`` through a 38-digit product, so that a hot unit's totals cannot overflow."""
+    if all(isinstance(x, str) for x in (a, b, c)):
+        return F.expr(mul_div_sql(a, b, c))
     product = col(a).cast("decimal(19,0)") * col(b).cast("decimal(19,0)")
     return F.call_function("div", product, F.nullif(col(c).cast("decimal(19,0)"), F.lit(0)))
 
@@ -79,10 +87,3 @@ def leading_number(text: Column | str) -> Column:
     lead = F.nullif(F.regexp_extract(col(text), r"^\s*(\d+)\.", 1), F.lit(""))
     inner = F.nullif(F.regexp_extract(col(text), r"(?:^|\s)(\d{1,3})\.\s*[A-Z]", 1), F.lit(""))
     return F.coalesce(lead, inner).try_cast("int")
-
-
-def md5_unit(*parts: Column | str) -> Column:
-    """Reproducible uniform in (0,1) from the first 52 bits of an md5 over the parts."""
-    digest = F.md5(F.concat_ws("|", *[col(p).cast("string") for p in parts]))
-    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
-    return (bits.cast("double") + 0.5) / float(2 ** 52)

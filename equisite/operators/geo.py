@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from equisite.operators import linkage as lk
 from equisite.plans.bounds import broadcast_if_small
+from equisite.plans.session import materialise
 
 MAP_ACCEPT, GROUP_ACCEPT = 82, 70
 
@@ -117,15 +118,13 @@ def name_crosswalk(shapes: DataFrame, units: DataFrame, qualifiers: Sequence[str
     pool = units.select(F.col("unit_id").alias("parent_code"), F.col("grp").alias("parent_grp"),
                         F.col("unit_name").alias("parent_name"))
     blocks = units.select("grp").distinct().withColumn("parent_grp", F.col("grp"))
-    resolved = shapes.filter(F.col("grp").isNotNull())
-    matched = lk.with_tiers(lk.best_match(resolved, pool, blocks, id_col="shape_id", name="shape_name"),
+    matched = lk.with_tiers(lk.best_match(shapes, pool, blocks, id_col="shape_id", name="shape_name"),
                             accept, accept, qualifiers)
-    found = matched.select("shape_id", F.col("match_code").alias("unit_id"), F.col("match_e4").alias("score_e4"), "note",
-                           F.col("parent_code").isNull().alias("_no_pool"))
     note = (F.when(F.col("grp").isNull(), F.lit("group unresolved"))
-            .when(F.col("_no_pool"), F.lit("no units in this group")).otherwise(F.col("note")))
-    rows = shapes.join(found, "shape_id", "left").withColumn("note", note).drop("_no_pool")
-    return lk.one_to_one(rows)
+            .when(F.col("parent_code").isNull(), F.lit("no units in this group")).otherwise(F.col("note")))
+    rows = matched.select("shape_id", "shape_name", "geo_group", "grp", F.col("match_code").alias("unit_id"),
+                          F.col("match_e4").alias("score_e4"), note.alias("note"))
+    return lk.one_to_one(materialise(rows, "map-matches"))
 
 
 def geo_coverage(xwalk: DataFrame, units: DataFrame, warn_pct: int = 80) -> DataFrame:

@@ -16,7 +16,7 @@ from equisite.plans.settings import OBJECTIVES, get_param
 def indicator_score(facts: DataFrame, indicators: DataFrame, top: int = 10_000) -> DataFrame:
     """Present values only (never imputed), turned so that higher is worse."""
     return (facts.filter(F.col("value_bp").isNotNull())
-            .join(broadcast_if_small(indicators), "indicator_id")
+            .join(indicators, "indicator_id")
             .withColumn("need_bp", toward_need("value_bp", "higher_is_worse", top)))
 
 
@@ -29,21 +29,13 @@ def indicator_percentile(score: DataFrame, max_rows: int | None = None) -> DataF
 def percentile_wide(pct: DataFrame, ids: Sequence[int]) -> DataFrame:
     """One row per unit, one column per indicator, NULL where absent; a single shuffle."""
     return pct.groupBy("unit_id").agg(
-        *[F.max(F.when(F.col("indicator_id") == i, F.col("pct_e9"))).alias(f"p{i}") for i in ids])
+        *[F.expr(f"max(pct_e9) FILTER (WHERE indicator_id = {i})").alias(f"p{i}") for i in ids])
 
 
 def weights_wide(weights: DataFrame, ids: Sequence[int], key: str = "scheme") -> DataFrame:
     """One row per weight vector; the same shape serves named schemes and sampled draws."""
     return weights.groupBy(key).agg(
-        *[F.coalesce(F.sum(F.when(F.col("indicator_id") == i, F.col("w_ppm"))), F.lit(0)).alias(f"w{i}")
-          for i in ids])
-
-
-def _total(terms: Sequence[Column]) -> Column:
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+        *[F.expr(f"coalesce(sum(w_ppm) FILTER (WHERE indicator_id = {i}), 0)").alias(f"w{i}") for i in ids])
 
 
 def need_terms(ids: Sequence[int]) -> tuple[Column, Column, Column]:
@@ -51,23 +43,23 @@ def need_terms(ids: Sequence[int]) -> tuple[Column, Column, Column]:
 
     Weights are renormalised over the indicators a unit has; an absent one never counts as 0.
     """
-    present = [F.col(f"p{i}").isNotNull() for i in ids]
-    weighted = _total([F.coalesce(F.col(f"w{i}") * F.col(f"p{i}"), F.lit(0)) for i in ids])
-    covered = _total([F.when(p, F.col(f"w{i}")).otherwise(F.lit(0)) for i, p in zip(ids, present)])
-    count = _total([p.cast("long") for p in present])
-    return div(weighted, covered), covered, count
+    weighted = " + ".join(f"coalesce(w{i} * p{i}, 0)" for i in ids)
+    covered = " + ".join(f"if(p{i} IS NULL, 0, w{i})" for i in ids)
+    present = " + ".join(f"if(p{i} IS NULL, 0L, 1L)" for i in ids)
+    return F.expr(f"({weighted}) div nullif({covered}, 0)"), F.expr(covered), F.expr(present)
 
 
 def need_by_vector(wide: DataFrame, vectors: DataFrame, ids: Sequence[int],
                    keep: Sequence[str] = ()) -> DataFrame:
     """Need of every unit under every weight vector.
 
-    The vectors are few and count-checked, so units stay in place and each row is repeated once
-    per vector inside its task; the long fact table never meets the vectors.
+    The vectors come from literals or a range, so the planner knows their size: while they fit its
+    broadcast threshold, units stay in place and each row is repeated once per vector inside its
+    task; beyond it the product is cut into blocks. The long fact table never meets the vectors.
     """
     key = [c for c in vectors.columns if not c.startswith("w")][0]
     need, covered, present = need_terms(ids)
-    return (wide.crossJoin(broadcast_if_small(vectors))
+    return (wide.crossJoin(vectors)
             .select("unit_id", *keep, key, present.alias("indicators_present"),
                     covered.alias("weight_covered_ppm"), need.alias("need_e9")))
 
@@ -81,11 +73,12 @@ def district_score(need: DataFrame, units: DataFrame, params: dict[str, int] | N
 
 
 def with_gains(df: DataFrame) -> DataFrame:
-    served = F.least("catchment_norm", "rural_population")
-    return (df.withColumn("at_risk", mul_div("need_e9", "rural_population", F.lit(E9)))
-            .withColumn("required_facilities", ceil_div("rural_population", "catchment_norm"))
-            .withColumn("gain_population", mul_div("need_e9", served, F.lit(E9)))
-            .withColumn("gain_neutral", mul_div("need_e9", served, "catchment_norm")))
+    served = "least(catchment_norm, rural_population)"
+    return df.withColumns({
+        "at_risk": mul_div("need_e9", "rural_population", str(E9)),
+        "required_facilities": ceil_div("rural_population", "catchment_norm"),
+        "gain_population": mul_div("need_e9", served, str(E9)),
+        "gain_neutral": mul_div("need_e9", served, "catchment_norm")})
 
 
 def choose_objective(score: DataFrame, objective: str) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from equisite.functions.numbers import leading_number, lenient, missing_flag
 from equisite.operators.ranking import keep_first
-from equisite.plans.bounds import broadcast_if_small
 
 
 def parse_rows(raw: DataFrame) -> DataFrame:
@@ -31,7 +30,7 @@ def modal_name(parsed: DataFrame) -> DataFrame:
 
 def catalogue(parsed: DataFrame, indicators: DataFrame) -> DataFrame:
     """One row per indicator number seen; index members carry key, domain and direction."""
-    return (modal_name(parsed).join(broadcast_if_small(indicators), "indicator_id", "left")
+    return (modal_name(parsed).join(indicators, "indicator_id", "left")
             .withColumn("in_index", F.col("indicator_key").isNotNull()))
 
 

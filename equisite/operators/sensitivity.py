@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equisite.functions.classify import stability
-from equisite.functions.numbers import div, md5_unit, mul_div
+from equisite.functions.numbers import div, mul_div
 from equisite.operators.allocation import optimal
 from equisite.operators.index import need_by_vector
 from equisite.operators.ranking import order_rank
@@ -21,31 +21,28 @@ from equisite.operators.ranking import order_rank
 PPM = 1_000_000
 
 
-def _sum(terms: Sequence[Column]) -> Column:
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+def _uniform(seed: int, *parts: str) -> str:
+    """A reproducible uniform in (0,1) from the first 52 bits of an md5 over the parts, as SQL text."""
+    key = f"concat_ws('|', '{seed}', " + ", ".join(f"cast({p} as string)" for p in parts) + ")"
+    return f"((cast(conv(substring(md5({key}), 1, 13), 16, 10) as double) + 0.5D) / {2 ** 52}D)"
 
 
 def _normalised(draws: DataFrame, ids: Sequence[int]) -> DataFrame:
-    total = _sum([F.col(f"g{i}") for i in ids])
-    return draws.select("draw", *[F.floor(F.col(f"g{i}") / total * PPM + 0.5).alias(f"w{i}") for i in ids])
+    total = " + ".join(f"g{i}" for i in ids)
+    return draws.selectExpr("draw", *[f"floor(g{i} / ({total}) * {PPM} + 0.5D) AS w{i}" for i in ids])
 
 
 def uniform_draws(draw_ids: DataFrame, ids: Sequence[int], seed: int) -> DataFrame:
     """Uniform over the simplex (flat Dirichlet, alpha 1), a pure function of (seed, draw)."""
-    g = [(-F.log(md5_unit(F.lit(seed), "draw", F.lit(i)))).alias(f"g{i}") for i in ids]
-    return _normalised(draw_ids.select("draw", *g), ids)
+    g = [f"-ln({_uniform(seed, 'draw', str(i))}) AS g{i}" for i in ids]
+    return _normalised(draw_ids.selectExpr("draw", *g), ids)
 
 
 def centred_draws(draw_ids: DataFrame, ids: Sequence[int], alphas: Sequence[int], seed: int) -> DataFrame:
     """Dirichlet around a base vector; whole alphas are sums of exponentials, so no Python runs."""
-    def gamma(i: int, a: int) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), F.lit(a)), F.lit(0.0),
-                           lambda s, j: s - F.log(md5_unit(F.lit(seed), "draw", F.lit(i), j)))
-    g = [gamma(i, a).alias(f"g{i}") for i, a in zip(ids, alphas)]
-    return _normalised(draw_ids.select("draw", *g), ids)
+    g = [f"aggregate(sequence(1, {a}), 0.0D, (s, j) -> s - ln({_uniform(seed, 'draw', str(i), 'j')})) AS g{i}"
+         for i, a in zip(ids, alphas)]
+    return _normalised(draw_ids.selectExpr("draw", *g), ids)
 
 
 def gamma_draws(draw_ids: DataFrame, ids: Sequence[int], alphas: Sequence[float], seed: int) -> DataFrame:
@@ -96,8 +93,8 @@ def rank_stability(ranked: DataFrame, top_n: int) -> DataFrame:
 def picks_by_draw(base: DataFrame, draws: DataFrame, ids: Sequence[int], budget: int, cap: int, floor: int,
                   objective: str = "gain_neutral") -> DataFrame:
     """The optimum of every draw; an infeasible draw has no picks and so is not counted as a run."""
-    served = F.least("catchment_norm", "rural_population")
-    by = {"gain_neutral": F.col("catchment_norm"), "gain_population": F.lit(1_000_000_000)}
+    served = "least(catchment_norm, rural_population)"
+    by = {"gain_neutral": "catchment_norm", "gain_population": "1000000000"}
     if objective not in by:
         raise ValueError(f"unknown objective: {objective}")
     need = need_by_vector(base, draws, ids, keep=["grp", "zone", "catchment_norm", "rural_population"])

@@ -1,4 +1,8 @@
-"""Size bounds: what may be broadcast and what may be sorted in one task."""
+"""Size bounds: what may be broadcast and what may be sorted in one task.
+
+Literal and file-backed relations need no hint: the planner knows their size and broadcasts them
+below its threshold. The check here is for derived relations, whose size it cannot know.
+"""
 
 from __future__ import annotations
 

@@ -49,15 +49,30 @@ def get_param(key: str, params: dict[str, int] | None = None) -> int:
     return table[key]
 
 
+def values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A small literal relation as an inline table: its size is known to the planner."""
+    def literal(x) -> str:
+        if isinstance(x, str):
+            return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        if isinstance(x, list):
+            return "array(" + ", ".join(literal(v) for v in x) + ")"
+        if isinstance(x, float):
+            return f"{x!r}D"
+        return "NULL" if x is None else str(x).lower()
+    names = [c.strip().split(" ", 1) for c in columns.split(",")]
+    table = ", ".join("(" + ", ".join(literal(x) for x in r) + ")" for r in rows)
+    casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in names)
+    return spark.sql(f"SELECT {casts} FROM VALUES {table} AS t({', '.join(n for n, _ in names)})")
+
+
 def indicator_relation(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        INDICATORS, "indicator_id int, indicator_key string, domain string, higher_is_worse boolean")
+    return values(spark, INDICATORS, "indicator_id int, indicator_key string, domain string, higher_is_worse boolean")
 
 
 def weight_relation(spark: SparkSession, schemes: dict[str, list[int]] | None = None) -> DataFrame:
     rows = [(s, i, w) for s, ws in (schemes or SCHEMES).items() for i, w in zip(INDICATOR_IDS, ws)]
-    return spark.createDataFrame(rows, "scheme string, indicator_id int, w_ppm long")
+    return values(spark, rows, "scheme string, indicator_id int, w_ppm long")
 
 
 def param_relation(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(PARAMS.items()), "key string, value long")
+    return values(spark, list(PARAMS.items()), "key string, value long")

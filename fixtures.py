@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equisite.functions.classify import norm_of, terrain
-from equisite.functions.numbers import cents, div, mul_div
+from equisite.functions.numbers import cents, mul_div_sql
 from equisite.operators import index as ix
 from equisite.plans import settings as cfg
 
 IDS = cfg.INDICATOR_IDS
 
 
+def _named(expressions: dict[str, str]) -> list:
+    return [F.expr(e).alias(name) for name, e in expressions.items()]
+
+
 class Domain:
     """Lazily built domain relations over one folder of tables.
 
@@ -56,23 +60,21 @@ class Domain:
             cents("o_totalprice").alias("cents"))
 
     @staticmethod
-    def _population_aggs() -> list:
-        return [F.sum("cents").alias("cents"), F.count("*").alias("total_hh"),
-                F.count_if(F.col("status") != "P").alias("rural_hh"),
-                F.coalesce(F.sum(F.when(F.col("priority") == 1, F.col("cents"))), F.lit(0)).alias("minority_cents")]
+    def _population_aggs() -> dict[str, str]:
+        return {"cents": "sum(cents)", "total_hh": "count(*)", "rural_hh": "count_if(status <> 'P')",
+                "minority_cents": "coalesce(sum(cents) FILTER (WHERE priority = 1), 0)"}
 
     @staticmethod
-    def _population_columns() -> list:
-        population = div("cents", F.lit(100))
-        return [population.alias("population"), "rural_hh", "total_hh",
-                mul_div("minority_cents", F.lit(10_000), "cents").alias("minority_bp"),
-                mul_div(population, "rural_hh", "total_hh").alias("rural_population")]
+    def _population_columns() -> list[str]:
+        return ["cents div 100 AS population", "rural_hh", "total_hh",
+                mul_div_sql("minority_cents", 10_000, "cents") + " AS minority_bp",
+                mul_div_sql("cents div 100", "rural_hh", "total_hh") + " AS rural_population"]
 
     @cached_property
     def population(self) -> DataFrame:
         """Population side only, from one pass over the orders."""
-        return (self.order_facts.groupBy("unit_id").agg(*self._population_aggs())
-                .select("unit_id", *self._population_columns()))
+        return (self.order_facts.groupBy("unit_id").agg(*_named(self._population_aggs()))
+                .selectExpr("unit_id", *self._population_columns()))
 
     @cached_property
     def measures(self) -> DataFrame:
@@ -81,34 +83,25 @@ class Domain:
         Line items are first summed per order, which shares the join's partitioning; the unit
         totals then need one more shuffle, with partial sums before it.
         """
-        price = cents("l_extendedprice")
-        lines = (self.table("lineitem").select("l_orderkey", price.alias("c"), "l_returnflag", "l_linestatus")
-                 .groupBy("l_orderkey").agg(
-                     F.count("*").alias("lines"), F.sum("c").alias("line_cents"),
-                     F.coalesce(F.sum(F.when(F.col("l_returnflag") == "R", F.col("c"))), F.lit(0)).alias("r_cents"),
-                     F.coalesce(F.sum(F.when(F.col("l_linestatus") == "O", F.col("c"))), F.lit(0)).alias("o_cents")))
-        joined = self.order_facts.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        per_priority = []
+        lines = (self.table("lineitem")
+                 .select("l_orderkey", cents("l_extendedprice").alias("c"), "l_returnflag", "l_linestatus")
+                 .groupBy("l_orderkey").agg(*_named({
+                     "lines": "count(*)", "line_cents": "sum(c)",
+                     "r_cents": "coalesce(sum(c) FILTER (WHERE l_returnflag = 'R'), 0)",
+                     "o_cents": "coalesce(sum(c) FILTER (WHERE l_linestatus = 'O'), 0)"})))
+        sums = self._population_aggs()
         for i in range(1, 6):
-            mine = F.col("priority") == i
-            per_priority += [F.count_if(mine).alias(f"n{i}"), F.sum(F.when(mine, F.col("cents"))).alias(f"c{i}"),
-                             F.sum(F.when(mine & (F.col("status") == "F"), F.col("cents"))).alias(f"f{i}")]
-        sums = joined.groupBy("unit_id").agg(
-            *self._population_aggs(), *per_priority, F.sum("lines").alias("lines"),
-            F.sum("line_cents").alias("line_cents"), F.sum("r_cents").alias("r_cents"),
-            F.sum("o_cents").alias("o_cents"))
-
-        def share(part, whole):
-            return F.when(F.col(whole).isNotNull(),
-                          mul_div(F.coalesce(F.col(part), F.lit(0)), F.lit(10_000), whole))
-
-        cols = ["unit_id", *self._population_columns()]
-        for i in range(1, 6):
-            cols += [F.col(f"n{i}"), share(f"f{i}", f"c{i}").alias(f"v{i}")]
-        lines_n = F.coalesce(F.col("lines"), F.lit(0))
-        cols += [lines_n.alias("n6"), share("r_cents", "line_cents").alias("v6"),
-                 lines_n.alias("n7"), share("o_cents", "line_cents").alias("v7")]
-        return sums.select(*cols).persist()
+            sums[f"n{i}"] = f"count_if(priority = {i})"
+            sums[f"c{i}"] = f"sum(cents) FILTER (WHERE priority = {i})"
+            sums[f"f{i}"] = f"coalesce(sum(cents) FILTER (WHERE priority = {i} AND status = 'F'), 0)"
+        sums |= {c: f"sum({c})" for c in ("lines", "line_cents", "r_cents", "o_cents")}
+        joined = self.order_facts.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        shares = {**{i: (f"n{i}", f"f{i}", f"c{i}") for i in range(1, 6)},
+                  6: ("coalesce(lines, 0)", "r_cents", "line_cents"), 7: ("coalesce(lines, 0)", "o_cents", "line_cents")}
+        columns = ["unit_id", *self._population_columns()]
+        for i, (n, part, whole) in shares.items():
+            columns += [f"{n} AS n{i}", f"{mul_div_sql(part, 10_000, whole)} AS v{i}"]
+        return joined.groupBy("unit_id").agg(*_named(sums)).selectExpr(*columns).persist()
 
     def _with_terrain(self, population: DataFrame) -> DataFrame:
         kind = terrain(F.col("grp"), F.col("minority_bp"), cfg.HILL_GROUPS, cfg.PARAMS["tribal_share_bp"])
@@ -317,7 +310,7 @@ class Shapes:
     @cached_property
     def outlines(self) -> DataFrame:
         rows = [(o, n, [r]) for o, n, r in OUTLINES]
-        return self.d.spark.createDataFrame(rows, "ordinal int, geo_group string, parts array<array<array<array<double>>>>")
+        return cfg.values(self.d.spark, rows, "ordinal int, geo_group string, parts array<array<array<array<double>>>>")
 
     @cached_property
     def units(self) -> DataFrame:

@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from equisite.operators import geo
-from equisite.plans import settings as cfg  # noqa: F401
-from equisite.plans.session import fresh_path
+from equisite.plans.session import fresh_path, materialise
 from equisite.sources import files
 from fixtures import ADJECTIVES, NOUNS, OUTLINES, Shapes, domain
 from suite import prelude as pre
@@ -75,7 +74,6 @@ _CROSSWALK = {
         FROM sh s JOIN sh_state t USING (shape_id) LEFT JOIN gm g USING (geo_group)""",
     "gx_cand": f"""SELECT s.*, parent_code, parent_name, {pre.normalised('parent_name')} AS parent_norm, {pre.sorted_tokens(pre.normalised('parent_name'))} AS b
         FROM sg s JOIN nm_parent ON parent_grp = s.grp""",
-    "all_pairs": "SELECT a, b FROM gm_cand UNION SELECT a, b FROM gx_cand",
 }
 _SHOWN = "CAST(CAST(round_even(score_e4 / 10000.0, 0) AS BIGINT) AS VARCHAR)"
 _QL, _QR = pre.qualifiers("norm", ADJECTIVES), pre.qualifiers("parent_norm", ADJECTIVES)
@@ -106,13 +104,22 @@ _XW = {
 }
 
 
+def located(s: Shapes):
+    """Each shape's interior point in the group layer, written once: three steps read it."""
+    points = geo.interior_point(s.shapes).select("shape_id", "px", "py")
+    return materialise(geo.spatial_join(points, s.outlines, "shape_id", "geo_group"), "located")
+
+
+def groups_of(s: Shapes, where):
+    return geo.group_map(where.select("geo_group").dropna().distinct(), s.groups)
+
+
 def resolved(s: Shapes):
     """Shapes with the group layer's polygon they lie in and the domain group it stands for."""
-    points = geo.interior_point(s.shapes).select("shape_id", "px", "py")
-    located = geo.spatial_join(points, s.outlines, "shape_id", "geo_group")
-    groups = geo.group_map(located.select("geo_group").dropna().distinct(), s.groups)
-    return (s.shapes.select("shape_id", "shape_name").join(located, "shape_id")
-            .join(F.broadcast(groups.select("geo_group", "grp")), "geo_group", "left"))
+    where = located(s)
+    groups = materialise(groups_of(s, where).select("geo_group", "grp"), "group-map")
+    return (s.shapes.select("shape_id", "shape_name").join(where, "shape_id")
+            .join(groups, "geo_group", "left"))
 
 
 def crosswalk(s: Shapes):
@@ -143,9 +150,7 @@ def _(d):
 @register("group_map", sql("SELECT geo_group, score_e4, grp FROM gm", recursive=True, **_XW))
 def _(d):
     s = Shapes(d)
-    points = geo.interior_point(s.shapes).select("shape_id", "px", "py")
-    located = geo.spatial_join(points, s.outlines, "shape_id", "geo_group")
-    return geo.group_map(located.select("geo_group").dropna().distinct(), s.groups)
+    return groups_of(s, located(s))
 
 
 @register("geo_crosswalk", sql("SELECT shape_id, shape_name, geo_group, grp, unit_id, score_e4, note FROM gx", recursive=True, **_XW))
