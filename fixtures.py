@@ -320,3 +320,36 @@ class Shapes:
     @cached_property
     def groups(self) -> DataFrame:
         return self.units.groupBy(F.col("grp").alias("parent_name")).agg(F.min("unit_id").alias("parent_code"))
+
+
+# Share features of the residual model, as (numerator, denominator).
+FEATURES = {
+    "rural_hh_share": ("rural_hh", "total_hh"), "urgent_share": ("n1", "total_hh"), "high_share": ("n2", "total_hh"),
+    "medium_share": ("n3", "total_hh"), "other_share": ("n4", "total_hh"), "lines_per_ten": ("n6", "total_hh_ten"),
+    "rural_population_share": ("rural_population", "population"),
+}
+
+
+class Residual:
+    """Inputs of the residual model; the target is the need index, so only identities are expected."""
+
+    def __init__(self, d: Domain):
+        self.d = d
+
+    @cached_property
+    def features(self) -> DataFrame:
+        from equisite.operators.residual import share_features
+        wide = self.d.measures.withColumn("total_hh_ten", F.col("total_hh") * 10)
+        return share_features(wide, FEATURES, keep=["unit_id"])
+
+    @cached_property
+    def frame(self) -> DataFrame:
+        from equisite.operators.residual import model_frame
+        target = self.d.default_score.select("unit_id", (F.col("need_e9") / 1e9).alias("y"))
+        return model_frame(target, self.features, FEATURES)
+
+    @cached_property
+    def folded(self) -> DataFrame:
+        """Read by every fit, so kept."""
+        from equisite.operators.residual import assign_folds
+        return assign_folds(self.frame, cfg.SEED, max_rows=self.d.n_units).persist()

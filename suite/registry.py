@@ -1,8 +1,10 @@
 """All topics in one place."""
 
-from suite import allocation_queries, geo_queries, index_queries, linkage_queries, sensitivity_queries, source_queries
+from suite import (allocation_queries, geo_queries, index_queries, linkage_queries, residual_queries,
+                   sensitivity_queries, source_queries)
 
-TOPICS = (index_queries, allocation_queries, linkage_queries, source_queries, sensitivity_queries, geo_queries)
+TOPICS = (index_queries, allocation_queries, linkage_queries, source_queries, sensitivity_queries, geo_queries,
+          residual_queries)
 
 
 def queries() -> dict:
