@@ -73,12 +73,16 @@ def district_score(need: DataFrame, units: DataFrame, params: dict[str, int] | N
 
 
 def with_gains(df: DataFrame) -> DataFrame:
+    """People at risk, facilities implied by the norm, and both objectives.
+
+    A gain is at most 10**9 times the norm, which fits a whole number; people at risk may not.
+    """
     served = "least(catchment_norm, rural_population)"
     return df.withColumns({
         "at_risk": mul_div("need_e9", "rural_population", str(E9)),
         "required_facilities": ceil_div("rural_population", "catchment_norm"),
-        "gain_population": mul_div("need_e9", served, str(E9)),
-        "gain_neutral": mul_div("need_e9", served, "catchment_norm")})
+        "gain_population": F.expr(f"need_e9 * {served} div {E9}"),
+        "gain_neutral": F.expr(f"need_e9 * {served} div catchment_norm")})
 
 
 def choose_objective(score: DataFrame, objective: str) -> DataFrame:

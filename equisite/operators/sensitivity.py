@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equisite.functions.classify import stability
-from equisite.functions.numbers import div, mul_div
+from equisite.functions.numbers import E9, div
 from equisite.operators.allocation import optimal
 from equisite.operators.index import need_by_vector
 from equisite.operators.ranking import order_rank
@@ -62,6 +62,16 @@ def gamma_draws(draw_ids: DataFrame, ids: Sequence[int], alphas: Sequence[float]
     return _normalised(draw_ids.select(F.col("draw").cast("long")).mapInPandas(sample, schema), ids)
 
 
+def spread(base: DataFrame) -> DataFrame:
+    """Units over all shuffle partitions before each row is repeated per draw.
+
+    A few thousand units would otherwise be coalesced into one task, which would then make and
+    sort units x draws rows alone.
+    """
+    partitions = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return base.repartition(partitions, "unit_id")
+
+
 def sample_draws(draws: DataFrame, runs: int, seed: int) -> DataFrame:
     """A reproducible sample of draws without replacement."""
     return draws.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("draw").cast("string"))), "draw").limit(runs)
@@ -92,14 +102,17 @@ def rank_stability(ranked: DataFrame, top_n: int) -> DataFrame:
 
 def picks_by_draw(base: DataFrame, draws: DataFrame, ids: Sequence[int], budget: int, cap: int, floor: int,
                   objective: str = "gain_neutral") -> DataFrame:
-    """The optimum of every draw; an infeasible draw has no picks and so is not counted as a run."""
-    served = "least(catchment_norm, rural_population)"
-    by = {"gain_neutral": "catchment_norm", "gain_population": "1000000000"}
+    """The optimum of every draw; an infeasible draw has no picks and so is not counted as a run.
+
+    Kept because it is read twice; it has a budget of rows per draw.
+    """
+    by = {"gain_neutral": "catchment_norm", "gain_population": f"{E9}"}
     if objective not in by:
         raise ValueError(f"unknown objective: {objective}")
     need = need_by_vector(base, draws, ids, keep=["grp", "zone", "catchment_norm", "rural_population"])
-    gains = need.select("draw", "unit_id", "grp", "zone", mul_div("need_e9", served, by[objective]).alias("gain"))
-    return optimal(gains, budget, cap, floor, keys=["draw"])
+    gain = f"need_e9 * least(catchment_norm, rural_population) div {by[objective]}"
+    gains = need.selectExpr("draw", "unit_id", "grp", "zone", f"{gain} AS gain")
+    return optimal(gains, budget, cap, floor, keys=["draw"]).persist()
 
 
 def alloc_stability(base: DataFrame, picks: DataFrame) -> DataFrame:

@@ -46,9 +46,13 @@ def headline(picks: DataFrame, scored: DataFrame, budget: int) -> DataFrame:
 
 
 def compare(strategies: dict[str, DataFrame], zones: DataFrame, budget: int, cap: int, floor: int) -> DataFrame:
-    """One row per strategy: gain, spread, and the constraints it breaks. Each has few picks."""
+    """One row per strategy: gain, spread, and the constraints it breaks.
+
+    A strategy has at most a budget of picks; they are kept, because each measure reads them.
+    """
     rows = []
     for name, picks in strategies.items():
+        picks = picks.persist()
         fullest = picks.groupBy("grp").agg(F.count("*").alias("n")).agg(F.max("n").alias("max_in_one_group"))
         broken = al.check_feasible(picks, zones, budget, cap, floor)
         label = F.concat(F.col("rule"), F.lit(" "), F.col("subject"), F.lit(": "), F.col("found").cast("string"))

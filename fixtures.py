@@ -156,8 +156,10 @@ class Domain:
 
     @cached_property
     def default_score(self) -> DataFrame:
+        """Scores under the default scheme; the percentiles ride along for re-weighting."""
         one = {cfg.DEFAULT_SCHEME: cfg.SCHEMES[cfg.DEFAULT_SCHEME]}
-        need = ix.need_by_vector(self.wide, ix.weights_wide(cfg.weight_relation(self.spark, one), IDS), IDS)
+        vectors = ix.weights_wide(cfg.weight_relation(self.spark, one), IDS)
+        need = ix.need_by_vector(self.wide, vectors, IDS, keep=[f"p{i}" for i in IDS])
         return ix.district_score(need, self.scored_units).persist()
 
     @cached_property

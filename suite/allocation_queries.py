@@ -73,11 +73,13 @@ SCENARIOS = {
 
 
 def scenarios(d):
+    """All strategies; each has at most a budget of rows and is kept, since every report reads it again."""
     c = d.candidates
-    return {"naive_top": al.naive(c, BUDGET), "unconstrained_bound": al.bound(c, BUDGET),
+    found = {"naive_top": al.naive(c, BUDGET), "unconstrained_bound": al.bound(c, BUDGET),
             "greedy_feasible": al.greedy(c, BUDGET, CAP, FLOOR),
             "greedy_by_need": al.greedy(c, BUDGET, CAP, FLOOR, sort_by="need_e9"),
             "optimal": optimal(d)}
+    return {name: picks.persist() for name, picks in found.items()}
 
 
 def optimal(d):

@@ -82,8 +82,14 @@ _CONF = """SELECT o.unit_id, o.grp, o.zone, o.need_e9, c.times_allocated AS time
 
 
 def base(d):
-    columns = ["unit_name", "grp", "zone", "terrain", "catchment_norm", "rural_population", "population"]
-    return sp.snapshot_base(d.scored_units, d.wide, d.default_score, columns)
+    """Scored units with their percentiles: what every re-weighting starts from."""
+    return d.default_score.select("unit_id", "unit_name", "grp", "zone", "terrain", "catchment_norm",
+                                  "rural_population", *[f"p{i}" for i in IDS])
+
+
+def spread_base(d):
+    """The base as every draw reads it: kept, because a regime reads it three times."""
+    return sn.spread(base(d)).persist()
 
 
 def draws(d, kind, n=DRAWS):
@@ -94,8 +100,7 @@ def draws(d, kind, n=DRAWS):
 
 
 def sensitivity(d, n=DRAWS):
-    """Both regimes over one materialised base: each reads it three times."""
-    b = base(d).persist()
+    b = spread_base(d)
     parts = [sn.regime(k, b, draws(d, k, n), IDS, TOP_N, BUDGET, CAP, FLOOR, max_rows=d.n_units)
              for k in ("uniform", "centred")]
     return parts[0].unionByName(parts[1])
@@ -119,27 +124,27 @@ def _(d):
 
 @register("need_by_draw", sql("SELECT draw, unit_id, need_e9 FROM uni_need", **_SENS))
 def _(d):
-    return ix.need_by_vector(base(d), draws(d, "uniform"), IDS).select("draw", "unit_id", "need_e9")
+    return ix.need_by_vector(spread_base(d), draws(d, "uniform"), IDS).select("draw", "unit_id", "need_e9")
 
 
 @register("rank_by_draw", sql("SELECT draw, unit_id, rank FROM uni_rank", **_SENS))
 def _(d):
-    return sn.rank_by_draw(base(d), draws(d, "uniform"), IDS, d.n_units).select("draw", "unit_id", "rank")
+    return sn.rank_by_draw(spread_base(d), draws(d, "uniform"), IDS, d.n_units).select("draw", "unit_id", "rank")
 
 
 @register("need_band", sql("SELECT * FROM uni_band", **_SENS))
 def _(d):
-    return sn.need_band(base(d), draws(d, "uniform"), IDS)
+    return sn.need_band(spread_base(d), draws(d, "uniform"), IDS)
 
 
 @register("rank_stability", sql("SELECT * FROM uni_stab", **_SENS))
 def _(d):
-    return sn.rank_stability(sn.rank_by_draw(base(d), draws(d, "uniform"), IDS, d.n_units), TOP_N)
+    return sn.rank_stability(sn.rank_by_draw(spread_base(d), draws(d, "uniform"), IDS, d.n_units), TOP_N)
 
 
 @register("alloc_stability", sql("SELECT * FROM cen_alloc", **_SENS))
 def _(d):
-    b = base(d)
+    b = spread_base(d)
     return sn.alloc_stability(b, sn.picks_by_draw(b, draws(d, "centred"), IDS, BUDGET, CAP, FLOOR))
 
 
@@ -241,7 +246,7 @@ def _(d):
     FROM wi_opt o LEFT JOIN cen_alloc s USING (unit_id)""", **_WHATIF, **{k: v for k, v in _SENS.items() if k != "fx_base"}))
 def _(d):
     picks = wf.solve(rescored(d), _W_BUDGET, _W_CAP, _W_FLOOR, d.n_units).select("unit_id", "need_e9")
-    b = base(d)
+    b = spread_base(d)
     stored = sn.alloc_stability(b, sn.picks_by_draw(b, draws(d, "centred"), IDS, BUDGET, CAP, FLOOR))
     return wf.with_confidence(picks, stored.withColumn("regime", F.lit("centred")))
 
@@ -252,7 +257,8 @@ def _(d):
     f"p{i}" for i in IDS) + " FROM fx_base", **_BASE))
 def _(d):
     path = fresh_path(d.spark, "snapshot")
-    base(d).drop("population").write.mode("overwrite").parquet(path)
+    columns = ["unit_name", "grp", "zone", "terrain", "rural_population", "catchment_norm"]
+    sp.snapshot_base(d.scored_units, d.wide, d.default_score, columns).write.mode("overwrite").parquet(path)
     return d.spark.read.parquet(path)
 
 
