@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -38,9 +39,10 @@ def work_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    fresh = tempfile.mkdtemp(prefix="equisite-")
-    spark.conf.set(CHECKPOINT_KEY, fresh)
-    return fresh
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="equisite-")
+    return _LOCAL_ROOTS[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
