@@ -3,7 +3,7 @@
 Groups nest in zones, so the integer optimum needs no solver: keep the best ``cap`` units of each
 group (any subset of them satisfies every cap), force the best ``floor`` of each zone, fill up with
 the best of the rest. Every window filter sits next to its window, so tasks ship at most ``cap``
-rows per group and the last passes see ``groups x cap`` rows, however many units there are. The
+rows per group and the last pass sees ``zones x budget`` rows, however many units there are. The
 same plan runs per key (for example per weight draw) when ``keys`` is given.
 """
 
@@ -43,16 +43,21 @@ def _survivors(candidates: DataFrame, cap: int, budget: int, key: str, keys: Seq
             .filter(F.col("_g") <= min(cap, budget)).drop("_g"))
 
 
+def _in_zones(candidates: DataFrame, budget: int, cap: int, key: str, keys: Sequence[str]) -> DataFrame:
+    """Survivors with their place in the zone. A zone never gives more than the budget, and gives
+    its best, so places beyond the budget are dropped: what follows sees zones x budget rows."""
+    by_zone = Window.partitionBy(*keys, "zone")
+    return (_survivors(candidates, cap, budget, key, keys)
+            .withColumn("_z", F.row_number().over(by_zone.orderBy(*_best(key))))
+            .filter(F.col("_z") <= budget).withColumn("_in_zone", F.count("*").over(by_zone)))
+
+
 def _forced(candidates: DataFrame, budget: int, cap: int, floor: int, gain: str,
             keys: Sequence[str]) -> DataFrame:
     """Survivors with their zone place and the three feasibility conditions."""
-    by_zone = Window.partitionBy(*keys, "zone")
     whole = Window.partitionBy(*keys)
-    out = (_survivors(candidates, cap, budget, gain, keys)
-           .withColumn("_z", F.row_number().over(by_zone.orderBy(*_best(gain))))
-           .withColumn("_in_zone", F.count("*").over(by_zone)))
     forced = F.col("_z") <= floor
-    return (out.withColumn("_forced", forced)
+    return (_in_zones(candidates, budget, cap, gain, keys).withColumn("_forced", forced)
             .withColumn("feasible", (F.count("*").over(whole) >= budget)
                         & (F.count_if(forced).over(whole) <= budget)
                         & (F.min("_in_zone").over(whole) >= floor)))
@@ -69,7 +74,10 @@ def optimal(candidates: DataFrame, budget: int, cap: int, floor: int, gain: str
 
 def status(candidates: DataFrame, budget: int, cap: int, floor: int, gain: str = "gain",
            keys: Sequence[str] = ()) -> DataFrame:
-    """One row per problem: Optimal or Infeasible, with what binds."""
+    """One row per problem: Optimal or Infeasible, with what binds.
+
+    Usable units are counted up to the budget per zone; more than that cannot bind.
+    """
     ranked = _forced(candidates, budget, cap, floor, gain, keys)
     return ranked.groupBy(*keys).agg(
         F.when(F.coalesce(F.bool_and("feasible"), F.lit(False)), F.lit("Optimal"))
@@ -102,10 +110,9 @@ def greedy(candidates: DataFrame, budget: int, cap: int, floor: int, sort_by: st
     zone. The i-th added unit takes the place of the i-th freed one; swaps end when either side
     runs out.
     """
-    base = _survivors(candidates, cap, budget, sort_by, keys)
+    base = _in_zones(candidates, budget, cap, sort_by, keys)
     whole, by_zone = Window.partitionBy(*keys), Window.partitionBy(*keys, "zone")
     walked = (base.withColumn("_place", F.row_number().over(whole.orderBy(*_best(sort_by))))
-              .withColumn("_z", F.row_number().over(by_zone.orderBy(*_best(sort_by))))
               .withColumn("_picked", F.col("_place") <= budget)
               .withColumn("_have", F.count_if("_picked").over(by_zone)))
     spare = F.col("_picked") & (F.col("_z") > floor)

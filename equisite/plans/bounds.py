@@ -6,7 +6,7 @@ below its threshold. The check here is for derived relations, whose size it cann
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -31,3 +31,11 @@ def broadcast_if_small(df: DataFrame, sized_by: DataFrame | None = None,
 def fits_window(rows: int | None, limit: int = WINDOW_ROWS) -> bool:
     """True when every window group is proven to have at most ``limit`` rows."""
     return rows is not None and rows <= limit
+
+
+def spread_nulls(key: str, row_id: str) -> Column:
+    """Join key whose NULLs become distinct negative numbers, so that they do not share one task.
+
+    For left joins on non-negative whole-number keys: a missing key still matches nothing.
+    """
+    return F.coalesce(F.col(key), -F.pmod(F.xxhash64(row_id), F.lit(2 ** 62)) - 1)

@@ -9,7 +9,7 @@ from equisite.operators import sensitivity as sn
 from equisite.operators import snapshot as sp
 from equisite.operators import whatif as wf
 from equisite.plans import settings as cfg
-from equisite.plans.session import fresh_path
+from equisite.plans.session import fresh_path, materialise
 from equisite.sources import files
 from fixtures import IDS, domain
 from suite.allocation_queries import BUDGET, CAP, FLOOR, SCENARIOS, all_picks, greedy_ctes, optimal, optimal_ctes
@@ -200,7 +200,9 @@ def custom_weights(d):
 
 
 def rescored(d):
-    return wf.rescore(base(d), wf.renormalise(custom_weights(d)), IDS, "gain_population")
+    """Written first: the planner then knows how few the weights are."""
+    weights = materialise(wf.renormalise(custom_weights(d)), "weights")
+    return wf.rescore(base(d), weights, IDS, "gain_population").persist()
 
 
 @register("whatif_weights", sql("SELECT indicator_id, w_ppm FROM wi_w", **_WHATIF))

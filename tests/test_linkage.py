@@ -76,6 +76,7 @@ def test_many_chunks_give_the_same_best(spark, monkeypatch):
     units = [(1000 + i, "g", f"plaice {chr(97 + i % 26)}{chr(97 + i // 26)}tor") for i in range(0, 120, 3)]
     one = {k: r["match_code"] for k, r in matched(spark, units, parents).items()}
     monkeypatch.setattr(lk, "CHUNK_NAMES", 7)
+    monkeypatch.setattr(lk, "SALT_PROBES", 5)
     assert {k: r["match_code"] for k, r in matched(spark, units, parents).items()} == one
 
 
