@@ -51,3 +51,15 @@ def member_flag(df: DataFrame, members: DataFrame, key: str, out: str) -> DataFr
     """Whether each row's key occurs among the members."""
     known = members.select(key).distinct().withColumn(out, F.lit(True))
     return df.join(known, key, "left").withColumn(out, F.coalesce(out, F.lit(False)))
+
+
+def total_check(df: DataFrame, column: str, expected: int, tolerance_bp: int) -> DataFrame:
+    """A total against an external figure, within a tolerance in basis points."""
+    total = df.agg(F.coalesce(F.sum(column), F.lit(0)).alias("total")).withColumn("expected", F.lit(expected))
+    gap = F.abs(F.col("total") - F.col("expected")) * 10_000
+    return total.withColumn("within", gap <= F.col("expected") * tolerance_bp)
+
+
+def unstable_names(catalogue: DataFrame) -> DataFrame:
+    """Indicator numbers that were published under more than one name."""
+    return catalogue.filter(F.col("name_variants") > 1)

@@ -57,7 +57,7 @@ def weight_sums(weights: DataFrame, total_ppm: int = 1_000_000) -> DataFrame:
 
 def weight_cover(weights: DataFrame, indicators: DataFrame) -> DataFrame:
     """Every scheme names exactly the index indicators."""
-    wanted = weights.select("scheme").distinct().crossJoin(F.broadcast(indicators.select("indicator_id")))
+    wanted = weights.select("scheme").distinct().crossJoin(indicators.select("indicator_id"))
     missing = wanted.join(weights, ["scheme", "indicator_id"], "left_anti")
     extra = weights.join(indicators, "indicator_id", "left_anti").select("scheme", "indicator_id")
     out = missing.unionByName(extra)

@@ -17,7 +17,7 @@ from equisite.operators.ranking import rank_desc
 def renormalise(raw: DataFrame, total: int = 1_000_000) -> DataFrame:
     """Raw weights (scheme, indicator_id, raw) to parts per million; an all-zero vector stays zero."""
     sums = raw.groupBy("scheme").agg(F.coalesce(F.nullif(F.sum("raw"), F.lit(0)), F.lit(1)).alias("_s"))
-    return raw.join(F.broadcast(sums), "scheme").select(
+    return raw.join(sums, "scheme").select(
         "scheme", "indicator_id", div(F.col("raw") * total, F.col("_s")).alias("w_ppm"))
 
 

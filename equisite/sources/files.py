@@ -78,7 +78,7 @@ def write_manifest(entries: DataFrame, path: str) -> None:
 
 
 def file_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Name, size and sha256 of every file, one task per file."""
+    """Name, size and sha256 of every file (each below 2 GB, as one value), spread over tasks."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", True).load(path))
     return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"),

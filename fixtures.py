@@ -43,13 +43,13 @@ class Domain:
         """Group dimension: each group lies in exactly one zone."""
         region = self.table("region").select("r_regionkey", F.col("r_name").alias("zone"))
         return (self.table("nation")
-                .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+                .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
                 .select("n_nationkey", F.col("n_name").alias("grp"), "zone"))
 
     @cached_property
     def unit_dim(self) -> DataFrame:
         return (self.table("customer").select("c_custkey", "c_name", "c_nationkey")
-                .join(F.broadcast(self.groups), F.col("c_nationkey") == F.col("n_nationkey"))
+                .join(self.groups, F.col("c_nationkey") == F.col("n_nationkey"))
                 .select(F.col("c_custkey").alias("unit_id"), F.col("c_name").alias("unit_name"), "grp", "zone"))
 
     @cached_property
