@@ -55,9 +55,9 @@ def member_flag(df: DataFrame, members: DataFrame, key: str, out: str) -> DataFr
 
 def total_check(df: DataFrame, column: str, expected: int, tolerance_bp: int) -> DataFrame:
     """A total against an external figure, within a tolerance in basis points."""
-    total = df.agg(F.coalesce(F.sum(column), F.lit(0)).alias("total")).withColumn("expected", F.lit(expected))
-    gap = F.abs(F.col("total") - F.col("expected")) * 10_000
-    return total.withColumn("within", gap <= F.col("expected") * tolerance_bp)
+    total = df.agg(F.coalesce(F.sum(column), F.lit(0)).alias("total")).withColumn("expected", F.lit(expected).cast("long"))
+    wide = [F.col(c).cast("decimal(19,0)") for c in ("total", "expected")]
+    return total.withColumn("within", F.abs(wide[0] - wide[1]) * 10_000 <= wide[1] * tolerance_bp)
 
 
 def unstable_names(catalogue: DataFrame) -> DataFrame:
