@@ -20,15 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
     """``mapInArrow`` with column lists: ``make()`` runs once per task and returns the batch function.
 
     The batch function takes a dict of lists and returns a dict of lists; output types follow ``schema``.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
