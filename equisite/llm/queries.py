@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equisite.llm import line_dedup, mixing, packing, quality_rules
+from equisite.llm import fingerprints, line_dedup, mixing, packing, quality_rules
 from equisite.llm.base import table
 
 QUERIES: dict = {}
@@ -39,3 +39,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
