@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equisite.llm import chosen_path, fingerprints, line_dedup, mixing, packing, quality_rules
+from equisite.llm import chosen_path, fingerprints, language, line_dedup, mixing, packing, quality_rules
 from equisite.llm.base import table
 
 QUERIES: dict = {}
@@ -49,3 +49,8 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.join(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
