@@ -62,13 +62,11 @@ class WordIds:
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = PRE_TOKEN.findall(text.lower())
         known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
         if len(known) > CACHE_WORDS:
             known.clear()
-        new = [w for w in set(words) if w not in known]
+        new = list(set(words).difference(known))
+        if not new:
+            return b"".join(map(known.__getitem__, words))
         ids = np.array(self.whole.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         assert len(stops) == len(new), "a pre-token without an end mark"
