@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equisite.llm import chosen_path, fingerprints, language, line_dedup, mixing, packing, quality_classifier, quality_rules
+from equisite.llm import chosen_path, fingerprints, html_text, language, line_dedup, mixing, packing, quality_classifier, quality_rules
 from equisite.llm.base import table
 
 QUERIES: dict = {}
@@ -59,3 +59,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
