@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equisite.llm import chosen_path, fingerprints, html_text, language, line_dedup, mixing, packing, quality_classifier, quality_rules
+from equisite.llm import chosen_path, fingerprints, html_text, language, line_dedup, mixing, packing, private_data, quality_classifier, quality_rules
 from equisite.llm.base import table
 
 QUERIES: dict = {}
@@ -64,3 +64,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.find(table(spark, sf_dir, "documents"))
