@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from equisite.plans.bounds import broadcast_if_small
+
 K = 128
 WORDS = 5
 RANGE = 1024
@@ -87,16 +89,19 @@ def successor_ranges(docs: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame, k: int = K) -> DataFrame:
-    """doc_id, text, _fp and the next document's _next_text, _next_fp."""
+    """doc_id, text, _fp and the next document's _next_text, _next_fp.
+
+    The shuffle carries texts only. The heads of the ranges, one row for ``RANGE`` ids, are broadcast if a count shows
+    them to be few; otherwise they meet the documents in a shuffled join.
+    """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce("doc_id", F.lit(-1 << 62)).alias("_id"))
     own = rows.withColumn("_range", F.floor(F.col("_id") / RANGE)).withColumn("_ghost", F.lit(0))
-    heads = successor_ranges(docs)
+    heads = broadcast_if_small(successor_ranges(docs))
     ghosts = rows.join(heads, rows["_id"] == heads["_first"]).drop("_first").withColumn("_ghost", F.lit(1))
-    both = with_sketch(own.unionByName(ghosts), "text", "_fp", k)
     order = W.partitionBy("_range").orderBy("_ghost", "_id", "text")
-    return (both.withColumn("_next_text", F.lead("text").over(order)).withColumn("_next_fp", F.lead("_fp").over(order))
-            .filter("_ghost = 0"))
+    rows = own.unionByName(ghosts).withColumn("_next_text", F.lead("text").over(order)).filter("_ghost = 0")
+    return with_sketch(with_sketch(rows, "text", "_fp", k), "_next_text", "_next_fp", k)
 
 
 def as_text(sketch: Column) -> Column:
