@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
+import json
+import sys
 import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-def _base_letters() -> tuple[str, str]:
-    """Letters whose compatibility decomposition, without its marks, is one ASCII character."""
-    accented, plain = [], []
-    for code in range(0xA0, 0x10000):
-        parts = unicodedata.normalize("NFKD", chr(code))
-        base = "".join(c for c in parts if not unicodedata.combining(c))
-        if len(base) == 1 and base.isascii() and base != chr(code):
-            accented.append(chr(code))
-            plain.append(base)
-    return "".join(accented), "".join(plain)
+def _expansions() -> dict[str, str]:
+    """Characters whose compatibility decomposition, without marks, is plain ASCII text: ligatures, fractions, letters
+    beyond the basic plane and accented letters alike."""
+    out = {}
+    for code in range(0xA0, sys.maxunicode + 1):
+        parts = unicodedata.normalize("NFKD", chr(code)) if not 0xD800 <= code < 0xE000 else ""
+        base = "".join(" " if c == "\u2044" else c for c in parts if not unicodedata.combining(c))
+        if base and base.isascii():
+            out[chr(code)] = base
+    return out
 
 
-ACCENTED, PLAIN = _base_letters()
+EXPANSIONS = _expansions()
+ACCENTED, PLAIN = (list(x) for x in zip(*((c, e) for c, e in EXPANSIONS.items() if len(e) == 1)))
+ACCENTED, PLAIN = "".join(ACCENTED), "".join(PLAIN)
+LONGER = {c: e for c, e in EXPANSIONS.items() if len(e) > 1}
+
+
+def _spelled_out(s: Column) -> Column:
+    """Characters that stand for several letters, written as these; only texts that hold one are taken apart."""
+    table = F.from_json(F.lit(json.dumps(LONGER)), "map<string,string>")
+    marks = "[" + "".join(LONGER) + "]"
+    apart = F.array_join(F.transform(F.split(s, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.when(s.rlike(marks), apart).otherwise(s)
+
 
 # Words that carry no identity, and words that tell siblings apart.
 NOISE_WORDS = ("district", "dist", "zila", "zilla", "pargana", "division")
@@ -35,7 +49,7 @@ def normalise(name: Column | str, noise: Sequence[str] = NOISE_WORDS) -> Column:
     """Strip accents, lower, spell out ``&``, drop noise words and punctuation, collapse spaces."""
     s = F.col(name) if isinstance(name, str) else name
     # letters written with separate combining marks lose the marks first
-    s = F.regexp_replace(s, r"\p{M}+", "")
+    s = _spelled_out(F.regexp_replace(s, r"\p{M}+", ""))
     s = F.lower(F.translate(s, ACCENTED, PLAIN))
     s = F.replace(s, F.lit("&"), F.lit(" and "))
     s = F.translate(s, "-.", "  ")

@@ -2,7 +2,8 @@
 
 Groups nest in zones, so the integer optimum needs no solver: keep the best ``cap`` units of each
 group (any subset of them satisfies every cap), force the best ``floor`` of each zone, fill up with
-the best of the rest. Every window filter sits next to its window, so tasks ship at most ``cap``
+the best of the rest. Nesting and feasibility are decided by counts per group, taken from all candidates
+inside the same plan. Every window filter sits next to its window, so tasks ship at most ``cap``
 rows per group and the last pass sees ``zones x budget`` rows, however many units there are. The
 same plan runs per key (for example per weight draw) when ``keys`` is given.
 """
@@ -19,19 +20,6 @@ from equisite.functions.numbers import div
 from equisite.operators.ranking import top_n
 
 
-def non_nested_groups(candidates: DataFrame) -> DataFrame:
-    """Groups that lie in more than one zone."""
-    return (candidates.groupBy("grp").agg(F.min("zone").alias("zone_a"), F.max("zone").alias("zone_b"))
-            .filter(F.col("zone_a") != F.col("zone_b")))
-
-
-def require_nested(groups: DataFrame) -> None:
-    """Fail on a group that lies in two zones: the window solution is exact only when nested."""
-    bad = non_nested_groups(groups).head(1)
-    if bad:
-        raise ValueError(f"group {bad[0]['grp']} lies in zones {bad[0]['zone_a']} and {bad[0]['zone_b']}")
-
-
 def _best(key: str, *before) -> list:
     return [*before, F.col(key).desc(), F.col("unit_id")]
 
@@ -43,47 +31,69 @@ def _survivors(candidates: DataFrame, cap: int, budget: int, key: str, keys: Seq
             .filter(F.col("_g") <= min(cap, budget)).drop("_g"))
 
 
+def group_sizes(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Candidates per group and its zone; fails, while it runs, on a group that lies in two zones.
+
+    One partial aggregate over all candidates: of the size of the group dimension (times ``keys``).
+    """
+    nested = F.min("zone").eqNullSafe(F.max("zone"))
+    message = F.concat(F.lit("group "), F.coalesce(F.col("grp"), F.lit("null")), F.lit(" lies in zones "),
+                       F.min("zone"), F.lit(" and "), F.max("zone"))
+    return candidates.groupBy(*keys, "grp").agg(
+        F.when(nested, F.min("zone")).otherwise(F.raise_error(message)).alias("zone"), F.count("*").alias("_n"))
+
+
+def conditions(candidates: DataFrame, budget: int, cap: int, floor: int, keys: Sequence[str]) -> DataFrame:
+    """One row per problem, from counts alone: usable units, forced units, smallest zone, feasibility.
+
+    Zones are those of all candidates; a unit is usable if its group's cap leaves room for it.
+    """
+    usable = F.sum(F.least(F.col("_n"), F.lit(cap)))
+    zones = group_sizes(candidates, keys).groupBy(*keys, "zone").agg(usable.alias("_in_zone"))
+    forced = F.sum(F.least(F.col("_in_zone"), F.lit(floor)))
+    return zones.groupBy(*keys).agg(F.sum("_in_zone").alias("usable"), forced.alias("forced"),
+                                    F.min("_in_zone").alias("smallest_zone")).withColumn(
+        "feasible", (F.col("usable") >= budget) & (F.col("forced") <= budget) & (F.col("smallest_zone") >= floor))
+
+
 def _in_zones(candidates: DataFrame, budget: int, cap: int, key: str, keys: Sequence[str]) -> DataFrame:
     """Survivors with their place in the zone. A zone never gives more than the budget, and gives
     its best, so places beyond the budget are dropped: what follows sees zones x budget rows."""
     by_zone = Window.partitionBy(*keys, "zone")
     return (_survivors(candidates, cap, budget, key, keys)
             .withColumn("_z", F.row_number().over(by_zone.orderBy(*_best(key))))
-            .filter(F.col("_z") <= budget).withColumn("_in_zone", F.count("*").over(by_zone)))
+            .filter(F.col("_z") <= budget))
 
 
-def _forced(candidates: DataFrame, budget: int, cap: int, floor: int, gain: str,
-            keys: Sequence[str]) -> DataFrame:
-    """Survivors with their zone place and the three feasibility conditions."""
-    whole = Window.partitionBy(*keys)
-    forced = F.col("_z") <= floor
-    return (_in_zones(candidates, budget, cap, gain, keys).withColumn("_forced", forced)
-            .withColumn("feasible", (F.count("*").over(whole) >= budget)
-                        & (F.count_if(forced).over(whole) <= budget)
-                        & (F.min("_in_zone").over(whole) >= floor)))
+def _checked(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of feasible problems. ``facts`` has one row per problem; without keys it is a single row."""
+    own = [k for k in keys if k in facts.columns]
+    good = facts.filter("feasible").select(*own, "feasible")
+    joined = rows.join(good, own) if own else rows.crossJoin(F.broadcast(good))
+    return joined.drop("feasible")
 
 
 def optimal(candidates: DataFrame, budget: int, cap: int, floor: int, gain: str = "gain",
-            keys: Sequence[str] = ()) -> DataFrame:
-    """The exact optimum; no rows for an infeasible problem (see ``status``)."""
-    ranked = _forced(candidates, budget, cap, floor, gain, keys).filter("feasible")
-    w = Window.partitionBy(*keys).orderBy(*_best(gain, F.col("_forced").desc()))
-    return (ranked.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= budget)
-            .select(*candidates.columns))
+            keys: Sequence[str] = (), facts: DataFrame | None = None) -> DataFrame:
+    """The exact optimum; no rows for an infeasible problem (see ``status``), an error if groups do not nest.
 
+    ``facts`` are conditions already known: problems over the same candidates share one row of them.
+    """
+    facts = conditions(candidates, budget, cap, floor, keys) if facts is None else facts
+    ranked = _in_zones(candidates, budget, cap, gain, keys).withColumn("_forced", F.col("_z") <= floor)
+    w = Window.partitionBy(*keys).orderBy(*_best(gain, F.col("_forced").desc()))
+    best = ranked.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= budget)
+    return _checked(best, facts, keys).select(*candidates.columns)
 
-def status(candidates: DataFrame, budget: int, cap: int, floor: int, gain: str = "gain",
-           keys: Sequence[str] = ()) -> DataFrame:
-    """One row per problem: Optimal or Infeasible, with what binds.
 
-    Usable units are counted up to the budget per zone; more than that cannot bind.
-    """
-    ranked = _forced(candidates, budget, cap, floor, gain, keys)
-    return ranked.groupBy(*keys).agg(
-        F.when(F.coalesce(F.bool_and("feasible"), F.lit(False)), F.lit("Optimal"))
-        .otherwise(F.lit("Infeasible")).alias("status"),
-        F.count("*").alias("usable"), F.count_if("_forced").alias("forced"),
-        F.min("_in_zone").alias("smallest_zone"))
+def status(candidates: DataFrame, budget: int, cap: int, floor: int, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per problem: Optimal or Infeasible, the conditions that fail, and what they were measured on."""
+    reason = F.concat_ws(",", F.when(F.col("usable") < budget, F.lit("budget")), F.when(F.col("forced") > budget, F.lit("floors")),
+                         F.when(F.col("smallest_zone") < floor, F.lit("zone")))
+    good = F.coalesce("feasible", F.lit(False))
+    return conditions(candidates, budget, cap, floor, keys).select(
+        *keys, F.when(good, F.lit("Optimal")).otherwise(F.lit("Infeasible")).alias("status"),
+        F.when(F.col("usable").isNull(), F.lit("budget")).otherwise(reason).alias("reason"), "usable", "forced", "smallest_zone")
 
 
 def naive(candidates: DataFrame, budget: int) -> DataFrame:
@@ -110,7 +120,10 @@ def greedy(candidates: DataFrame, budget: int, cap: int, floor: int, sort_by: st
     zone. The i-th added unit takes the place of the i-th freed one; swaps end when either side
     runs out.
     """
+    # a join with the groups runs the nesting check without moving the survivors
+    nested = group_sizes(candidates, keys).groupBy(*keys).agg(F.count("zone").alias("_groups"))
     base = _in_zones(candidates, budget, cap, sort_by, keys)
+    base = (base.join(nested, list(keys)) if keys else base.crossJoin(F.broadcast(nested))).filter("_groups >= 0")
     whole, by_zone = Window.partitionBy(*keys), Window.partitionBy(*keys, "zone")
     walked = (base.withColumn("_place", F.row_number().over(whole.orderBy(*_best(sort_by))))
               .withColumn("_picked", F.col("_place") <= budget)

@@ -22,7 +22,10 @@ def _ring_edges(ring: Column) -> Column:
     def edge(i: Column) -> Column:
         a, b = F.element_at(ring, i), F.element_at(ring, i + 1)
         return F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2"))
-    return F.when(F.size(ring) > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.size(ring) - 1, F.lit(1))), edge))
+    # a ring without an edge has none; it does not take those of the other rings with it
+    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    edges = F.transform(F.sequence(F.lit(1), F.greatest(F.size(ring) - 1, F.lit(1))), edge)
+    return F.when(F.size(ring) > 1, edges).otherwise(none)
 
 
 def with_edges(shapes: DataFrame) -> DataFrame:
@@ -51,22 +54,30 @@ def _x_at(e: Column, y: Column) -> Column:
     return e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
 
 
-def interior_point(shapes: DataFrame) -> DataFrame:
-    """A point inside each shape: the middle of the widest inner stretch of the mid-height line.
+def _stretches(edges: Column, y: Column) -> Column:
+    """Inner stretches of the horizontal line at ``y``: (width, -left, middle, height)."""
+    xs = F.array_sort(F.transform(F.filter(edges, lambda e: _crosses(e, y)), lambda e: _x_at(e, y)))
+    starts = F.filter(xs, lambda x, i: i % 2 == 0)
+    ends = F.filter(xs, lambda x, i: i % 2 == 1)
+    return F.zip_with(starts, ends, lambda a, b: F.struct((b - a).alias("width"), (-a).alias("left"),
+                                                         ((a + b) / 2).alias("mid"), y.alias("height")))
 
-    Unlike a centroid it cannot fall outside a concave shape or into a hole.
-    """
-    boxed = with_edges(shapes).withColumn("py", (F.col("ymin") + F.col("ymax")) / 2)
-    xs = F.array_sort(F.transform(F.filter("edges", lambda e: _crosses(e, F.col("py"))), lambda e: _x_at(e, F.col("py"))))
-    boxed = boxed.withColumn("_xs", xs)
 
-    def stretch(i: Column) -> Column:
-        a, b = F.element_at("_xs", 2 * i - 1), F.element_at("_xs", 2 * i)
-        return F.struct((b - a).alias("width"), (-a).alias("left"), ((a + b) / 2).alias("mid"))
+def interior_point(shapes: DataFrame) -> DataFrame:
+    """A point inside each shape: the middle of the widest inner stretch of a level line.
 
-    pairs = F.sequence(F.lit(1), F.greatest((F.size("_xs") / 2).cast("int"), F.lit(1)))
-    best = F.when(F.size("_xs") >= 2, F.array_max(F.transform(pairs, stretch)))
-    return boxed.withColumn("px", best["mid"]).drop("_xs")
+    The line is that at mid height; where it meets nothing (parts apart from each other, flat shapes), all lines
+    midway between neighbouring vertex heights are tried. Unlike a centroid the point cannot fall outside a concave
+    shape or into a hole. Only a shape without area has none.
+    """
+    boxed = with_edges(shapes)
+    middle = _stretches(F.col("edges"), (F.col("ymin") + F.col("ymax")) / 2)
+    heights = F.array_sort(F.array_distinct(F.transform("edges", lambda e: e["y1"])))
+    between = F.zip_with(F.slice(heights, F.lit(1), F.greatest(F.size(heights) - 1, F.lit(0))),
+                         F.slice(heights, F.lit(2), F.greatest(F.size(heights) - 1, F.lit(0))), lambda a, b: (a + b) / 2)
+    any_line = F.flatten(F.transform(between, lambda y: _stretches(F.col("edges"), y)))
+    best = F.coalesce(F.array_max(middle), F.array_max(F.when(F.size(middle) == 0, any_line)))
+    return boxed.withColumn("_best", best).withColumn("px", F.col("_best.mid")).withColumn("py", F.col("_best.height")).drop("_best")
 
 
 def contains(edges: str, x: Column, y: Column) -> Column:
@@ -120,8 +131,8 @@ def name_crosswalk(shapes: DataFrame, units: DataFrame, qualifiers: Sequence[str
     blocks = units.select("grp").distinct().withColumn("parent_grp", F.col("grp"))
     matched = lk.with_tiers(lk.best_match(shapes, pool, blocks, id_col="shape_id", name="shape_name"),
                             accept, accept, qualifiers)
-    note = (F.when(F.col("grp").isNull(), F.lit("group unresolved"))
-            .when(F.col("parent_code").isNull(), F.lit("no units in this group")).otherwise(F.col("note")))
+    note = (F.when(F.col("grp").isNull(), F.lit("NO_GROUP"))
+            .when(F.col("parent_code").isNull(), F.lit("NO_UNITS")).otherwise(F.col("note")))
     rows = matched.select("shape_id", "shape_name", "geo_group", "grp", F.col("match_code").alias("unit_id"),
                           F.col("match_e4").alias("score_e4"), note.alias("note"))
     return lk.one_to_one(materialise(rows, "map-matches"))
@@ -149,11 +160,31 @@ def _snapped(ring: Column, tolerance: float) -> Column:
     return F.filter(grid, lambda v, i: (i == 0) | (v != F.try_element_at(grid, i)))
 
 
+def _grid_box(ring: Column) -> Column:
+    """The grid box around a snapped ring, at least one cell wide and high."""
+    def corner(x: Column, y: Column) -> Column:
+        return F.struct(x.alias("gx"), y.alias("gy"))
+    xs, ys = F.transform(ring, lambda v: v["gx"]), F.transform(ring, lambda v: v["gy"])
+    x0, y0 = F.array_min(xs), F.array_min(ys)
+    x1, y1 = F.greatest(F.array_max(xs), x0 + 1), F.greatest(F.array_max(ys), y0 + 1)
+    return F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1), corner(x0, y0))
+
+
+def _thinned_parts(tolerance: float) -> Column:
+    """Parts with snapped rings. A hole below four vertices is gone; an outer ring below four becomes the grid box
+    around it, so that no part and no shape vanishes."""
+    def part(rings: Column) -> Column:
+        snapped = F.transform(rings, lambda ring: _snapped(ring, tolerance))
+        solid = F.transform(snapped, lambda ring, i: F.when((i == 0) & (F.size(ring) < 4), _grid_box(ring)).otherwise(ring))
+        return F.filter(solid, lambda ring: F.size(ring) >= 4)
+    return F.transform("parts", part)
+
+
 def thin_rings(shapes: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Vertices snapped to a grid of the tolerance, repeats dropped; one row per kept vertex."""
-    return (shapes.select("shape_id", F.posexplode("parts").alias("part", "rings"))
+    """Vertices snapped to a grid of the tolerance, repeats and degenerate rings dropped; one row per kept vertex."""
+    return (shapes.select("shape_id", F.posexplode(_thinned_parts(tolerance)).alias("part", "rings"))
             .select("shape_id", "part", F.posexplode("rings").alias("ring", "points"))
-            .select("shape_id", "part", "ring", F.posexplode(_snapped(F.col("points"), tolerance)).alias("seq", "v"))
+            .select("shape_id", "part", "ring", F.posexplode("points").alias("seq", "v"))
             .select("shape_id", "part", "ring", "seq", "v.gx", "v.gy"))
 
 
@@ -161,8 +192,8 @@ def thinned(shapes: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Shapes with thinned ``parts``, for export."""
     def point(v: Column) -> Column:
         return F.array(v["gx"] * tolerance, v["gy"] * tolerance)
-    return shapes.withColumn("parts", F.transform("parts", lambda rings: F.transform(
-        rings, lambda ring: F.transform(_snapped(ring, tolerance), point))))
+    return shapes.withColumn("parts", F.transform(_thinned_parts(tolerance), lambda rings: F.transform(
+        rings, lambda ring: F.transform(ring, point))))
 
 
 def map_relation(units: DataFrame, xwalk: DataFrame, selected: DataFrame) -> DataFrame:

@@ -20,10 +20,9 @@ def indicator_score(facts: DataFrame, indicators: DataFrame, top: int = 10_000)
             .withColumn("need_bp", toward_need("value_bp", "higher_is_worse", top)))
 
 
-def indicator_percentile(score: DataFrame, max_rows: int | None = None) -> DataFrame:
+def indicator_percentile(score: DataFrame) -> DataFrame:
     """Percentile of each unit within each indicator's distribution (``percent_rank``)."""
-    return percent_rank_e9(score, ["indicator_id"], "need_bp", "pct_e9",
-                           max_rows=max_rows, distinct_bound=True)
+    return percent_rank_e9(score, ["indicator_id"], "need_bp", "pct_e9")
 
 
 def percentile_wide(pct: DataFrame, ids: Sequence[int]) -> DataFrame:
@@ -92,15 +91,14 @@ def choose_objective(score: DataFrame, objective: str) -> DataFrame:
     return score.withColumn("gain", F.col(objective))
 
 
-def peer_benchmark(score: DataFrame, groups: DataFrame | None = None,
-                   max_rows: int | None = None) -> DataFrame:
+def peer_benchmark(score: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Overall and group rank, group size, group and zone mean, gap to the group mean.
 
     Means come from pre-aggregated group totals joined back (bounded by the group dimension), so
     no window gathers a whole group.
     """
-    ranked = rank_desc(score, ["scheme"], "need_e9", "national_rank", max_rows)
-    ranked = rank_desc(ranked, ["scheme", "grp"], "need_e9", "group_rank", max_rows)
+    ranked = rank_desc(score, ["scheme"], "need_e9", "national_rank")
+    ranked = rank_desc(ranked, ["scheme", "grp"], "need_e9", "group_rank")
     by_group = score.groupBy("scheme", "grp").agg(
         F.count("*").alias("units_in_group"), div(F.sum("need_e9"), F.count("*")).alias("group_mean_e9"))
     by_zone = score.groupBy("scheme", "zone").agg(
@@ -130,9 +128,9 @@ def scheme_distribution(score: DataFrame) -> DataFrame:
         F.round(F.stddev_samp(need / float(E9)), 6).alias("sd"))
 
 
-def scheme_overlap(score: DataFrame, top: int = 25, max_rows: int | None = None) -> DataFrame:
+def scheme_overlap(score: DataFrame, top: int = 25) -> DataFrame:
     """Shared units among the top ranks of each pair of schemes (ties at the edge included)."""
-    ranked = rank_desc(score, ["scheme"], "need_e9", "rk", max_rows)
+    ranked = rank_desc(score, ["scheme"], "need_e9", "rk")
     heads = ranked.filter(F.col("rk") <= top).select("scheme", "unit_id")
     a, b = heads.alias("a"), heads.alias("b")
     shared = (a.join(b, (F.col("a.unit_id") == F.col("b.unit_id")) & (F.col("a.scheme") < F.col("b.scheme")))

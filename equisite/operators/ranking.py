@@ -3,7 +3,7 @@
 ``rank`` and ``percent_rank`` only need, for each distinct value, how many rows lie below it. The
 counts are aggregated first (map-side, so a hot value costs one row per task), summed up over the
 distinct values, and joined back. ``row_number`` additionally breaks ties by a whole-number id.
-Where a bound proves that every group fits one task, the plain window is used instead.
+There is one way for data of any size.
 """
 
 from __future__ import annotations
@@ -15,22 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from equisite.functions.numbers import E9, mul_div
-from equisite.plans.bounds import fits_window
+from equisite.plans.bounds import BROADCAST_ROWS
 
+RANGE = 1_000_000
+"""Values, or ids, of a range that one window runs over."""
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: int | None = None) -> DataFrame:
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: int = RANGE) -> DataFrame:
     """One row per (keys, value): ``n`` rows, ``below`` rows with a smaller value, ``total`` rows.
 
-    With ``width`` the running sum is split over value ranges of that size: a range holds at most
-    ``width`` distinct whole numbers, however many rows share them.
+    The running sum is split over value ranges of size ``width``: a range holds at most ``width`` distinct whole
+    numbers, however many rows share them.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    if width is None:
-        upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return (counts.withColumn("below", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-                .withColumn("total", F.sum("n").over(Window.partitionBy(*keys))))
-    counts = counts.withColumn("_range", F.floor(F.col(value) / width))
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("n")).withColumn("_range", F.floor(F.col(value) / width))
     ranges = counts.groupBy(*keys, "_range").agg(F.sum("n").alias("_n"))
     over_ranges = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(*keys, "_range",
@@ -43,50 +41,51 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: int | No
             .select(*keys, value, "n", (F.col("_before") + F.col("_inside")).alias("below"), "total"))
 
 
-def rank_desc(df: DataFrame, keys: Sequence[str], value: str, out: str,
-              max_rows: int | None = None, width: int = 1_000_000) -> DataFrame:
-    """``rank()`` with gaps, highest value first."""
-    if fits_window(max_rows):
-        w = Window.partitionBy(*keys).orderBy(F.col(value).desc())
-        return df.withColumn(out, F.rank().over(w).cast("long"))
+def _cells(df: DataFrame, keys: Sequence[str], value: str, tie_id: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their id range, and one row per (keys, value, id range) with the rows in it.
+
+    Joins back to the rows go through these cells: a value shared by a third of all rows meets its rank in as many
+    tasks as it has id ranges.
+    """
+    rows = df.withColumn("_ids", F.floor(F.col(tie_id) / width))
+    return rows, rows.groupBy(*keys, value, "_ids").agg(F.count("*").alias("_cell"))
+
+
+def rank_desc(df: DataFrame, keys: Sequence[str], value: str, out: str, tie_id: str = "unit_id",
+              width: int = RANGE) -> DataFrame:
+    """``rank()`` with gaps, highest value first; ``tie_id`` is any whole number that tells rows apart."""
+    rows, cells = _cells(df, keys, value, tie_id, width)
     table = value_counts(df, keys, value, width).select(
         *keys, value, (F.col("total") - F.col("below") - F.col("n") + 1).alias(out))
-    return df.join(table, [*keys, value])
+    placed = cells.drop("_cell").join(table, [*keys, value])
+    return rows.join(placed, [*keys, value, "_ids"]).drop("_ids").select(*df.columns, out)
 
 
-def percent_rank_e9(df: DataFrame, keys: Sequence[str], value: str, out: str,
-                    max_rows: int | None = None, distinct_bound: bool = False,
-                    width: int | None = None) -> DataFrame:
+def percent_rank_e9(df: DataFrame, keys: Sequence[str], value: str, out: str, tie_id: str = "unit_id",
+                    width: int = RANGE) -> DataFrame:
     """``percent_rank()`` as a whole number: least gets 0, most gets 10**9.
 
-    ``distinct_bound`` states that the value's domain is closed and small (basis points, or
-    percentages with two decimals: at most 10,001 values per key), so the table of distinct
-    values may be broadcast and the rows stay where they are.
+    The table of distinct values is broadcast when a count shows it to be small (scores in basis points have at most
+    10,001 values), so the rows stay where they are; otherwise rows meet it through cells.
     """
-    if fits_window(max_rows):
-        w = Window.partitionBy(*keys)
-        less = F.rank().over(w.orderBy(value)).cast("long") - 1
-        return df.withColumn(out, mul_div(less, F.lit(E9), F.greatest(F.count("*").over(w) - 1, F.lit(1))))
     table = value_counts(df, keys, value, width).select(
         *keys, value, mul_div("below", F.lit(E9), F.greatest(F.col("total") - 1, F.lit(1))).alias(out))
-    return df.join(F.broadcast(table) if distinct_bound else table, [*keys, value])
+    distinct = df.select(*keys, value).distinct()
+    if distinct.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(table), [*keys, value]).select(*df.columns, out)
+    rows, cells = _cells(df, keys, value, tie_id, width)
+    placed = cells.drop("_cell").join(table, [*keys, value])
+    return rows.join(placed, [*keys, value, "_ids"]).drop("_ids").select(*df.columns, out)
 
 
-def order_rank(df: DataFrame, keys: Sequence[str], value: str, tie_id: str, out: str,
-               max_rows: int | None = None, width: int = 1_000_000) -> DataFrame:
+def order_rank(df: DataFrame, keys: Sequence[str], value: str, tie_id: str, out: str, width: int = RANGE) -> DataFrame:
     """``row_number()``, highest value first, ties by ascending whole-number id.
 
-    Beyond the window bound: rows are counted per (keys, value, id range); a row's place is the
-    rows with a higher value, plus the rows of its value in lower id ranges, plus its place inside
-    its id range, which holds at most ``width`` ids. A value shared by a third of all rows is thus
-    spread over as many tasks as it has id ranges.
+    A row's place is the rows with a higher value, plus the rows of its value in lower id ranges, plus its place
+    inside its id range, which holds at most ``width`` ids.
     """
     keys = list(keys)
-    if fits_window(max_rows):
-        w = Window.partitionBy(*keys).orderBy(F.col(value).desc(), F.col(tie_id))
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
-    df = df.withColumn("_ids", F.floor(F.col(tie_id) / width))
-    cells = df.groupBy(*keys, value, "_ids").agg(F.count("*").alias("_cell"))
+    rows, cells = _cells(df, keys, value, tie_id, width)
     higher = value_counts(df, keys, value, width).select(
         *keys, value, (F.col("total") - F.col("below") - F.col("n")).alias("_higher"))
     lower = (Window.partitionBy(*keys, value).orderBy("_ids")
@@ -95,9 +94,9 @@ def order_rank(df: DataFrame, keys: Sequence[str], value: str, tie_id: str, out:
             .join(higher, [*keys, value])
             .select(*keys, value, "_ids", (F.col("_higher") + F.col("_lower")).alias("_base")))
     inside = Window.partitionBy(*keys, value, "_ids").orderBy(tie_id)
-    return (df.join(base, [*keys, value, "_ids"])
+    return (rows.join(base, [*keys, value, "_ids"])
             .withColumn(out, (F.col("_base") + F.row_number().over(inside)).cast("long"))
-            .drop("_ids", "_base"))
+            .select(*df.columns, out))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], *order) -> DataFrame:
@@ -124,7 +123,3 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], value: str, k: int, tie_
     """The k best rows per group; the filter next to the window limits groups before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(F.col(value).desc(), F.col(tie_id))
     return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= k)
-
-
-def group_stats(df: DataFrame, keys: Sequence[str], **aggregates) -> DataFrame:
-    return df.groupBy(*keys).agg(*[c.alias(name) for name, c in aggregates.items()])

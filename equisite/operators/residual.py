@@ -37,7 +37,7 @@ def model_frame(target: DataFrame, features: DataFrame, names: Sequence[str], ke
     return target.join(features, key).dropna(subset=list(names))
 
 
-def assign_folds(frame: DataFrame, seed: int, folds: int = FOLDS, max_rows: int | None = None) -> DataFrame:
+def assign_folds(frame: DataFrame, seed: int, folds: int = FOLDS) -> DataFrame:
     """Shuffled folds of equal size (within one), a pure function of (seed, unit_id).
 
     The shuffle order is a hash; its exact rank is taken by value ranges, so no task sorts all rows.
@@ -45,7 +45,7 @@ def assign_folds(frame: DataFrame, seed: int, folds: int = FOLDS, max_rows: int
     hashed = frame.withColumn("_h", F.expr(
         f"cast(conv(substring(md5(concat_ws('|', '{seed}', cast(unit_id as string))), 1, 13), 16, 10) as bigint)"))
     ranked = order_rank(hashed.withColumn("_all", F.lit(0)), ["_all"], "_h", "unit_id", "_place",
-                        max_rows, width=2 ** 32)
+                        width=2 ** 32)
     return (ranked.withColumn("fold", ((F.col("_place") - 1) % folds).cast("int"))
             .drop("_h", "_all", "_place"))
 

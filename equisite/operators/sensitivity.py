@@ -1,22 +1,21 @@
 """How far the ranking and the allocation survive sampled weights.
 
 Units stay wide (one row, one column per indicator) and the weight draws are a small broadcast
-relation, so a unit meets every draw inside its task. Ranks are taken per draw, and every draw's
-allocation problem is solved in one plan by the window form of the optimum.
+relation, so a unit meets every draw inside its task. Units x draws are shuffled once, by draw: ranks and every
+draw's allocation are windows over that one distribution.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equisite.functions.classify import stability
 from equisite.functions.numbers import E9, div
-from equisite.operators.allocation import optimal
+from equisite.operators.allocation import conditions
 from equisite.operators.index import need_by_vector
-from equisite.operators.ranking import order_rank
 
 PPM = 1_000_000
 
@@ -77,63 +76,82 @@ def sample_draws(draws: DataFrame, runs: int, seed: int) -> DataFrame:
     return draws.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("draw").cast("string"))), "draw").limit(runs)
 
 
-def rank_by_draw(base: DataFrame, draws: DataFrame, ids: Sequence[int], max_rows: int | None = None) -> DataFrame:
-    """Unique 1-based rank per draw; rank 1 is the highest need, ties in unit order."""
-    need = need_by_vector(base, draws, ids).select("draw", "unit_id", "need_e9")
-    return order_rank(need, ["draw"], "need_e9", "unit_id", "rank", max_rows)
+def solved_by_draw(base: DataFrame, draws: DataFrame, ids: Sequence[int], budget: int, cap: int, floor: int,
+                   objective: str = "gain_neutral") -> DataFrame:
+    """Every unit under every draw: need, rank (1 is the highest need, ties in unit order) and whether it is picked.
+
+    Units x draws are dealt once, by draw; rank and picks are windows over that one shuffle. Whether the problem is
+    feasible depends on the candidates alone, so it is decided once. Nothing of this size leaves the plan: callers
+    aggregate it.
+    """
+    by = {"gain_neutral": "catchment_norm", "gain_population": f"{E9}"}
+    if objective not in by:
+        raise ValueError(f"unknown objective: {objective}")
+    need = need_by_vector(spread(base), draws, ids, keep=["grp", "zone", "catchment_norm", "rural_population"])
+    gain = f"need_e9 * least(catchment_norm, rural_population) div {by[objective]}"
+    dealt = need.selectExpr("draw", "unit_id", "grp", "zone", "need_e9", f"{gain} AS gain").repartition("draw")
+    feasible = conditions(base, budget, cap, floor, ()).select("feasible")
+    best = [F.col("gain").desc(), "unit_id"]
+
+    def number(keys: Sequence[str], *order) -> Column:
+        return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+
+    ranked = (dealt.withColumn("rank", number(["draw"], F.col("need_e9").desc(), "unit_id").cast("long"))
+              .withColumn("_g", number(["draw", "grp"], *best))
+              .withColumn("_z", number(["draw", "zone"], F.col("_g") > cap, *best))
+              .withColumn("_out", (F.col("_g") > cap) | (F.col("_z") > budget))
+              .withColumn("_k", number(["draw"], "_out", F.col("_z") > floor, *best)))
+    feasible_row = feasible.select(F.coalesce("feasible", F.lit(False)).alias("feasible"))
+    return ranked.crossJoin(F.broadcast(feasible_row)).select(
+        "draw", "unit_id", "need_e9", "gain", "rank", "feasible",
+        (F.col("feasible") & ~F.col("_out") & (F.col("_k") <= budget)).alias("picked"))
+
+
+def per_draw(solved: DataFrame, top_n: int) -> DataFrame:
+    """One row per draw: extremes and mean of need, total gain of the picks, id sums of the picks and of the top."""
+    return solved.groupBy("draw").agg(
+        F.count("*").alias("units"), F.min("need_e9").alias("least_need_e9"), F.max("need_e9").alias("most_need_e9"),
+        div(F.sum("need_e9"), F.count("*")).alias("mean_need_e9"), F.count_if("picked").alias("picks"),
+        F.sum(F.when(F.col("picked"), F.col("gain")).otherwise(0)).alias("gain"),
+        F.sum(F.when(F.col("picked"), F.col("unit_id")).otherwise(0)).alias("picked_ids"),
+        F.sum(F.when(F.col("rank") <= top_n, F.col("unit_id") * F.col("rank")).otherwise(0)).alias("top_ids"))
 
 
 def need_band(base: DataFrame, draws: DataFrame, ids: Sequence[int]) -> DataFrame:
-    """Mean and the 5 % and 95 % quantiles of a unit's need; collapses inside the task that made it."""
+    """Mean and the 5 % and 95 % quantiles of a unit's need; collapses inside the task that made it.
+
+    Quantiles are interpolated, so they are kept to six places: the ninth would hang on float rounding.
+    """
     need = need_by_vector(base, draws, ids)
     band = F.percentile("need_e9", F.array(F.lit(0.05), F.lit(0.95)))
     return (need.groupBy("unit_id").agg(F.count("*").alias("draws"),
                                         div(F.sum("need_e9"), F.count("*")).alias("mean_need_e9"), band.alias("_q"))
-            .select("unit_id", "draws", "mean_need_e9", F.round(F.col("_q")[0]).cast("long").alias("p05_need_e9"),
-                    F.round(F.col("_q")[1]).cast("long").alias("p95_need_e9")))
+            .select("unit_id", "draws", "mean_need_e9", F.round(F.col("_q")[0] / 1000).cast("long").alias("p05_need_e6"),
+                    F.round(F.col("_q")[1] / 1000).cast("long").alias("p95_need_e6")))
 
 
-def rank_stability(ranked: DataFrame, top_n: int) -> DataFrame:
-    return ranked.groupBy("unit_id").agg(
+def stability_of(solved: DataFrame, top_n: int) -> DataFrame:
+    """One row per unit: its ranks over all draws, the solved draws (``runs``) and those that pick it."""
+    return solved.groupBy("unit_id").agg(
         F.count_if(F.col("rank") <= top_n).alias("times_in_top_n"),
         div(F.sum("rank") * 100, F.count("*")).alias("mean_rank_centi"),
-        F.min("rank").alias("best_rank"), F.max("rank").alias("worst_rank"))
-
-
-def picks_by_draw(base: DataFrame, draws: DataFrame, ids: Sequence[int], budget: int, cap: int, floor: int,
-                  objective: str = "gain_neutral") -> DataFrame:
-    """The optimum of every draw; an infeasible draw has no picks and so is not counted as a run.
-
-    Kept because it is read twice; it has a budget of rows per draw.
-    """
-    by = {"gain_neutral": "catchment_norm", "gain_population": f"{E9}"}
-    if objective not in by:
-        raise ValueError(f"unknown objective: {objective}")
-    need = need_by_vector(base, draws, ids, keep=["grp", "zone", "catchment_norm", "rural_population"])
-    gain = f"need_e9 * least(catchment_norm, rural_population) div {by[objective]}"
-    gains = need.selectExpr("draw", "unit_id", "grp", "zone", f"{gain} AS gain")
-    return optimal(gains, budget, cap, floor, keys=["draw"]).persist()
+        F.min("rank").alias("best_rank"), F.max("rank").alias("worst_rank"),
+        F.count_if("picked").alias("times_allocated"), F.count_if("feasible").alias("runs"))
 
 
-def alloc_stability(base: DataFrame, picks: DataFrame) -> DataFrame:
-    """Share of solved draws that select each unit, and its class."""
-    times = picks.groupBy("unit_id").agg(F.count("*").alias("times_allocated"))
-    runs = picks.select("draw").distinct().agg(F.count("*").alias("runs"))
-    joined = base.select("unit_id").join(times, "unit_id", "left").crossJoin(F.broadcast(runs))
-    t = F.coalesce("times_allocated", F.lit(0))
-    return joined.select("unit_id", "runs", t.alias("times_allocated"),
-                         stability(t, F.col("runs")).alias("classification"))
+def with_class(units: DataFrame) -> DataFrame:
+    """Class of every unit by the share of draws that pick it."""
+    return units.withColumn("classification", stability(F.col("times_allocated"), F.col("runs")))
 
 
 def regime(name: str, base: DataFrame, draws: DataFrame, ids: Sequence[int], top_n: int, budget: int, cap: int,
-           floor: int, objective: str = "gain_neutral", runs: int | None = None, seed: int = 42,
-           max_rows: int | None = None) -> DataFrame:
+           floor: int, objective: str = "gain_neutral", runs: int | None = None, seed: int = 42) -> DataFrame:
     """One regime's full table. ``runs`` limits the re-solved draws; by default all are solved."""
-    solved = draws if runs is None else sample_draws(draws, runs, seed)
-    picks = picks_by_draw(base, solved, ids, budget, cap, floor, objective)
-    return (need_band(base, draws, ids)
-            .join(rank_stability(rank_by_draw(base, draws, ids, max_rows), top_n), "unit_id")
-            .join(alloc_stability(base, picks), "unit_id")
+    units = stability_of(solved_by_draw(base, draws, ids, budget, cap, floor, objective), top_n)
+    if runs is not None:
+        few = stability_of(solved_by_draw(base, sample_draws(draws, runs, seed), ids, budget, cap, floor, objective), top_n)
+        units = units.drop("times_allocated", "runs").join(few.select("unit_id", "times_allocated", "runs"), "unit_id")
+    return (need_band(spread(base), draws, ids).join(with_class(units), "unit_id")
             .withColumn("regime", F.lit(name)))
 
 

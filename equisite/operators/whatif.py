@@ -28,12 +28,19 @@ def rescore(base: DataFrame, weights: DataFrame, ids: Sequence[int], objective:
     return choose_objective(with_gains(need), objective)
 
 
-def solve(scored: DataFrame, budget: int, cap: int, floor: int, max_rows: int | None = None) -> DataFrame:
+def solve(scored: DataFrame, budget: int, cap: int, floor: int) -> DataFrame:
     """The optimal picks with their overall rank."""
-    ranked = rank_desc(scored, ["scheme"], "need_e9", "national_rank", max_rows)
+    ranked = rank_desc(scored, ["scheme"], "need_e9", "national_rank")
     return al.optimal(ranked, budget, cap, floor)
 
 
+def solve_status(scored: DataFrame, budget: int, cap: int, floor: int) -> DataFrame:
+    """Why a setting has no picks: status and reason beside what was asked for."""
+    return al.status(scored, budget, cap, floor).select(
+        "status", "reason", F.lit(budget).cast("long").alias("budget"), F.lit(cap).cast("long").alias("cap"),
+        F.lit(floor).cast("long").alias("floor_"), "usable", "forced", "smallest_zone")
+
+
 def headline(picks: DataFrame, scored: DataFrame, budget: int) -> DataFrame:
     """Facilities, groups, zones, non-plains picks, and the gain against the unconstrained list."""
     naive = al.naive(scored, budget).agg(F.sum("gain").alias("naive_gain"))

@@ -1,4 +1,4 @@
-"""Size bounds: what may be broadcast and what may be sorted in one task.
+"""Size bounds: what may be broadcast.
 
 Literal and file-backed relations need no hint: the planner knows their size and broadcasts them
 below its threshold. The check here is for derived relations, whose size it cannot know.
@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 """Rows a broadcast side may have; rows here are narrow (keys and a few numbers)."""
 
-WINDOW_ROWS = 2_000_000
-"""Rows one window group may have before ranking is split over tasks."""
-
 
 def broadcast_if_small(df: DataFrame, sized_by: DataFrame | None = None,
                        limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -28,11 +25,6 @@ def broadcast_if_small(df: DataFrame, sized_by: DataFrame | None = None,
     return F.broadcast(df) if probe.limit(limit + 1).count() <= limit else df
 
 
-def fits_window(rows: int | None, limit: int = WINDOW_ROWS) -> bool:
-    """True when every window group is proven to have at most ``limit`` rows."""
-    return rows is not None and rows <= limit
-
-
 def spread_nulls(key: str, row_id: str) -> Column:
     """Join key whose NULLs become distinct negative numbers, so that they do not share one task.
 

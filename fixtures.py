@@ -33,11 +33,6 @@ class Domain:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    @cached_property
-    def n_units(self) -> int:
-        """Bounds every per-unit relation; answered from parquet footers."""
-        return self.table("customer").count()
-
     @cached_property
     def groups(self) -> DataFrame:
         """Group dimension: each group lies in exactly one zone."""
@@ -134,7 +129,7 @@ class Domain:
 
     @cached_property
     def percentile(self) -> DataFrame:
-        return ix.indicator_percentile(self.score_long, max_rows=self.n_units)
+        return ix.indicator_percentile(self.score_long)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -354,4 +349,4 @@ class Residual:
     def folded(self) -> DataFrame:
         """Read by every fit, so kept."""
         from equisite.operators.residual import assign_folds
-        return assign_folds(self.frame, cfg.SEED, max_rows=self.d.n_units).persist()
+        return assign_folds(self.frame, cfg.SEED).persist()

@@ -28,7 +28,7 @@ def optimal_ctes(tag, source, gain="gain", budget=BUDGET, cap=CAP, floor=FLOOR,
         f"{tag}_1": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {p}grp ORDER BY {gain} DESC, unit_id) AS g
             FROM {source}) WHERE g <= {cap}""",
         f"{tag}_2": f"""SELECT *, row_number() OVER (PARTITION BY {p}zone ORDER BY {gain} DESC, unit_id) AS z,
-            least(count(*) OVER (PARTITION BY {p}zone), {budget}) AS in_zone FROM {tag}_1""",
+            count(*) OVER (PARTITION BY {p}zone) AS in_zone FROM {tag}_1""",
         f"{tag}_3": f"""SELECT *, row_number() OVER ({by} ORDER BY z <= {floor} DESC, {gain} DESC, unit_id) AS k,
             (count(*) OVER ({by}) >= {budget} AND sum(CASE WHEN z <= {floor} THEN 1 ELSE 0 END) OVER ({by}) <= {budget}
              AND min(in_zone) OVER ({by}) >= {floor}) AS feasible FROM {tag}_2""",
@@ -83,7 +83,6 @@ def scenarios(d):
 
 
 def optimal(d):
-    al.require_nested(d.groups)
     return al.optimal(d.candidates, BUDGET, CAP, FLOOR)
 
 
@@ -98,9 +97,9 @@ def _(d):
 
 @register("alloc_status", sql(f"""SELECT cap, floor_, status, usable, forced, smallest_zone FROM (
     SELECT {CAP}::BIGINT AS cap, {FLOOR}::BIGINT AS floor_, CASE WHEN bool_and(feasible) THEN 'Optimal' ELSE 'Infeasible' END AS status,
-      count(*) FILTER (WHERE z <= {BUDGET}) AS usable, count(*) FILTER (WHERE z <= {FLOOR}) AS forced, min(in_zone) AS smallest_zone FROM opt_3 UNION ALL
+      count(*) AS usable, count(*) FILTER (WHERE z <= {FLOOR}) AS forced, min(in_zone) AS smallest_zone FROM opt_3 UNION ALL
     SELECT 1, 6, CASE WHEN bool_and(feasible) THEN 'Optimal' ELSE 'Infeasible' END,
-      count(*) FILTER (WHERE z <= {BUDGET}), count(*) FILTER (WHERE z <= 6), min(in_zone) FROM bad_3)""",
+      count(*), count(*) FILTER (WHERE z <= 6), min(in_zone) FROM bad_3)""",
     **SCENARIOS, **optimal_ctes("bad", "fx_cand", cap=1, floor=6)))
 def _(d):
     parts = [al.status(d.candidates, BUDGET, cap, floor).select(
@@ -144,15 +143,13 @@ _FEASIBILITY = " UNION ALL ".join(f"""
     SELECT '{name}', 'cap', grp, count(*), {CAP} FROM {tag} GROUP BY grp HAVING count(*) > {CAP} UNION ALL
     SELECT '{name}', 'floor', z.zone, count(t.unit_id), {FLOOR} FROM (SELECT DISTINCT zone FROM fx_cand) z
       LEFT JOIN {tag} t ON t.zone = z.zone GROUP BY z.zone HAVING count(t.unit_id) < {FLOOR}"""
-    for name, tag in (("naive_top", "nai"), ("unconstrained_bound", "bnd"), ("greedy_by_need", "grn"), ("optimal", "opt")))
+    for name, tag in (("naive_top", "nai"), ("unconstrained_bound", "bnd"), ("greedy_feasible", "gre"), ("greedy_by_need", "grn"), ("optimal", "opt")))
 
 
 @register("feasibility", sql(_FEASIBILITY, **SCENARIOS))
 def _(d):
     out = None
     for name, df in scenarios(d).items():
-        if name == "greedy_feasible":
-            continue
         part = al.check_feasible(df, d.candidates, BUDGET, CAP, FLOOR).withColumn("scenario", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out

@@ -75,7 +75,6 @@ _CROSSWALK = {
     "gx_cand": f"""SELECT s.*, parent_code, parent_name, {pre.normalised('parent_name')} AS parent_norm, {pre.sorted_tokens(pre.normalised('parent_name'))} AS b
         FROM sg s JOIN nm_parent ON parent_grp = s.grp""",
 }
-_SHOWN = "CAST(CAST(round_even(score_e4 / 10000.0, 0) AS BIGINT) AS VARCHAR)"
 _QL, _QR = pre.qualifiers("norm", ADJECTIVES), pre.qualifiers("parent_norm", ADJECTIVES)
 _SIM = pre.similarity_ctes("all_pairs")
 # the pair list needs the group map, which needs scores of the group pairs: scored in two rounds
@@ -90,16 +89,16 @@ _XW = {
         QUALIFY row_number() OVER (PARTITION BY shape_id ORDER BY score_e4 DESC, parent_code) = 1""",
     "gx_all": f"""SELECT s.shape_id, s.shape_name, s.geo_group, s.grp,
           CASE WHEN ok THEN parent_code END AS unit_id, CASE WHEN ok THEN score_e4 END AS score_e4,
-          CASE WHEN s.grp IS NULL THEN 'group unresolved' WHEN b.shape_id IS NULL THEN 'no units in this group' ELSE b.note END AS note
+          CASE WHEN s.grp IS NULL THEN 'NO_GROUP' WHEN b.shape_id IS NULL THEN 'NO_UNITS' ELSE b.note END AS note
         FROM sg s LEFT JOIN (SELECT shape_id, parent_code, score_e4, score_e4 >= 820000 AND {_QL} = {_QR} AS ok,
-            CASE WHEN score_e4 >= 820000 AND {_QL} <> {_QR} THEN 'refused ''' || parent_name || ''' (scored ' || {_SHOWN} || '): qualifiers differ'
-                 WHEN score_e4 < 820000 THEN 'best candidate ''' || parent_name || ''' scored ' || {_SHOWN} || ' (< 82)' END AS note
+            CASE WHEN score_e4 >= 820000 AND {_QL} <> {_QR} THEN 'SIBLING|' || parent_name || '|' || score_e4
+                 WHEN score_e4 < 820000 THEN 'BELOW|' || parent_name || '|' || score_e4 END AS note
           FROM gx_best) b USING (shape_id)""",
     "gx_win": """SELECT unit_id, shape_id AS win, shape_name AS win_name FROM gx_all WHERE unit_id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY unit_id ORDER BY score_e4 DESC, shape_id) = 1""",
     "gx": """SELECT shape_id, shape_name, geo_group, grp, CASE WHEN shape_id = win THEN unit_id END AS unit_id,
           CASE WHEN shape_id = win THEN score_e4 END AS score_e4,
-          CASE WHEN shape_id <> win THEN 'released: ''' || win_name || ''' matched better' ELSE note END AS note,
+          CASE WHEN shape_id <> win THEN 'TAKEN|' || win_name ELSE note END AS note,
           coalesce(shape_id <> win, false) AS released FROM gx_all LEFT JOIN gx_win USING (unit_id)""",
 }
 
@@ -171,10 +170,14 @@ def _(d):
     return geo.geo_coverage(crosswalk(s), s.units)
 
 
-_THIN = {"th": """SELECT shape_id, part, ring, gx, gy, row_number() OVER (PARTITION BY shape_id, part, ring ORDER BY seq) - 1 AS seq FROM (
+_THIN = {"th_all": """SELECT shape_id, part, ring, gx, gy, row_number() OVER (PARTITION BY shape_id, part, ring ORDER BY seq) - 1 AS seq FROM (
     SELECT *, lag(gx) OVER w AS pgx, lag(gy) OVER w AS pgy FROM (SELECT shape_id, part, ring, seq, CAST(floor(x / 0.01::DOUBLE + 0.5) AS BIGINT) AS gx,
       CAST(floor(y / 0.01::DOUBLE + 0.5) AS BIGINT) AS gy FROM sh_point) WINDOW w AS (PARTITION BY shape_id, part, ring ORDER BY seq))
-    WHERE pgx IS NULL OR pgx <> gx OR pgy <> gy"""}
+    WHERE pgx IS NULL OR pgx <> gx OR pgy <> gy""",
+    "th_small": """SELECT shape_id, part, min(gx) AS x0, min(gy) AS y0, greatest(max(gx), min(gx) + 1) AS x1, greatest(max(gy), min(gy) + 1) AS y1
+        FROM th_all WHERE ring = 0 GROUP BY 1, 2 HAVING count(*) < 4""",
+    "th": """SELECT * FROM th_all t WHERE (SELECT count(*) FROM th_all o WHERE o.shape_id = t.shape_id AND o.part = t.part AND o.ring = t.ring) >= 4
+        UNION ALL SELECT shape_id, part, 0, [x0, x1, x1, x0, x0][i], [y0, y0, y1, y1, y0][i], i - 1 FROM th_small, (SELECT unnest(range(1, 6)) AS i)"""}
 
 
 @register("thin_rings", sql("SELECT shape_id, part, ring, seq, gx, gy FROM th", **_SHAPES, **_THIN))

@@ -83,7 +83,7 @@ _PEERS = """SELECT unit_id, scheme, need_e9, rank() OVER (PARTITION BY scheme OR
 
 @register("peer_benchmark", sql(f"SELECT *, need_e9 - group_mean_e9 AS gap_to_group_e9 FROM ({_PEERS})"))
 def _(d):
-    return ix.peer_benchmark(d.score, d.groups, d.n_units).select(
+    return ix.peer_benchmark(d.score, d.groups).select(
         "unit_id", "scheme", "need_e9", "national_rank", "group_rank", "units_in_group",
         "group_mean_e9", "zone_mean_e9", "gap_to_group_e9")
 
@@ -91,7 +91,7 @@ def _(d):
 @register("score_export", sql(f"""SELECT c.unit_id, c.grp, c.need_e9, c.at_risk, national_rank, group_rank,
     c.need_e9 - group_mean_e9 AS gap_to_group_e9 FROM fx_cand c JOIN ({_PEERS}) USING (unit_id, scheme)"""))
 def _(d):
-    peers = ix.peer_benchmark(d.default_score, d.groups, d.n_units)
+    peers = ix.peer_benchmark(d.default_score, d.groups)
     return ix.score_export(d.default_score, peers, cfg.DEFAULT_SCHEME).select(
         "unit_id", "grp", "need_e9", "at_risk", "national_rank", "group_rank", "gap_to_group_e9")
 
@@ -99,7 +99,7 @@ def _(d):
 @register("top15", sql("""SELECT * FROM (SELECT rank() OVER (ORDER BY need_e9 DESC) AS national_rank, unit_id, grp, terrain, need_e9,
     rural_population, at_risk, indicators_present FROM fx_cand) ORDER BY national_rank, unit_id LIMIT 15"""))
 def _(d):
-    ranked = rk.rank_desc(d.default_score, ["scheme"], "need_e9", "national_rank", d.n_units)
+    ranked = rk.rank_desc(d.default_score, ["scheme"], "need_e9", "national_rank")
     return (ranked.select("national_rank", "unit_id", "grp", "terrain", "need_e9", "rural_population",
                           "at_risk", "indicators_present")
             .orderBy("national_rank", "unit_id").limit(15))
@@ -125,7 +125,7 @@ def _(d):
     WHERE a.scheme < b.scheme GROUP BY 1, 2""",
     r="SELECT scheme, unit_id, rank() OVER (PARTITION BY scheme ORDER BY need_e9 DESC) AS rk FROM fx_scored"))
 def _(d):
-    return ix.scheme_overlap(d.score, max_rows=d.n_units)
+    return ix.scheme_overlap(d.score)
 
 
 @register("view_counts", sql(" UNION ALL ".join(
@@ -136,7 +136,7 @@ def _(d):
     from equisite.operators.reports import labelled_counts
     return labelled_counts({
         "indicator_score": d.score_long, "indicator_percentile": d.percentile, "need_index": d.need,
-        "district_score": d.score, "peer_benchmark": ix.peer_benchmark(d.score, d.groups, d.n_units)})
+        "district_score": d.score, "peer_benchmark": ix.peer_benchmark(d.score, d.groups)})
 
 
 @register("top_n", sql("SELECT unit_id, need_e9 FROM fx_cand ORDER BY need_e9 DESC, unit_id LIMIT 25"))

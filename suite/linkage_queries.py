@@ -148,13 +148,12 @@ _MANUAL = {
           AND r.parent_norm = {pre.normalised('o.target_name')}""",
 }
 _QL, _QR = pre.qualifiers("norm", ADJECTIVES), pre.qualifiers("parent_norm", ADJECTIVES)
-_SHOWN = "CAST(CAST(round_even(score_e4 / 10000.0, 0) AS BIGINT) AS VARCHAR)"
 _XWALK = {
     "fuzzy_": f"""SELECT unit_id, grp, unit_name, parent_code, parent_name, score_e4,
         CASE WHEN score_e4 >= 800000 AND {_QL} <> {_QR} THEN 'unmatched' WHEN score_e4 >= 900000 THEN 'fuzzy'
              WHEN score_e4 >= 800000 THEN 'fuzzy_review' ELSE 'unmatched' END AS tier,
-        CASE WHEN score_e4 >= 800000 AND {_QL} <> {_QR} THEN 'refused ''' || parent_name || ''' (scored ' || {_SHOWN} || '): qualifiers differ'
-             WHEN score_e4 < 800000 THEN 'best candidate ''' || parent_name || ''' scored ' || {_SHOWN} || ' (< 80)' END AS note FROM best""",
+        CASE WHEN score_e4 >= 800000 AND {_QL} <> {_QR} THEN 'SIBLING|' || parent_name || '|' || score_e4
+             WHEN score_e4 < 800000 THEN 'BELOW|' || parent_name || '|' || score_e4 END AS note FROM best""",
     "xwalk": """SELECT unit_id, grp, unit_name, CASE WHEN rule <> 'exclude' THEN parent_code END AS match_code,
           CASE WHEN rule <> 'exclude' THEN parent_name END AS match_name,
           CASE WHEN rule <> 'exclude' THEN 1000000::BIGINT END AS match_e4,
@@ -162,7 +161,7 @@ _XWALK = {
         FROM manual WHERE rule = 'exclude' OR parent_code IS NOT NULL
         UNION ALL SELECT f.unit_id, f.grp, f.unit_name, CASE WHEN tier <> 'unmatched' THEN f.parent_code END,
           CASE WHEN tier <> 'unmatched' THEN f.parent_name END, CASE WHEN tier <> 'unmatched' THEN score_e4 END, tier,
-          coalesce(note, CASE WHEN m.unit_id IS NOT NULL THEN 'override target not found: ' || target_grp || '/' || target_name END)
+          coalesce(note, CASE WHEN m.unit_id IS NOT NULL THEN 'NO_TARGET|' || target_grp || '|' || target_name END)
         FROM fuzzy_ f LEFT JOIN manual m USING (unit_id)
         WHERE m.unit_id IS NULL OR (m.rule <> 'exclude' AND m.parent_code IS NULL)""",
 }
@@ -178,7 +177,7 @@ def crosswalk(d):
 @register("crosswalk_override", sql("""SELECT unit_id, rule, CASE WHEN rule = 'exclude' THEN 'excluded'
     WHEN parent_code IS NOT NULL THEN 'override:' || rule END AS tier, CASE WHEN rule <> 'exclude' THEN parent_code END AS match_code,
     CASE WHEN rule = 'exclude' OR parent_code IS NOT NULL THEN override_note
-         ELSE 'override target not found: ' || target_grp || '/' || target_name END AS note FROM manual""",
+         ELSE 'NO_TARGET|' || target_grp || '|' || target_name END AS note FROM manual""",
     recursive=True, **_ALL))
 def _(d):
     n = Names(d)
@@ -216,7 +215,7 @@ def _(d):
     return lk.coverage(crosswalk(d))
 
 
-@register("crosswalk_lists", sql("""SELECT 'unmatched' AS list, unit_id, grp, unit_name, match_name, coalesce(note, 'no candidate in the pool') AS detail
+@register("crosswalk_lists", sql("""SELECT 'unmatched' AS list, unit_id, grp, unit_name, match_name, coalesce(note, 'NO_CANDIDATE') AS detail
       FROM xwalk WHERE tier = 'unmatched' UNION ALL
     SELECT 'review', unit_id, grp, unit_name, match_name, CAST(match_e4 AS VARCHAR) FROM xwalk WHERE tier = 'fuzzy_review' UNION ALL
     SELECT 'shared parent', unit_id, grp, unit_name, match_name, CAST(n AS VARCHAR) FROM (SELECT *, count(*) OVER (PARTITION BY match_code) AS n

@@ -16,7 +16,8 @@ from suite.allocation_queries import BUDGET, CAP, FLOOR, SCENARIOS, all_picks, g
 from suite.prelude import sql
 
 QUERIES, ORACLES = {}, {}
-DRAWS, TOP_N = 201, 25
+DRAWS, TOP_N = 10_000, 25
+# Fixed value: the method's number of draws per regime.
 # Whole-number Dirichlet parameters, concentration 50 around equal weights.
 ALPHAS = [7, 7, 7, 7, 7, 7, 8]
 
@@ -57,7 +58,7 @@ def _regime_ctes(tag, gammas):
         f"{tag}_gain": f"""SELECT *, CAST(need_e9::HUGEINT * least(catchment_norm, rural_population) // catchment_norm AS BIGINT) AS gain FROM {tag}_need""",
         **optimal_ctes(f"{tag}_opt", f"{tag}_gain", part="draw"),
         f"{tag}_band": f"""SELECT unit_id, count(*) AS draws, CAST(sum(need_e9) // count(*) AS BIGINT) AS mean_need_e9,
-            CAST(round(quantile_cont(need_e9, 0.05)) AS BIGINT) AS p05_need_e9, CAST(round(quantile_cont(need_e9, 0.95)) AS BIGINT) AS p95_need_e9
+            CAST(round(quantile_cont(need_e9, 0.05) / 1000) AS BIGINT) AS p05_need_e6, CAST(round(quantile_cont(need_e9, 0.95) / 1000) AS BIGINT) AS p95_need_e6
             FROM {tag}_need GROUP BY 1""",
         f"{tag}_stab": f"""SELECT unit_id, count(*) FILTER (WHERE rank <= {TOP_N}) AS times_in_top_n,
             CAST(sum(rank) * 100 // count(*) AS BIGINT) AS mean_rank_centi, min(rank) AS best_rank, max(rank) AS worst_rank FROM {tag}_rank GROUP BY 1""",
@@ -87,11 +88,6 @@ def base(d):
                                   "rural_population", *[f"p{i}" for i in IDS])
 
 
-def spread_base(d):
-    """The base as every draw reads it: kept, because a regime reads it three times."""
-    return sn.spread(base(d)).persist()
-
-
 def draws(d, kind, n=DRAWS):
     ids = d.spark.range(n).withColumnRenamed("id", "draw")
     if kind == "uniform":
@@ -99,10 +95,12 @@ def draws(d, kind, n=DRAWS):
     return sn.centred_draws(ids, IDS, ALPHAS, cfg.SEED)
 
 
+def solved(d, kind, n=DRAWS):
+    return sn.solved_by_draw(base(d), draws(d, kind, n), IDS, BUDGET, CAP, FLOOR)
+
+
 def sensitivity(d, n=DRAWS):
-    b = spread_base(d)
-    parts = [sn.regime(k, b, draws(d, k, n), IDS, TOP_N, BUDGET, CAP, FLOOR, max_rows=d.n_units)
-             for k in ("uniform", "centred")]
+    parts = [sn.regime(k, base(d), draws(d, k, n), IDS, TOP_N, BUDGET, CAP, FLOOR) for k in ("uniform", "centred")]
     return parts[0].unionByName(parts[1])
 
 
@@ -122,30 +120,29 @@ def _(d):
     return sn.gamma_draws(d.table("embeddings").select(F.col("vec_id").alias("draw")), IDS, alphas, cfg.SEED)
 
 
-@register("need_by_draw", sql("SELECT draw, unit_id, need_e9 FROM uni_need", **_SENS))
+@register("per_draw", sql(f"""SELECT draw, count(*) AS units, min(need_e9) AS least_need_e9, max(need_e9) AS most_need_e9,
+    CAST(sum(need_e9) // count(*) AS BIGINT) AS mean_need_e9, any_value(p.picks) AS picks, any_value(p.gain) AS gain, any_value(p.picked_ids) AS picked_ids,
+    CAST(sum(CASE WHEN rank <= {TOP_N} THEN unit_id * rank ELSE 0 END) AS BIGINT) AS top_ids FROM uni_rank JOIN (
+      SELECT draw, count(*) AS picks, CAST(sum(gain) AS BIGINT) AS gain, CAST(sum(unit_id) AS BIGINT) AS picked_ids FROM uni_opt GROUP BY 1) p USING (draw)
+    GROUP BY draw""", **_SENS))
 def _(d):
-    return ix.need_by_vector(spread_base(d), draws(d, "uniform"), IDS).select("draw", "unit_id", "need_e9")
-
-
-@register("rank_by_draw", sql("SELECT draw, unit_id, rank FROM uni_rank", **_SENS))
-def _(d):
-    return sn.rank_by_draw(spread_base(d), draws(d, "uniform"), IDS, d.n_units).select("draw", "unit_id", "rank")
+    return sn.per_draw(solved(d, "uniform"), TOP_N)
 
 
 @register("need_band", sql("SELECT * FROM uni_band", **_SENS))
 def _(d):
-    return sn.need_band(spread_base(d), draws(d, "uniform"), IDS)
+    return sn.need_band(sn.spread(base(d)), draws(d, "uniform"), IDS)
 
 
 @register("rank_stability", sql("SELECT * FROM uni_stab", **_SENS))
 def _(d):
-    return sn.rank_stability(sn.rank_by_draw(spread_base(d), draws(d, "uniform"), IDS, d.n_units), TOP_N)
+    return sn.stability_of(solved(d, "uniform"), TOP_N).drop("times_allocated", "runs")
 
 
 @register("alloc_stability", sql("SELECT * FROM cen_alloc", **_SENS))
 def _(d):
-    b = spread_base(d)
-    return sn.alloc_stability(b, sn.picks_by_draw(b, draws(d, "centred"), IDS, BUDGET, CAP, FLOOR))
+    return sn.with_class(sn.stability_of(solved(d, "centred"), TOP_N)).select(
+        "unit_id", "runs", "times_allocated", "classification")
 
 
 @register("classify", sql("""SELECT unit_id, CASE WHEN 20 * t > 19 * r THEN 'robust' WHEN 20 * t < r THEN 'excluded' ELSE 'contested' END AS classification
@@ -212,17 +209,30 @@ def _(d):
 
 @register("whatif", sql("SELECT unit_id, grp, zone, need_e9, national_rank, gain FROM wi_opt", **_WHATIF))
 def _(d):
-    return wf.solve(rescored(d), _W_BUDGET, _W_CAP, _W_FLOOR, d.n_units).select(
+    return wf.solve(rescored(d), _W_BUDGET, _W_CAP, _W_FLOOR).select(
         "unit_id", "grp", "zone", "need_e9", "national_rank", "gain")
 
 
+@register("whatif_status", sql(f"""SELECT CASE WHEN usable >= budget AND forced <= budget AND smallest_zone >= floor_ THEN 'Optimal' ELSE 'Infeasible' END AS status,
+    concat_ws(',', CASE WHEN usable < budget THEN 'budget' END, CASE WHEN forced > budget THEN 'floors' END,
+      CASE WHEN smallest_zone < floor_ THEN 'zone' END) AS reason, * FROM (
+      SELECT budget, cap, floor_, CAST(sum(u) AS BIGINT) AS usable, CAST(sum(least(u, floor_)) AS BIGINT) AS forced, CAST(min(u) AS BIGINT) AS smallest_zone
+      FROM (SELECT budget, cap, floor_, zone, sum(least(n, cap)) AS u FROM (SELECT grp, zone, count(*) AS n FROM wi_cand GROUP BY 1, 2)
+        CROSS JOIN (VALUES ({_W_BUDGET}::BIGINT, {_W_CAP}::BIGINT, {_W_FLOOR}::BIGINT), (60, 1, 2), (30, 3, 7)) s(budget, cap, floor_) GROUP BY 1, 2, 3, 4)
+      GROUP BY 1, 2, 3)""", **_WHATIF))
+def _(d):
+    scored = rescored(d)
+    parts = [wf.solve_status(scored, *s) for s in ((_W_BUDGET, _W_CAP, _W_FLOOR), (60, 1, 2), (30, 3, 7))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("whatif_headline", sql("""SELECT facilities, groups, zones, hilly_or_tribal, gain, naive_gain,
     CAST((gain - naive_gain) * 10000 // naive_gain AS BIGINT) AS gap_bp FROM (SELECT count(*) AS facilities, count(DISTINCT grp) AS groups,
       count(DISTINCT zone) AS zones, count(*) FILTER (WHERE terrain <> 'plains') AS hilly_or_tribal, CAST(sum(gain) AS BIGINT) AS gain,
       (SELECT CAST(sum(gain) AS BIGINT) FROM wi_nai) AS naive_gain FROM wi_opt)""", **_WHATIF))
 def _(d):
     scored = rescored(d)
-    return wf.headline(wf.solve(scored, _W_BUDGET, _W_CAP, _W_FLOOR, d.n_units), scored, _W_BUDGET)
+    return wf.headline(wf.solve(scored, _W_BUDGET, _W_CAP, _W_FLOOR), scored, _W_BUDGET)
 
 
 def _compare_sql(name, tag):
@@ -239,7 +249,7 @@ def _compare_sql(name, tag):
     _compare_sql(n, t) for n, t in (("optimal", "wi_opt"), ("greedy", "wi_gre"), ("naive", "wi_nai"))) + ")", **_WHATIF))
 def _(d):
     scored = rescored(d)
-    return wf.compare({"optimal": wf.solve(scored, _W_BUDGET, _W_CAP, _W_FLOOR, d.n_units),
+    return wf.compare({"optimal": wf.solve(scored, _W_BUDGET, _W_CAP, _W_FLOOR),
                        "greedy": al.greedy(scored, _W_BUDGET, _W_CAP, _W_FLOOR),
                        "naive": al.naive(scored, _W_BUDGET)}, scored, _W_BUDGET, _W_CAP, _W_FLOOR)
 
@@ -247,9 +257,8 @@ def _(d):
 @register("whatif_confidence", sql("""SELECT o.unit_id, o.need_e9, CAST(s.times_allocated * 100 // s.runs AS BIGINT) AS stability_pct, s.classification
     FROM wi_opt o LEFT JOIN cen_alloc s USING (unit_id)""", **_WHATIF, **{k: v for k, v in _SENS.items() if k != "fx_base"}))
 def _(d):
-    picks = wf.solve(rescored(d), _W_BUDGET, _W_CAP, _W_FLOOR, d.n_units).select("unit_id", "need_e9")
-    b = spread_base(d)
-    stored = sn.alloc_stability(b, sn.picks_by_draw(b, draws(d, "centred"), IDS, BUDGET, CAP, FLOOR))
+    picks = wf.solve(rescored(d), _W_BUDGET, _W_CAP, _W_FLOOR).select("unit_id", "need_e9")
+    stored = sn.with_class(sn.stability_of(solved(d, "centred"), TOP_N))
     return wf.with_confidence(picks, stored.withColumn("regime", F.lit("centred")))
 
 

@@ -126,6 +126,14 @@ def test_missing_zone_is_reported(spark):
 
 
 def test_non_nested_groups_fail(spark):
-    c = spark.createDataFrame([("g1", "A"), ("g1", "B")], "grp string, zone string")
-    with pytest.raises(ValueError):
-        al.require_nested(c)
+    rows = [(0, 1, "g", "z1", 5, 5, "s", "plains", 1), (0, 2, "g", "z2", 9, 9, "s", "plains", 1), (0, 3, "h", "z2", 7, 7, "s", "plains", 1)]
+    c = spark.createDataFrame(rows, SCHEMA)
+    for run in (al.optimal, al.greedy, al.status):
+        with pytest.raises(Exception, match="lies in zones z1 and z2"):
+            run(c, 2, 1, 1).collect()
+
+
+def test_status_counts_all_usable_units(spark):
+    rows = [(0, i, f"g{i}", "z1" if i < 9 else "z2", i, i, "s", "plains", 1) for i in range(10)]
+    state = al.status(spark.createDataFrame(rows, SCHEMA), 3, 1, 2).head()
+    assert (state["status"], state["reason"], state["usable"], state["smallest_zone"]) == ("Infeasible", "zone", 10, 1)

@@ -6,11 +6,10 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from equisite.operators import ranking as rk
 
-BIG = 10 ** 9
-
 
 @pytest.fixture(scope="module")
 def rows(spark):
@@ -22,38 +21,25 @@ def rows(spark):
     return spark.createDataFrame(data, "k string, unit_id long, value long").persist()
 
 
-def both(fn):
-    small = sorted(map(tuple, fn(1000).collect()))
-    large = sorted(map(tuple, fn(None).collect()))
-    return small, large
-
-
-def test_rank_desc(rows):
-    a, b = both(lambda n: rk.rank_desc(rows, ["k"], "value", "r", n, width=100).select("k", "unit_id", "r"))
-    assert a == b
-
-
-def test_percent_rank(rows):
-    a, b = both(lambda n: rk.percent_rank_e9(rows, ["k"], "value", "p", n).select("k", "unit_id", "p"))
-    assert a == b
-    c = sorted(map(tuple, rk.percent_rank_e9(rows, ["k"], "value", "p", None, width=64).select("k", "unit_id", "p").collect()))
-    assert a == c
-    values = [p for _, _, p in a]
-    assert min(values) == 0 and max(values) <= BIG
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
 
 
-def test_percent_rank_equals_spark(rows):
-    from pyspark.sql.window import Window
-    w = Window.partitionBy("k").orderBy("value")
-    got = rk.percent_rank_e9(rows, ["k"], "value", "p", None).withColumn("q", F.percent_rank().over(w))
-    assert got.filter(F.abs(F.col("p") / 1e9 - F.col("q")) > 2e-9).count() == 0
+@pytest.mark.parametrize("width", [40, 1_000_000])
+def test_ranks_equal_the_windows(rows, width):
+    up, down = Window.partitionBy("k").orderBy("value"), Window.partitionBy("k").orderBy(F.col("value").desc())
+    want = rows_of(rows.select("k", "unit_id", F.rank().over(down)))
+    assert rows_of(rk.rank_desc(rows, ["k"], "value", "r", width=width).select("k", "unit_id", "r")) == want
+    want = rows_of(rows.select("k", "unit_id", F.row_number().over(down.orderBy(F.col("value").desc(), "unit_id"))))
+    assert rows_of(rk.order_rank(rows, ["k"], "value", "unit_id", "r", width=width).select("k", "unit_id", "r")) == want
+    got = rk.percent_rank_e9(rows, ["k"], "value", "p", width=width).withColumn("q", F.percent_rank().over(up))
+    assert got.count() == rows.count() and got.filter(F.abs(F.col("p") / 1e9 - F.col("q")) > 2e-9).count() == 0
 
 
-def test_order_rank_is_a_permutation(rows):
-    a, b = both(lambda n: rk.order_rank(rows, ["k"], "value", "unit_id", "r", n, width=50).select("k", "unit_id", "r"))
-    assert a == b
-    for key in ("a", "b"):
-        assert sorted(r for k, _, r in b if k == key) == list(range(1, 301))
+def test_percent_rank_without_broadcast(rows, monkeypatch):
+    want = rows_of(rk.percent_rank_e9(rows, ["k"], "value", "p"))
+    monkeypatch.setattr(rk, "BROADCAST_ROWS", 3)
+    assert rows_of(rk.percent_rank_e9(rows, ["k"], "value", "p", width=64)) == want
 
 
 def test_keep_first(spark):
