@@ -111,13 +111,20 @@ def peer_benchmark(score: DataFrame, groups: DataFrame | None = None) -> DataFra
 
 
 def supply_degeneracy(score: DataFrame) -> DataFrame:
-    """Norm-implied supply cancels: at_risk / (rural / norm) equals need * norm, so ratio is 1."""
-    exact = F.col("need_e9").cast("decimal(20,0)") * F.col("rural_population")
-    if_computed = F.call_function("div", exact * F.col("catchment_norm"), F.col("rural_population").cast("decimal(20,0)"))
+    """Norm-implied supply cancels: stored people at risk over (rural / norm) is need times norm.
+
+    ``at_risk`` is a rounded-down whole number, so the measured value may lie below the prediction by less than one
+    person's share, norm / rural; ``cancels`` is false for anything else.
+    """
+    wide = "decimal(38,0)"
+    measured = F.call_function("div", F.col("at_risk").cast(wide) * E9 * F.col("catchment_norm"), F.col("rural_population").cast(wide))
     prediction = F.col("need_e9") * F.col("catchment_norm")
-    return score.select("unit_id", "scheme", "terrain", "need_e9", "at_risk",
-                        if_computed.alias("underservice_e9"), prediction.alias("prediction_e9"),
-                        mul_div(if_computed, F.lit(10_000), prediction).alias("ratio_bp"))
+    gap = (F.col("prediction_e9") - F.col("underservice_e9")).cast(wide)
+    out = score.select("unit_id", "scheme", "terrain", "need_e9", "at_risk", "rural_population", "catchment_norm",
+                       measured.alias("underservice_e9"), prediction.alias("prediction_e9"))
+    cancels = (gap >= 0) & ((gap - 1) * F.col("rural_population") <= F.col("catchment_norm").cast(wide) * E9)
+    return out.select("unit_id", "scheme", "terrain", "need_e9", "at_risk", "underservice_e9", "prediction_e9",
+                      mul_div("underservice_e9", F.lit(10_000), "prediction_e9").alias("ratio_bp"), cancels.alias("cancels"))
 
 
 def scheme_distribution(score: DataFrame) -> DataFrame:

@@ -53,24 +53,29 @@ def write_collections(features: DataFrame, path: str, properties: Sequence[str],
 
 
 def read_geojson(spark: SparkSession, path: str, properties: str, collection: bool = False,
-                 whole_file: bool = False) -> DataFrame:
+                 whole_file: bool = False, keys: bool = False) -> DataFrame:
     """Features with their properties as columns and ``parts``, whether Polygon or MultiPolygon.
 
+    With ``keys`` the names of the properties that the file really has come as ``property_keys``, for
+    ``shape_checks``: an absent property is a NULL column like an empty one.
+
     ``collection`` reads FeatureCollection documents, one per line or, with ``whole_file``, one
     indented document per file as published; otherwise one feature per line. ``properties`` is DDL.
     """
     geometry = "struct<type:string,coordinates:string>"
-    feature = f"struct<properties:struct<{properties}>,geometry:{geometry}>"
+    feature = f"struct<properties:string,geometry:{geometry}>"
     reader = spark.read.option("multiLine", whole_file)
     if collection:
         docs = reader.schema(f"features array<{feature}>").json(path)
         rows = docs.select(F.explode("features").alias("f")).select("f.*")
     else:
-        rows = reader.schema(f"properties struct<{properties}>, geometry {geometry}").json(path)
+        rows = reader.schema(f"properties string, geometry {geometry}").json(path)
     ring = "array<array<array<double>>>"
     parts = (F.when(F.col("geometry.type") == "Polygon", F.array(F.from_json("geometry.coordinates", ring)))
              .when(F.col("geometry.type") == "MultiPolygon", F.from_json("geometry.coordinates", f"array<{ring}>")))
-    return rows.select("properties.*", parts.alias("parts"))
+    known = F.from_json("properties", f"struct<{properties}>")
+    own = [F.json_object_keys("properties").alias("property_keys")] if keys else []
+    return rows.withColumn("_p", known).select("_p.*", parts.alias("parts"), *own)
 
 
 def write_manifest(entries: DataFrame, path: str) -> None:
@@ -99,7 +104,8 @@ def table_or_snapshot(spark: SparkSession, table: str, snapshot: str) -> DataFra
 def shape_checks(df: DataFrame, rules: dict) -> DataFrame:
     """(check_name, passed, detail) rows for a source; one pass over the data for all counts.
 
-    Rules: required_columns, min_rows, exact_rows, min_distinct {label: (columns, minimum)}.
+    Rules: required_columns, required_properties (of a GeoJSON source read with ``keys``), min_rows, exact_rows,
+    min_distinct {label: (columns, minimum)}.
     """
     measures = [F.count("*").alias("rows")]
     distinct = rules.get("min_distinct", {})
@@ -108,6 +114,12 @@ def shape_checks(df: DataFrame, rules: dict) -> DataFrame:
     missing = [c for c in rules.get("required_columns", []) if c not in df.columns]
     checks = [_check("required columns", F.lit(not missing),
                      F.lit("all present" if not missing else "missing: " + ", ".join(missing)))]
+    if "required_properties" in rules:
+        wanted = F.array(*[F.lit(p) for p in rules["required_properties"]])
+        lacking = F.size(F.array_except(wanted, F.coalesce("property_keys", F.array().cast("array<string>")))) > 0
+        measures.append(F.count_if(lacking).alias("_lacking"))
+        checks.append(_check("required properties", F.col("_lacking") == 0,
+                             F.concat(F.col("_lacking").cast("string"), F.lit(" features lack some"))))
     if "min_rows" in rules:
         checks.append(_count_check("min rows", "rows", F.col("rows") >= rules["min_rows"], rules["min_rows"]))
     if "exact_rows" in rules:

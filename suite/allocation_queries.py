@@ -5,22 +5,13 @@ from pyspark.sql import functions as F
 from equisite.operators import allocation as al
 from equisite.operators import index as ix
 from equisite.plans import settings as cfg
-from fixtures import domain
 from suite.prelude import sql
+from suite.topic import topic
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, register = topic()
 BUDGET, CAP, FLOOR = (cfg.get_param(k) for k in ("budget", "max_per_group", "min_per_zone"))
 
 
-def register(name, oracle=None):
-    def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(domain(spark, sf_dir))
-        if oracle:
-            ORACLES[name] = oracle
-        return fn
-    return add
-
-
 def optimal_ctes(tag, source, gain="gain", budget=BUDGET, cap=CAP, floor=FLOOR, part=""):
     """The three passes as SQL over ``source``; ``part`` is an extra partition column."""
     p, by = (f"{part}, ", f"PARTITION BY {part}") if part else ("", "")

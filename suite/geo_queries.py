@@ -5,21 +5,13 @@ from pyspark.sql import functions as F
 from equisite.operators import geo
 from equisite.plans.session import fresh_path, materialise
 from equisite.sources import files
-from fixtures import ADJECTIVES, NOUNS, OUTLINES, Shapes, domain
+from fixtures import ADJECTIVES, NOUNS, OUTLINES, Shapes
 from suite import prelude as pre
 from suite.allocation_queries import SCENARIOS, optimal
 from suite.prelude import NAMES, sql
+from suite.topic import topic
 
-QUERIES, ORACLES = {}, {}
-
-
-def register(name, oracle=None):
-    def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(domain(spark, sf_dir))
-        if oracle:
-            ORACLES[name] = oracle
-        return fn
-    return add
+QUERIES, ORACLES, register = topic()
 
 
 def _ring(points):

@@ -5,19 +5,11 @@ from pyspark.sql import functions as F
 from equisite.operators import index as ix
 from equisite.operators import ranking as rk
 from equisite.plans import settings as cfg
-from fixtures import IDS, domain
+from fixtures import IDS
 from suite.prelude import sql
+from suite.topic import topic
 
-QUERIES, ORACLES = {}, {}
-
-
-def register(name, oracle=None):
-    def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(domain(spark, sf_dir))
-        if oracle:
-            ORACLES[name] = oracle
-        return fn
-    return add
+QUERIES, ORACLES, register = topic()
 
 
 @register("indicator_score", sql("SELECT unit_id, indicator_id, domain, value_bp, need_bp FROM fx_score"))
@@ -105,10 +97,11 @@ def _(d):
             .orderBy("national_rank", "unit_id").limit(15))
 
 
-@register("supply_degeneracy", sql("""SELECT unit_id, scheme, terrain, need_e9, at_risk,
-    CAST(need_e9::HUGEINT * rural_population * catchment_norm // rural_population AS BIGINT) AS underservice_e9,
-    need_e9 * catchment_norm AS prediction_e9,
-    CASE WHEN need_e9 = 0 THEN NULL ELSE 10000::BIGINT END AS ratio_bp FROM fx_scored"""))
+@register("supply_degeneracy", sql("""SELECT unit_id, scheme, terrain, need_e9, at_risk, underservice_e9, prediction_e9,
+    CAST(underservice_e9::HUGEINT * 10000 // nullif(prediction_e9, 0) AS BIGINT) AS ratio_bp,
+    prediction_e9 >= underservice_e9 AND (prediction_e9 - underservice_e9 - 1)::HUGEINT * rural_population <= catchment_norm::HUGEINT * 1000000000 AS cancels
+    FROM (SELECT *, CAST(at_risk::HUGEINT * 1000000000 * catchment_norm // rural_population AS BIGINT) AS underservice_e9,
+      need_e9 * catchment_norm AS prediction_e9 FROM fx_scored)"""))
 def _(d):
     return ix.supply_degeneracy(d.score)
 

@@ -9,20 +9,12 @@ from equisite.operators import load as ld
 from equisite.operators import reports as rp
 from equisite.plans import settings as cfg
 from equisite.plans.session import materialise
-from fixtures import ADJECTIVES, Names, Raw, domain
+from fixtures import ADJECTIVES, Names, Raw
 from suite import prelude as pre
 from suite.prelude import NAMES, RAW, sql
+from suite.topic import topic
 
-QUERIES, ORACLES = {}, {}
-
-
-def register(name, oracle=None):
-    def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(domain(spark, sf_dir))
-        if oracle:
-            ORACLES[name] = oracle
-        return fn
-    return add
+QUERIES, ORACLES, register = topic()
 
 
 # -- scalar functions ---------------------------------------------------------------------------
@@ -239,7 +231,7 @@ def _(d):
 
 # -- apportionment ------------------------------------------------------------------------------
 
-_APPORTION = {
+APPORTION = {
     "ap_unit": "SELECT unit_id, CASE WHEN unit_id % 7 = 0 THEN unit_id + 1 ELSE unit_id END AS parent_id FROM fx_unit",
     "ap_joined": """SELECT u.unit_id, p.unit_id AS parent_id, p.population, p.rural_hh, p.total_hh,
           p.population * p.minority_bp // 10000 AS minority, count(*) OVER (PARTITION BY u.parent_id) AS n
@@ -261,7 +253,7 @@ def apportioned(d):
 
 
 @register("apportion", sql("""SELECT unit_id, n_sharing_parent, n_sharing_parent > 1 AS is_apportioned, population_alloc,
-    rural_share_bp, minority_share_bp FROM ap""", **_APPORTION))
+    rural_share_bp, minority_share_bp FROM ap""", **APPORTION))
 def _(d):
     return apportioned(d)[0].select("unit_id", "n_sharing_parent", "is_apportioned", "population_alloc",
                                     "rural_share_bp", "minority_share_bp")
@@ -269,14 +261,14 @@ def _(d):
 
 @register("rural_population", sql("""SELECT unit_id, population_alloc,
     CASE WHEN 2 * r > total_hh OR (2 * r = total_hh AND q % 2 = 1) THEN q + 1 ELSE q END AS rural_population
-    FROM (SELECT *, population_alloc * rural_hh // total_hh AS q, population_alloc * rural_hh % total_hh AS r FROM ap)""", **_APPORTION))
+    FROM (SELECT *, population_alloc * rural_hh // total_hh AS q, population_alloc * rural_hh % total_hh AS r FROM ap)""", **APPORTION))
 def _(d):
     return apportioned(d)[0].select("unit_id", "population_alloc", "rural_population")
 
 
 @register("population_conservation", sql("""SELECT parent_id, CAST(sum(population_alloc) AS BIGINT) AS children_total, count(*) AS n_children,
     any_value(parent_population) AS parent_population, abs(sum(population_alloc) - any_value(parent_population)) <= count(*) AS conserved
-    FROM ap WHERE parent_id IS NOT NULL GROUP BY 1""", **_APPORTION))
+    FROM ap WHERE parent_id IS NOT NULL GROUP BY 1""", **APPORTION))
 def _(d):
     children, parents = apportioned(d)
     return rp.conservation(children.filter("parent_id is not null and n_sharing_parent > 0")

@@ -11,26 +11,18 @@ from equisite.operators import whatif as wf
 from equisite.plans import settings as cfg
 from equisite.plans.session import fresh_path, materialise
 from equisite.sources import files
-from fixtures import IDS, domain
+from fixtures import IDS
 from suite.allocation_queries import BUDGET, CAP, FLOOR, SCENARIOS, all_picks, greedy_ctes, optimal, optimal_ctes
 from suite.prelude import sql
+from suite.topic import topic
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, register = topic()
 DRAWS, TOP_N = 10_000, 25
 # Fixed value: the method's number of draws per regime.
 # Whole-number Dirichlet parameters, concentration 50 around equal weights.
 ALPHAS = [7, 7, 7, 7, 7, 7, 8]
 
 
-def register(name, oracle=None):
-    def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(domain(spark, sf_dir))
-        if oracle:
-            ORACLES[name] = oracle
-        return fn
-    return add
-
-
 def _u(*parts):
     return f"((('0x' || substr(md5({' || chr(124) || '.join(str(p) for p in parts)}), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)"
 

@@ -9,19 +9,12 @@ from equisite.operators import violations as vi
 from equisite.plans import settings as cfg
 from equisite.plans.session import fresh_path
 from equisite.sources import files
-from fixtures import Raw, domain
+from fixtures import Raw
+from suite.linkage_queries import APPORTION, apportioned
 from suite.prelude import RAW, sql
+from suite.topic import topic
 
-QUERIES, ORACLES = {}, {}
-
-
-def register(name, oracle=None):
-    def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(domain(spark, sf_dir))
-        if oracle:
-            ORACLES[name] = oracle
-        return fn
-    return add
+QUERIES, ORACLES, register = topic()
 
 
 # -- sources and sinks --------------------------------------------------------------------------
@@ -252,10 +245,12 @@ _RULES = " UNION ALL ".join(_count_rows(r, t) for r, t in {
     "value in range": "SELECT 1 FROM fx_fact WHERE value_bp NOT BETWEEN 0 AND 10000",
     "weights sum to one": "SELECT scheme FROM fx_weight GROUP BY 1 HAVING sum(w_ppm) <> 1000000",
     "scheme covers the index": "SELECT scheme FROM fx_weight GROUP BY 1 HAVING count(DISTINCT indicator_id) <> 7",
+    "apportioned means siblings": "SELECT 1 FROM (SELECT *, count(*) OVER (PARTITION BY parent_id) AS n FROM ap WHERE parent_id IS NOT NULL) WHERE n <> n_sharing_parent",
 }.items())
 
 
-@register("schema_rules", sql(_RULES))
+@register("schema_rules", sql(_RULES, **APPORTION))
 def _(d):
     """The standing constraints on the derived relations, with how many rows break each."""
-    return vi.rule_counts(vi.standing_rules(d.units, d.indicators, d.weights, d.facts, d.score, cfg.NORMS))
+    rules = vi.standing_rules(d.units, d.indicators, d.weights, d.facts, d.score, cfg.NORMS)
+    return vi.rule_counts(rules | {"apportioned means siblings": vi.apportioned_rule(apportioned(d)[0])})

@@ -5,6 +5,10 @@ import pytest
 from suite import check, registry
 
 
+EMPTY_BY_DESIGN: set[str] = set()
+"""Queries whose result may be empty on the smallest tables."""
+
+
 @pytest.fixture(scope="module")
 def con(small):
     return check.connect(small)
@@ -14,6 +18,7 @@ def con(small):
 def test_query(spark, con, small, name):
     result = check.compare(spark, con, small, registry.queries()[name], registry.oracles().get(name))
     assert result.startswith(("ok", "rows")), result
+    assert name in EMPTY_BY_DESIGN or not result.endswith((" EMPTY", "rows=0")), result
 
 
 def test_entry_points(spark):

@@ -45,6 +45,17 @@ def test_append_and_fallback(spark, tmp_path):
         files.table_or_snapshot(spark, name, f"{tmp_path}/nothing")
 
 
+def test_absent_property_is_found(spark, tmp_path):
+    path = tmp_path / "features.json"
+    path.write_text("\n".join('{"type":"Feature","properties":{%s},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}}' % p
+                              for p in ('"name":"a","code":1', '"name":null,"code":2', '"code":3')))
+    df = files.read_geojson(spark, str(path), "name:string,code:long", keys=True)
+    rules = {"required_properties": ["name", "code"]}
+    assert [tuple(r) for r in files.shape_checks(df, rules).filter("check_name = 'required properties'").collect()] == [
+        ("required properties", False, "1 features lack some")]
+    assert files.shape_checks(df, {"required_properties": ["code"]}).filter("NOT passed").count() == 0
+
+
 def test_rebuild_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "out")
     for _ in range(2):
