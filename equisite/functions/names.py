@@ -11,13 +11,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 def _expansions() -> dict[str, str]:
-    """Characters whose compatibility decomposition, without marks, is plain ASCII text: ligatures, fractions, letters
-    beyond the basic plane and accented letters alike."""
+    """Characters whose compatibility decomposition, without marks, holds ASCII text: ligatures, fractions, letters
+    beyond the basic plane and accented letters alike. What is not ASCII in it is a blank."""
     out = {}
     for code in range(0xA0, sys.maxunicode + 1):
         parts = unicodedata.normalize("NFKD", chr(code)) if not 0xD800 <= code < 0xE000 else ""
-        base = "".join(" " if c == "\u2044" else c for c in parts if not unicodedata.combining(c))
-        if base and base.isascii():
+        base = "".join(c if c.isascii() else " " for c in parts if not unicodedata.combining(c))
+        if base.strip() and chr(code) != base:
             out[chr(code)] = base
     return out
 

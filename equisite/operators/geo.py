@@ -86,27 +86,34 @@ def contains(edges: str, x: Column, y: Column) -> Column:
     return hits % 2 == 1
 
 
-def _cells(low: str, high: str, cell: float) -> Column:
-    return F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
+def _cells(low: str, high: str) -> Column:
+    return F.sequence(F.floor(F.col(low) / F.col("_side")), F.floor(F.col(high) / F.col("_side")))
 
 
-def spatial_join(points: DataFrame, polygons: DataFrame, point_id: str, name: str, cell: float = 0.05) -> DataFrame:
+def spatial_join(points: DataFrame, polygons: DataFrame, point_id: str, name: str) -> DataFrame:
     """Left join each point (px, py) to the first polygon (by ``ordinal``) that contains it.
 
-    Polygons are listed under every grid cell their box touches; a point is compared with its own
-    cell's polygons only. Matches are reduced by a minimum, per task before the shuffle.
+    A polygon is listed in the grid whose cells are as large as its box, so in four cells at most, whatever the
+    layer's sizes; a point looks into its cell of each grid that the layer uses. Cells carry boxes only: edges are
+    joined once, by ordinal, to the pairs whose box fits. Points without a place take no part in the joins. Matches
+    are reduced by a minimum, per task before the shuffle.
     """
-    grid = (with_edges(polygons)
-            .withColumn("cx", F.explode(_cells("xmin", "xmax", cell)))
-            .withColumn("cy", F.explode(_cells("ymin", "ymax", cell)))
-            .select("cx", "cy", "ordinal", F.col(name).alias("_name"), "edges", "xmin", "xmax", "ymin", "ymax"))
-    located = points.withColumn("cx", F.floor(F.col("px") / cell)).withColumn("cy", F.floor(F.col("py") / cell))
+    shapes = with_edges(polygons).filter("xmin IS NOT NULL")
+    extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(1e-12))
+    boxes = (shapes.select("ordinal", "xmin", "xmax", "ymin", "ymax")
+             .withColumn("_side", F.pow(F.lit(2.0), F.ceil(F.log2(extent)).cast("double"))))
+    sides = [r[0] for r in boxes.select("_side").distinct().collect()]  # powers of two between the layer's sizes
+    grid = (boxes.withColumn("_cx", F.explode(_cells("xmin", "xmax"))).withColumn("_cy", F.explode(_cells("ymin", "ymax"))))
+    placed = (points.filter("px IS NOT NULL AND py IS NOT NULL").select(point_id, "px", "py")
+              .withColumn("_side", F.explode(F.array(*[F.lit(x) for x in sides]).cast("array<double>")))
+              .withColumn("_cx", F.floor(F.col("px") / F.col("_side"))).withColumn("_cy", F.floor(F.col("py") / F.col("_side"))))
     x, y = F.col("px"), F.col("py")
-    inside = (x.between(F.col("xmin"), F.col("xmax")) & y.between(F.col("ymin"), F.col("ymax"))
-              & contains("edges", x, y))
-    joined = located.join(broadcast_if_small(grid), ["cx", "cy"], "left")
-    hit = F.when(inside, F.struct("ordinal", F.col("_name").alias("name")))
-    return joined.groupBy(point_id).agg(F.min(hit)["name"].alias(name))
+    pairs = (placed.join(broadcast_if_small(grid), ["_side", "_cx", "_cy"])
+             .filter(x.between(F.col("xmin"), F.col("xmax")) & y.between(F.col("ymin"), F.col("ymax")))
+             .select(point_id, "px", "py", "ordinal"))
+    hits = pairs.join(shapes.select("ordinal", F.col(name).alias("_name"), "edges"), "ordinal").filter(contains("edges", x, y))
+    best = hits.groupBy(point_id).agg(F.min(F.struct("ordinal", F.col("_name").alias("name")))["name"].alias(name))
+    return points.select(point_id).distinct().join(best, point_id, "left")
 
 
 def group_map(geo_groups: DataFrame, groups: DataFrame, accept: int = GROUP_ACCEPT) -> DataFrame:

@@ -95,10 +95,14 @@ _XW = {
 }
 
 
+def points_of(s: Shapes):
+    """Interior points, written: a join reads them twice, and each is a search over a shape's edges."""
+    return materialise(geo.interior_point(s.shapes).select("shape_id", "px", "py"), "points")
+
+
 def located(s: Shapes):
     """Each shape's interior point in the group layer, written once: three steps read it."""
-    points = geo.interior_point(s.shapes).select("shape_id", "px", "py")
-    return materialise(geo.spatial_join(points, s.outlines, "shape_id", "geo_group"), "located")
+    return materialise(geo.spatial_join(points_of(s), s.outlines, "shape_id", "geo_group"), "located")
 
 
 def groups_of(s: Shapes, where):
@@ -132,10 +136,20 @@ def _(d):
     return geo.interior_point(Shapes(d).shapes).select("shape_id", "px", "py")
 
 
+@register("spatial_join_shapes", sql("""SELECT i.shape_id, h.found FROM sh_inner i LEFT JOIN (SELECT shape_id, min(other) AS found FROM (
+      SELECT p.shape_id, e.shape_id AS other FROM sh_inner p JOIN sh_edge e ON (y1 <= py) <> (y2 <= py) AND px < x1 + (py - y1) * (x2 - x1) / (y2 - y1)
+      GROUP BY 1, 2 HAVING count(*) % 2 = 1) GROUP BY 1) h USING (shape_id)""", **_SHAPES))
+def _(d):
+    """The shapes as a layer of their own: thousands of small, overlapping polygons."""
+    s = Shapes(d)
+    layer = s.shapes.select(F.col("shape_id").alias("ordinal"), F.col("shape_id").alias("found"), "parts")
+    return geo.spatial_join(points_of(s), layer, "shape_id", "found")
+
+
 @register("spatial_join", sql("SELECT shape_id, geo_group FROM sh_state", **_SHAPES))
 def _(d):
     s = Shapes(d)
-    return geo.spatial_join(geo.interior_point(s.shapes).select("shape_id", "px", "py"), s.outlines, "shape_id", "geo_group")
+    return geo.spatial_join(points_of(s), s.outlines, "shape_id", "geo_group")
 
 
 @register("group_map", sql("SELECT geo_group, score_e4, grp FROM gm", recursive=True, **_XW))

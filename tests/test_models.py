@@ -92,16 +92,32 @@ def test_interior_points_lie_inside(spark):
 def test_point_in_polygon_first_match_and_hole(spark):
     polys = spark.createDataFrame([(1, "ring", [[RING, HOLE]]), (2, "whole", [[RING]])], f"ordinal int, name string, parts {PARTS}")
     pts = spark.createDataFrame([(1, 0.5, 0.5), (2, 2.0, 2.0), (3, 9.0, 9.0)], "id long, px double, py double")
-    got = {r["id"]: r["name"] for r in geo.spatial_join(pts, polys, "id", "name", cell=0.7).collect()}
+    got = {r["id"]: r["name"] for r in geo.spatial_join(pts, polys, "id", "name").collect()}
     assert got == {1: "ring", 2: "whole", 3: None}
 
 
-def test_grid_cell_size_does_not_change_the_result(spark, small):
-    from fixtures import Shapes
-    s = Shapes(domain(spark, small))
-    pts = geo.interior_point(s.shapes).select("shape_id", "px", "py")
-    runs = [sorted(map(tuple, geo.spatial_join(pts, s.outlines, "shape_id", "geo_group", cell=c).collect())) for c in (0.03, 0.2, 5.0)]
-    assert runs[0] == runs[1] == runs[2]
+def square(x, y, h):
+    return [[x - h, y - h], [x + h, y - h], [x + h, y + h], [x - h, y + h], [x - h, y - h]]
+
+
+def test_layer_of_very_different_sizes(spark):
+    layer = [(1, "country", [[square(0.0, 0.0, 500.0)]])] + [(2 + i, f"house {i}", [[square(float(i), 0.25, 0.01)]]) for i in range(50)]
+    polys = spark.createDataFrame(layer, f"ordinal int, name string, parts {PARTS}").withColumn("ordinal", -F.col("ordinal"))
+    points = [(i, float(i), 0.25) for i in range(60)] + [(100, 900.0, 0.0), (101, None, None)]
+    got = {r["id"]: r["name"] for r in geo.spatial_join(spark.createDataFrame(points, "id long, px double, py double"), polys, "id", "name").collect()}
+    assert got == {i: f"house {i}" if i < 50 else "country" for i in range(60)} | {100: None, 101: None}
+
+
+def test_parts_apart_and_collapsed_rings(spark):
+    apart = [[square(0.0, 0.5, 0.5)], [square(5.0, 3.5, 0.5)]]
+    dented = [[square(0.0, 0.0, 1.0), square(0.2, 0.2, 0.001), [[0.5, 0.5]]]]
+    tiny = [[square(3.0, 3.0, 0.0001)]]
+    shapes = spark.createDataFrame([(1, apart), (2, dented), (3, tiny)], f"shape_id long, parts {PARTS}")
+    inside = geo.interior_point(shapes).select("shape_id", geo.contains("edges", F.col("px"), F.col("py")).alias("ok")).collect()
+    assert {r["shape_id"]: r["ok"] for r in inside} == {1: True, 2: True, 3: True}
+    rings = {r["shape_id"]: [[len(x) for x in part] for part in r["parts"]] for r in geo.thinned(shapes).collect()}
+    assert rings == {1: [[5], [5]], 2: [[5]], 3: [[5]]}
+    assert geo.interior_point(geo.thinned(shapes)).filter("px IS NULL").count() == 0
 
 
 def test_shared_unit_stops(spark):
