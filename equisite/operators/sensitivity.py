@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from equisite.functions.classify import stability
 from equisite.functions.numbers import E9, div
-from equisite.operators.allocation import conditions
+from equisite.operators.allocation import conditions, optimal
 from equisite.operators.index import need_by_vector
+from equisite.plans.session import materialise
 
 PPM = 1_000_000
 
@@ -76,45 +77,38 @@ def sample_draws(draws: DataFrame, runs: int, seed: int) -> DataFrame:
     return draws.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("draw").cast("string"))), "draw").limit(runs)
 
 
-def solved_by_draw(base: DataFrame, draws: DataFrame, ids: Sequence[int], budget: int, cap: int, floor: int,
-                   objective: str = "gain_neutral") -> DataFrame:
-    """Every unit under every draw: need, rank (1 is the highest need, ties in unit order) and whether it is picked.
-
-    Units x draws are dealt once, by draw; rank and picks are windows over that one shuffle. Whether the problem is
-    feasible depends on the candidates alone, so it is decided once. Nothing of this size leaves the plan: callers
-    aggregate it.
-    """
+def dealt_by_draw(base: DataFrame, draws: DataFrame, ids: Sequence[int], objective: str = "gain_neutral") -> DataFrame:
+    """Every unit under every draw, dealt by draw: the one shuffle of units x draws, which ranks and picks share."""
     by = {"gain_neutral": "catchment_norm", "gain_population": f"{E9}"}
     if objective not in by:
         raise ValueError(f"unknown objective: {objective}")
     need = need_by_vector(spread(base), draws, ids, keep=["grp", "zone", "catchment_norm", "rural_population"])
     gain = f"need_e9 * least(catchment_norm, rural_population) div {by[objective]}"
-    dealt = need.selectExpr("draw", "unit_id", "grp", "zone", "need_e9", f"{gain} AS gain").repartition("draw")
-    feasible = conditions(base, budget, cap, floor, ()).select("feasible")
-    best = [F.col("gain").desc(), "unit_id"]
-
-    def number(keys: Sequence[str], *order) -> Column:
-        return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-
-    ranked = (dealt.withColumn("rank", number(["draw"], F.col("need_e9").desc(), "unit_id").cast("long"))
-              .withColumn("_g", number(["draw", "grp"], *best))
-              .withColumn("_z", number(["draw", "zone"], F.col("_g") > cap, *best))
-              .withColumn("_out", (F.col("_g") > cap) | (F.col("_z") > budget))
-              .withColumn("_k", number(["draw"], "_out", F.col("_z") > floor, *best)))
-    feasible_row = feasible.select(F.coalesce("feasible", F.lit(False)).alias("feasible"))
-    return ranked.crossJoin(F.broadcast(feasible_row)).select(
-        "draw", "unit_id", "need_e9", "gain", "rank", "feasible",
-        (F.col("feasible") & ~F.col("_out") & (F.col("_k") <= budget)).alias("picked"))
-
-
-def per_draw(solved: DataFrame, top_n: int) -> DataFrame:
-    """One row per draw: extremes and mean of need, total gain of the picks, id sums of the picks and of the top."""
-    return solved.groupBy("draw").agg(
+    return need.selectExpr("draw", "unit_id", "grp", "zone", "need_e9", f"{gain} AS gain").repartition("draw")
+
+
+def ranked_by_draw(dealt: DataFrame) -> DataFrame:
+    """Unique 1-based rank per draw; rank 1 is the highest need, ties in unit order."""
+    place = F.row_number().over(Window.partitionBy("draw").orderBy(F.col("need_e9").desc(), "unit_id"))
+    return dealt.withColumn("rank", place.cast("long"))
+
+
+def picked_by_draw(dealt: DataFrame, base: DataFrame, budget: int, cap: int, floor: int) -> DataFrame:
+    """The optimum of every draw; after the first window a draw has ``cap`` rows per group.
+
+    Whether the problem is feasible depends on the candidates alone, so it is decided once for all draws.
+    """
+    return optimal(dealt, budget, cap, floor, keys=["draw"], facts=conditions(base, budget, cap, floor, ()))
+
+
+def per_draw(dealt: DataFrame, picks: DataFrame, top_n: int) -> DataFrame:
+    """One row per draw: extremes and mean of need, the top's ids by place, number, gain and ids of the picks."""
+    need = ranked_by_draw(dealt).groupBy("draw").agg(
         F.count("*").alias("units"), F.min("need_e9").alias("least_need_e9"), F.max("need_e9").alias("most_need_e9"),
-        div(F.sum("need_e9"), F.count("*")).alias("mean_need_e9"), F.count_if("picked").alias("picks"),
-        F.sum(F.when(F.col("picked"), F.col("gain")).otherwise(0)).alias("gain"),
-        F.sum(F.when(F.col("picked"), F.col("unit_id")).otherwise(0)).alias("picked_ids"),
+        div(F.sum("need_e9"), F.count("*")).alias("mean_need_e9"),
         F.sum(F.when(F.col("rank") <= top_n, F.col("unit_id") * F.col("rank")).otherwise(0)).alias("top_ids"))
+    chosen = picks.groupBy("draw").agg(F.count("*").alias("picks"), F.sum("gain").alias("gain"), F.sum("unit_id").alias("picked_ids"))
+    return need.join(chosen, "draw", "left")
 
 
 def need_band(base: DataFrame, draws: DataFrame, ids: Sequence[int]) -> DataFrame:
@@ -130,29 +124,30 @@ def need_band(base: DataFrame, draws: DataFrame, ids: Sequence[int]) -> DataFram
                     F.round(F.col("_q")[1] / 1000).cast("long").alias("p95_need_e6")))
 
 
-def stability_of(solved: DataFrame, top_n: int) -> DataFrame:
-    """One row per unit: its ranks over all draws, the solved draws (``runs``) and those that pick it."""
-    return solved.groupBy("unit_id").agg(
+def rank_stability(ranked: DataFrame, top_n: int) -> DataFrame:
+    return ranked.groupBy("unit_id").agg(
         F.count_if(F.col("rank") <= top_n).alias("times_in_top_n"),
         div(F.sum("rank") * 100, F.count("*")).alias("mean_rank_centi"),
-        F.min("rank").alias("best_rank"), F.max("rank").alias("worst_rank"),
-        F.count_if("picked").alias("times_allocated"), F.count_if("feasible").alias("runs"))
+        F.min("rank").alias("best_rank"), F.max("rank").alias("worst_rank"))
 
 
-def with_class(units: DataFrame) -> DataFrame:
-    """Class of every unit by the share of draws that pick it."""
-    return units.withColumn("classification", stability(F.col("times_allocated"), F.col("runs")))
+def alloc_stability(base: DataFrame, picks: DataFrame) -> DataFrame:
+    """Share of solved draws that select each unit, and its class; picks are a budget of rows per draw."""
+    times = picks.groupBy("unit_id").agg(F.count("*").alias("times_allocated"))
+    runs = picks.select("draw").distinct().agg(F.count("*").alias("runs"))
+    joined = base.select("unit_id").join(times, "unit_id", "left").crossJoin(F.broadcast(runs))
+    t = F.coalesce("times_allocated", F.lit(0))
+    return joined.select("unit_id", "runs", t.alias("times_allocated"), stability(t, F.col("runs")).alias("classification"))
 
 
 def regime(name: str, base: DataFrame, draws: DataFrame, ids: Sequence[int], top_n: int, budget: int, cap: int,
            floor: int, objective: str = "gain_neutral", runs: int | None = None, seed: int = 42) -> DataFrame:
     """One regime's full table. ``runs`` limits the re-solved draws; by default all are solved."""
-    units = stability_of(solved_by_draw(base, draws, ids, budget, cap, floor, objective), top_n)
-    if runs is not None:
-        few = stability_of(solved_by_draw(base, sample_draws(draws, runs, seed), ids, budget, cap, floor, objective), top_n)
-        units = units.drop("times_allocated", "runs").join(few.select("unit_id", "times_allocated", "runs"), "unit_id")
-    return (need_band(spread(base), draws, ids).join(with_class(units), "unit_id")
-            .withColumn("regime", F.lit(name)))
+    dealt = dealt_by_draw(base, draws, ids, objective)
+    solved = dealt if runs is None else dealt_by_draw(base, sample_draws(draws, runs, seed), ids, objective)
+    picks = materialise(picked_by_draw(solved, base, budget, cap, floor).select("draw", "unit_id"), "picks")
+    return (need_band(spread(base), draws, ids).join(rank_stability(ranked_by_draw(dealt), top_n), "unit_id")
+            .join(alloc_stability(base, picks), "unit_id").withColumn("regime", F.lit(name)))
 
 
 def confidence(picks: DataFrame, sens: DataFrame) -> DataFrame:

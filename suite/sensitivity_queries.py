@@ -87,8 +87,14 @@ def draws(d, kind, n=DRAWS):
     return sn.centred_draws(ids, IDS, ALPHAS, cfg.SEED)
 
 
-def solved(d, kind, n=DRAWS):
-    return sn.solved_by_draw(base(d), draws(d, kind, n), IDS, BUDGET, CAP, FLOOR)
+def dealt(d, kind, n=DRAWS):
+    return sn.dealt_by_draw(base(d), draws(d, kind, n), IDS)
+
+
+def stable_picks(d, kind):
+    """Picks of every draw, written: they are read twice and have a budget of rows per draw."""
+    picks = sn.picked_by_draw(dealt(d, kind), base(d), BUDGET, CAP, FLOOR).select("draw", "unit_id", "gain")
+    return materialise(picks, "picks")
 
 
 def sensitivity(d, n=DRAWS):
@@ -118,7 +124,7 @@ def _(d):
       SELECT draw, count(*) AS picks, CAST(sum(gain) AS BIGINT) AS gain, CAST(sum(unit_id) AS BIGINT) AS picked_ids FROM uni_opt GROUP BY 1) p USING (draw)
     GROUP BY draw""", **_SENS))
 def _(d):
-    return sn.per_draw(solved(d, "uniform"), TOP_N)
+    return sn.per_draw(dealt(d, "uniform"), stable_picks(d, "uniform"), TOP_N)
 
 
 @register("need_band", sql("SELECT * FROM uni_band", **_SENS))
@@ -128,13 +134,12 @@ def _(d):
 
 @register("rank_stability", sql("SELECT * FROM uni_stab", **_SENS))
 def _(d):
-    return sn.stability_of(solved(d, "uniform"), TOP_N).drop("times_allocated", "runs")
+    return sn.rank_stability(sn.ranked_by_draw(dealt(d, "uniform")), TOP_N)
 
 
 @register("alloc_stability", sql("SELECT * FROM cen_alloc", **_SENS))
 def _(d):
-    return sn.with_class(sn.stability_of(solved(d, "centred"), TOP_N)).select(
-        "unit_id", "runs", "times_allocated", "classification")
+    return sn.alloc_stability(base(d), stable_picks(d, "centred"))
 
 
 @register("classify", sql("""SELECT unit_id, CASE WHEN 20 * t > 19 * r THEN 'robust' WHEN 20 * t < r THEN 'excluded' ELSE 'contested' END AS classification
@@ -250,7 +255,7 @@ def _(d):
     FROM wi_opt o LEFT JOIN cen_alloc s USING (unit_id)""", **_WHATIF, **{k: v for k, v in _SENS.items() if k != "fx_base"}))
 def _(d):
     picks = wf.solve(rescored(d), _W_BUDGET, _W_CAP, _W_FLOOR).select("unit_id", "need_e9")
-    stored = sn.with_class(sn.stability_of(solved(d, "centred"), TOP_N))
+    stored = sn.alloc_stability(base(d), stable_picks(d, "centred"))
     return wf.with_confidence(picks, stored.withColumn("regime", F.lit("centred")))
 
 

@@ -42,8 +42,9 @@ def test_rank_and_picks_of_a_draw(spark):
     rows = [(1, 100, "g", "z", 10, 10), (2, 900, "g", "z", 10, 10), (3, 500, "h", "z", 10, 10), (4, 500, "h", "z", 10, 10)]
     base = spark.createDataFrame(rows, "unit_id long, p1 long, grp string, zone string, catchment_norm long, rural_population long")
     draws = spark.createDataFrame([(0, 1_000_000)], "draw long, w1 long")
-    got = {r["unit_id"]: (r["rank"], r["picked"]) for r in sn.solved_by_draw(base, draws, [1], 2, 1, 1).collect()}
-    assert got == {1: (4, False), 2: (1, True), 3: (2, True), 4: (3, False)}
+    dealt = sn.dealt_by_draw(base, draws, [1])
+    assert {r["unit_id"]: r["rank"] for r in sn.ranked_by_draw(dealt).collect()} == {1: 4, 2: 1, 3: 2, 4: 3}
+    assert {r["unit_id"] for r in sn.picked_by_draw(dealt, base, 2, 1, 1).collect()} == {2, 3}
 
 
 def test_sensitivity_identities(spark, small):
@@ -67,8 +68,9 @@ def test_gamma_draws_match_the_distribution(spark):
 
 def test_infeasible_draws_are_not_runs(spark, small):
     d = domain(spark, small)
-    units = sn.stability_of(sn.solved_by_draw(sq.base(d), sq.draws(d, "uniform", 5), IDS, 40, 1, 1), 25)
-    assert {(r["runs"], r["times_allocated"], r["classification"]) for r in sn.with_class(units).collect()} == {(0, 0, "excluded")}
+    b = sq.base(d)
+    picks = sn.picked_by_draw(sn.dealt_by_draw(b, sq.draws(d, "uniform", 5), IDS), b, 40, 1, 1)
+    assert {(r["runs"], r["times_allocated"], r["classification"]) for r in sn.alloc_stability(b, picks).collect()} == {(0, 0, "excluded")}
 
 
 def test_sampled_draws_are_fixed(spark, small):
