@@ -150,12 +150,18 @@ def shingle_sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return map_batches(rows, "sid binary, n bigint, shingles binary", make)
 
 
-def shared(nodes: DataFrame) -> DataFrame:
-    """(node, sid, members) of the nodes with at least two sets; of nodes with the same members one is enough."""
+def shared(nodes: DataFrame, small: int, last: bool) -> DataFrame:
+    """(node, sid, members) of the nodes with at least two sets.
+
+    Nodes that are solved as they are give the same links if they have the same members: of these one is enough. A large
+    node that is still to be split stays, whatever others hold: it draws functions of its own, and the recall counts on
+    these repetitions.
+    """
     h = F.xxhash64("sid")
+    own = F.lit(None).cast("long") if last else F.when(F.col("members") > small, F.col("node"))
     stats = (nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(h).alias("_x"),
                                        F.sum(F.shiftright(h, 32)).alias("_y")).filter("members > 1")
-             .groupBy("members", "_x", "_y").agg(F.min("node").alias("node")).select("node", "members"))
+             .groupBy("members", "_x", "_y", own.alias("_own")).agg(F.min("node").alias("node")).select("node", "members"))
     return nodes.join(stats, "node")
 
 
@@ -347,7 +353,7 @@ def join(docs: DataFrame, recall: float = TARGET_RECALL, depth: int = DEPTH, sma
     ids = materialise(sets_of(docs, runs_for(recall, depth)), "set-ids")
     copies = ids.filter("sid IS NOT NULL").groupBy("sid").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id"))
     nodes = ids.filter("sid IS NOT NULL").select("sid", F.explode("nodes").alias("node")).distinct()
-    level = materialise(shared(nodes), "nodes")
+    level = materialise(shared(nodes, small, depth == 1), "nodes")
     wanted = level.select("sid").distinct().join(copies, "sid").select("sid", "doc_id")
     sets = materialise(shingle_sets(wanted, docs), "sets")
     edges = brute_force(level.filter(F.col("members") <= small), sets)
@@ -355,7 +361,7 @@ def join(docs: DataFrame, recall: float = TARGET_RECALL, depth: int = DEPTH, sma
         large = level.filter(F.col("members") > small)
         if large.isEmpty():
             break
-        level = materialise(shared(split(large, sets, number)), "nodes")
+        level = materialise(shared(split(large, sets, number), small, number == depth - 1), "nodes")
         edges = edges.unionByName(brute_force(level.filter(F.col("members") <= small), sets))
     else:
         edges = edges.unionByName(brute_force_blocks(level.filter(F.col("members") > small), sets))

@@ -90,6 +90,19 @@ def test_jaccard_large_group_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.class_id, r.n_links) for r in rows} == brute_classes(texts)
 
 
+def test_jaccard_families_of_a_large_group(spark):
+    """Two families of 170 template texts each, linked by twins only: large nodes with equal members are repetitions."""
+    def text(family, k):
+        words = [f"a20x{i}" for i in range(300)]
+        words[10:34] = [f"{family}20_{i}" for i in range(24)]
+        for j in range(8):
+            words[100 + 20 * j] = f"v20y{j}z{k >> j & 1}"
+        return " ".join(words)
+
+    docs = spark.createDataFrame([(170 * f + k, text("pq"[f], k)) for f in range(2) for k in range(170)], "doc_id bigint, text string")
+    assert {r.class_id for r in chosen_path.join(docs).collect()} == {0}
+
+
 def test_recall_of_runs():
     assert 1 - (1 - chosen_path.survival(chosen_path.DEPTH)) ** chosen_path.runs_for(0.999) >= 0.999
 
