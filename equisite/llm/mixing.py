@@ -39,11 +39,11 @@ GOLDEN = 1_327_217_885
 """POINTS divided by the golden ratio, odd: the points visit every value once."""
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, _order): size in words, and the place in the shuffled order of the source."""
+def sized(docs: DataFrame, extra: tuple = ()) -> DataFrame:
+    """(doc_id, source, size, _order, *extra): size in words, and the place in the shuffled order of the source."""
     words = F.expr(r"coalesce(regexp_count(text, '[^\\x20\\x09-\\x0D]+'), 0)").cast("long")
     seed = F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
-    return docs.select("doc_id", "source", words.alias("size"), F.md5(seed.cast("binary")).alias("_order"))
+    return docs.select("doc_id", "source", words.alias("size"), F.md5(seed.cast("binary")).alias("_order"), *extra)
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, total_pct: int = TOTAL_PCT, epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -71,19 +71,19 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, total_pct: int = TOTAL_P
     return ranked.withColumn("_first", first).select("source", "_s", "weight", "source_size", target.alias("target"))
 
 
-def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
+def placed(sizes: DataFrame, sources: DataFrame, extra: tuple = ()) -> DataFrame:
     """Documents with their interval [_start, _start + size) in the shuffled row of their source."""
     rows = sizes.withColumn("_bucket", F.substring("_order", 1, 3))
     buckets = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     before = W.partitionBy("source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (buckets.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
                .drop("_sum").withColumnRenamed("source", "_source").withColumnRenamed("_bucket", "_b"))
-    inside = W.partitionBy("source", "_bucket").orderBy("_order", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "_bucket").orderBy("_order", "size", *extra).rowsBetween(W.unboundedPreceding, -1)
     ranked = rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     return (ranked.join(offsets, ranked.source.eqNullSafe(offsets._source) & (ranked._bucket == offsets._b))
             .withColumn("_start", F.col("_offset") + F.col("_inside"))
             .join(sources.withColumnRenamed("source", "_key"), F.col("source").eqNullSafe(F.col("_key")))
-            .select("doc_id", "source", "_s", "size", "_start", "source_size", "target"))
+            .select("doc_id", "source", "_s", "size", "_start", "source_size", "target", *extra))
 
 
 def slots(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
@@ -123,11 +123,11 @@ def slots(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
                         "_goal - (_rank div _blocks) * source_size) AS _upto"))
 
 
-def pieces(docs: DataFrame, block: int = BLOCK_WORDS, **rules) -> tuple[DataFrame, DataFrame]:
+def pieces(docs: DataFrame, block: int = BLOCK_WORDS, extra: tuple = (), **rules) -> tuple[DataFrame, DataFrame]:
     """The placed documents, one row per block that they touch, and the schedule."""
-    sizes = sized(docs)
+    sizes = sized(docs, extra)
     sources = targets(sizes, **rules)
-    cut = placed(sizes, sources).withColumn("_block", F.explode_outer(F.expr(
+    cut = placed(sizes, sources, extra).withColumn("_block", F.explode_outer(F.expr(
         f"if(size > 0, sequence(_start div {block}, (_start + size - 1) div {block}), cast(array() AS array<bigint>))")))
     return cut, slots(sources, block)
 
@@ -141,28 +141,36 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, **rules) -> DataFrame:
         (begin - F.col("_start")).alias("first_word"), (end - begin).alias("n_words")).filter("n_words > 0"))
 
 
-def taken(docs: DataFrame, block: int = BLOCK_WORDS, **rules) -> DataFrame:
+def taken(docs: DataFrame, block: int = BLOCK_WORDS, extra: tuple = (), **rules) -> DataFrame:
     """One row per document: size, size and target of its source, words that the mix takes from it."""
-    cut, plan = pieces(docs, block, **rules)
+    cut, plan = pieces(docs, block, extra, **rules)
     overlap = F.least("_upto", F.col("_start") + F.col("size")) - F.greatest("_from", "_start")
     words = F.when(F.col("_from").isNotNull(), F.greatest(overlap, F.lit(0)))
-    key = ["doc_id", "_s", "_start", "size", "source_size", "target"]
+    key = ["doc_id", "_s", "_start", "size", "source_size", "target", *extra]
     # rows of size 0 may share a start, and have no block: they never meet the schedule
-    empty = cut.filter("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+    empty = cut.filter("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), *extra)
     return (cut.filter("size > 0").join(plan, ["_s", "_block"], "left").groupBy(*key)
             .agg(F.coalesce(F.sum(words), F.lit(0)).alias("taken"))
-            .select("doc_id", "size", "source_size", "target", "taken").unionByName(empty))
+            .select("doc_id", "size", "source_size", "target", "taken", *extra).unionByName(empty))
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
+def mixed_documents(docs: DataFrame, **rules) -> DataFrame:
     """The mix as rows of the documents table: a document stands as often as the mix takes it.
 
-    The one document of a source that is taken in part stands with its first words, joined by blanks.
+    The one document of a source that is taken in part stands with its first words, joined by blanks. A row is known by
+    two hashes of all that it holds, nulls included, not by its id: rows that are equal throughout share their takings.
     """
-    got = taken(docs).filter("taken > 0").select("doc_id", "taken", "size").distinct()
-    joined = docs.select("doc_id", "text", "lang", "source").join(got, "doc_id")
+    columns = ["doc_id", "text", "lang", "source"]
+    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in columns])
+    row = ("_row_a", "_row_b")
+    named = docs.select(*columns, *[F.xxhash64(F.lit(seed), nulls, *columns).alias(c) for seed, c in enumerate(row)])
+    # a source has one last document in part, so equal rows have one remainder among them
+    got = (taken(named, extra=row, **rules).filter("taken > 0").groupBy(*row, "size")
+           .agg(F.expr("sum(taken div size)").alias("_whole"), F.expr("sum(taken % size)").alias("_rest")))
+    first = W.partitionBy(*row).orderBy(F.lit(0))
+    joined = named.withColumn("_r", F.row_number().over(first)).filter("_r = 1").join(got, list(row))
     copies = joined.withColumn("_n", F.explode(F.expr(
-        "transform(sequence(1, cast(ceil(taken / size) AS int)), i -> least(size, taken - (i - 1) * size))")))
+        "concat(array_repeat(size, cast(_whole AS int)), if(_rest > 0, array(_rest), cast(array() AS array<bigint>)))")))
     part = F.expr(r"array_join(slice(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0), 1, cast(_n AS int)), ' ')")
     text = F.when(F.col("_n") == F.col("size"), F.col("text")).otherwise(part)
     return copies.select("doc_id", text.alias("text"), "lang", "source", F.char_length(text).cast("long").alias("n_chars"))

@@ -287,6 +287,19 @@ def test_mix_keeps_shares_everywhere(spark, small):
             assert all(abs(got[s] / seen - share[s] / total) < 0.03 for s in share)
 
 
+def test_mix_has_rows_without_id_and_rows_that_repeat_an_id(spark):
+    """Every row is taken exactly twice: weights that no source reaches leave both at their bound."""
+    texts = [(None, "a b c", "s"), (None, "d e f", "s"), (None, "g", None), (None, None, "s"), (1, "h i", "s"), (1, "j k", "s"),
+             (1, "l m n o", "s"), (2, "p", "t"), (2, "p", "t"), (3, "q r", "t")]
+    docs = spark.createDataFrame([(k, t, "en", s) for k, t, s in texts], "doc_id bigint, text string, lang string, source string")
+    rows = mixing.mixed_documents(docs, total_pct=1000).collect()
+    want = Counter((k, t, s) for k, t, s in texts if t for _ in range(2))
+    assert Counter((r.doc_id, r.text, r.source) for r in rows) == want
+    # a share of the words: each row as often as its taken words say, the last one in part
+    words = sum(len(r.text.split()) for r in mixing.mixed_documents(docs).collect())
+    assert words == sum(r.taken for r in mixing.taken(docs).collect()) > 0
+
+
 def test_line_bitmaps_are_sparse(spark):
     line = "the very same line of text"
     docs = spark.createDataFrame([(i, "\n".join([f"own {i}"] * 70 + [line])) for i in range(4)], "doc_id bigint, text string")
