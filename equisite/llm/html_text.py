@@ -37,7 +37,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
                      "pre section table ul".split())
 SAME_CLOSES = frozenset("p li dt dd tr td th option".split())
-BARRED = frozenset("nav footer aside form button dialog menu noscript fieldset input address".split())
+BARRED = frozenset("nav footer aside button dialog menu noscript input".split())
+DOUBTED = frozenset("form fieldset address".split())
 HOME = frozenset("article main".split())
 BAD_WORDS = frozenset(
     "nav navbar navigation menu footer sidebar ad ads advert adverts advertisement advertising banner promo promotion "
@@ -45,27 +46,45 @@ BAD_WORDS = frozenset(
     "sharing social related recommended subscribe subscription newsletter breadcrumb breadcrumbs login signup signin popup "
     "modal overlay widget copyright legal toolbar pagination pager tags masthead disclaimer topbar search complementary "
     "contentinfo discussion disqus teaser outbrain taboola skip".split())
+OTHER_WORDS = frozenset("comment comments commentlist respond reply discussion disqus related recommended teaser outbrain taboola".split())
+"""Bad words for prose that is not the page's own."""
+BESIDE_WORDS = frozenset("has with no without and".split())
+WRAP_WORDS = frozenset("wrap wrapper container layout grid row columns area page site".split())
+"""A class that says what a page has beside its content, or that ends in a wrapper with content in it, is no bad word."""
 GOOD_WORDS = frozenset("article content post entry main story body text".split())
 NOTICES = ("cookie", "all rights reserved", "subscribe to", "sign up for", "privacy policy", "terms of", "©", "log in to",
            "click here", "enable javascript")
 
-BARRED_COST, BAD_COST, HOME_GAIN, GOOD_GAIN, HEADING_GAIN = 60, 60, 40, 12, 10
+BARRED_COST, DOUBT_COST, HOME_GAIN, GOOD_GAIN, HEADING_GAIN = 160, 100, 40, 12, 10
 LINK_COST, NOTICE_COST, SHORT_COST, WORDS_GAIN, STOP_GAIN = 40, 20, 12, 4, 6
 NEXT_TIE, SIBLING_TIE = 4, 6
+PROSE_CHARS, LEAST_LIFTED, FREE_SHARE = 40, 100, 5
+"""Characters of a prose block; of an element whose mark can be lifted; a page's free prose is little below one FREE_SHARE-th."""
 
 
 class Block:
-    __slots__ = ("text", "linked", "parent", "bad", "home", "good", "heading")
+    __slots__ = ("text", "linked", "parent", "bad", "doubts", "home", "good", "heading")
 
     def __init__(self, text, linked, at):
         self.text, self.linked = text, linked
-        _, self.parent, self.bad, self.home, self.good, self.heading, _ = at
+        _, self.parent, self.bad, self.home, self.good, self.heading, _, self.doubts = at
 
 
-def attributes(raw: str, barred: bool, inside_home: bool, tag: str) -> tuple[bool, bool]:
-    """Whether the words of an element speak against or for content."""
-    bad = barred or (tag == "header" and not inside_home)
-    good = False
+def bad_words(value: str) -> set[str]:
+    """The bad words of a class, id or role, name by name."""
+    out: set[str] = set()
+    for name in value.split():
+        words = [w for w in SPLIT.split(name) if w]
+        wraps = words and words[-1] in WRAP_WORDS and not GOOD_WORDS.isdisjoint(words)
+        if not wraps and BESIDE_WORDS.isdisjoint(words):
+            out |= BAD_WORDS.intersection(words)
+    return out
+
+
+def attributes(raw: str, inside_home: bool, tag: str) -> tuple[bool, bool, bool, bool, bool]:
+    """Whether an element is barred, is doubted, holds others' prose, is good, and is the main one."""
+    bad, good, main = tag in BARRED, False, tag == "main"
+    doubted, words = tag in DOUBTED or (tag == "header" and not inside_home), set()
     if raw and raw.strip("/ "):
         for name, value in ATTRIBUTE.findall(raw):
             name, value = name.lower(), value.strip("\"'").lower()
@@ -74,17 +93,18 @@ def attributes(raw: str, barred: bool, inside_home: bool, tag: str) -> tuple[boo
             elif name in ("hidden", "aria-hidden"):
                 bad |= value in ("", "hidden", "true") and (name == "hidden" or value == "true")
             elif name != "type":
-                words = set(SPLIT.split(value))
-                bad |= not words.isdisjoint(BAD_WORDS) and tag not in ("body", "html")
-                good |= not words.isdisjoint(GOOD_WORDS)
-    return bad, good
+                main |= name == "role" and value == "main"
+                words |= bad_words(value) if tag not in ("body", "html") else set()
+                good |= not GOOD_WORDS.isdisjoint(SPLIT.split(value))
+    return bad, doubted or bool(words), not words.isdisjoint(OTHER_WORDS), good, main
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     out: list[Block] = []
-    # tag, number, bad, home, good, heading, in a link: the marks hold for all that is inside
-    root = ("", 0, False, False, False, False, False)
+    # tag, number, bad, home, good, heading, in a link, doubted elements: the marks hold for all that is inside, but a main
+    # element leaves the doubts about its wrappers behind
+    root = ("", 0, False, False, False, False, False, ())
     stack, number, open_ = [root], 0, {}
     parts: list[str] = []
     linked = 0
@@ -139,15 +159,43 @@ def blocks_of(page: str) -> list[Block]:
         if tag in SAME_CLOSES and stack[-1][0] == tag:
             close(tag)
         top = stack[-1]
-        bad, good = attributes(m.group(3), tag in BARRED, top[3], tag)
+        bad, doubted, other, good, main = attributes(m.group(3), top[3], tag)
         number += 1
-        stack.append((tag, number, top[2] or bad, top[3] or tag in HOME, top[4] or good,
-                      top[5] or (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()), top[6] or tag == "a"))
+        doubts = (() if main else top[7]) + (((number, other),) if doubted and not main else ())
+        stack.append((tag, number, top[2] or bad, top[3] or main or tag in HOME, top[4] or good,
+                      top[5] or (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()), top[6] or tag == "a", doubts))
         open_[tag] = open_.get(tag, 0) + 1
     flush()
     return out
 
 
+def lift_doubts(blocks: list[Block]) -> None:
+    """Takes doubts back where the page has little prose besides.
+
+    While the prose outside doubted elements is little and in no article, the outermost doubted element with most prose
+    is a wrapper: its mark goes. Others' prose (comments, related pages) is lifted only if there is nothing else.
+    """
+    prose = [b for b in blocks if not b.bad and len(b.text) >= PROSE_CHARS and b.linked < 0.3
+             and not any(n in b.text.lower() for n in NOTICES if len(b.text) < 400)]
+    total = sum(len(b.text) for b in prose)
+    while True:
+        held: dict[tuple[int, bool], int] = {}
+        free, home = 0, False
+        for b in prose:
+            if b.doubts:
+                held[b.doubts[0]] = held.get(b.doubts[0], 0) + len(b.text)
+            else:
+                free += len(b.text)
+                home |= b.home
+        held = {d: n for d, n in held.items() if n >= LEAST_LIFTED and not (d[1] and free)}
+        if not held or home or FREE_SHARE * free >= total:
+            return
+        top = max(held, key=lambda d: (not d[1], held[d]))
+        for b in blocks:
+            if b.doubts and b.doubts[0] == top:
+                b.doubts = b.doubts[1:]
+
+
 def leaning(block: Block) -> int:
     """The classifier: cost of calling the block boilerplate less the cost of calling it content."""
     words = block.text.count(" ") + 1
@@ -157,7 +205,7 @@ def leaning(block: Block) -> int:
     score -= int(LINK_COST * min(1.0, block.linked))
     score -= NOTICE_COST * any(n in low for n in NOTICES)
     score += HOME_GAIN * block.home + GOOD_GAIN * block.good + HEADING_GAIN * block.heading
-    return score - BARRED_COST - BAD_COST - HOME_GAIN if block.bad else score
+    return score - BARRED_COST * block.bad - DOUBT_COST * (not block.bad and bool(block.doubts))
 
 
 def ties(blocks: list[Block]) -> dict[tuple[int, int], int]:
@@ -224,6 +272,7 @@ def minimum_cut(lean: list[int], edges: dict[tuple[int, int], int]) -> list[bool
 
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
+    lift_doubts(blocks)
     keep = minimum_cut([leaning(b) for b in blocks], ties(blocks))
     return "\n".join(b.text for b, k in zip(blocks, keep) if k)
 

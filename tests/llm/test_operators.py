@@ -213,6 +213,21 @@ def test_html_text(spark, small):
         assert r.text == "\n".join(x for x in want if x) and r.n_chars == len(r.text)
 
 
+PROSE = "".join(f"<p>Sentence {i} of the article goes on for a while, as sentences in articles do.</p>" for i in range(6))
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='content-sidebar-wrap'><main>{}</main><div class='sidebar'>{s}</div></div>",
+    "<div class='has-sidebar'>{}<div class='sidebar'>{s}</div></div>", "<div class='page-with-menu'><article>{}</article></div>",
+    "<form id=aspnet><div>{}</div><div class='sidebar'>{s}</div></form>", "<div class='sidebar layout'><article>{}</article></div>",
+    "<form><div class='post'>{}</div><section id=comments><article>{s}{s}{s}{s}{s}{s}{s}{s}{s}</article></section></form>",
+    "<article>{}</article><div class='sidebar'>{s}</div><div id='comments'>{s}{s}{s}{s}{s}{s}{s}{s}{s}{s}{s}{s}</div>"])
+def test_wrappers_keep_the_article(page):
+    other = "<p>Someone else wrote these words, which stand beside the article of this page.</p>"
+    text = html_text.main_text(f"<body><nav><a>Home</a></nav>{page.format(PROSE, s=other)}<footer>Imprint and the rest.</footer></body>")
+    assert text == "\n".join(re.findall("<p>(.*?)</p>", PROSE))
+
+
 def test_minimum_cut_is_minimal():
     rng = np.random.default_rng(3)
     for _ in range(60):
