@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from equisite.llm import chosen_path, fingerprints, html_text, language, line_dedup, mixing, packing, private_data, quality_classifier, quality_rules
+from equisite.llm import (anchor_tree, chosen_path, conversation, cover_tree, fingerprints, html_text, language, line_dedup, mixing, packing,
+                          private_data, quality_classifier, quality_rules)
 from equisite.llm.base import table
 
 QUERIES: dict = {}
@@ -69,3 +69,18 @@ def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.find(table(spark, sf_dir, "documents"))
+
+
+@query(cover_tree.oracle_sql())
+def op11_cover_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.join(table(spark, sf_dir, "embeddings"))
+
+
+@query(conversation.oracle_sql())
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.repair(table(spark, sf_dir, "conversations"))
+
+
+@query(anchor_tree.oracle_sql())
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_tree.mine(table(spark, sf_dir, "embeddings"))
