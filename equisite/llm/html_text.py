@@ -9,35 +9,43 @@ joined by line breaks.
 One narrow pass, page by page; memory is that of a page. Nothing is learned: the tables have no labelled pages, so the
 classifier's weights are the constants below.
 
-Defined cases: a null or empty page has the empty text; text without any tag is one block; unclosed tags, unknown
-character references and pages that end inside a tag are taken as browsers do; repeated rows get equal results; only
-page_id, url and html are read.
+Defined cases: a null or empty page has the empty text; text without any tag is one block; unclosed elements, empty comments,
+unknown character references and pages that end inside a tag are taken as browsers do; very long pages are read whole,
+in time that grows with their length; words of notices count in blocks below ``NOTICE_CHARS`` characters; repeated rows get
+equal results; an empty table gives an empty result; only page_id, url and html are read.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import deque
 
 from pyspark.sql import DataFrame
 
 from equisite.llm.base import map_batches
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
+START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+COMMENT_END = re.compile(r"-?>|.*?--!?>", re.S)
+TAIL = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
+"""The rest of a tag: quotes count after an equals sign only. Nothing is tried twice, so long pages take linear time."""
+
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden|type)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-OPEN_END = re.compile(r"<[!/?a-zA-Z][^<]*\Z", re.S)
 SPACE = re.compile(r"\s+")
 SPLIT = re.compile(r"[^a-z0-9]+")
 
-RAW = frozenset("script style template svg textarea title iframe object canvas math select option noembed".split())
+RAW = frozenset("script style textarea title iframe noembed".split())
+"""Without an end tag these hold the rest of the page, as in browsers."""
+SKIPPED = frozenset("template svg object canvas select datalist button".split())
+"""What these hold is left out where they end; they do not cut the sentence they stand in."""
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
-                   "strike strong sub sup time tt u var wbr img ruby rt rp".split())
+                   "strike strong sub sup time tt u var wbr img ruby rt rp "
+                   "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mspace mpadded semantics "
+                   "annotation".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
                      "pre section table ul".split())
-SAME_CLOSES = frozenset("p li dt dd tr td th option".split())
-BARRED = frozenset("nav footer aside button dialog menu noscript input".split())
+SAME_CLOSES = frozenset("p li dt dd tr td th".split())
+BARRED = frozenset("nav footer aside dialog menu noscript input".split())
 DOUBTED = frozenset("form fieldset address".split())
 HOME = frozenset("article main".split())
 BAD_WORDS = frozenset(
@@ -58,7 +66,7 @@ NOTICES = ("cookie", "all rights reserved", "subscribe to", "sign up for", "priv
 BARRED_COST, DOUBT_COST, HOME_GAIN, GOOD_GAIN, HEADING_GAIN = 160, 100, 40, 12, 10
 LINK_COST, NOTICE_COST, SHORT_COST, WORDS_GAIN, STOP_GAIN = 40, 20, 12, 4, 6
 NEXT_TIE, SIBLING_TIE = 4, 6
-PROSE_CHARS, LEAST_LIFTED, FREE_SHARE = 40, 100, 5
+PROSE_CHARS, LEAST_LIFTED, FREE_SHARE, NOTICE_CHARS = 40, 100, 5, 400
 """Characters of a prose block; of an element whose mark can be lifted; a page's free prose is little below one FREE_SHARE-th."""
 
 
@@ -123,10 +131,10 @@ def blocks_of(page: str) -> list[Block]:
             open_[stack.pop()[0]] -= 1
         open_[stack.pop()[0]] -= 1
 
-    at, end = 0, len(page)
+    at, end, endless = 0, len(page), set()
     while at < end:
-        m = TAG.search(page, at)
-        text = page[at:m.start()] if m else OPEN_END.sub("", page[at:])
+        m = START.search(page, at)
+        text = page[at:m.start()] if m else page[at:]
         if text:
             if not parts:
                 owner = next(s for s in reversed(stack) if s[0] not in INLINE)
@@ -135,23 +143,36 @@ def blocks_of(page: str) -> list[Block]:
                 linked += len(text)
         if not m:
             break
-        at = m.end()
-        if not m.group(2):
+        ending, tag = m.group(1), (m.group(2) or "").lower()
+        tail = COMMENT_END.match(page, m.end()) if m.group() == "<!--" else TAIL.match(page, m.end()) if tag else None
+        if tag == "" and m.group() != "<!--":
+            at = page.find(">", m.end()) + 1 or end
+            continue
+        if not tail:
+            break  # the page ends inside a tag or a comment
+        at = tail.end()
+        if not tag:
             continue
-        ending, tag = m.group(1), m.group(2).lower()
         if tag == "br":
             parts.append(" ")
             continue
+        if tag == "option":  # its end tag may be missing: the label goes, and nothing else
+            after = page.find("<", at)
+            at = at if ending else after if after >= 0 else end
+            continue
+        if tag in RAW or tag in SKIPPED:
+            if not ending and tag not in endless and not (tag in SKIPPED and tail.group(1).endswith("/")):
+                stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                if not stop:
+                    endless.add(tag)
+                at = stop.end() if stop else end if tag in RAW else at
+            continue
         if tag not in INLINE:
             flush()
         if ending:
             if open_.get(tag):
                 close(tag)
             continue
-        if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else end
-            continue
         if tag in VOID:
             continue
         if tag in CLOSES_P and open_.get("p"):
@@ -159,7 +180,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag in SAME_CLOSES and stack[-1][0] == tag:
             close(tag)
         top = stack[-1]
-        bad, doubted, other, good, main = attributes(m.group(3), top[3], tag)
+        bad, doubted, other, good, main = attributes(tail.group(1), top[3], tag)
         number += 1
         doubts = (() if main else top[7]) + (((number, other),) if doubted and not main else ())
         stack.append((tag, number, top[2] or bad, top[3] or main or tag in HOME, top[4] or good,
@@ -176,7 +197,7 @@ def lift_doubts(blocks: list[Block]) -> None:
     is a wrapper: its mark goes. Others' prose (comments, related pages) is lifted only if there is nothing else.
     """
     prose = [b for b in blocks if not b.bad and len(b.text) >= PROSE_CHARS and b.linked < 0.3
-             and not any(n in b.text.lower() for n in NOTICES if len(b.text) < 400)]
+             and not any(n in b.text.lower() for n in NOTICES if len(b.text) < NOTICE_CHARS)]
     total = sum(len(b.text) for b in prose)
     while True:
         held: dict[tuple[int, bool], int] = {}
@@ -199,7 +220,7 @@ def lift_doubts(blocks: list[Block]) -> None:
 def leaning(block: Block) -> int:
     """The classifier: cost of calling the block boilerplate less the cost of calling it content."""
     words = block.text.count(" ") + 1
-    low = block.text.lower() if len(block.text) < 400 else ""
+    low = block.text.lower() if len(block.text) < NOTICE_CHARS else ""
     score = WORDS_GAIN * min(words.bit_length(), 6) - SHORT_COST
     score += STOP_GAIN * (block.text[-1] in ".!?…。\"'”»:" or ". " in block.text)
     score -= int(LINK_COST * min(1.0, block.linked))
@@ -226,7 +247,8 @@ def minimum_cut(lean: list[int], edges: dict[tuple[int, int], int]) -> list[bool
     """Blocks on the content side of a minimum cut.
 
     A block leans to one terminal by the difference of its two capacities; flow goes from blocks that lean to content,
-    over the edges, to blocks that lean away, on shortest augmenting paths.
+    over the edges, to blocks that lean away. Distances from all sources are found once per phase, then flow is pushed
+    along falling distance until none gets through, every block remembering the arc it is at.
     """
     n = len(lean)
     left = list(lean)
@@ -234,40 +256,47 @@ def minimum_cut(lean: list[int], edges: dict[tuple[int, int], int]) -> list[bool
     for (a, b), c in edges.items():
         room[a][b] = room[a].get(b, 0) + c
         room[b][a] = room[b].get(a, 0) + c
-    if min(lean, default=0) < 0 < max(lean, default=0):
-        while True:
-            came = {i: -1 for i in range(n) if left[i] > 0}
-            queue, goal = deque(came), -1
-            while queue and goal < 0:
-                i = queue.popleft()
-                for j, c in room[i].items():
-                    if c and j not in came:
-                        came[j] = i
-                        if left[j] < 0:
-                            goal = j
-                            break
-                        queue.append(j)
-            if goal < 0:
-                break
-            path, i = [], goal
-            while came[i] >= 0:
-                path.append((came[i], i))
-                i = came[i]
-            amount = min(left[i], -left[goal], min(room[a][b] for a, b in path))
-            left[i] -= amount
-            left[goal] += amount
-            for a, b in path:
-                room[a][b] -= amount
-                room[b][a] += amount
-    content = [x > 0 for x in left]
-    queue = deque(i for i in range(n) if content[i])
-    while queue:
-        i = queue.popleft()
-        for j, c in room[i].items():
-            if c and not content[j]:
-                content[j] = True
-                queue.append(j)
-    return content
+    around = [list(r) for r in room]
+    while True:
+        front = [i for i in range(n) if left[i] > 0]
+        far = [-1] * n
+        for i in front:
+            far[i] = 0
+        found = False
+        while front and not found:
+            after = []
+            for i in front:
+                for j in around[i]:
+                    if far[j] < 0 and room[i][j]:
+                        far[j] = far[i] + 1
+                        found |= left[j] < 0
+                        after.append(j)
+            front = after
+        if not found:
+            return [x >= 0 for x in far]
+        arc = [0] * n
+        for source in range(n):
+            path = [source] if far[source] == 0 else []
+            while path and left[source] > 0:
+                i = path[-1]
+                if left[i] < 0:
+                    amount = min(left[source], -left[i], min(room[a][b] for a, b in zip(path, path[1:])))
+                    left[source] -= amount
+                    left[i] += amount
+                    for a, b in zip(path, path[1:]):
+                        room[a][b] -= amount
+                        room[b][a] += amount
+                    path = [source]
+                elif arc[i] == len(around[i]):
+                    path.pop()
+                    if path:
+                        arc[path[-1]] += 1
+                else:
+                    j = around[i][arc[i]]
+                    if room[i][j] and far[j] == far[i] + 1:
+                        path.append(j)
+                    else:
+                        arc[i] += 1
 
 
 def main_text(page: str | None) -> str:

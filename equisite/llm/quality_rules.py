@@ -4,7 +4,9 @@ A document goes through in one narrow pass (no shuffle): lines are judged one by
 removed, and the verdict compares the words that went with the words that were there.
 
 Defined cases: a null or empty text has one empty line and no words, so it fails the base rule; lines without
-a word are neither judged nor counted as loss; equal rows get equal results; other columns are left alone.
+a word are neither judged nor counted as loss; a very long text or line is judged whole; equal rows get equal results; an
+empty table gives an empty result. ``quality`` reads doc_id and text only, ``cleaned`` returns the five columns of the
+documents table and no others.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ MAX_LOSS_PCT = 30
 
 LONG_LINE = 30
 SHORT_LINE = 12
+"""Words of a line that a navigation or boilerplate phrase can fail; a longer line may speak of such things."""
 
 SCHEMA = ("doc_id bigint, n_words bigint, n_symbols bigint, word_chars bigint, n_dup_lines bigint, "
           "n_repeat_words bigint, base_failed boolean, n_lost_words bigint, n_lost_lines bigint, kept boolean")
@@ -66,7 +69,7 @@ def line_fails(line: str, n: int, upper) -> bool:
     if n >= 5 and 2 * len(upper.findall(line)) > n:
         return True  # shouting
     low = line.lower()
-    return (n <= SHORT_LINE and any(p in low for p in NAVIGATION)) or any(p in low for p in BOILERPLATE)
+    return n <= SHORT_LINE and any(p in low for p in NAVIGATION + BOILERPLATE)
 
 
 def judge_text(text: str | None, upper) -> tuple:
@@ -149,8 +152,7 @@ m AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
 j AS (SELECT r, n,
         4 * syms > n OR (bangs >= 3 AND 3 * bangs > n) OR (n >= {LONG_LINE} AND {count('line', STOPS)} = 0)
         OR (seps >= 2 AND 3 * seps >= n) OR (n >= 5 AND 2 * len(regexp_extract_all(line, '{UPPER_RUN}')) > n)
-        OR (n <= {SHORT_LINE} AND regexp_matches(lower(line), '{listed(NAVIGATION)}'))
-        OR regexp_matches(lower(line), '{listed(BOILERPLATE)}') AS bad,
+        OR (n <= {SHORT_LINE} AND regexp_matches(lower(line), '{listed(NAVIGATION + BOILERPLATE)}')) AS bad,
         row_number() OVER (PARTITION BY r, line ORDER BY pos) > 1 AS dup FROM m WHERE n > 0),
 d AS (SELECT r, count(*) FILTER (WHERE dup) AS n_dup_lines, coalesce(sum(n) FILTER (WHERE bad), 0)::BIGINT AS n_lost_words,
         count(*) FILTER (WHERE bad) AS n_lost_lines FROM j GROUP BY r),

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -200,6 +201,9 @@ PAGE = """<html><body class="page"><header class="top"><a href=/>Logo</a></heade
 <form><label>Name</label></form><footer>&copy; 2020 All rights reserved</footer></body></html>"""
 
 
+OPEN_END = re.compile(r"<[!/?a-zA-Z][^<]*\Z", re.S)
+
+
 def test_html_text(spark, small):
     assert html_text.main_text(PAGE).split("\n") == [
         "A title", "First & foremost, a paragraph of words.", "Second one, see this link for all.", "Quoted words stand here."]
@@ -208,7 +212,7 @@ def test_html_text(spark, small):
     pages = {r.page_id: r.html for r in table(spark, small, "pages").collect()}
     for r in rows:
         inner = re.search(r"<article>(.*?)(</article>|\Z)", pages[r.page_id], re.S)
-        want = [" ".join(x.split()) for x in re.split(r"</?(?:p|h1)>|<br>", html_text.OPEN_END.sub("", inner[1]))]
+        want = [" ".join(x.split()) for x in re.split(r"</?(?:p|h1)>|<br>", OPEN_END.sub("", inner[1]))]
         want = [" ".join(html_text.entities.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in want]
         assert r.text == "\n".join(x for x in want if x) and r.n_chars == len(r.text)
 
@@ -228,6 +232,30 @@ def test_wrappers_keep_the_article(page):
     assert text == "\n".join(re.findall("<p>(.*?)</p>", PROSE))
 
 
+LINE = "This sentence of the article goes on for a while, as sentences do."
+
+
+@pytest.mark.parametrize("page, lines", [
+    ("<p>{x}</p><datalist><option value=a></datalist><p>{x}</p>", ["{x}", "{x}"]), ("<p>{x}</p><datalist><option value=a>Red<p>{x}</p>", ["{x}", "{x}"]),
+    ("<p>{x}</p><select><option>Red<option>Blue</select><p>{x}</p>", ["{x}", "{x}"]), ("<p>{x} <svg width=1 /> {x}</p><p>{x}</p>", ["{x} {x}", "{x}"]),
+    ("<p>{x} If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then so.</p>", ["{x} If x=1 then so."]), ("<p>{x}<math/> {x}</p>", ["{x} {x}"]),
+    ("<p>{x}</p><!--><p>{x}</p>", ["{x}", "{x}"]), ("<p>{x}</p><!---><p>{x}</p><!-- <p>no</p> --!><p>{x}</p>", ["{x}", "{x}", "{x}"]),
+    ("<p don't>{x}</p><p>{x}</p>", ["{x}", "{x}"]), ("<p title='a > b' x=\"'\">{x}</p>", ["{x}"]), ("<p>{x}<svg><path></p><p>{x}</p>", ["{x}", "{x}"]),
+    ("<p>{x} Press <button>OK <b>now</b></button> to <script>'</p>'</script>go on.</p>", ["{x} Press to go on."]),
+    ("<!DOCTYPE html><?xml version='1'?><p>{x} 5 < 6 stays.</p><p", ["{x} 5 < 6 stays."])])
+def test_rest_of_the_page_stays(page, lines):
+    assert html_text.main_text(page.replace("{x}", LINE)).split("\n") == [x.replace("{x}", LINE) for x in lines]
+
+
+def test_long_pages_take_linear_time():
+    start = time.perf_counter()
+    many = "".join(f"<p>{LINE} {i}</p>" if i % 7 else f"<div><a href=x>link {i}</a></div>" for i in range(20_000))
+    assert html_text.main_text(many).count("\n") > 15_000
+    for junk in ("<a b'c ", '<a b="c ', "<svg>x ", "<!-- ", "</b <i = "):
+        html_text.main_text(junk * 20_000)
+    assert time.perf_counter() - start < 10
+
+
 def test_minimum_cut_is_minimal():
     rng = np.random.default_rng(3)
     for _ in range(60):
@@ -327,3 +355,11 @@ def test_rules_spare_clean_text():
     junk = "\n".join(f"home{i} | about{i} | contact{i} | login{i}" for i in range(30))
     upper = re.compile(quality_rules.UPPER_RUN)
     assert quality_rules.judge_text(clean, upper)[8] and not quality_rules.judge_text(junk, upper)[8]
+
+
+@pytest.mark.parametrize("phrase", quality_rules.BOILERPLATE + quality_rules.NAVIGATION)
+def test_long_clean_lines_may_speak_of_boilerplate(phrase):
+    upper = re.compile(quality_rules.UPPER_RUN)
+    recipe = ", ".join(f"step {i} takes flour{i} and butter{i}" for i in range(60)) + f" as the {phrase} says."
+    assert quality_rules.judge_text(recipe, upper)[6:9] == (0, 0, True)
+    assert quality_rules.line_fails(f"Please accept our {phrase} here.", 7, upper)
