@@ -14,9 +14,10 @@ links of a class are counted inside blocks. Equal sets are one set with a number
 Everything that is read twice is written to the shared folder, so a lost executor costs its tasks only.
 
 Defined cases: a null or empty text has no shingle and no link, it is a class of its own row; a text of one to four
-words has itself as its only shingle; texts with the same set are copies (similarity 1); a row without doc_id takes
-part as a copy but is never the sole carrier of a near link; rows that repeat count as copies; an empty table gives an
-empty result. Only doc_id and text are read, extra columns cannot clash.
+words has itself as its only shingle; texts with the same set are copies (similarity 1); a row is known by its doc_id and
+its text, so rows without an id and ids that stand on several texts take part like others (class_id is the least id of a
+class, null if none has one); rows that repeat count as copies; long texts are read whole; an empty table gives an empty
+result. Only doc_id and text are read, extra columns cannot clash.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from equisite.llm.base import WORD, arrow_schema, map_batches
+from equisite.llm.vectors import content_key
 from equisite.plans.session import materialise
 
 SHINGLE = 5
@@ -45,6 +47,9 @@ BLOCK_SHINGLES = 1_000_000
 BLOCK_SETS = 1500
 """Sets of such a block."""
 
+NO_ID = (1 << 63) - 1
+"""Stands for a null doc_id: after all others."""
+
 CACHE_WORDS = 300_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,13 +115,18 @@ def root_seeds(runs: int) -> np.ndarray:
     return mixed(np.arange(count, dtype=np.uint64), np.uint64(0x5EED))
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """Adds what a row is known by: ``_d`` (doc_id, null last) and ``_t`` (16 bytes of the text's content)."""
+    return docs.withColumn("_d", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("_t", content_key("text"))
+
+
 def sets_of(docs: DataFrame, runs: int) -> DataFrame:
-    """(doc_id, sid, n, nodes): set id (null: no words), number of shingles, node of every root function."""
+    """(_d, _t, sid, n, nodes): set id (null: no words), number of shingles, node of every root function."""
     def make():
         shingles, seeds = Shingles(), root_seeds(runs)[:, None]
 
         def step(batch):
-            out = {"doc_id": batch["doc_id"], "sid": [], "n": [], "nodes": []}
+            out = {"_d": batch["_d"], "_t": batch["_t"], "sid": [], "n": [], "nodes": []}
             for text in batch["text"]:
                 s = shingles.of(text)
                 out["n"].append(len(s))
@@ -127,11 +137,15 @@ def sets_of(docs: DataFrame, runs: int) -> DataFrame:
             return out
         return step
 
-    return map_batches(docs.select("doc_id", "text"), "doc_id bigint, sid binary, n bigint, nodes array<bigint>", make)
+    rows = with_row_key(docs.select("doc_id", "text")).select("_d", "_t", "text")
+    return map_batches(rows, "_d bigint, _t binary, sid binary, n bigint, nodes array<bigint>", make)
 
 
 def shingle_sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """(sid, n, shingles) for the (sid, doc_id) in ``wanted``; shingles as bytes of sorted 64-bit numbers."""
+    """(sid, n, shingles) for the (sid, _d, _t) in ``wanted``; shingles as bytes of sorted 64-bit numbers.
+
+    A row that is repeated is read once; rows without an id are first made one per text, which may stand on very many.
+    """
     def make():
         shingles = Shingles()
 
@@ -139,15 +153,16 @@ def shingle_sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
             out = {"sid": [], "n": [], "shingles": []}
             for sid, text in zip(batch["sid"], batch["text"]):
                 s = shingles.of(text)
-                if len(s) and set_id(s) == sid:  # an id may stand on several texts
-                    out["sid"].append(sid)
-                    out["n"].append(len(s))
-                    out["shingles"].append(s.tobytes())
+                out["sid"].append(sid)
+                out["n"].append(len(s))
+                out["shingles"].append(s.tobytes())
             return out
         return step
 
-    rows = docs.select("doc_id", "text").join(wanted, "doc_id").select("sid", "text")
-    return map_batches(rows, "sid binary, n bigint, shingles binary", make)
+    rows = with_row_key(docs.select("doc_id", "text")).select("_d", "_t", "text")
+    nameless = rows.filter(F.col("_d") == NO_ID).groupBy("_d", "_t").agg(F.any_value("text").alias("text"))
+    found = rows.filter(F.col("_d") != NO_ID).unionByName(nameless).join(wanted, ["_d", "_t"]).dropDuplicates(["_d", "_t"]).select("sid", "text")
+    return map_batches(found, "sid binary, n bigint, shingles binary", make)
 
 
 def shared(nodes: DataFrame, small: int, last: bool) -> DataFrame:
@@ -348,13 +363,14 @@ def components(edges: DataFrame, label: str = "label") -> DataFrame:
         now = new.select("sid", label)
 
 
-def join(docs: DataFrame, recall: float = TARGET_RECALL, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
-    """One row per document: doc_id, class_id (least doc_id of the class), n_links, n_copies."""
+def classified(docs: DataFrame, recall: float, depth: int, small: int) -> DataFrame:
+    """One row per document: _d, _t, sid, and of sets with a copy or a link copies, links and the first row of the class (head)."""
     ids = materialise(sets_of(docs, runs_for(recall, depth)), "set-ids")
-    copies = ids.filter("sid IS NOT NULL").groupBy("sid").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id"))
+    copies = (ids.filter("sid IS NOT NULL").groupBy("sid")
+              .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("_d", "_t")).alias("head")))
     nodes = ids.filter("sid IS NOT NULL").select("sid", F.explode("nodes").alias("node")).distinct()
     level = materialise(shared(nodes, small, depth == 1), "nodes")
-    wanted = level.select("sid").distinct().join(copies, "sid").select("sid", "doc_id")
+    wanted = level.select("sid").distinct().join(copies, "sid").select("sid", "head._d", "head._t")
     sets = materialise(shingle_sets(wanted, docs), "sets")
     edges = brute_force(level.filter(F.col("members") <= small), sets)
     for number in range(1, depth):
@@ -367,27 +383,35 @@ def join(docs: DataFrame, recall: float = TARGET_RECALL, depth: int = DEPTH, sma
         edges = edges.unionByName(brute_force_blocks(level.filter(F.col("members") > small), sets))
     labels = components(materialise(edges, "edges"))
     linked = labels.join(copies, "sid")
-    counted = count_links(linked.withColumnRenamed("label", "node").select("node", "sid", "copies"), sets)
-    groups = linked.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    near = (linked.join(groups, "label").join(counted, "sid").select("sid", "class_id", "copies", "links"))
+    counted = count_links(linked.select(F.col("label").alias("node"), "sid", "copies"), sets)
+    heads = linked.groupBy("label").agg(F.min("head").alias("_head"))
+    near = (linked.join(heads, "label").join(counted, "sid").select("sid", F.col("_head").alias("head"), "copies", "links"))
     alone = copies.filter("copies > 1").join(labels, "sid", "left_anti").select(
-        "sid", F.col("doc_id").alias("class_id"), "copies", F.lit(0).cast("long").alias("links"))
+        "sid", "head", "copies", F.lit(0).cast("long").alias("links"))
     known = materialise(near.unionByName(alone), "classes")
     # only sets with a copy or a link are looked up; a join that is skewed by copies can be split
-    return ids.select("doc_id", "sid").join(known, "sid", "left").select(
-        "doc_id", F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    return ids.select("_d", "_t", "sid").join(known, "sid", "left")
+
+
+def join(docs: DataFrame, recall: float = TARGET_RECALL, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
+    """One row per document: doc_id, class_id (least doc_id of the class), n_links, n_copies."""
+    def named(column: str):
+        return F.when(F.col(column) != NO_ID, F.col(column))
+
+    return classified(docs, recall, depth, small).select(
+        named("_d").alias("doc_id"), F.when(F.col("copies").isNull(), named("_d")).otherwise(named("head._d")).alias("class_id"),
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("copies", F.lit(1)).alias("n_copies"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents table with one document of each class, the one with the least id; of an id one row.
-
-    Rows without an id cannot be named by a class and stay.
-    """
+def one_of_each(docs: DataFrame, recall: float = TARGET_RECALL, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
+    """The documents table with one row of each class: the first by doc_id (nulls last), then by a hash of the text; of
+    equal rows of that id and text the one with the least lang and source. Rows without words are classes of their own and stay."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    heads = join(docs).filter("class_id = doc_id").select("doc_id").distinct()
-    first = W.partitionBy("doc_id").orderBy("text", "lang", "source")
-    kept = (docs.select(*columns).join(heads, "doc_id", "left_semi").withColumn("_r", F.row_number().over(first))
-            .filter("_r = 1").select(*columns))
-    return kept.unionByName(docs.filter("doc_id IS NULL").select(*columns))
+    found = classified(docs, recall, depth, small).filter("sid IS NOT NULL")
+    kept = found.filter(F.col("copies").isNull() | (F.struct("_d", "_t") == F.col("head"))).select("_d", "_t").distinct()
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    first = W.partitionBy("_d", "_t").orderBy("lang", "source", "n_chars")
+    rows = with_row_key(docs.select(*columns).filter(~wordless)).join(kept, ["_d", "_t"])
+    return (rows.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*columns)
+            .unionByName(docs.select(*columns).filter(wordless)))

@@ -1,10 +1,15 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and extra columns with clashing names."""
 
+import re
+from collections import Counter, defaultdict
+
+import duckdb
 import pytest
 
 import corpus_pipeline
 from equisite.llm import (chosen_path, fingerprints, html_text, language, line_dedup, mixing, packing, private_data,
-                          quality_classifier, quality_rules)
+                          quality_classifier, quality_rules, queries)
+from suite import check
 
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, _h1 string, _pos int, _s int, "
           "sid string, node int, size int, members string, slot int, label string, held_out string, taken int")
@@ -96,3 +101,71 @@ def test_stage(spark, docs, stage):
     if stage is not corpus_pipeline.STAGES[-1][1]:
         assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert out.count() > 0 and stage(spark, docs.limit(0), "").count() == 0
+
+
+def sets(text):
+    words = [w for w in re.split(r"[ \t-\r]+", text or "") if w]
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def near_classes(rows):
+    """Brute force over rows: (links, number of the class's first row) per row."""
+    of = [sets(t) for _, t, *_ in rows]
+    linked = [[j for j in range(len(rows)) if j != i and of[i] and 5 * len(of[i] & of[j]) >= 4 * len(of[i] | of[j])] for i in range(len(rows))]
+    label = list(range(len(rows)))
+    for _ in rows:
+        label = [min(label[j] for j in [i, *linked[i]]) for i in range(len(rows))]
+    return [len(x) for x in linked], label
+
+
+def prose(seed, words=60):
+    return " ".join(f"w{(seed * 7919 + i * 104729) % 9973}" for i in range(words))
+
+
+IDS = [(3, prose(1)), (5, prose(1) + " more"), (5, prose(2)), (None, prose(3)), (None, prose(3) + " x"), (7, prose(4)), (None, "y " + prose(4)),
+       (8, prose(5)), (8, prose(5)), (8, prose(5) + " z"), (None, None), (None, None), (9, ""), (9, None), (10, prose(6)), (None, prose(6)),
+       (None, prose(7)), (None, prose(7)), (11, "one two"), (12, "one  two"), (13, "one two three")]
+
+
+def test_near_rows_with_null_and_repeated_ids(spark):
+    rows = [(k, t, "en", f"s{i % 3}", len(t or "")) for i, (k, t) in enumerate(IDS)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(5)
+    links, label = near_classes(rows)
+    least = {c: min((k for (k, *_), x in zip(rows, label) if x == c and k is not None), default=None) for c in set(label)}
+    got = chosen_path.join(docs).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == Counter((k, least[c], n) for (k, *_), c, n in zip(rows, label, links))
+    kept = [tuple(r) for r in chosen_path.one_of_each(docs).collect()]
+    assert not Counter(kept) - Counter(rows) and len(kept) == len(set(label))
+    of_class = Counter(label[next(i for i, r in enumerate(rows) if r[:2] == k[:2])] for k in kept if sets(k[1]))
+    assert set(of_class.values()) == {1} and set(of_class) == {c for c, r in zip(label, rows) if sets(r[1])}
+    assert {k for k, *_ in kept if k} == {least[c] for c in set(label)} - {None}
+
+
+LINES = [(1, f"{LINE}\nown one"), (1, f"another own line that is long\nx\n{LINE} b"), (2, LINE), (3, f"{LINE}\n{LINE} b"), (None, f"{LINE}\nnull {LINE}"),
+         (None, f"{LINE} b\nanother own line that is long"), (None, None), (4, ""), (5, f"{LINE}\n{LINE}"), (5, f"{LINE}\n{LINE}"), (2, f"null {LINE}"),
+         (9, f"null {LINE}\r"), (9, f"x\n  {LINE.upper()}\t\n"), (9, None), (-1, f"null {LINE}")]
+
+
+def test_lines_of_null_and_repeated_ids(spark, tmp_path):
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in LINES], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert check.compare(spark, con, str(tmp_path), queries.QUERIES["op7_line_dedup"], line_dedup.oracle_sql()) == f"ok {len(LINES)}"
+    least = -1 << 62
+
+    def key(line):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\v\f\r"))
+    held = defaultdict(set)
+    for k, t in LINES:
+        for line in (t or "").split("\n"):
+            held[key(line)].add(least if k is None else k)
+    gone = {x: max(v) for x, v in held.items() if len(x) >= 20 and len(v) >= 3}
+    want = [(k, "\n".join(x for x in (t or "").split("\n") if gone.get(key(x), k or (least if k is None else k)) == (least if k is None else k)))
+            for k, t in LINES]
+    assert Counter((r.doc_id, r.text) for r in line_dedup.cleaned(docs).collect()) == Counter(want)
+
+
+def test_line_order_is_read(spark, docs):
+    plan = line_dedup.runs_of(line_dedup.hashed_lines(docs))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window") < plan.index("Sort") < plan.index("rangepartitioning")
