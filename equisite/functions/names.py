@@ -89,6 +89,51 @@ def position_masks(text: Column | str) -> Column:
                   F.map_from_arrays(distinct, F.transform(distinct, mask)))
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_bag(text: Column | str) -> Column:
+    """A whole number with two bits for every letter: one copy, at least two copies."""
+    s = F.col(text) if isinstance(text, str) else text
+    bits = F.lit(0).cast("long")
+    for at, letter in enumerate(LETTERS):
+        copies = F.length(s) - F.length(F.replace(s, F.lit(letter), F.lit("")))
+        bits = bits.bitwiseOR(F.when(copies >= 2, F.lit(3 << 2 * at)).when(copies == 1, F.lit(1 << 2 * at)).otherwise(F.lit(0)))
+    return bits
+
+
+def similarity_bound(left_length: Column, left_bag: Column, right_length: Column, right_bag: Column) -> Column:
+    """What ``similarity_e4`` can be at most: common letters by their bags, and all that the bags leave out as common."""
+    known = F.bit_count(left_bag.bitwiseAND(right_bag))
+    left_over, right_over = left_length - F.bit_count(left_bag), right_length - F.bit_count(right_bag)
+    common = F.least(known + F.least(left_over, right_over), left_length, right_length)
+    whole = left_length + right_length
+    return F.when(whole == 0, F.lit(1_000_000).cast("long")).otherwise(
+        F.call_function("div", common.cast("long") * 2_000_000, F.greatest(whole, F.lit(1))))
+
+
+def bigrams(text: Column | str) -> Column:
+    """Neighbouring characters with the number of their copy, so that common copies are counted as equal elements."""
+    s = F.col(text) if isinstance(text, str) else text
+    pairs = F.when(F.length(s) >= 2, F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substr(s, i, F.lit(2)))).otherwise(
+        F.array().cast("array<string>"))
+    return F.transform(pairs, lambda g, i: F.concat(g, F.size(F.filter(F.slice(pairs, F.lit(1), i + 1), lambda x: x == g)).cast("string")))
+
+
+def least_common_bigrams(length: Column, score_e4: Column) -> Column:
+    """Bigrams that a name of ``length`` shares at least with any name of this similarity or more.
+
+    A common subsequence of L characters leaves the left name by a - L deletions, each of which ends two bigrams at most, and
+    becomes the right one by b - L insertions, each of which ends one: 3 L - a - b - 1 are shared. The shortest right name
+    that allows the similarity is the worst case, as long as the similarity is above two thirds.
+    """
+    score = score_e4.cast("long")
+    shortest = F.call_function("div", score * length + 1_999_999 - score, F.lit(2_000_000) - score)
+    whole = length + shortest
+    needed = F.ceil((whole * (3 * score - 2_000_000)) / F.lit(2_000_000.0)) - 1
+    return F.when(3 * score > 2_000_000, needed).otherwise(F.lit(0)).cast("int")
+
+
 def lcs_length(left: Column, right: Column, right_masks: Column) -> Column:
     """Longest common subsequence length.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equisite.functions.classify import norm_of, terrain
@@ -223,6 +223,46 @@ class Names:
             F.concat(F.lit("manual row "), rule.cast("string")).alias("override_note"))
 
 
+SYLLABLES = "ba ker lo min na pur ra sito vu chad".split()
+
+
+class ManyNames:
+    """Names that grow with the data: a made-up parent name per customer, blocked by nation, and a unit per customer whose
+    name is that of the parent with its words swapped, a letter missing or one too many, or another one."""
+
+    def __init__(self, d: Domain):
+        self.d = d
+
+    @staticmethod
+    def word(number: Column) -> Column:
+        syllables = F.array(*[F.lit(x) for x in SYLLABLES])
+        return F.concat(*[F.get(syllables, (F.floor(number / n) % 10).cast("int")) for n in (100, 10, 1)])
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        k = F.col("c_custkey")
+        return self.d.table("customer").select(k.alias("unit_id"), F.col("c_nationkey").cast("string").alias("grp"),
+                                               self.word(k * 7919).alias("first"), self.word(k * 31 + 7).alias("second"),
+                                               self.word(k * 13 + 5).alias("other"))
+
+    @cached_property
+    def parents(self) -> DataFrame:
+        return self.customers.select(F.col("unit_id").alias("parent_code"), F.col("grp").alias("parent_grp"),
+                                     F.concat_ws(" ", "first", "second").alias("parent_name"))
+
+    @cached_property
+    def units(self) -> DataFrame:
+        rule = F.col("unit_id") % 4
+        text = (F.when(rule == 0, F.concat_ws(" ", "second", "first"))
+                .when(rule == 1, F.concat(F.substr("first", F.lit(1), F.length("first") - 1), F.lit(" "), F.col("second")))
+                .when(rule == 2, F.concat(F.col("first"), F.lit(" "), F.col("second"), F.lit("x"))).otherwise(F.col("other")))
+        return self.customers.select("unit_id", "grp", text.alias("unit_name"))
+
+    @cached_property
+    def blocks(self) -> DataFrame:
+        return self.customers.select("grp", F.col("grp").alias("parent_grp")).distinct()
+
+
 class Raw:
     """The verbatim text form of the facts, with its source defects."""
 

@@ -9,7 +9,7 @@ from equisite.operators import load as ld
 from equisite.operators import reports as rp
 from equisite.plans import settings as cfg
 from equisite.plans.session import materialise
-from fixtures import ADJECTIVES, Names, Raw
+from fixtures import ADJECTIVES, SYLLABLES, ManyNames, Names, Raw
 from suite import prelude as pre
 from suite.prelude import NAMES, RAW, sql
 from suite.topic import topic
@@ -273,3 +273,28 @@ def _(d):
     children, parents = apportioned(d)
     return rp.conservation(children.filter("parent_id is not null and n_sharing_parent > 0")
                            .drop("parent_population"), parents)
+
+
+# -- names that grow with the data ----------------------------------------------------------------
+
+def _word(number):
+    return " || ".join(f"{SYLLABLES}[({number}) // {n} % 10 + 1]" for n in (100, 10, 1))
+
+
+_MANY = {
+    "many": f"""SELECT c_custkey AS unit_id, c_nationkey::VARCHAR AS grp, {_word('c_custkey * 7919')} AS w1, {_word('c_custkey * 31 + 7')} AS w2,
+        {_word('c_custkey * 13 + 5')} AS w3 FROM customer""",
+    "many_left": f"""SELECT unit_id, grp, {pre.sorted_tokens("CASE unit_id % 4 WHEN 0 THEN w2 || ' ' || w1 WHEN 1 THEN left(w1, -1) || ' ' || w2 WHEN 2 THEN w1 || ' ' || w2 || 'x' ELSE w3 END")} AS a
+        FROM many""",
+    "many_right": f"SELECT unit_id AS parent_code, grp, {pre.sorted_tokens("w1 || ' ' || w2")} AS b FROM many",
+    "many_pairs": "SELECT * FROM many_left JOIN many_right USING (grp)",
+    **pre.similarity_ctes("many_pairs"),
+}
+
+
+@register("many_names", sql("""SELECT unit_id, grp, parent_code, score_e4 FROM (SELECT *,
+    row_number() OVER (PARTITION BY unit_id ORDER BY score_e4 DESC, parent_code) AS k FROM many_pairs JOIN scores USING (a, b)) WHERE k = 1""",
+                            recursive=True, **_MANY))
+def _(d):
+    n = ManyNames(d)
+    return lk.best_match(n.units, n.parents, n.blocks).select("unit_id", "grp", "parent_code", "score_e4")

@@ -1,5 +1,7 @@
 """Names, numbers, tiers, apportionment, 1:1."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +167,63 @@ def test_bound_by_length_loses_nothing(spark):
         a = w[::-1] + "f"
         want = max((2_000_000 * lcs(a, b) // (len(a) + len(b)), -k) for k, b in enumerate(words))
         assert got[i] == (want[0], -want[1])
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+def made_names(seed, n):
+    rng = random.Random(seed)
+    syllables = "ba ke lo mi na pu ra si to vu cha dre".split()
+
+    def one():
+        return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 3)))
+
+    def worn(text):
+        chars = list(text)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(chars))
+            chars[k] = rng.choice(["", "q", chars[k] * 2, "e"])
+        return "".join(chars)
+
+    parents = [one() for _ in range(n)]
+    return parents, [worn(p) if i % 9 else one() for i, p in enumerate(parents)]
+
+
+def test_indexed_search_equals_the_full_pass(spark):
+    parents, names = made_names(3, 300)
+    pool = spark.createDataFrame([(i, f"g{i % 2}", x) for i, x in enumerate([*parents, "", "x", "zz 12", "zz 12"])],
+                                 "parent_code long, parent_grp string, parent_name string")
+    units = spark.createDataFrame([(i, f"u{i % 2}", x) for i, x in enumerate([*names, "", "12 12", "q", "aaaa aaaa aaaa"])],
+                                  "unit_id long, grp string, unit_name string")
+    blocks = spark.createDataFrame([("u0", "g0"), ("u1", "g1"), ("u1", "g0")], "grp string, parent_grp string")
+    got = {r.unit_id: (r.score_e4, r.parent_code) for r in lk.best_match(units, pool, blocks).collect()}
+    left = {r.unit_id: (r.grp, r.sorted) for r in lk.prepare(units, "unit_name").collect()}
+    right = {r.parent_code: (r.parent_grp, r.sorted) for r in lk.prepare(pool, "parent_name").collect()}
+    met = {"u0": ["g0"], "u1": ["g0", "g1"]}
+    for i, (g, a) in left.items():
+        best = max((2_000_000 * lcs(a, b) // (len(a) + len(b)) if a or b else 1_000_000, -code)
+                   for code, (block, b) in right.items() if block in met[g])
+        assert got[i] == (best[0], -best[1]), (i, a)
+
+
+def test_bounds_hold_and_spare_work(spark):
+    parents, names = made_names(5, 40)
+    pairs = spark.createDataFrame([(a, b) for a in [*names, "", "a", "aa"] for b in [*parents, "", "a", "aaa"]], "a string, b string")
+    size = F.size(F.array_intersect(nm.bigrams("a"), nm.bigrams("b")))
+    scored = pairs.select("a", "b", nm.similarity_e4(F.col("a"), F.col("b"), nm.position_masks("b")).alias("s"), size.alias("shared"),
+                          nm.similarity_bound(F.length("a"), nm.letter_bag("a"), F.length("b"), nm.letter_bag("b")).alias("bound"))
+    wrong = scored.filter((F.col("s") > F.col("bound")) | (F.col("shared") < nm.least_common_bigrams(F.length("a"), F.col("s"))))
+    assert wrong.count() == 0
+    parents, names = made_names(7, 2000)
+    left = lk.prepare(spark.createDataFrame([(x,) for x in names], "n string"), "n").select(F.lit("all").alias("parent_grp"), "sorted").distinct()
+    pool = lk.pool_of(spark.createDataFrame([(i, "all", x) for i, x in enumerate(parents)], "parent_code long, parent_grp string, parent_name string"))
+    work = lk.match_work(left, pool).head()
+    assert work.names > 1000 and work.scored < 0.05 * work.pairs * work.by_index / work.names
