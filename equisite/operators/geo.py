@@ -12,10 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equisite.operators import linkage as lk
-from equisite.plans.bounds import broadcast_if_small
+from equisite.plans.bounds import BROADCAST_ROWS, broadcast_if_small
 from equisite.plans.session import materialise
 
 MAP_ACCEPT, GROUP_ACCEPT = 82, 70
+EDGES_OF_A_CELL, FINEST = 16, 5
+"""Edges that a polygon has per halving of its cells, and halvings at most."""
+
+BUSY_POINTS = 100_000
+"""Points of a cell that one task decides when cells are not broadcast."""
 
 
 def _ring_edges(ring: Column) -> Column:
@@ -86,34 +91,96 @@ def contains(edges: str, x: Column, y: Column) -> Column:
     return hits % 2 == 1
 
 
-def _cells(low: str, high: str) -> Column:
-    return F.sequence(F.floor(F.col(low) / F.col("_side")), F.floor(F.col(high) / F.col("_side")))
+def _range(low: Column, high: Column, side: Column) -> Column:
+    """Numbers of the cells between two places; a side is a power of two, so the division is exact."""
+    return F.sequence(F.floor(low / side), F.floor(high / side))
+
+
+def _turns(e: Column, x: Column, y: Column, right: Column) -> Column:
+    """What an edge near a cell adds to the parity of a point in it; ``right`` is the cell's right side.
+
+    Edges that lie wholly to the right of the cell count as crossed wherever their ends lie on two sides of the point's height.
+    Over a chain of them all inner ends cancel, and its outer ends are ends of edges near the cell: those are counted here.
+    """
+    def end(ex: Column, ey: Column) -> Column:
+        return (e["closed"] & (ex > right) & (ey <= y)).cast("int")
+    return (_crosses(e, y) & (x < _x_at(e, y))).cast("int") + end(e["x1"], e["y1"]) + end(e["x2"], e["y2"])
+
+
+def _parity(edges: Column, x: Column, y: Column, right: Column) -> Column:
+    return F.aggregate(edges, F.lit(0), lambda n, e: n + _turns(e, x, y, right)) % 2
+
+
+def polygon_cells(polygons: DataFrame) -> DataFrame:
+    """(_side, _cx, _cy, ordinal, near, base): the cells of every polygon that hold a part of it.
+
+    A polygon has a grid of its own size, the finer the more edges it has. ``near`` are the edges that meet the cell (none:
+    the cell is wholly inside), ``base`` the parity that goes with them, known from the cell's middle. Edges are rows here,
+    so a polygon with very many of them is no large task.
+    """
+    ring = F.struct(_ring_edges(F.col("ring")).alias("edges"), (F.element_at("ring", 1) == F.element_at("ring", -1)).alias("closed"))
+    rings = (polygons.select("ordinal", F.explode(F.flatten("parts")).alias("ring")).filter(F.size("ring") > 1).select("ordinal", ring.alias("r")))
+    rows = rings.select("ordinal", "r.closed", F.explode("r.edges").alias("e")).select("ordinal", "closed", "e.*")
+    lows, highs = F.least, F.greatest
+    boxes = rows.groupBy("ordinal").agg(
+        F.min(lows("x1", "x2")).alias("xmin"), F.max(highs("x1", "x2")).alias("xmax"), F.min(lows("y1", "y2")).alias("ymin"),
+        F.max(highs("y1", "y2")).alias("ymax"), F.count("*").alias("n"))
+    extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(1e-12))
+    finer = F.least(F.greatest(F.floor(F.log2(F.col("n") / EDGES_OF_A_CELL)), F.lit(0)), F.lit(FINEST))
+    boxes = boxes.select("ordinal", "xmin", "xmax", extent.alias("_extent"),
+                         F.pow(F.lit(2.0), (F.ceil(F.log2(extent)) - finer).cast("double")).alias("_side"))
+    side = F.col("_side")
+    edges = rows.join(boxes, "ordinal")
+    # where an edge is crossed is rounded: what ends just beside a cell is near it too
+    blur = F.col("_extent") * 1e-12 + F.greatest(F.abs("x1"), F.abs("x2")) * 1e-14
+    # a line that does not close has nothing to cancel it: all cells on its left count it
+    left = F.when(F.col("closed"), lows("x1", "x2") - blur).otherwise(F.col("xmin"))
+    near = (edges.withColumn("_cx", F.explode(_range(left, highs("x1", "x2") + blur, side)))
+            .withColumn("_cy", F.explode(_range(lows("y1", "y2"), highs("y1", "y2"), side)))
+            .groupBy("ordinal", "_side", "_cx", "_cy").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2", "closed")).alias("near")))
+    level = (edges.withColumn("_cy", F.explode(_range(lows("y1", "y2"), highs("y1", "y2"), side)))
+             .withColumn("_y", (F.col("_cy") + 0.5) * side))
+    e = F.struct("x1", "y1", "x2", "y2")
+    crossed = level.filter(_crosses(e, F.col("_y"))).groupBy("ordinal", "_side", "_cy", "xmin", "xmax").agg(F.collect_list(_x_at(e, F.col("_y"))).alias("xs"))
+    middles = (crossed.withColumn("_cx", F.explode(_range(F.col("xmin"), F.col("xmax"), side)))
+               .withColumn("_x", (F.col("_cx") + 0.5) * side)
+               .withColumn("middle", F.size(F.filter("xs", lambda x: F.col("_x") < x)) % 2)
+               .select("ordinal", "_side", "_cx", "_cy", "middle"))
+    cells = near.join(middles.filter("middle = 1"), ["ordinal", "_side", "_cx", "_cy"], "full").withColumn(
+        "near", F.coalesce("near", F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double,closed:boolean>>")))
+    at = [(F.col(c) + 0.5) * side for c in ("_cx", "_cy")]
+    base = (F.coalesce("middle", F.lit(0)) + _parity(F.col("near"), *at, (F.col("_cx") + 1) * side)) % 2
+    return cells.select("_side", "_cx", "_cy", "ordinal", "near", base.alias("base"))
 
 
 def spatial_join(points: DataFrame, polygons: DataFrame, point_id: str, name: str) -> DataFrame:
     """Left join each point (px, py) to the first polygon (by ``ordinal``) that contains it.
 
-    A polygon is listed in the grid whose cells are as large as its box, so in four cells at most, whatever the
-    layer's sizes; a point looks into its cell of each grid that the layer uses. Cells carry boxes only: edges are
-    joined once, by ordinal, to the pairs whose box fits. Points without a place take no part in the joins. Matches
-    are reduced by a minimum, per task before the shuffle.
+    Polygons become cells (``polygon_cells``): a point meets the cell it lies in, of each grid that the layer uses, and is
+    decided there by the few edges near the cell, or by none in a cell that lies inside. Cells are broadcast if a count of
+    their edges shows them to be few; otherwise cells with very many points are dealt to several tasks. Points without a
+    place take no part in the joins. Matches are reduced by a minimum, per task before the shuffle.
     """
-    shapes = with_edges(polygons).filter("xmin IS NOT NULL")
-    extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(1e-12))
-    boxes = (shapes.select("ordinal", "xmin", "xmax", "ymin", "ymax")
-             .withColumn("_side", F.pow(F.lit(2.0), F.ceil(F.log2(extent)).cast("double"))))
-    sides = [r[0] for r in boxes.select("_side").distinct().collect()]  # powers of two between the layer's sizes
-    grid = (boxes.withColumn("_cx", F.explode(_cells("xmin", "xmax"))).withColumn("_cy", F.explode(_cells("ymin", "ymax"))))
+    cells = materialise(polygon_cells(polygons.select("ordinal", "parts")), "cells")
+    weight = cells.agg(F.coalesce(F.sum(F.size("near") + 1), F.lit(0)).alias("n")).head()["n"]
+    sides = [r[0] for r in cells.select("_side").distinct().collect()]  # powers of two between the layer's sizes
     placed = (points.filter("px IS NOT NULL AND py IS NOT NULL").select(point_id, "px", "py")
               .withColumn("_side", F.explode(F.array(*[F.lit(x) for x in sides]).cast("array<double>")))
               .withColumn("_cx", F.floor(F.col("px") / F.col("_side"))).withColumn("_cy", F.floor(F.col("py") / F.col("_side"))))
-    x, y = F.col("px"), F.col("py")
-    pairs = (placed.join(broadcast_if_small(grid), ["_side", "_cx", "_cy"])
-             .filter(x.between(F.col("xmin"), F.col("xmax")) & y.between(F.col("ymin"), F.col("ymax")))
-             .select(point_id, "px", "py", "ordinal"))
-    hits = pairs.join(shapes.select("ordinal", F.col(name).alias("_name"), "edges"), "ordinal").filter(contains("edges", x, y))
-    best = hits.groupBy(point_id).agg(F.min(F.struct("ordinal", F.col("_name").alias("name")))["name"].alias(name))
-    return points.select(point_id).distinct().join(best, point_id, "left")
+    cell = ["_side", "_cx", "_cy"]
+    if weight <= BROADCAST_ROWS:
+        met = placed.join(F.broadcast(cells), cell)
+    else:
+        busy = placed.groupBy(*cell).agg(F.count("*").alias("_n")).filter(F.col("_n") > BUSY_POINTS)
+        busy = materialise(busy.select(*cell, F.ceil(F.col("_n") / BUSY_POINTS).cast("int").alias("_salts")), "busy-cells")
+        dealt = cells.join(busy, cell, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+        salted = (placed.join(broadcast_if_small(busy), cell, "left")
+                  .withColumn("_salt", F.pmod(F.xxhash64(point_id), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts"))
+        met = salted.join(dealt, [*cell, "_salt"])
+    inside = (F.col("base") + _parity(F.col("near"), F.col("px"), F.col("py"), (F.col("_cx") + 1) * F.col("_side"))) % 2 == 1
+    first = met.filter(inside).groupBy(point_id).agg(F.min("ordinal").alias("ordinal"))
+    named = first.join(polygons.select("ordinal", F.col(name).alias("_name")), "ordinal").select(point_id, F.col("_name").alias(name))
+    return points.select(point_id).distinct().join(named, point_id, "left")
 
 
 def group_map(geo_groups: DataFrame, groups: DataFrame, accept: int = GROUP_ACCEPT) -> DataFrame:

@@ -1,5 +1,9 @@
 """Index, sensitivity, geometry and the residual model: invariants and brute force."""
 
+import itertools
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +106,37 @@ def square(x, y, h):
     return [[x - h, y - h], [x + h, y - h], [x + h, y + h], [x - h, y + h], [x - h, y - h]]
 
 
+def star(x, y, points, outer, inner, turn, closed=True):
+    ring = [[x + (outer if k % 2 else inner) * math.cos(turn + math.pi * k / points), y + (outer if k % 2 else inner) * math.sin(turn + math.pi * k / points)]
+            for k in range(2 * points)]
+    return ring + ring[:1] if closed else ring
+
+
+@pytest.mark.parametrize("rows", [200_000, 10])
+def test_cells_decide_as_all_edges_do(spark, monkeypatch, rows):
+    monkeypatch.setattr(geo, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(geo, "BUSY_POINTS", 50)
+    rng = random.Random(2)
+    shapes = [(1, [[star(0.0, 0.0, 200, 3.0, 1.0, 0.1), star(0.0, 0.0, 40, 0.8, 0.6, 0.0)]]), (2, [[star(1.0, 1.0, 5, 2.0, 0.3, 0.4, closed=False)]]),
+              (3, [[star(-2.0, 1.5, 300, 0.9, 0.85, 0.0)], [star(2.0, -1.5, 3, 0.9, 0.4, 1.0)]]), (4, [[[[0.0, 0.0], [0.0, 0.0]]]]), (5, [[[]]]),
+              (6, [[[[-4.0, -4.0], [4.0, -4.0], [4.0, 0.5], [-4.0, 0.5], [-4.0, -4.0]]]])]
+    rings = {k: [r for part in parts for r in part] for k, parts in shapes}
+    points = [(i, rng.uniform(-4, 4), rng.uniform(-4, 4)) for i in range(3000)]
+    points += [(3000 + i, *p) for i, p in enumerate(rng.sample([p for r in rings.values() for x in r for p in x], 300))]
+    points += [(4000 + i, rng.uniform(0.0, 0.2), 0.05) for i in range(1500)]  # a third of all in one cell
+    points += [(6000 + i, x / 4, y / 4) for i, (x, y) in enumerate(itertools.product(range(-16, 17), range(-16, 17)))]
+
+    def inside(x, y, own):
+        return sum((a[1] <= y) != (b[1] <= y) and x < a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1]) for r in own for a, b in zip(r, r[1:])) % 2
+
+    want = {i: next((k for k in sorted(rings) if inside(x, y, rings[k])), None) for i, x, y in points}
+    polys = spark.createDataFrame([(k, k, parts) for k, parts in shapes], f"ordinal int, found int, parts {PARTS}")
+    table = spark.createDataFrame(points, "id long, px double, py double").repartition(4)
+    assert {r["id"]: r["found"] for r in geo.spatial_join(table, polys, "id", "found").collect()} == want
+    cells = geo.polygon_cells(polys.select("ordinal", "parts")).filter("ordinal = 3")
+    assert cells.filter("size(near) = 0 AND base = 1").count() > 0 and cells.agg(F.max(F.size("near"))).head()[0] < 100
+
+
 def test_layer_of_very_different_sizes(spark):
     layer = [(1, "country", [[square(0.0, 0.0, 500.0)]])] + [(2 + i, f"house {i}", [[square(float(i), 0.25, 0.01)]]) for i in range(50)]
     polys = spark.createDataFrame(layer, f"ordinal int, name string, parts {PARTS}").withColumn("ordinal", -F.col("ordinal"))
