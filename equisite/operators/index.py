@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equisite.functions.numbers import E9, ceil_div, div, mul_div, toward_need
-from equisite.operators.ranking import percent_rank_e9, rank_desc
+from equisite.operators.ranking import percent_rank_e9, rank_desc, ranks_in_levels
 from equisite.plans.bounds import broadcast_if_small
 from equisite.plans.settings import OBJECTIVES, get_param
 
@@ -94,19 +94,17 @@ def choose_objective(score: DataFrame, objective: str) -> DataFrame:
 def peer_benchmark(score: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Overall and group rank, group size, group and zone mean, gap to the group mean.
 
-    Means come from pre-aggregated group totals joined back (bounded by the group dimension), so
-    no window gathers a whole group.
+    Ranks and group means come from one count of the scores; zone means are pre-aggregated totals joined back
+    (bounded by the zone dimension), so no window gathers a whole group.
     """
-    ranked = rank_desc(score, ["scheme"], "need_e9", "national_rank")
-    ranked = rank_desc(ranked, ["scheme", "grp"], "need_e9", "group_rank")
-    by_group = score.groupBy("scheme", "grp").agg(
-        F.count("*").alias("units_in_group"), div(F.sum("need_e9"), F.count("*")).alias("group_mean_e9"))
+    ranked = ranks_in_levels(score, {"national": ["scheme"], "group": ["scheme", "grp"]}, "need_e9")
     by_zone = score.groupBy("scheme", "zone").agg(
         div(F.sum("need_e9"), F.count("*")).alias("zone_mean_e9"))
     if groups is not None:
-        by_group = broadcast_if_small(by_group, groups)
         by_zone = broadcast_if_small(by_zone, groups)
-    return (ranked.join(by_group, ["scheme", "grp"]).join(by_zone, ["scheme", "zone"])
+    return (ranked.join(by_zone, ["scheme", "zone"])
+            .withColumn("units_in_group", F.col("group_size")).withColumn("group_mean_e9", div(F.col("group_sum"), F.col("group_size")))
+            .drop("national_size", "national_sum", "group_size", "group_sum")
             .withColumn("gap_to_group_e9", F.col("need_e9") - F.col("group_mean_e9")))
 
 

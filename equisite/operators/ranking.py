@@ -16,19 +16,23 @@ from pyspark.sql.window import Window
 
 from equisite.functions.numbers import E9, mul_div
 from equisite.plans.bounds import BROADCAST_ROWS
+from equisite.plans.session import materialise
 
 RANGE = 1_000_000
 """Values, or ids, of a range that one window runs over."""
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: int = RANGE) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: int = RANGE, weight: str | None = None) -> DataFrame:
     """One row per (keys, value): ``n`` rows, ``below`` rows with a smaller value, ``total`` rows.
 
+    A row of ``df`` counts ``weight`` times, if given.
+
     The running sum is split over value ranges of size ``width``: a range holds at most ``width`` distinct whole
     numbers, however many rows share them.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("n")).withColumn("_range", F.floor(F.col(value) / width))
+    rows = F.sum(weight) if weight else F.count("*")
+    counts = df.groupBy(*keys, value).agg(rows.alias("n")).withColumn("_range", F.floor(F.col(value) / width))
     ranges = counts.groupBy(*keys, "_range").agg(F.sum("n").alias("_n"))
     over_ranges = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(*keys, "_range",
@@ -61,6 +65,27 @@ def rank_desc(df: DataFrame, keys: Sequence[str], value: str, out: str, tie_id:
     return rows.join(placed, [*keys, value, "_ids"]).drop("_ids").select(*df.columns, out)
 
 
+def ranks_in_levels(df: DataFrame, levels: dict[str, Sequence[str]], value: str, tie_id: str = "unit_id",
+                    width: int = RANGE) -> DataFrame:
+    """Ranks on several levels at once: for each ``name: keys`` the columns name_rank (highest first), name_size and
+    name_sum (of the values).
+
+    ``df`` is counted once, into cells of (all keys, value, id range), which are written; every level sums them up
+    and all levels join back to the rows together, through the same cells.
+    """
+    keys = list(dict.fromkeys(k for own in levels.values() for k in own))
+    rows, cells = _cells(df, keys, value, tie_id, width)
+    cells = materialise(cells, "rank-cells")
+    placed = cells
+    for name, own in levels.items():
+        own = list(own)
+        table = value_counts(cells, own, value, width, "_cell").select(
+            *own, value, (F.col("total") - F.col("below") - F.col("n") + 1).alias(f"{name}_rank"), F.col("total").alias(f"{name}_size"))
+        sums = cells.groupBy(*own).agg(F.sum(F.col(value) * F.col("_cell")).alias(f"{name}_sum"))
+        placed = placed.join(table, [*own, value]).join(sums, own)
+    return rows.join(placed.drop("_cell"), [*keys, value, "_ids"]).drop("_ids")
+
+
 def percent_rank_e9(df: DataFrame, keys: Sequence[str], value: str, out: str, tie_id: str = "unit_id",
                     width: int = RANGE) -> DataFrame:
     """``percent_rank()`` as a whole number: least gets 0, most gets 10**9.

@@ -36,6 +36,17 @@ def test_ranks_equal_the_windows(rows, width):
     assert got.count() == rows.count() and got.filter(F.abs(F.col("p") / 1e9 - F.col("q")) > 2e-9).count() == 0
 
 
+@pytest.mark.parametrize("width", [40, 1_000_000])
+def test_ranks_of_several_levels_equal_the_windows(rows, width):
+    zoned = rows.withColumn("z", F.col("unit_id") % 5)
+    whole, group = Window.partitionBy("k"), Window.partitionBy("k", "z")
+    down = F.col("value").desc()
+    want = rows_of(zoned.select("k", "z", "unit_id", F.rank().over(whole.orderBy(down)), F.count("*").over(whole), F.sum("value").over(whole),
+                                F.rank().over(group.orderBy(down)), F.count("*").over(group), F.sum("value").over(group)))
+    got = rk.ranks_in_levels(zoned, {"a": ["k"], "b": ["k", "z"]}, "value", width=width)
+    assert rows_of(got.select("k", "z", "unit_id", "a_rank", "a_size", "a_sum", "b_rank", "b_size", "b_sum")) == want
+
+
 def test_percent_rank_without_broadcast(rows, monkeypatch):
     want = rows_of(rk.percent_rank_e9(rows, ["k"], "value", "p"))
     monkeypatch.setattr(rk, "BROADCAST_ROWS", 3)
