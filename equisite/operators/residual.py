@@ -155,29 +155,44 @@ def _forest(names: Sequence[str], trees: int, max_depth: int, seed: int):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
     forest = RandomForestRegressor(featuresCol="features", labelCol="y", predictionCol="predicted", numTrees=trees,
-                                   minInstancesPerNode=3, maxDepth=max_depth, featureSubsetStrategy="all", seed=seed)
+                                   minInstancesPerNode=3, maxDepth=max_depth, featureSubsetStrategy="all", seed=seed,
+                                   cacheNodeIds=True, maxMemoryInMB=NODE_MB)
     return Pipeline(stages=[VectorAssembler(inputCols=list(names), outputCol="features"), forest])
 
 
-def forest_predictions(frame: DataFrame, names: Sequence[str], folds: int = FOLDS, trees: int = 500,
-                       max_depth: int = 30, seed: int = 42) -> DataFrame:
-    """Out-of-fold predictions of a random forest with at least three rows per leaf.
+TREES, MAX_DEPTH = 500, 30
+"""Depth 30 is the most that Spark grows; with three rows per leaf trees end before it."""
 
-    Depth 30 is the most that Spark grows; with three rows per leaf trees end before it. Splits are taken from
-    ``maxBins`` (32) quantile bins of a feature.
+NODE_MB = 1024
+"""Memory for the sums of the nodes that are split in one pass over the rows: more means fewer passes."""
+
+
+def forest_models(frame: DataFrame, names: Sequence[str], folds: int = FOLDS, trees: int = TREES,
+                  max_depth: int = MAX_DEPTH, seed: int = 42):
+    """Random forests with at least three rows per leaf: one per split, and one on every row.
+
+    The splits are those of ``fold`` and are fitted side by side. Candidate cuts are ``maxBins`` (32) quantile bins of a
+    feature. The fits run when this is called; predictions and importance share them.
     """
-    pipeline, parts = _forest(names, trees, max_depth, seed), []
-    for fold in range(folds):
-        model = pipeline.fit(frame.filter(F.col("fold") != fold))
-        parts.append(model.transform(frame.filter(F.col("fold") == fold)).select("unit_id", "fold", "y", "predicted"))
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+    # a small frame comes in one partition; every level of the trees passes over it
+    frame = frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, "unit_id").persist()
+    check = RegressionEvaluator(labelCol="y", predictionCol="predicted", metricName="mae")
+    return CrossValidator(estimator=_forest(names, trees, max_depth, seed), estimatorParamMaps=[{}], evaluator=check, numFolds=folds,
+                          foldCol="fold", parallelism=folds, collectSubModels=True).fit(frame)
+
+
+def forest_predictions(frame: DataFrame, models) -> DataFrame:
+    """Out-of-fold predictions of fitted ``forest_models``: no unit is predicted by a forest that saw it."""
+    parts = [own[0].transform(frame.filter(F.col("fold") == fold)).select("unit_id", "fold", "y", "predicted")
+             for fold, own in enumerate(models.subModels)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def feature_importance(frame: DataFrame, names: Sequence[str], trees: int = 500, max_depth: int = 30,
-                       seed: int = 42) -> DataFrame:
-    """Importance from a fit on every row, for interpretation only; one row per feature."""
-    model = _forest(names, trees, max_depth, seed).fit(frame)
-    shares = [float(v) for v in model.stages[-1].featureImportances.toArray()]
+def feature_importance(frame: DataFrame, names: Sequence[str], models) -> DataFrame:
+    """Importance in the forest on every row, for interpretation only; one row per feature."""
+    shares = [float(v) for v in models.bestModel.stages[-1].featureImportances.toArray()]
     table = ", ".join(f"('{n}', {v!r}D)" for n, v in zip(names, shares))
     return frame.sparkSession.sql(f"SELECT * FROM VALUES {table} AS t(feature, importance) ORDER BY importance DESC")
 

@@ -218,3 +218,19 @@ def test_folds_do_not_depend_on_the_partitions(spark, small):
 def test_missing_feature_column_fails(spark):
     with pytest.raises(KeyError):
         rs.share_features(spark.range(1), {"x": ("nope", "id")})
+
+
+def test_forest_learns_a_target_it_was_not_shown(spark):
+    """A curved target with noise of a quarter of its spread: a good forest explains most of it, not all."""
+    rng = np.random.default_rng(1)
+    x = rng.uniform(0, 1, (400, 3))
+    y = np.sin(6 * x[:, 0]) + (x[:, 1] > 0.5) + rng.normal(0, 0.4, 400)
+    frame = spark.createDataFrame([(i, i % 3, float(t), *map(float, row)) for i, (t, row) in enumerate(zip(y, x))],
+                                  "unit_id long, fold int, y double, a double, b double, c double").coalesce(1).persist()
+    models = rs.forest_models(frame, ["a", "b", "c"], folds=3, trees=40)
+    assert len(models.subModels) == 3 and models.bestModel.stages[-1].getNumTrees == 40
+    out = rs.forest_predictions(frame, models)
+    scores = [r["r2"] for r in rs.fold_metrics(out).collect()]
+    assert out.count() == 400 and all(0.5 < r < 0.9 for r in scores)
+    shares = {r["feature"]: r["importance"] for r in rs.feature_importance(frame, ["a", "b", "c"], models).collect()}
+    assert shares["a"] > shares["b"] > shares["c"]
