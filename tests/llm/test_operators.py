@@ -280,6 +280,71 @@ def test_base_patterns(text):
     assert [(a, b) for a, k, b in spans if k == 0] == [m.span() for m in EMAIL.finditer(text)]
 
 
+def plain_spans(text):
+    """The contract's patterns by plain searches, written apart from the operator."""
+    def luhn(d):
+        doubled = [x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(map(int, reversed(d)))]
+        return sum(doubled) % 10 == 0
+    n = {"email": len(list(EMAIL.finditer(text))), "ip": 0, "card": 0, "phone": 0}
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        n["ip"] += all(int(p) <= 255 for p in m[0].split("."))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m[0])
+        n["card"] += 12 <= len(d) <= 19 and luhn(d)
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        n["phone"] += 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15
+    return n
+
+
+@pytest.mark.parametrize("text", ["ip 0000000255.1.2.3 and 256.1.1.1 or 1.2.3.4.5.6.7.8", "4111 1111 1111 1111, 4111-1111-1111-1112 4111  1111",
+                                  "+1 (619) 555-0053 +12 +123456789 +1234567890123456 +1..2..3..4..5..6..7..8..9", "12.34.56.78.90 1.2.3", "+49 30 1234567-8 a"])
+def test_counts_against_plain_patterns(text):
+    got = Counter(private_data.KINDS[k] for _, k, _ in private_data.base_spans(text))
+    assert {k: got[k] for k in private_data.KINDS} == plain_spans(text)
+
+
+def test_many_digits_take_linear_time():
+    start = time.perf_counter()
+    for text in ("1" * 200_000, "1." * 100_000, "1 " * 100_000, "+1" * 100_000, "a@" * 100_000):
+        private_data.base_spans(text)
+        starts = private_data.window_starts(text)
+        tags = np.tile(np.arange(private_data.WIDTH) % 7 // 3, (len(starts), 1))
+        private_data.reconciled(text, starts, tags, np.ones(tags.shape))
+    assert time.perf_counter() - start < 20
+
+
+def test_model_finds_rewritten_forms_in_unseen_texts(texts):
+    rng = np.random.default_rng(77)
+    learned = [t for k, t in texts.items() if k % 2 == 0 and private_data.TRIGGER.search(t)]
+    unseen = [t for k, t in texts.items() if k % 2 and t and not private_data.TRIGGER.search(t)][:80]
+    windows, tags = private_data.training_windows(learned)
+    held = np.arange(len(windows)) % private_data.HELD_SHARE == 0
+    parts = [([w for w, h in zip(windows, held) if h == side], [t for t, h in zip(tags, held) if h == side]) for side in (False, True)]
+    model = private_data.fit(*parts[0])
+    least = private_data.chosen_confidence(model, *parts[1])
+
+    def number(mask):
+        return re.sub("d", lambda _: str(rng.integers(0, 10)), mask)
+
+    def found(text):
+        starts = private_data.window_starts(text)
+        if not starts:
+            return []
+        paths, sure = private_data.best_tags(model, [text[s:s + private_data.WIDTH] for s in starts])
+        return [(a, k, b) for a, k, b, q in private_data.reconciled(text, starts, paths, sure) if q >= least]
+
+    for mask in ("(ddd) ddd-dddd", "ddd.ddd.dddd", "ddd-ddd-dddd", "1-ddd-ddd-dddd"):
+        hits = extra = 0
+        for text in unseen:
+            at, new = max(0, text.find(" ", len(text) // 3)), number(mask)
+            spans = found(f"{text[:at]} {new} {text[at:]}")
+            hits += (at + 1, 3, at + 1 + len(new)) in spans
+            extra += len(spans) - ((at + 1, 3, at + 1 + len(new)) in spans)
+        assert hits >= 0.9 * len(unseen) and extra <= 0.1 * hits, mask
+    wrong = sum(len(found(f"{t[:50]} {number(m)} {t[50:]}")) for t in unseen for m in ("dddd-dd-dd", "dddd", "dd:dd", "ddd,ddd.dd", "dd.dd.dddd"))
+    assert wrong <= 0.02 * 5 * len(unseen)
+
+
 def test_private_data(spark, small, texts):
     rows = queries.QUERIES["op6_private_data"](spark, small).collect()
     for r in rows:
