@@ -16,15 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from equisite.plans.bounds import broadcast_if_small
-
 K = 128
 WORDS = 5
-RANGE = 1024
-"""Document ids per range when rows are brought together with their successors."""
+ROWS, RANGES = 4096, 512
+"""Documents of a range when rows are brought together with their successors, until there are so many ranges."""
+
+SAMPLE = 8192
+"""Rows (id and first characters of the text) that the bounds of the ranges are taken from."""
 
-SUPER = 4096
-"""Ranges per group when the successor of a range is looked up."""
+PREFIX = 32
 
 
 def with_sketch(df: DataFrame, text: str, name: str, k: int = K) -> DataFrame:
@@ -75,30 +75,30 @@ def merge_groups(sketches: DataFrame, keys: list[str], name: str, k: int = K) ->
     return least.groupBy(*keys).agg(F.sort_array(F.collect_list("_h")).alias(name))
 
 
-def successor_ranges(docs: DataFrame) -> DataFrame:
-    """(_first, _range): the first doc_id of every range, with the range before it (of the very first: the last)."""
-    ids = docs.select(F.coalesce("doc_id", F.lit(-1 << 62)).alias("_id"))
-    firsts = ids.groupBy(F.floor(F.col("_id") / RANGE).alias("_r")).agg(F.min("_id").alias("_first"))
-    grouped = firsts.withColumn("_g", F.floor(F.col("_r") / SUPER))
-    inside = W.partitionBy("_g").orderBy("_r")
-    # one row per group of ranges: 4 million document ids each
-    groups = grouped.groupBy("_g").agg(F.max("_r").alias("_last")).withColumn(
-        "_prev", F.coalesce(F.lag("_last").over(W.orderBy("_g")), F.max("_last").over(W.partitionBy())))
-    return (grouped.withColumn("_before", F.lag("_r").over(inside)).join(groups, "_g")
-            .select("_first", F.coalesce("_before", "_prev").alias("_range")))
+def range_bounds(keys: DataFrame) -> list:
+    """Bounds (id, prefix) that cut the documents into ranges of about equal size: evenly from a hashed sample."""
+    count = min(RANGES, keys.count() // ROWS)
+    rows = sorted(tuple(r) for r in keys.orderBy(F.xxhash64("_id", "_prefix"), "_id", "_prefix").limit(SAMPLE).collect()) if count else []
+    return sorted({rows[len(rows) * n // (count + 1)] for n in range(1, count + 1)}, key=lambda b: (b[0], b[1].encode())) if rows else []
 
 
 def with_next(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, text, _fp and the next document's _next_text, _next_fp.
 
-    The shuffle carries texts only. The heads of the ranges, one row for ``RANGE`` ids, are broadcast if a count shows
-    them to be few; otherwise they meet the documents in a shuffled join.
+    Documents are dealt by ranges of (doc_id, text), whatever ids there are; ids that are null or stand on very many rows
+    are cut by their texts. The first row of every range goes to the range before it, too: a row for a range.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.coalesce("doc_id", F.lit(-1 << 62)).alias("_id"))
-    own = rows.withColumn("_range", F.floor(F.col("_id") / RANGE)).withColumn("_ghost", F.lit(0))
-    heads = broadcast_if_small(successor_ranges(docs))
-    ghosts = rows.join(heads, rows["_id"] == heads["_first"]).drop("_first").withColumn("_ghost", F.lit(1))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(-1 << 62)).alias("_id"))
+    keyed = rows.withColumn("_prefix", F.substring("text", 1, PREFIX))
+    bounds = range_bounds(keyed.select("_id", "_prefix"))
+    key = F.struct("_id", "_prefix")
+    below = [F.struct(F.lit(i).cast("long").alias("_id"), F.lit(p).alias("_prefix")) for i, p in bounds]
+    number = F.size(F.filter(F.array(*below), lambda b: b <= key)) if below else F.lit(0)
+    own = keyed.withColumn("_range", number).drop("_prefix").withColumn("_ghost", F.lit(0))
+    firsts = own.groupBy("_range").agg(F.min(F.struct("_id", "text")).alias("_f"))
+    # at most one row for a range here
+    before = F.coalesce(F.lag("_range").over(W.orderBy("_range")), F.max("_range").over(W.partitionBy()))
+    ghosts = firsts.withColumn("_range", before).select(F.lit(None).cast("long").alias("doc_id"), "_f.text", "_f._id", "_range", F.lit(1).alias("_ghost"))
     order = W.partitionBy("_range").orderBy("_ghost", "_id", "text")
     rows = own.unionByName(ghosts).withColumn("_next_text", F.lead("text").over(order)).filter("_ghost = 0")
     return with_sketch(with_sketch(rows, "text", "_fp", k), "_next_text", "_next_fp", k)

@@ -3,8 +3,10 @@
 Hierarchical residual packing: every task packs its own pieces best-fit, largest first, and emits the sequences that
 are nearly full; the underfull ones travel on as single items. Their partitions are merged ``FAN_IN`` to one and
 packed again, until one partition is left, which emits everything. A task works through its rows in portions of
-``PORTION`` items and carries underfull bins to its next portion, so its memory is bounded; the last partition sees
-only what was underfull everywhere (a few bins per task of the round before).
+``PORTION`` items and carries underfull bins to its next portion, so its memory is bounded. Between rounds the sizes of
+all underfull bins are counted; of a size that fewer others fit beside than there are bins, the bins beyond that number
+are emitted as they are: nothing can join them. So what travels on, and the last partition, is bounded by sizes times small
+bins also where most documents are longer than half a sequence.
 
 Every round is written to the shared folder: a lost executor costs one task, and tokenising happens once.
 
@@ -20,6 +22,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from equisite.llm.base import arrow_schema, map_batches
@@ -175,6 +178,40 @@ def pack_round(items: DataFrame, number: int, slack: int, limit: int = MAX_TOKEN
     return items.select("size", "members").mapInArrow(run, schema)
 
 
+def joinable(counts: dict[int, int], limit: int) -> dict[int, int]:
+    """Per size the open bins that others can join at most, where that is fewer than there are."""
+    out, fitting = {}, 0
+    sizes = sorted(counts)
+    at = 0
+    for size in reversed(sizes):
+        while at < len(sizes) and sizes[at] <= limit - size:
+            fitting += counts[sizes[at]]
+            at += 1
+        if size <= limit - size:  # two of them fit beside each other: all may be joined, but for one that is alone
+            if fitting == 1:
+                out[size] = 0
+        elif fitting < counts[size]:
+            out[size] = fitting
+    return out
+
+
+def travelling(made: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """The open bins of a round that may still be joined, and those that cannot be (None: there are none)."""
+    open_ = made.filter("NOT done")
+    few = joinable({r["size"]: r["n"] for r in open_.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}, limit)
+    if not few:
+        return open_, None
+    spark = made.sparkSession
+    table = F.broadcast(spark.createDataFrame(list(few.items()), "size bigint, most bigint"))
+    place = F.row_number().over(W.partitionBy("size").orderBy("sequence"))
+    # the limit stands beside the window: a task ships no more bins of a size than can be joined
+    limited = (open_.select("size", "sequence").join(table, "size").withColumn("_r", place).filter(F.col("_r") <= max(few.values()))
+               .filter("_r <= most").select("sequence"))
+    unlimited = open_.join(table, "size", "left_anti").select("sequence")
+    kept = materialise(limited.unionByName(unlimited), "pack-open")
+    return open_.join(kept, "sequence", "left_semi"), open_.join(kept, "sequence", "left_anti")
+
+
 def pack(docs: DataFrame, limit: int = MAX_TOKENS, slack: int = SLACK, fan_in: int = FAN_IN, path: str | None = None) -> DataFrame:
     """One row per piece with its sequence and its place there."""
     one = F.struct("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("bigint").alias("offset"))
@@ -189,6 +226,8 @@ def pack(docs: DataFrame, limit: int = MAX_TOKENS, slack: int = SLACK, fan_in: i
             break
         parts, number = -(-parts // fan_in), number + 1
         key = F.col("members")[0]
-        items = made.filter("NOT done").repartition(parts, key["doc_id"], key["piece"]).sortWithinPartitions(
+        open_, closed = travelling(made, limit)
+        done = done if closed is None else done.unionByName(closed.select(*done.columns))
+        items = open_.repartition(parts, key["doc_id"], key["piece"]).sortWithinPartitions(
             F.desc("size"), key["doc_id"], key["piece"])
     return done.select("sequence", F.explode("members").alias("_m")).select("_m.*", F.col("sequence").alias("sequence_id"))

@@ -428,3 +428,36 @@ def test_long_clean_lines_may_speak_of_boilerplate(phrase):
     recipe = ", ".join(f"step {i} takes flour{i} and butter{i}" for i in range(60)) + f" as the {phrase} says."
     assert quality_rules.judge_text(recipe, upper)[6:9] == (0, 0, True)
     assert quality_rules.line_fails(f"Please accept our {phrase} here.", 7, upper)
+
+
+@pytest.mark.parametrize("ids", ["sparse", "null", "same"])
+def test_successors_of_any_ids(spark, monkeypatch, ids):
+    monkeypatch.setattr(fingerprints, "ROWS", 20)
+    keys = {"sparse": lambda i: (i * 0x9E3779B97F4A7C15) % (1 << 63), "null": lambda i: None if i % 3 else i, "same": lambda i: 7}[ids]
+    rows = [(keys(i), f"text {i * 7919 % 1009} of many words it's {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    got = {(r.doc_id, r.text): r._next_text for r in fingerprints.with_next(docs).select("doc_id", "text", "_next_text").collect()}
+    order = sorted(rows, key=lambda r: (-(1 << 62) if r[0] is None else r[0], r[1].encode()))
+    assert got == {a: b[1] for a, b in zip(order, order[1:] + order[:1])}
+
+
+def test_long_documents_do_not_meet_in_one_task(spark, monkeypatch):
+    """All documents above half a sequence, and a few small ones: only as many long ones travel on as small ones fit beside."""
+    seen = []
+    round_ = packing.pack_round
+    monkeypatch.setattr(packing, "pack_round", lambda items, number, slack, limit: (seen.append(items), round_(items, number, slack, limit))[1])
+    docs = spark.createDataFrame([(i, "word " * (40 + i % 7)) for i in range(400)] + [(1000 + i, "a b c") for i in range(3)],
+                                 "doc_id bigint, text string").repartition(6)
+    rows = packing.pack(docs, limit=70, slack=2, fan_in=4).collect()
+    lengths = Counter()
+    for r in rows:
+        lengths[r.sequence_id] += r.length
+    sizes = [r.length for r in rows]
+    assert len(rows) == 403 and max(lengths.values()) <= 70 and len(lengths) == sum(x > 35 for x in sizes)
+    assert seen[-1].count() < 60
+
+
+def test_joinable_bins():
+    assert packing.joinable({4000: 5, 3000: 4, 2500: 2, 96: 1, 50: 2}, 4096) == {4000: 3, 3000: 3}
+    assert packing.joinable({3000: 4, 2500: 9}, 4096) == {3000: 0, 2500: 0}
+    assert packing.joinable({2000: 9}, 4096) == {} and packing.joinable({2000: 1, 2500: 1}, 4096) == {2000: 0, 2500: 0}
