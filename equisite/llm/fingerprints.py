@@ -16,13 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from equisite.llm.base import hashed_below, sample_share
+
 K = 128
 WORDS = 5
 ROWS, RANGES = 4096, 512
 """Documents of a range when rows are brought together with their successors, until there are so many ranges."""
 
 SAMPLE = 8192
-"""Rows (id and first characters of the text) that the bounds of the ranges are taken from."""
+"""Expected number of distinct (id, first characters of the text) that the bounds of the ranges are taken from."""
 
 PREFIX = 32
 
@@ -77,9 +79,13 @@ def merge_groups(sketches: DataFrame, keys: list[str], name: str, k: int = K) ->
 
 def range_bounds(keys: DataFrame) -> list:
     """Bounds (id, prefix) that cut the documents into ranges of about equal size: evenly from a hashed sample."""
-    count = min(RANGES, keys.count() // ROWS)
-    rows = sorted(tuple(r) for r in keys.orderBy(F.xxhash64("_id", "_prefix"), "_id", "_prefix").limit(SAMPLE).collect()) if count else []
-    return sorted({rows[len(rows) * n // (count + 1)] for n in range(1, count + 1)}, key=lambda b: (b[0], b[1].encode())) if rows else []
+    total = keys.count()
+    count = min(RANGES, total // ROWS)
+    if not count:
+        return []
+    some = keys.filter(hashed_below(sample_share(total, SAMPLE), "_id", "_prefix")).distinct().collect()
+    rows = sorted((tuple(r) for r in some), key=lambda b: (b[0], b[1].encode()))
+    return sorted({rows[len(rows) * n // (count + 1)] for n in range(1, count + 1)}, key=rows.index) if rows else []
 
 
 def with_next(docs: DataFrame, k: int = K) -> DataFrame:
