@@ -199,7 +199,10 @@ def group_map(geo_groups: DataFrame, groups: DataFrame, accept: int = GROUP_ACCE
 
 def name_crosswalk(shapes: DataFrame, units: DataFrame, qualifiers: Sequence[str],
                    accept: int = MAP_ACCEPT) -> DataFrame:
-    """Match shapes (shape_id, shape_name, geo_group, grp) to units of their group, then make it 1:1."""
+    """Match shapes (shape_id, shape_name, geo_group, grp) to units of their group, then make it 1:1.
+
+    Runs what it matches, and stops if a unit is still claimed by two shapes.
+    """
     pool = units.select(F.col("unit_id").alias("parent_code"), F.col("grp").alias("parent_grp"),
                         F.col("unit_name").alias("parent_name"))
     blocks = units.select("grp").distinct().withColumn("parent_grp", F.col("grp"))
@@ -209,7 +212,10 @@ def name_crosswalk(shapes: DataFrame, units: DataFrame, qualifiers: Sequence[str
             .when(F.col("parent_code").isNull(), F.lit("NO_UNITS")).otherwise(F.col("note")))
     rows = matched.select("shape_id", "shape_name", "geo_group", "grp", F.col("match_code").alias("unit_id"),
                           F.col("match_e4").alias("score_e4"), note.alias("note"))
-    return lk.one_to_one(materialise(rows, "map-matches"))
+    out = materialise(lk.one_to_one(materialise(rows, "map-matches")), "map-crosswalk")
+    claims = out.filter(F.col("unit_id").isNotNull()).groupBy("unit_id").agg(F.count("*").alias("n"))
+    require_one_to_one(claims.agg(F.count_if(F.col("n") > 1).alias("shared_ids")))
+    return out
 
 
 def geo_coverage(xwalk: DataFrame, units: DataFrame, warn_pct: int = 80) -> DataFrame:

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def utc_text(stamp: Column) -> Column:
+    """A time as text to the second; the session's zone is UTC (``plans/session.py``)."""
+    return F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ssXXX")
+
+
 def snapshot_base(units: DataFrame, wide: DataFrame, scored: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Metadata and percentiles of every unit that has a score."""
     kept = scored.select("unit_id").distinct()
@@ -20,4 +25,4 @@ def manifest(base: DataFrame, picks: DataFrame, scheme: str, indicators: Sequenc
     return (base.agg(F.count("*").alias("units")).crossJoin(names)
             .withColumn("scheme", F.lit(scheme))
             .withColumn("indicators", F.array(*[F.lit(k) for k in indicators]))
-            .withColumn("exported_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")))
+            .withColumn("exported_at", utc_text(F.current_timestamp())))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from equisite.operators import load as ld
 from equisite.operators import ranking as rk
 from equisite.operators import reports as rp
+from equisite.operators import snapshot
 from equisite.operators import violations as vi
 from equisite.plans import settings as cfg
 from equisite.plans.session import fresh_path
@@ -72,18 +73,35 @@ def _(d):
     return files.file_manifest(d.spark, d.dir, "*.parquet")
 
 
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()
+
+
 @register("load_audit", " UNION ALL ".join(
-    f"SELECT '{t}.parquet' AS filename, count(*) AS rows_loaded, true AS has_checksum FROM {t}"
-    for t in ("nation", "customer", "orders", "part")))
+    f"SELECT '{t}.parquet' AS filename, count(*) AS rows_loaded, true AS has_checksum FROM {t}" for t in TABLES))
 def _(d):
     counts = None
-    for t in ("nation", "customer", "orders", "part"):
+    for t in TABLES:
         one = d.table(t).agg(F.count("*").alias("rows_loaded")).select(F.lit(f"{t}.parquet").alias("filename"), "rows_loaded")
         counts = one if counts is None else counts.unionByName(one)
     audit = ld.load_audit(counts, files.file_manifest(d.spark, d.dir, "*.parquet"))
     return audit.select("filename", "rows_loaded", (F.length("sha256") == 64).alias("has_checksum"))
 
 
+@register("src_csv_comments", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders")
+def _(d):
+    """Orders as CSV beside files with a comment line for every seventh of them, read without the comments."""
+    path = fresh_path(d.spark, "commented")
+    files.write_csv(d.table("orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus"), path)
+    notes = d.table("orders").filter("o_orderkey % 7 = 0").select(F.concat(F.lit("# note on "), "o_orderkey", F.lit(",x")))
+    notes.write.mode("append").text(path)
+    return files.read_csv(d.spark, path, ["o_orderkey", "o_orderstatus"], comment="#")
+
+
+@register("utc_stamps", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS stamp FROM events")
+def _(d):
+    return d.table("events").select("event_id", snapshot.utc_text(F.col("ts")).alias("stamp"))
+
+
 @register("shape_checks", sql("""SELECT check_name, passed, detail FROM (
     SELECT 'required columns' AS check_name, false AS passed, 'missing: no_such_column' AS detail UNION ALL
     SELECT 'min rows', count(*) >= 100, count(*) || ' (need 100)' FROM fx_raw UNION ALL
