@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from equisite.operators import geo
+from equisite.operators import geo, topology
 from equisite.plans.session import fresh_path, materialise
 from equisite.sources import files
 from fixtures import ADJECTIVES, NOUNS, OUTLINES, Shapes
@@ -192,6 +192,66 @@ def _(d):
     return thin.select("shape_id", *[F.col(c).cast("long").alias(c) for c in ("part", "ring", "seq")], "gx", "gy")
 
 
+# A mosaic with common borders: one cell per customer, 40 in a row, 10 steps on each side. Place s of a cell's ring, the same
+# text in both engines: its side, the step on the grid line, the line's cell, and the step's distance from the line.
+_SIDE = "CAST(floor((s % 40) / 10.0) AS BIGINT)"
+_STEP = f"(CASE WHEN {_SIDE} < 2 THEN s % 10 ELSE 10 - s % 10 END)"
+_CX, _CY = f"(i + CASE WHEN {_SIDE} = 1 THEN 1 ELSE 0 END)", f"(j + CASE WHEN {_SIDE} = 2 THEN 1 ELSE 0 END)"
+_OFF = f"(CASE WHEN {_STEP} % 10 = 0 THEN 0 ELSE ({_SIDE} % 2 * 5 + {_CX} * 7 + {_CY} * 13 + {_STEP} * {_STEP} * 31) % 17 - 8 END)"
+_MX = f"CAST(100 * {_CX} + CASE WHEN {_SIDE} % 2 = 0 THEN 10 * {_STEP} ELSE {_OFF} END AS DOUBLE)"
+_MY = f"CAST(100 * {_CY} + CASE WHEN {_SIDE} % 2 = 0 THEN {_OFF} ELSE 10 * {_STEP} END AS DOUBLE)"
+BORDER_TOLERANCE = 6.0
+_RING = "PARTITION BY shape_id"
+_MOSAIC = {
+    "mz_pt": f"SELECT shape_id, s, {_MX} AS x, {_MY} AS y FROM (SELECT c_custkey AS shape_id, c_custkey % 40 AS i, c_custkey // 40 AS j FROM customer), (SELECT unnest(range(0, 40)) AS s)",
+    "mz_end": "SELECT DISTINCT p.x, p.y, q.x AS nx, q.y AS ny FROM mz_pt p JOIN mz_pt q ON q.shape_id = p.shape_id AND q.s IN ((p.s + 1) % 40, (p.s + 39) % 40)",
+    "mz_cut": "SELECT x, y FROM mz_end GROUP BY 1, 2 HAVING count(*) <> 2",
+    "mz_run": f"SELECT p.*, sum(CASE WHEN c.x IS NULL THEN 0 ELSE 1 END) OVER ({_RING} ORDER BY s) AS c FROM mz_pt p LEFT JOIN mz_cut c USING (x, y)",
+    "mz_arc": f"SELECT shape_id, s, x, y, CASE c WHEN 0 THEN m ELSE c END AS arc, m, CASE c WHEN 0 THEN s + 40 ELSE s END AS place FROM (SELECT *, max(c) OVER ({_RING}) AS m FROM mz_run)",
+    # every arc also has the first vertex of the next one
+    "mz_all": """SELECT shape_id, arc, s, x, y, place FROM mz_arc UNION ALL SELECT shape_id, CASE arc WHEN 1 THEN m ELSE arc - 1 END, s, x, y, 99 FROM mz_arc
+        QUALIFY row_number() OVER (PARTITION BY shape_id, arc ORDER BY place) = 1""",
+    "mz_way": """SELECT *, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY shape_id, arc) - 1 AS last,
+        first_value([x, y]) OVER w > first_value([x, y]) OVER (PARTITION BY shape_id, arc ORDER BY place DESC) AS back FROM mz_all WINDOW w AS (PARTITION BY shape_id, arc ORDER BY place)""",
+    "mz_line": "SELECT shape_id, arc, s, x, y, last, CASE WHEN back THEN last - k ELSE k END AS k FROM mz_way",
+    "mz_dp": f"""SELECT shape_id, arc, 0 AS lo, last AS hi, 0 AS depth FROM mz_line WHERE k = 0 UNION ALL
+        SELECT shape_id, arc, CASE half WHEN 0 THEN lo ELSE CAST(-best[2] AS BIGINT) END, CASE half WHEN 0 THEN CAST(-best[2] AS BIGINT) ELSE hi END, depth + 1 FROM (
+          SELECT shape_id, arc, lo, hi, depth, max([(ex - t * dx) * (ex - t * dx) + (ey - t * dy) * (ey - t * dy), -k]) AS best FROM (
+            SELECT d.shape_id, d.arc, d.lo, d.hi, d.depth, p.k, b.x - a.x AS dx, b.y - a.y AS dy, p.x - a.x AS ex, p.y - a.y AS ey,
+              least(greatest(((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / ((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)), 0.0), 1.0) AS t
+            FROM mz_dp d JOIN mz_line a ON a.shape_id = d.shape_id AND a.arc = d.arc AND a.k = d.lo JOIN mz_line b ON b.shape_id = d.shape_id AND b.arc = d.arc AND b.k = d.hi
+            JOIN mz_line p ON p.shape_id = d.shape_id AND p.arc = d.arc AND p.k > d.lo AND p.k < d.hi) GROUP BY 1, 2, 3, 4, 5) AS split, (VALUES (0), (1)) h(half)
+        WHERE depth = 0 OR best[1] > {BORDER_TOLERANCE ** 2}""",
+    "mz_kept": """SELECT DISTINCT l.shape_id, l.s AS seq, l.x, l.y FROM mz_line l JOIN (SELECT shape_id, arc, lo AS k FROM mz_dp UNION SELECT shape_id, arc, hi FROM mz_dp) USING (shape_id, arc, k)""",
+}
+
+
+def mosaic(d):
+    """Cells of customers whose borders are the same vertices on both sides."""
+    ring = F.expr(f"transform(sequence(0L, 40L), s -> array({_MX}, {_MY}))")
+    cells = d.table("customer").selectExpr("c_custkey AS shape_id", "c_custkey % 40 AS i", "c_custkey div 40 AS j")
+    return cells.select("shape_id", F.array(F.array(ring)).alias("parts"))
+
+
+@register("thin_shared", sql("SELECT * FROM mz_kept", recursive=True, **_MOSAIC))
+def _(d):
+    kept = topology.simplified_vertices(mosaic(d), BORDER_TOLERANCE)
+    return kept.select("shape_id", F.col("seq").cast("long").alias("seq"), "x", "y")
+
+
+@register("thin_shared_borders", sql("""SELECT p.shape_id, 40::BIGINT AS n_vertices, count(k.seq) AS n_kept, 0::BIGINT AS torn
+    FROM mz_pt p LEFT JOIN mz_kept k ON k.shape_id = p.shape_id AND k.seq = p.s GROUP BY 1""", recursive=True, **_MOSAIC))
+def _(d):
+    """Per cell: vertices, those that stay, and those of them that a neighbour with the same vertex gave up."""
+    cells = mosaic(d)
+    vertices = topology.ring_vertices(topology.ring_rows(cells)).select("shape_id", "seq", "x", "y")
+    kept = topology.simplified_vertices(cells, BORDER_TOLERANCE).select("shape_id", "seq", F.lit(True).alias("stays"))
+    rows = vertices.join(kept, ["shape_id", "seq"], "left")
+    split = rows.groupBy("x", "y").agg(F.count("*").alias("n"), F.count("stays").alias("k")).filter("k > 0 AND k < n").select("x", "y", F.lit(1).alias("split"))
+    return (rows.join(split, ["x", "y"], "left").groupBy("shape_id")
+            .agg(F.count("*").alias("n_vertices"), F.count("stays").alias("n_kept"), F.count(F.when(F.col("stays"), F.col("split"))).alias("torn")))
+
+
 def _counts(df, *keys):
     vertices = F.aggregate(F.flatten("parts"), F.lit(0), lambda n, ring: n + F.size(ring))
     return df.select(*keys, F.size("parts").cast("long").alias("n_parts"), vertices.cast("long").alias("n_vertices"))
