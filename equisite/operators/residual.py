@@ -1,20 +1,21 @@
 """Explain need by share features and study what the model cannot explain.
 
 The linear model needs two passes over the rows: cross products per fold, then leave-one-out
-errors of every penalty as per-batch partial sums. Only matrices of the size of the feature list
-reach the driver. The forest is Spark's own, trained distributed.
+errors of every penalty. Its solve is part of the plan; nothing of it reaches the driver. The
+forest is Spark's own, trained distributed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equisite.functions.numbers import clip, safe_ratio
 from equisite.operators.ranking import order_rank, top_n
+from equisite.plans.session import materialise
 
 FOLDS = 5
 # 25 penalties, evenly spaced in the exponent from 1e-3 to 1e3.
@@ -50,90 +51,86 @@ def assign_folds(frame: DataFrame, seed: int, folds: int = FOLDS) -> DataFrame:
             .drop("_h", "_all", "_place"))
 
 
-def _moments(frame: DataFrame, names: Sequence[str]) -> list:
-    """Per fold: n, sums and cross products of (1, features, y). A handful of rows."""
+def _moments(frame: DataFrame, names: Sequence[str], folds: int) -> DataFrame:
+    """One row per split: sums of the products of (1, features, y) over the rows of all other folds.
+
+    A partial aggregate of the size of the feature list; the splits take it from the total.
+    """
     cols = ["1D", *names, "y"]
-    sums = [F.expr(f"sum({a} * {b})").alias(f"m_{i}_{j}")
-            for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
-    return frame.groupBy("fold").agg(*sums).collect()
-
-
-def _split_models(frame: DataFrame, names: Sequence[str], folds: int) -> list[dict]:
-    """Standardised training moments of each split (all folds but one), in eigenvector form."""
-    import numpy as np
-    k = len(names) + 2
-    per_fold = {}
-    for row in _moments(frame, names):
-        m = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                m[i, j] = m[j, i] = row[f"m_{i}_{j}"]
-        per_fold[row["fold"]] = m
-    whole = sum(per_fold.values())
-    out = []
-    for fold in range(folds):
-        m = whole - per_fold.get(fold, 0)
-        n = m[0, 0]
-        mean, mean_y = m[0, 1:-1] / n, m[0, -1] / n
-        cov = m[1:-1, 1:-1] / n - np.outer(mean, mean)
-        sd = np.sqrt(np.clip(np.diag(cov), 0, None))
-        sd[sd < 1e-12] = 1.0
-        gram = n * cov / np.outer(sd, sd)
-        cross = n * (m[1:-1, -1] / n - mean * mean_y) / sd
-        values, vectors = np.linalg.eigh(gram)
-        out.append({"n": n, "mean": mean, "sd": sd, "mean_y": mean_y, "values": np.clip(values, 0, None),
-                    "vectors": vectors, "cross": vectors.T @ cross})
-    return out
-
-
-def _loo_errors(frame: DataFrame, names: Sequence[str], models: list[dict], penalties: Sequence[float]) -> list:
-    """Leave-one-out squared error per (split, penalty), summed inside each Arrow batch first."""
-    names = list(names)
-
-    def partial(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-        for batch in batches:
-            rows = []
-            x_all, y_all, fold = batch[names].to_numpy(), batch["y"].to_numpy(), batch["fold"].to_numpy()
-            for split, m in enumerate(models):
-                train = fold != split
-                z = ((x_all[train] - m["mean"]) / m["sd"]) @ m["vectors"]
-                y = y_all[train]
-                for p, penalty in enumerate(penalties):
-                    shrink = 1.0 / (m["values"] + penalty)
-                    fitted = m["mean_y"] + z @ (m["cross"] * shrink)
-                    leverage = 1.0 / m["n"] + (z * z) @ shrink
-                    rows.append((split, p, float((((y - fitted) / (1 - leverage)) ** 2).sum())))
-            yield pd.DataFrame(rows, columns=["split", "penalty", "sse"])
-
-    sums = frame.select("fold", "y", *names).mapInPandas(partial, "split int, penalty int, sse double")
-    return sums.groupBy("split", "penalty").agg(F.sum("sse").alias("sse")).collect()
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    own = frame.groupBy("fold").agg(*[F.expr(f"sum({cols[i]} * {cols[j]})").alias(f"m_{i}_{j}") for i, j in pairs])
+    total = own.agg(*[F.sum(f"m_{i}_{j}").alias(f"t_{i}_{j}") for i, j in pairs])
+    splits = frame.sparkSession.range(folds).select(F.col("id").cast("int").alias("split"))
+    both = splits.join(own, F.col("split") == F.col("fold"), "left").crossJoin(F.broadcast(total))
+    return both.select("split", *[(F.col(f"t_{i}_{j}") - F.coalesce(f"m_{i}_{j}", F.lit(0.0))).alias(f"m_{i}_{j}") for i, j in pairs])
+
+
+def _standardised(moments: DataFrame, k: int) -> DataFrame:
+    """(split, n, mean_y, mean, sd, gram, crossed) of standardised features; one that does not vary keeps its scale."""
+    n, mean_y = F.col("m_0_0"), F.col(f"m_0_{k + 1}") / F.col("m_0_0")
+    mean = [F.col(f"m_0_{i + 1}") / n for i in range(k)]
+
+    def cov(i: int, j: int) -> Column:
+        return F.col(f"m_{min(i, j) + 1}_{max(i, j) + 1}") / n - mean[i] * mean[j]
+    sd = [F.sqrt(F.greatest(cov(i, i), F.lit(0.0))) for i in range(k)]
+    scaled = moments.select("*", *[F.when(sd[i] < 1e-12, 1.0).otherwise(sd[i]).alias(f"sd_{i}") for i in range(k)])
+    gram = F.array(*[F.array(*[n * cov(i, j) / (F.col(f"sd_{i}") * F.col(f"sd_{j}")) for j in range(k)]) for i in range(k)])
+    crossed = F.array(*[n * (F.col(f"m_{i + 1}_{k + 1}") / n - mean[i] * mean_y) / F.col(f"sd_{i}") for i in range(k)])
+    return scaled.select("split", n.alias("n"), mean_y.alias("mean_y"), F.array(*mean).alias("mean"),
+                         F.array(*[F.col(f"sd_{i}") for i in range(k)]).alias("sd"), gram.alias("gram"), crossed.alias("crossed"))
+
+
+def _inverse(matrix: str, k: int) -> str:
+    """Inverse of a positive definite k x k array of rows, as SQL text.
+
+    Gauss-Jordan elimination over [matrix | identity]. A pivot of such a matrix is never zero, so rows are not exchanged.
+    """
+    wide = f"transform({matrix}, (row, r) -> concat(row, transform(sequence(0, {k - 1}), c -> IF(c = r, 1.0D, 0.0D))))"
+    step = "transform(m, (row, r) -> transform(row, (v, c) -> IF(r = p, v / m[p][p], v - row[p] * m[p][c] / m[p][p])))"
+    return f"transform(aggregate(sequence(0, {k - 1}), {wide}, (m, p) -> {step}), row -> slice(row, {k + 1}, {k}))"
+
+
+def _solved(frame: DataFrame, names: Sequence[str], folds: int, penalties: Sequence[float]) -> DataFrame:
+    """One row per split and penalty: the inverse of gram + penalty and the coefficients of the standardised features."""
+    k = len(names)
+    grid = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(float(p)).alias("penalty")) for i, p in enumerate(penalties)]))
+    rows = _standardised(_moments(frame, names, folds), k).withColumn("g", grid).select("*", "g.*").drop("g")
+    ridged = "transform(gram, (row, r) -> transform(row, (v, c) -> IF(r = c, v + penalty, v)))"
+    rows = rows.withColumn("inverse", F.expr(_inverse(ridged, k))).drop("gram")
+    return rows.withColumn("beta", F.expr("transform(inverse, row -> aggregate(zip_with(row, crossed, (a, b) -> a * b), 0.0D, (s, v) -> s + v))"))
 
 
 def ridge_models(frame: DataFrame, names: Sequence[str], folds: int = FOLDS,
-                 penalties: Sequence[float] = PENALTIES) -> list[dict]:
-    """Per split: intercept, coefficients, and the penalty with the least leave-one-out error."""
-    models = _split_models(frame, names, folds)
-    errors = {(r["split"], r["penalty"]): r["sse"] for r in _loo_errors(frame, names, models, penalties)}
-    out = []
-    for split, m in enumerate(models):
-        best = min(range(len(penalties)), key=lambda p: (errors.get((split, p), 0.0), p))
-        weights = (m["vectors"] @ (m["cross"] / (m["values"] + penalties[best]))) / m["sd"]
-        out.append({"split": split, "penalty": float(penalties[best]),
-                    "intercept": float(m["mean_y"] - weights @ m["mean"]), "weights": [float(w) for w in weights]})
-    return out
+                 penalties: Sequence[float] = PENALTIES) -> DataFrame:
+    """(split, penalty, intercept, weights): per split the penalty with the least leave-one-out error (ties: the smaller place).
+
+    The solve is an expression over a matrix of the size of the feature list. Its ``folds`` x ``penalties`` models are written
+    when this is called, since errors and choice both read them; the errors meet the rows as a broadcast of them, and only
+    partial sums are shuffled.
+    """
+    k = len(names)
+    solved = materialise(_solved(frame, names, folds, penalties), "ridge-models")
+    z = [(F.col(f) - F.col("mean")[i]) / F.col("sd")[i] for i, f in enumerate(names)]
+    met = frame.select("fold", "y", *names).join(F.broadcast(solved), F.col("fold") != F.col("split"))
+    met = met.select("split", "place", "n", "mean_y", "beta", "inverse", "y", *[v.alias(f"z{i}") for i, v in enumerate(z)])
+    fitted = reduce(Column.__add__, [F.col("beta")[i] * F.col(f"z{i}") for i in range(k)], F.col("mean_y"))
+    squares = [F.col("inverse")[i][j] * F.col(f"z{i}") * F.col(f"z{j}") * (1.0 if i == j else 2.0) for i in range(k) for j in range(i, k)]
+    leverage = reduce(Column.__add__, squares, 1.0 / F.col("n"))
+    error = (F.col("y") - fitted) / (1.0 - leverage)
+    errors = met.groupBy("split", "place").agg(F.sum(error * error).alias("sse"))
+    best = errors.groupBy("split").agg(F.min(F.struct("sse", "place")).alias("b")).select("split", F.col("b.place").alias("place"))
+    weights = F.zip_with("beta", "sd", lambda b, s: b / s)
+    shift = F.aggregate(F.zip_with("weights", "mean", lambda w, m: w * m), F.lit(0.0), lambda s, v: s + v)
+    return (solved.join(F.broadcast(best), ["split", "place"]).withColumn("weights", weights)
+            .select("split", "penalty", (F.col("mean_y") - shift).alias("intercept"), "weights"))
 
 
 def ridge_predictions(frame: DataFrame, names: Sequence[str], folds: int = FOLDS) -> DataFrame:
     """Out-of-fold predictions: no unit is predicted by a model that saw it."""
-    predicted, penalty = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for m in ridge_models(frame, names, folds):
-        mine = F.col("fold") == m["split"]
-        line = " + ".join([repr(m["intercept"]) + "D", *[f"{w!r}D * {n}" for w, n in zip(m["weights"], names)]])
-        predicted = F.when(mine, F.expr(line)).otherwise(predicted)
-        penalty = F.when(mine, F.lit(m["penalty"])).otherwise(penalty)
-    return frame.select("unit_id", "fold", "y", predicted.alias("predicted"), penalty.alias("penalty"))
+    models = ridge_models(frame, names, folds)
+    line = reduce(Column.__add__, [F.col("weights")[i] * F.col(f) for i, f in enumerate(names)], F.col("intercept"))
+    return frame.join(F.broadcast(models), F.col("fold") == F.col("split"), "left").select(
+        "unit_id", "fold", "y", line.alias("predicted"), "penalty")
 
 
 def baseline_predictions(frame: DataFrame, feature: str | None = None, folds: int = FOLDS) -> DataFrame:

@@ -112,10 +112,38 @@ def _(d):
     return sn.centred_draws(d.table("embeddings").select(F.col("vec_id").alias("draw")), IDS, ALPHAS, cfg.SEED)
 
 
-@register("draws_gamma")
+# Concentration 50 around the default weights, and a skewed vector with parameters below 1.
+_FRACTIONAL = [50 * w / 1_000_000 for w in cfg.SCHEMES[cfg.DEFAULT_SCHEME]]
+_SKEWED = [0.4, 0.75, 1.0, 1.5, 2.25, 6.5, 20.125]
+
+
+def _gamma_ctes(tag, alphas):
+    """One row per draw, indicator and try; the first accepted try counts."""
+    params = ", ".join(f"({i}, {a!r}::DOUBLE, {max(a, a + (a < 1)) - 1 / 3!r}::DOUBLE)" for i, a in zip(IDS, alphas))
+    u = [_u(cfg.SEED, "draw", "i", "j", f"'{k}'") for k in "abc"]
+    return {
+        f"{tag}_try": f"""SELECT draw, i, a, d, j, sqrt(-2.0::DOUBLE * ln({u[0]})) * cos(2 * pi() * {u[1]}) AS z, ln({u[2]}) AS lu
+            FROM (SELECT vec_id AS draw FROM embeddings), (VALUES {params}) p(i, a, d), (SELECT unnest(range(1, 13)) AS j)""",
+        f"{tag}_val": f"SELECT *, pow(1.0::DOUBLE + z / (3 * sqrt(d)), 3.0::DOUBLE) AS v FROM {tag}_try",
+        f"{tag}_hit": f"""SELECT draw, i, a, arg_min(d * v, j) AS g FROM {tag}_val WHERE CASE WHEN v > 0 THEN lu < 0.5 * z * z + d - d * v + d * ln(v) ELSE false END
+            GROUP BY 1, 2, 3""",
+        f"{tag}_g": "SELECT draw, " + ", ".join(f"max(g) FILTER (WHERE i = {i}) AS g{i}" for i in IDS) + f""" FROM (
+            SELECT draw, i, CASE WHEN a < 1 THEN g * pow({_u(cfg.SEED, 'draw', 'i', "'boost'")}, 1.0::DOUBLE / a) ELSE g END AS g FROM {tag}_hit) GROUP BY 1""",
+    }
+
+
+def _gamma_sql(tag, alphas):
+    return sql(_draw_sql(f"{tag}_g", ", ".join(f"g{i}" for i in IDS)), **_gamma_ctes(tag, alphas))
+
+
+@register("draws_gamma", _gamma_sql("ga", _FRACTIONAL))
+def _(d):
+    return sn.gamma_draws(d.table("embeddings").select(F.col("vec_id").alias("draw")), IDS, _FRACTIONAL, cfg.SEED)
+
+
+@register("draws_gamma_skewed", _gamma_sql("gs", _SKEWED))
 def _(d):
-    alphas = [50 * w / 1_000_000 for w in cfg.SCHEMES[cfg.DEFAULT_SCHEME]]
-    return sn.gamma_draws(d.table("embeddings").select(F.col("vec_id").alias("draw")), IDS, alphas, cfg.SEED)
+    return sn.gamma_draws(d.table("embeddings").select(F.col("vec_id").alias("draw")), IDS, _SKEWED, cfg.SEED)
 
 
 @register("per_draw", sql(f"""SELECT draw, count(*) AS units, min(need_e9) AS least_need_e9, max(need_e9) AS most_need_e9,

@@ -70,6 +70,30 @@ def test_gamma_draws_match_the_distribution(spark):
     assert np.allclose(share.var(0), (1 / 7) * (6 / 7) / 51, rtol=0.12)
 
 
+def test_gamma_draws_below_one(spark):
+    """Parameters below 1 take the boosted path; Dirichlet means and variances."""
+    alphas = [0.3, 0.6, 1.0, 1.4, 2.2, 5.5, 9.0]
+    out = sn.gamma_draws(spark.range(6000).withColumnRenamed("id", "draw"), IDS, alphas, 3)
+    assert "Python" not in out._jdf.queryExecution().toString()
+    share = out.toPandas()[[f"w{i}" for i in IDS]].to_numpy() / 1e6
+    mean = np.array(alphas) / sum(alphas)
+    assert np.allclose(share.mean(0), mean, atol=0.006)
+    assert np.allclose(share.var(0), mean * (1 - mean) / (sum(alphas) + 1), rtol=0.15)
+    with pytest.raises(ValueError):
+        sn.gamma_draws(spark.range(1).withColumnRenamed("id", "draw"), IDS, [0.0] * 7, 3)
+
+
+def test_ridge_of_a_constant_feature_and_a_missing_fold(spark):
+    rng = np.random.default_rng(2)
+    x = rng.random((40, 2))
+    rows = [(i, i % 4, float(x[i, 0] + 2 * x[i, 1]), *map(float, x[i]), 7.0) for i in range(40)]  # fold 4 has no row
+    frame = spark.createDataFrame(rows, "unit_id long, fold int, y double, a double, b double, c double")
+    models = {m["split"]: m for m in rs.ridge_models(frame, ["a", "b", "c"], penalties=[1e-6]).collect()}
+    assert sorted(models) == [0, 1, 2, 3, 4]
+    assert all(np.allclose(m["weights"], [1, 2, 0], atol=1e-4) for m in models.values())
+    assert rs.ridge_predictions(frame, ["a", "b", "c"]).count() == 40
+
+
 def test_infeasible_draws_are_not_runs(spark, small):
     d = domain(spark, small)
     b = sq.base(d)
@@ -176,7 +200,7 @@ def test_ridge_equals_refitting_without_each_row(spark):
     rows = [(i, i % 5, float(y[i]), *map(float, x[i])) for i in range(60)]
     frame = spark.createDataFrame(rows, "unit_id long, fold int, y double, a double, b double, c double")
     penalties = [0.01, 1.0, 30.0]
-    for m in rs.ridge_models(frame, ["a", "b", "c"], penalties=penalties):
+    for m in rs.ridge_models(frame, ["a", "b", "c"], penalties=penalties).collect():
         train = np.arange(60) % 5 != m["split"]
         xt, yt = x[train], y[train]
         mean, sd = xt.mean(0), xt.std(0)
