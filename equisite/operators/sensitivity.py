@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equisite.functions.classify import stability
@@ -140,6 +140,25 @@ def need_band(base: DataFrame, draws: DataFrame, ids: Sequence[int]) -> DataFram
                     F.round(F.col("_q")[1] / 1000).cast("long").alias("p95_need_e6")))
 
 
+SKETCH_K = 800
+SKETCH_ERROR = 0.015
+"""A sketch of this size answers for a rank within 0.4 % of the draws 99 times of 100; the stated bound is four times that."""
+
+
+def need_band_sketch(need: DataFrame) -> DataFrame:
+    """``need_band`` from mergeable quantile sketches over (unit_id, need_e9) rows.
+
+    A unit's draws are not gathered: each task sends a few kilobytes per unit, so draws may be spread over tasks. The
+    quantiles are values of the unit whose rank is off by at most ``SKETCH_ERROR``.
+    """
+    sketch = F.kll_sketch_agg_bigint("need_e9", F.lit(SKETCH_K))
+
+    def at(q: float) -> Column:
+        return F.kll_sketch_get_quantile_bigint("_s", F.lit(q))
+    return (need.groupBy("unit_id").agg(F.count("*").alias("draws"), div(F.sum("need_e9"), F.count("*")).alias("mean_need_e9"), sketch.alias("_s"))
+            .select("unit_id", "draws", "mean_need_e9", at(0.05).alias("p05_need_e9"), at(0.95).alias("p95_need_e9")))
+
+
 def rank_stability(ranked: DataFrame, top_n: int) -> DataFrame:
     return ranked.groupBy("unit_id").agg(
         F.count_if(F.col("rank") <= top_n).alias("times_in_top_n"),

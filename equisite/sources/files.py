@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+OVERWRITE_KEY = "spark.sql.sources.partitionOverwriteMode"
+
+
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str], comment: str | None = None) -> DataFrame:
     """CSV with a header; every column stays text, so no marker is lost on the way in."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -137,5 +140,26 @@ def _count_check(name: str, column: str, passed, need: int):
     return _check(name, passed, F.concat(F.col(column).cast("string"), F.lit(f" (need {need})")))
 
 
+def replace_loads(df: DataFrame, table: str, load: str) -> None:
+    """Put loads into a managed table, partitioned by ``load``; a load that is there already is replaced, others stay.
+
+    So a load that was lost half-way, or came twice, is simply written again. Columns are matched by name. The session is
+    switched to replacing single partitions meanwhile: as an option of the writer, a managed table does not heed that.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.partitionBy(load).format("parquet").saveAsTable(table)
+        return
+    columns = spark.table(table).columns
+    if set(columns) != set(df.columns):
+        raise ValueError(f"{table} has columns {columns}, the load {df.columns}")
+    was = spark.conf.get(OVERWRITE_KEY)
+    spark.conf.set(OVERWRITE_KEY, "dynamic")
+    try:
+        df.select(*columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_KEY, was)
+
+
 def append_table(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)

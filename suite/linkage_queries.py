@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from equisite.functions import names as nm
 from equisite.functions import numbers as nb
+from equisite.operators import allocation as al
+from equisite.operators import index as ix
 from equisite.operators import linkage as lk
 from equisite.operators import load as ld
 from equisite.operators import reports as rp
@@ -11,6 +13,7 @@ from equisite.plans import settings as cfg
 from equisite.plans.session import materialise
 from fixtures import ADJECTIVES, SYLLABLES, ManyNames, Names, Raw
 from suite import prelude as pre
+from suite.allocation_queries import BUDGET, CAP, FLOOR, SCENARIOS, optimal, optimal_ctes
 from suite.prelude import NAMES, RAW, sql
 from suite.topic import topic
 
@@ -275,6 +278,56 @@ def _(d):
                            .drop("parent_population"), parents)
 
 
+# -- from the crosswalk's people to picks -----------------------------------------------------------
+
+_CHAIN = {
+    **APPORTION,
+    "ch_people": """SELECT unit_id, n_sharing_parent > 1 AS is_apportioned, population_alloc AS population, minority_share_bp AS minority_bp,
+        CAST(CASE WHEN 2 * r > total_hh OR (2 * r = total_hh AND q % 2 = 1) THEN q + 1 ELSE q END AS BIGINT) AS rural_population
+        FROM (SELECT *, population_alloc * rural_hh // total_hh AS q, population_alloc * rural_hh % total_hh AS r FROM ap)""",
+    "ch_unit": f"""SELECT *, CAST(CASE terrain WHEN 'plains' THEN {cfg.PARAMS['catchment_plains']} ELSE {cfg.PARAMS['catchment_other']} END AS BIGINT) AS catchment_norm
+        FROM (SELECT u.*, p.* EXCLUDE (unit_id), CASE WHEN grp IN ({', '.join(f"'{g}'" for g in cfg.HILL_GROUPS)}) THEN 'hilly'
+          WHEN coalesce(minority_bp, 0) >= {cfg.PARAMS['tribal_share_bp']} THEN 'tribal' ELSE 'plains' END AS terrain FROM fx_unit u LEFT JOIN ch_people p USING (unit_id))""",
+    "ch_score": f"""SELECT unit_id, grp, zone, terrain, is_apportioned, population, rural_population, need_e9,
+        CAST(need_e9::HUGEINT * rural_population // 1000000000 AS BIGINT) AS at_risk, (rural_population + catchment_norm - 1) // catchment_norm AS required_facilities,
+        CAST(need_e9::HUGEINT * least(catchment_norm, rural_population) // catchment_norm AS BIGINT) AS gain
+        FROM fx_need JOIN ch_unit USING (unit_id) WHERE scheme = '{cfg.DEFAULT_SCHEME}' AND indicators_present >= {cfg.PARAMS['min_indicators_present']} AND rural_population > 0""",
+    **optimal_ctes("ch_opt", "ch_score"),
+}
+_CHAIN_COLUMNS = ["unit_id", "grp", "zone", "terrain", "is_apportioned", "population", "rural_population", "need_e9", "at_risk", "required_facilities", "gain"]
+
+
+def chained_score(d):
+    """Scores of units whose people come from their parents; units without a parent have none and drop out."""
+    units = d._with_terrain(lk.as_population(apportioned(d)[0]))
+    need = d.need.filter(F.col("scheme") == cfg.DEFAULT_SCHEME)
+    return materialise(ix.choose_objective(ix.district_score(need, units), "gain_neutral").select("scheme", *_CHAIN_COLUMNS), "chained-score")
+
+
+@register("chain_score", sql(f"SELECT {', '.join(_CHAIN_COLUMNS)} FROM ch_score", **_CHAIN))
+def _(d):
+    return chained_score(d).drop("scheme")
+
+
+@register("chain_picks", sql("SELECT unit_id, grp, zone, is_apportioned, need_e9, gain FROM ch_opt", **_CHAIN))
+def _(d):
+    return al.optimal(chained_score(d), BUDGET, CAP, FLOOR).select("unit_id", "grp", "zone", "is_apportioned", "need_e9", "gain")
+
+
+@register("chain_effect", sql("""SELECT is_apportioned, count(*) AS units, count(p.unit_id) AS picked, count(o.unit_id) AS picked_before,
+    CAST(sum(s.rural_population) AS BIGINT) AS rural_population, CAST(sum(s.at_risk) AS BIGINT) AS at_risk
+    FROM ch_score s LEFT JOIN (SELECT unit_id FROM ch_opt) p USING (unit_id) LEFT JOIN (SELECT unit_id FROM opt) o USING (unit_id) GROUP BY 1""",
+                              **{**SCENARIOS, **_CHAIN}))
+def _(d):
+    """Units with own and with shared people: how many, how many are picked, and were by people counted per unit."""
+    scored = chained_score(d)
+    chosen = al.optimal(scored, BUDGET, CAP, FLOOR).select("unit_id", F.lit(1).alias("p"))
+    before = optimal(d).select("unit_id", F.lit(1).alias("o"))
+    return (scored.join(chosen, "unit_id", "left").join(before, "unit_id", "left").groupBy("is_apportioned")
+            .agg(F.count("*").alias("units"), F.count("p").alias("picked"), F.count("o").alias("picked_before"),
+                 F.sum("rural_population").alias("rural_population"), F.sum("at_risk").alias("at_risk")))
+
+
 @register("unknown_groups", sql("SELECT DISTINCT grp FROM nm_unit WHERE grp NOT IN (SELECT DISTINCT grp FROM nm_block WHERE grp <> 'MEDIUM')", **NAMES))
 def _(d):
     """The groups of units that a map without one of them leaves without a parent; a run stops on any."""

@@ -160,6 +160,22 @@ def _(d):
     return sn.need_band(sn.spread(base(d)), draws(d, "uniform"), IDS)
 
 
+@register("need_band_sketch", sql("SELECT unit_id, draws, mean_need_e9, true AS low_within, true AS high_within FROM uni_band", **_SENS))
+def _(d):
+    """Bands from sketches, and whether their ranks among the unit's draws are within the stated error."""
+    need = ix.need_by_vector(sn.spread(base(d)), draws(d, "uniform"), IDS).select("unit_id", "need_e9")
+    bands = materialise(sn.need_band_sketch(need), "bands")
+    met = need.join(bands, "unit_id").groupBy("unit_id", "draws", "mean_need_e9").agg(
+        *[F.count_if(F.col("need_e9") < F.col(c)).alias(f"{c}_under") for c in ("p05_need_e9", "p95_need_e9")],
+        *[F.count_if(F.col("need_e9") <= F.col(c)).alias(f"{c}_upto") for c in ("p05_need_e9", "p95_need_e9")])
+
+    def within(c, q):
+        low, high = (F.col("draws") * (q - sn.SKETCH_ERROR), F.col("draws") * (q + sn.SKETCH_ERROR))
+        return (F.col(f"{c}_under") <= high) & (F.col(f"{c}_upto") >= low)
+    return met.select("unit_id", "draws", "mean_need_e9", within("p05_need_e9", 0.05).alias("low_within"),
+                      within("p95_need_e9", 0.95).alias("high_within"))
+
+
 @register("rank_stability", sql("SELECT * FROM uni_stab", **_SENS))
 def _(d):
     return sn.rank_stability(sn.ranked_by_draw(dealt(d, "uniform")), TOP_N)
@@ -298,11 +314,57 @@ def _(d):
     return d.spark.read.parquet(path)
 
 
+_SNAP_COLUMNS = ["unit_name", "grp", "zone", "terrain", "rural_population", "catchment_norm"]
+
+
+def snapshot_of(d):
+    """One committed snapshot of base, sensitivity and allocation: (folder, its tables)."""
+    folder = fresh_path(d.spark, "full-snapshot")
+    tables = {"base": sp.snapshot_base(d.scored_units, d.wide, d.default_score, _SNAP_COLUMNS),
+              "sensitivity": sensitivity(d).select("unit_id", "regime", "times_allocated", "runs", "times_in_top_n", "classification"),
+              "allocation": all_picks(d).select("scenario", "unit_id", "need_e9", "gain")}
+    sp.write_snapshot(tables, folder)
+    return folder, list(tables)
+
+
+@register("snapshot_tables", sql("""SELECT 'base' AS table_name, count(*) AS n_rows, true AS unchanged FROM fx_base UNION ALL
+    SELECT 'sensitivity', count(*), true FROM sens UNION ALL SELECT 'allocation', count(*), true FROM picks""", **SCENARIOS, **_SENS))
+def _(d):
+    return sp.verify_snapshot(d.spark, *snapshot_of(d))
+
+
+@register("snapshot_read_back", sql("""SELECT p.scenario, o.source_kind, count(*) AS units, CAST(sum(p.gain) AS BIGINT) AS gain,
+    count(*) FILTER (WHERE s.classification = 'robust') AS robust FROM picks p JOIN sens s ON s.unit_id = p.unit_id AND s.regime = 'centred',
+    (VALUES ('table'), ('snapshot')) o(source_kind) GROUP BY 1, 2""", **SCENARIOS, **_SENS))
+def _(d):
+    """The same report from both sources: managed tables, and the snapshot where there are none."""
+    folder, names = snapshot_of(d)
+    reports, made = [], []
+    for kind in ("table", "snapshot"):
+        read = {}
+        for name in names[1:]:
+            table = f"{name}_{folder[-12:]}"
+            if kind == "table":
+                d.spark.read.parquet(f"{folder}/{name}").write.saveAsTable(table)
+                made.append(table)
+            read[name] = files.table_or_snapshot(d.spark, table if kind == "table" else f"no_{table}", f"{folder}/{name}")
+        centred = read["sensitivity"].filter("regime = 'centred'").select("unit_id", "classification")
+        reports.append(read["allocation"].join(centred, "unit_id").groupBy("scenario", "source_kind").agg(
+            F.count("*").alias("units"), F.sum("gain").alias("gain"), F.count_if(F.col("classification") == "robust").alias("robust")))
+    out = materialise(reports[0].unionByName(reports[1]), "read-back")
+    for table in made:
+        d.spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 @register("snapshot_manifest", sql("""SELECT 'equal_per_indicator' AS scheme, (SELECT count(*) FROM fx_base) AS units, 7::BIGINT AS indicators,
-    (SELECT string_agg(s, ',' ORDER BY s) FROM (SELECT DISTINCT scenario AS s FROM picks)) AS scenarios, true AS stamped""", **SCENARIOS, **_BASE))
+    (SELECT string_agg(s, ',' ORDER BY s) FROM (SELECT DISTINCT scenario AS s FROM picks)) AS scenarios,
+    (SELECT string_agg(r, ',' ORDER BY r) FROM (SELECT DISTINCT regime AS r FROM sens)) AS regimes, true AS stamped""", **SCENARIOS, **_SENS))
 def _(d):
     path = fresh_path(d.spark, "manifest")
-    files.write_manifest(sp.manifest(base(d), all_picks(d), cfg.DEFAULT_SCHEME, [i[1] for i in cfg.INDICATORS]), path)
-    back = d.spark.read.schema("scheme string, units long, indicators array<string>, scenarios array<string>, exported_at string").json(path)
+    files.write_manifest(sp.manifest(base(d), all_picks(d), cfg.DEFAULT_SCHEME, [i[1] for i in cfg.INDICATORS], sensitivity(d)), path)
+    back = d.spark.read.schema("scheme string, units long, indicators array<string>, scenarios array<string>, regimes array<string>, "
+                               "exported_at string").json(path)
     return back.select("scheme", "units", F.size("indicators").cast("long").alias("indicators"),
-                       F.array_join("scenarios", ",").alias("scenarios"), (F.length("exported_at") >= 20).alias("stamped"))
+                       F.array_join("scenarios", ",").alias("scenarios"),
+                       F.array_join("regimes", ",").alias("regimes"), (F.length("exported_at") >= 20).alias("stamped"))

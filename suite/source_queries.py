@@ -8,7 +8,7 @@ from equisite.operators import reports as rp
 from equisite.operators import snapshot
 from equisite.operators import violations as vi
 from equisite.plans import settings as cfg
-from equisite.plans.session import fresh_path
+from equisite.plans.session import fresh_path, materialise
 from equisite.sources import files
 from fixtures import Raw
 from suite.linkage_queries import APPORTION, apportioned
@@ -97,6 +97,26 @@ def _(d):
     return files.read_csv(d.spark, path, ["o_orderkey", "o_orderstatus"], comment="#")
 
 
+@register("reload_table", "SELECT o_orderpriority AS load_id, count(*) AS n_rows, true AS same FROM orders GROUP BY 1")
+def _(d):
+    """Loads of orders in a managed table; two of them come again, and every load is as it was."""
+    rows = d.table("orders").withColumnRenamed("o_orderpriority", "load_id")
+    table = "loads_" + fresh_path(d.spark, "t")[-12:]
+
+    def state(label):
+        found = d.spark.table(table)
+        row = F.xxhash64(*sorted(found.columns)).cast("decimal(38,0)")
+        return materialise(found.groupBy("load_id").agg(F.count("*").alias("n_rows"), F.sum(row).alias("checksum")), label)
+    files.replace_loads(rows, table, "load_id")
+    before = state("loads-before")
+    for _ in range(2):
+        files.replace_loads(rows.filter("load_id like '1%' or load_id like '3%'"), table, "load_id")
+    after = state("loads-after")
+    d.spark.sql(f"DROP TABLE {table}")
+    both = before.join(after.select("load_id", F.col("n_rows").alias("_n"), F.col("checksum").alias("_c")), "load_id", "full")
+    return both.select("load_id", "n_rows", F.coalesce((F.col("n_rows") == F.col("_n")) & (F.col("checksum") == F.col("_c")), F.lit(False)).alias("same"))
+
+
 @register("utc_stamps", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS stamp FROM events")
 def _(d):
     return d.table("events").select("event_id", snapshot.utc_text(F.col("ts")).alias("stamp"))

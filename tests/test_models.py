@@ -258,3 +258,18 @@ def test_forest_learns_a_target_it_was_not_shown(spark):
     assert out.count() == 400 and all(0.5 < r < 0.9 for r in scores)
     shares = {r["feature"]: r["importance"] for r in rs.feature_importance(frame, ["a", "b", "c"], models).collect()}
     assert shares["a"] > shares["b"] > shares["c"]
+
+
+def test_sketched_bands_are_near_the_exact_ones(spark):
+    rng = np.random.default_rng(4)
+    values = {u: np.sort(rng.normal(5e8, 1e7 * (u + 1), 4000).astype("int64")) for u in range(5)}
+    values[5] = np.full(300, 7)  # all draws the same
+    rows = [(u, int(v)) for u, vs in values.items() for v in vs]
+    need = spark.createDataFrame(rows, "unit_id int, need_e9 long").repartition(16)  # a unit's draws on many tasks
+    out = {r["unit_id"]: r for r in sn.need_band_sketch(need).collect()}
+    assert sorted(out) == list(range(6))
+    for u, vs in values.items():
+        assert out[u]["draws"] == len(vs) and out[u]["mean_need_e9"] == int(vs.sum()) // len(vs)
+        for c, q in (("p05_need_e9", 0.05), ("p95_need_e9", 0.95)):
+            under, upto = np.mean(vs < out[u][c]), np.mean(vs <= out[u][c])
+            assert under <= q + sn.SKETCH_ERROR and upto >= q - sn.SKETCH_ERROR

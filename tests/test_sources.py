@@ -1,12 +1,14 @@
 """Files, tables, parameters, rules."""
 
 import json
+import uuid
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from equisite.operators import load as ld
+from equisite.operators import snapshot
 from equisite.operators import violations as vi
 from equisite.plans import settings as cfg
 from equisite.plans.session import fresh_path, materialise, work_root
@@ -113,3 +115,45 @@ def test_modal_name_takes_the_smallest_on_ties(spark):
     rows = [("7. b",), ("7. a",), ("8. x",), ("8. y",), ("8. y",), ("200. out",)]
     parsed = ld.parse_rows(spark.createDataFrame(rows, "indicator_text string"))
     assert {tuple(r) for r in ld.modal_name(parsed).collect()} == {(7, "7. a", 2), (8, "8. y", 2)}
+
+
+def test_a_load_replaces_itself_only(spark):
+    name = f"loads_{uuid.uuid4().hex[:8]}"
+    try:
+        files.replace_loads(spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "v int, day string"), name, "day")
+        files.replace_loads(spark.createDataFrame([("b", 9), ("c", 4)], "day string, v int"), name, "day")
+        assert sorted(map(tuple, spark.table(name).collect())) == [(1, "a"), (4, "c"), (9, "b")]
+        assert spark.conf.get(files.OVERWRITE_KEY).lower() == "static"
+        files.replace_loads(spark.createDataFrame([], "v int, day string"), name, "day")
+        assert spark.table(name).count() == 3
+        with pytest.raises(ValueError):
+            files.replace_loads(spark.createDataFrame([(1,)], "v int"), name, "day")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_snapshot_commits_last_and_notices_changes(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "x"), (2, None), (2, None)], "k int, v string")
+    folder = f"{tmp_path}/snap"
+    done = {r["table_name"]: r["n_rows"] for r in snapshot.write_snapshot({"a": rows, "b": rows.limit(0)}, folder).collect()}
+    assert done == {"a": 3, "b": 0}
+    assert all(r["unchanged"] for r in snapshot.verify_snapshot(spark, folder, ["a", "b"]).collect())
+    spark.createDataFrame([(2, "x"), (1, None), (2, None)], "k int, v string").write.mode("overwrite").parquet(f"{folder}/a")
+    assert {r["table_name"]: r["unchanged"] for r in snapshot.verify_snapshot(spark, folder, ["a", "b"]).collect()} == {"a": False, "b": True}
+    with pytest.raises(Exception):
+        snapshot.write_snapshot({"a": rows}, folder)
+    rows.write.parquet(f"{tmp_path}/half/a")  # lost before the commit
+    with pytest.raises(RuntimeError):
+        snapshot.snapshot_tables(spark, f"{tmp_path}/half")
+    rows.write.parquet(f"{folder}/c")
+    with pytest.raises(Exception, match="not in the snapshot"):
+        snapshot.verify_snapshot(spark, folder, ["c"]).collect()
+
+
+def test_fingerprint_ignores_order_and_partitions(spark):
+    rows = spark.createDataFrame([(i % 7, None if i % 3 else str(i)) for i in range(100)], "k int, v string")
+    one = snapshot.fingerprint(rows).head()
+    assert snapshot.fingerprint(rows.repartition(5).select("v", "k")).head() == one
+    assert snapshot.fingerprint(rows.unionByName(rows.limit(1))).head() != one
+    swapped = spark.createDataFrame([(None, 1)], "k int, v int"), spark.createDataFrame([(1, None)], "k int, v int")
+    assert snapshot.fingerprint(swapped[0]).head() != snapshot.fingerprint(swapped[1]).head()
