@@ -275,6 +275,14 @@ def _(d):
     return _counts(files.read_geojson(d.spark, path, "shape_id:long,unit_id:long"), "shape_id", "unit_id")
 
 
+@register("geojson_shared", sql("SELECT shape_id, 1::BIGINT AS n_parts, count(*) + 1 AS n_vertices FROM mz_kept GROUP BY 1", recursive=True, **_MOSAIC))
+def _(d):
+    """The mosaic thinned with common borders, exported and read back."""
+    path = fresh_path(d.spark, "mosaic")
+    files.write_geojson(topology.simplified(mosaic(d), BORDER_TOLERANCE), path, ["shape_id"])
+    return _counts(files.read_geojson(d.spark, path, "shape_id:long"), "shape_id")
+
+
 @register("map_relation", sql("""SELECT c.unit_id, g.shape_id, c.need_e9, c.unit_id IN (SELECT unit_id FROM opt) AS selected
     FROM fx_cand c JOIN gx g USING (unit_id)""", recursive=True, **_XW, **SCENARIOS))
 def _(d):

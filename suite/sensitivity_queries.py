@@ -7,6 +7,7 @@ from equisite.operators import allocation as al
 from equisite.operators import index as ix
 from equisite.operators import sensitivity as sn
 from equisite.operators import snapshot as sp
+from equisite.operators import violations as vi
 from equisite.operators import whatif as wf
 from equisite.plans import settings as cfg
 from equisite.plans.session import fresh_path, materialise
@@ -318,13 +319,16 @@ _SNAP_COLUMNS = ["unit_name", "grp", "zone", "terrain", "rural_population", "cat
 
 
 def snapshot_of(d):
-    """One committed snapshot of base, sensitivity and allocation: (folder, its tables)."""
+    """The domain's committed snapshot of base, sensitivity and allocation, written once: (folder, its tables)."""
+    if hasattr(d, "snapshot"):
+        return d.snapshot
     folder = fresh_path(d.spark, "full-snapshot")
     tables = {"base": sp.snapshot_base(d.scored_units, d.wide, d.default_score, _SNAP_COLUMNS),
-              "sensitivity": sensitivity(d).select("unit_id", "regime", "times_allocated", "runs", "times_in_top_n", "classification"),
+              "sensitivity": sensitivity(d).select("unit_id", "regime", "draws", "times_allocated", "runs", "times_in_top_n", "classification"),
               "allocation": all_picks(d).select("scenario", "unit_id", "need_e9", "gain")}
     sp.write_snapshot(tables, folder)
-    return folder, list(tables)
+    d.snapshot = folder, list(tables)
+    return d.snapshot
 
 
 @register("snapshot_tables", sql("""SELECT 'base' AS table_name, count(*) AS n_rows, true AS unchanged FROM fx_base UNION ALL
@@ -333,6 +337,21 @@ def _(d):
     return sp.verify_snapshot(d.spark, *snapshot_of(d))
 
 
+@register("sensitivity_rules", sql("""SELECT rule, CAST(unit_id AS VARCHAR) AS key, detail, count(*) AS n FROM (
+    SELECT 'classification known' AS rule, unit_id, 'unsure' AS detail FROM sens WHERE unit_id % 37 = 0 UNION ALL
+    SELECT 'stability is a share', unit_id, CAST(times_in_top_n AS VARCHAR) FROM sens WHERE unit_id % 41 = 0 UNION ALL
+    SELECT 'classification known', unit_id, classification FROM sens WHERE unit_id % 37 <> 0 AND classification NOT IN ('robust', 'contested', 'excluded') UNION ALL
+    SELECT 'stability is a share', unit_id, CAST(times_in_top_n AS VARCHAR) FROM sens WHERE unit_id % 41 <> 0
+      AND (times_in_top_n NOT BETWEEN 0 AND draws OR times_allocated NOT BETWEEN 0 AND runs)) GROUP BY 1, 2, 3""", **_SENS))
+def _(d):
+    """The standing rules on stored sensitivity, where some units have an unknown class or more picks than runs."""
+    folder, _ = snapshot_of(d)
+    stored = d.spark.read.parquet(f"{folder}/sensitivity")
+    damaged = (stored.withColumn("classification", F.when(F.col("unit_id") % 37 == 0, F.lit("unsure")).otherwise(F.col("classification")))
+               .withColumn("times_allocated", F.when(F.col("unit_id") % 41 == 0, F.col("runs") + 1).otherwise(F.col("times_allocated"))))
+    return vi.sensitivity_rules(damaged).groupBy("rule", "key", "detail").agg(F.count("*").alias("n"))
+
+
 @register("snapshot_read_back", sql("""SELECT p.scenario, o.source_kind, count(*) AS units, CAST(sum(p.gain) AS BIGINT) AS gain,
     count(*) FILTER (WHERE s.classification = 'robust') AS robust FROM picks p JOIN sens s ON s.unit_id = p.unit_id AND s.regime = 'centred',
     (VALUES ('table'), ('snapshot')) o(source_kind) GROUP BY 1, 2""", **SCENARIOS, **_SENS))
@@ -362,7 +381,10 @@ def _(d):
     (SELECT string_agg(r, ',' ORDER BY r) FROM (SELECT DISTINCT regime AS r FROM sens)) AS regimes, true AS stamped""", **SCENARIOS, **_SENS))
 def _(d):
     path = fresh_path(d.spark, "manifest")
-    files.write_manifest(sp.manifest(base(d), all_picks(d), cfg.DEFAULT_SCHEME, [i[1] for i in cfg.INDICATORS], sensitivity(d)), path)
+    kept, _ = snapshot_of(d)
+    stored = {name: d.spark.read.parquet(f"{kept}/{name}") for name in ("base", "allocation", "sensitivity")}
+    files.write_manifest(sp.manifest(stored["base"], stored["allocation"], cfg.DEFAULT_SCHEME, [i[1] for i in cfg.INDICATORS],
+                                     stored["sensitivity"]), path)
     back = d.spark.read.schema("scheme string, units long, indicators array<string>, scenarios array<string>, regimes array<string>, "
                                "exported_at string").json(path)
     return back.select("scheme", "units", F.size("indicators").cast("long").alias("indicators"),
