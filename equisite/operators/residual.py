@@ -104,9 +104,9 @@ def ridge_models(frame: DataFrame, names: Sequence[str], folds: int = FOLDS,
                  penalties: Sequence[float] = PENALTIES) -> DataFrame:
     """(split, penalty, intercept, weights): per split the penalty with the least leave-one-out error (ties: the smaller place).
 
-    The solve is an expression over a matrix of the size of the feature list. Its ``folds`` x ``penalties`` models are written
-    when this is called, since errors and choice both read them; the errors meet the rows as a broadcast of them, and only
-    partial sums are shuffled.
+    The solve is an expression over a matrix of the size of the feature list. Its ``folds`` x ``penalties`` models, and
+    then the chosen ones, are written when this is called, since later steps read them several times; the errors meet the
+    rows as a broadcast of the models, and only partial sums are shuffled.
     """
     k = len(names)
     solved = materialise(_solved(frame, names, folds, penalties), "ridge-models")
@@ -121,8 +121,9 @@ def ridge_models(frame: DataFrame, names: Sequence[str], folds: int = FOLDS,
     best = errors.groupBy("split").agg(F.min(F.struct("sse", "place")).alias("b")).select("split", F.col("b.place").alias("place"))
     weights = F.zip_with("beta", "sd", lambda b, s: b / s)
     shift = F.aggregate(F.zip_with("weights", "mean", lambda w, m: w * m), F.lit(0.0), lambda s, v: s + v)
-    return (solved.join(F.broadcast(best), ["split", "place"]).withColumn("weights", weights)
-            .select("split", "penalty", (F.col("mean_y") - shift).alias("intercept"), "weights"))
+    chosen = (solved.join(F.broadcast(best), ["split", "place"]).withColumn("weights", weights)
+              .select("split", "penalty", (F.col("mean_y") - shift).alias("intercept"), "weights"))
+    return materialise(chosen, "ridge-chosen")
 
 
 def ridge_predictions(frame: DataFrame, names: Sequence[str], folds: int = FOLDS) -> DataFrame:

@@ -387,6 +387,7 @@ class Residual:
 
     @cached_property
     def folded(self) -> DataFrame:
-        """Read by every fit, so kept."""
+        """Read by every fit, so written: its own plan is deep, and each fit would plan it again."""
         from equisite.operators.residual import assign_folds
-        return assign_folds(self.frame, cfg.SEED).persist()
+        from equisite.plans.session import materialise
+        return materialise(assign_folds(self.frame, cfg.SEED), "folded")
