@@ -8,6 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Where an indicator's number stands in its text, at the front or before a capital.
+LEAD_NUMBER = r"^\s*(\d+)\."
+INNER_NUMBER = r"(?:^|\s)(\d{1,3})\.\s*[A-Z]"
+
 E9 = 1_000_000_000
 
 
@@ -84,6 +88,6 @@ def missing_flag(text: Column | str) -> Column:
 
 def leading_number(text: Column | str) -> Column:
     """Leading item number of a label, else one that a merged header pushed inside it."""
-    lead = F.nullif(F.regexp_extract(col(text), r"^\s*(\d+)\.", 1), F.lit(""))
-    inner = F.nullif(F.regexp_extract(col(text), r"(?:^|\s)(\d{1,3})\.\s*[A-Z]", 1), F.lit(""))
+    lead = F.nullif(F.regexp_extract(col(text), LEAD_NUMBER, 1), F.lit(""))
+    inner = F.nullif(F.regexp_extract(col(text), INNER_NUMBER, 1), F.lit(""))
     return F.coalesce(lead, inner).try_cast("int")

@@ -1,5 +1,7 @@
 """Check SQL for the domain relations: the definitions of FIXTURES.md, in plain windows."""
 
+from equisite.functions.names import NOISE_WORDS
+from equisite.functions.numbers import INNER_NUMBER, LEAD_NUMBER
 from equisite.plans import settings as cfg
 
 IDS = cfg.INDICATOR_IDS
@@ -102,7 +104,7 @@ def normalised(x: str) -> str:
     """The normalisation steps in DuckDB's own functions."""
     s = f"lower(strip_accents({x}))"
     s = f"replace(replace(replace({s}, '&', ' and '), '-', ' '), '.', ' ')"
-    s = f"regexp_replace({s}, '\\b(district|dist|zila|zilla|pargana|division)\\b', ' ', 'g')"
+    s = f"regexp_replace({s}, '\\b({'|'.join(NOISE_WORDS)})\\b', ' ', 'g')"
     s = f"regexp_replace({s}, '[^a-z0-9 ]', ' ', 'g')"
     return f"trim(regexp_replace({s}, ' +', ' ', 'g'))"
 
@@ -141,8 +143,8 @@ RAW = {
             unit_id * 20 + id AS line FROM fx_label""",
     "fx_raw": """SELECT * FROM fx_raw_once UNION ALL
         SELECT unit_id, unit_name, grp, indicator_text, 'NA', earlier_text, line + 10 FROM fx_raw_once WHERE unit_id % 50 = 0""",
-    "fx_parsed": r"""SELECT *, CAST(coalesce(nullif(regexp_extract(indicator_text, '^\s*(\d+)\.', 1), ''),
-            nullif(regexp_extract(indicator_text, '(?:^|\s)(\d{1,3})\.\s*[A-Z]', 1), '')) AS INTEGER) AS indicator_id FROM fx_raw""",
+    "fx_parsed": f"""SELECT *, CAST(coalesce(nullif(regexp_extract(indicator_text, '{LEAD_NUMBER}', 1), ''),
+            nullif(regexp_extract(indicator_text, '{INNER_NUMBER}', 1), '')) AS INTEGER) AS indicator_id FROM fx_raw""",
     "fx_typed": """SELECT u.unit_id, p.indicator_id, try_cast(value_text AS BIGINT) AS value_bp, try_cast(earlier_text AS BIGINT) AS earlier_bp,
             CASE value_text WHEN '*' THEN 'suppressed' WHEN 'NA' THEN 'absent' ELSE 'present' END AS flag
         FROM (SELECT *, row_number() OVER (PARTITION BY grp, unit_name, indicator_id ORDER BY line) AS copy FROM fx_parsed
