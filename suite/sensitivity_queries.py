@@ -158,7 +158,7 @@ def _(d):
 
 @register("need_band", sql("SELECT * FROM uni_band", **_SENS))
 def _(d):
-    return sn.need_band(sn.spread(base(d)), draws(d, "uniform"), IDS)
+    return sn.need_band(base(d), draws(d, "uniform"), IDS)
 
 
 @register("need_band_sketch", sql("SELECT unit_id, draws, mean_need_e9, true AS low_within, true AS high_within FROM uni_band", **_SENS))
@@ -179,7 +179,7 @@ def _(d):
 
 @register("rank_stability", sql("SELECT * FROM uni_stab", **_SENS))
 def _(d):
-    return sn.rank_stability(sn.ranked_by_draw(dealt(d, "uniform")), TOP_N)
+    return sn.rank_stability(dealt(d, "uniform"), TOP_N)
 
 
 @register("alloc_stability", sql("SELECT * FROM cen_alloc", **_SENS))
