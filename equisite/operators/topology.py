@@ -8,11 +8,15 @@ that of vertices, which finds the junctions.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from equisite.plans.session import materialise
+
 RING = ["shape_id", "part", "ring"]
 
 
@@ -39,15 +43,24 @@ def ring_vertices(rings: DataFrame) -> DataFrame:
     return rows.select(*RING, "v.*")
 
 
+def ring_places(rings: DataFrame) -> DataFrame:
+    """Vertices of closed rings by place."""
+    rows = rings.filter(_closed()).select(*RING, F.posexplode(F.slice("points", F.lit(1), F.size("points") - 1)).alias("seq", "at"))
+    return rows.select(*RING, "seq", F.col("at")[0].alias("x"), F.col("at")[1].alias("y"))
+
+
 def junctions(vertices: DataFrame) -> DataFrame:
     """(x, y) that rings enter or leave in different ways, or where a ring turns back on itself.
 
-    Two extremes per vertex tell whether all its pairs of neighbours are the same, so a vertex of very many rings is
-    summed before the shuffle.
+    Two extremes of every coordinate of the neighbours tell whether all their pairs are the same, so a vertex of very many
+    rings is summed before the shuffle, and numbers, unlike arrays, are summed without a sort. What a coordinate does not tell
+    (one that is missing, further ones of a point) a hash of the pair does.
     """
-    pair = F.struct("low", "high")
-    ways = vertices.groupBy("x", "y").agg(F.min(pair).alias("a"), F.max(pair).alias("b"))
-    return ways.filter((F.col("a") != F.col("b")) | (F.col("a.low") == F.col("a.high"))).select("x", "y")
+    parts = {"ax": F.col("low")[0], "ay": F.col("low")[1], "bx": F.col("high")[0], "by": F.col("high")[1], "pair": F.xxhash64("low", "high")}
+    flat = vertices.select("x", "y", (F.col("low") == F.col("high")).alias("turns"), *[c.alias(k) for k, c in parts.items()])
+    ways = flat.groupBy("x", "y").agg(F.max("turns").alias("turns"), *[f(k).alias(f"{k}_{f.__name__}") for k in parts for f in (F.min, F.max)])
+    differs = reduce(Column.__or__, [~F.col(f"{k}_min").eqNullSafe(F.col(f"{k}_max")) for k in parts])
+    return ways.filter(differs | F.col("turns")).select("x", "y")
 
 
 def _farthest(px: np.ndarray, py: np.ndarray, low: int, high: int) -> tuple[float, int]:
@@ -114,11 +127,11 @@ def ring_kept(x: np.ndarray, y: np.ndarray, cuts: np.ndarray, tolerance: float)
 def simplified_rings(shapes: DataFrame, tolerance: float) -> DataFrame:
     """One row per ring: its key, ``points`` and the places ``kept``.
 
-    Rings that do not close, have fewer than four points or a coordinate that is null or no number keep all points.
+    Rings that do not close, have fewer than four points or a coordinate that is null or no number keep all points. Rings are
+    written when this is called: four steps read them, and shapes may be costly to make.
     """
-    rings = ring_rows(shapes)
-    vertices = ring_vertices(rings)
-    cuts = vertices.join(junctions(vertices), ["x", "y"]).groupBy(*RING).agg(F.collect_list("seq").alias("cuts"))
+    rings = materialise(ring_rows(shapes), "rings")
+    cuts = ring_places(rings).join(junctions(ring_vertices(rings)), ["x", "y"]).groupBy(*RING).agg(F.collect_list("seq").alias("cuts"))
 
     @F.pandas_udf("array<int>")
     def places(x: pd.Series, y: pd.Series, cut: pd.Series) -> pd.Series:

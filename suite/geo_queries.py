@@ -227,8 +227,16 @@ _MOSAIC = {
 
 
 def mosaic(d):
-    """Cells of customers whose borders are the same vertices on both sides."""
-    ring = F.expr(f"transform(sequence(0L, 40L), s -> array({_MX}, {_MY}))")
+    """Cells of customers whose borders are the same vertices on both sides.
+
+    The text above, but every value of a place is made once and in whole numbers.
+    """
+    steps = "transform(sequence(0L, 40L), s -> named_struct('s', s, 'side', (s % 40) div 10))"
+    steps = f"transform({steps}, t -> named_struct('side', t.side, 'step', IF(t.side < 2, t.s % 10, 10 - t.s % 10), 'cx', i + IF(t.side = 1, 1, 0), 'cy', j + IF(t.side = 2, 1, 0)))"
+    steps = f"""transform({steps}, t -> named_struct('flat', t.side % 2 = 0, 'step', t.step, 'cx', t.cx, 'cy', t.cy,
+        'off', IF(t.step % 10 = 0, 0, (t.side % 2 * 5 + t.cx * 7 + t.cy * 13 + t.step * t.step * 31) % 17 - 8)))"""
+    ring = F.expr(f"""transform({steps}, t -> array(CAST(100 * t.cx + IF(t.flat, 10 * t.step, t.off) AS DOUBLE),
+        CAST(100 * t.cy + IF(t.flat, t.off, 10 * t.step) AS DOUBLE)))""")
     cells = d.table("customer").selectExpr("c_custkey AS shape_id", "c_custkey % 40 AS i", "c_custkey div 40 AS j")
     return cells.select("shape_id", F.array(F.array(ring)).alias("parts"))
 
@@ -243,8 +251,8 @@ def _(d):
     FROM mz_pt p LEFT JOIN mz_kept k ON k.shape_id = p.shape_id AND k.seq = p.s GROUP BY 1""", recursive=True, **_MOSAIC))
 def _(d):
     """Per cell: vertices, those that stay, and those of them that a neighbour with the same vertex gave up."""
-    cells = mosaic(d)
-    vertices = topology.ring_vertices(topology.ring_rows(cells)).select("shape_id", "seq", "x", "y")
+    cells = materialise(mosaic(d), "mosaic")
+    vertices = topology.ring_places(topology.ring_rows(cells)).select("shape_id", "seq", "x", "y")
     kept = topology.simplified_vertices(cells, BORDER_TOLERANCE).select("shape_id", "seq", F.lit(True).alias("stays"))
     rows = vertices.join(kept, ["shape_id", "seq"], "left")
     split = rows.groupBy("x", "y").agg(F.count("*").alias("n"), F.count("stays").alias("k")).filter("k > 0 AND k < n").select("x", "y", F.lit(1).alias("split"))

@@ -114,3 +114,13 @@ def test_long_arc_within_seconds(spark):
     x = np.arange(n + 1, dtype=float)
     kept = tp.arc_kept(x, np.sin(x / 500), 0.01)
     assert kept[0] and kept[-1] and kept.sum() < n / 10
+
+
+def test_junctions_are_found_by_numbers_alone(spark):
+    """Extremes of single coordinates need no sort; crossed neighbours whose coordinates pair up otherwise still differ."""
+    rows = [(1.0, 1.0, [0.0, 5.0], [2.0, 1.0]), (1.0, 1.0, [0.0, 1.0], [2.0, 5.0]), (3.0, 3.0, [0.0, 5.0], [2.0, 1.0]), (3.0, 3.0, [0.0, 5.0], [2.0, 1.0]),
+            (4.0, 4.0, [0.0, 0.0], [0.0, 0.0]), (5.0, 5.0, [0.0, 5.0, 1.0], [2.0, 1.0, 1.0]), (5.0, 5.0, [0.0, 5.0, 2.0], [2.0, 1.0, 1.0])]
+    found = tp.junctions(spark.createDataFrame(rows, "x double, y double, low array<double>, high array<double>"))
+    assert sorted(r["x"] for r in found.collect()) == [1.0, 4.0, 5.0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
