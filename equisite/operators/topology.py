@@ -76,6 +76,26 @@ def _farthest(px: np.ndarray, py: np.ndarray, low: int, high: int) -> tuple[floa
     return float(far[k]), low + 1 + k
 
 
+FEW = 64
+"""Vertices up to which plain numbers are faster than arrays."""
+
+
+def _farthest_of_few(px: list[float], py: list[float], low: int, high: int) -> tuple[float, int]:
+    """``_farthest``, by the same operations on plain numbers."""
+    ax, ay = px[low], py[low]
+    dx, dy = px[high] - ax, py[high] - ay
+    length = dx * dx + dy * dy
+    most, at = -1.0, low + 1
+    for k in range(low + 1, high):
+        ex, ey = px[k] - ax, py[k] - ay
+        t = min(max((ex * dx + ey * dy) / length, 0.0), 1.0) if length > 0 else 0.0
+        rx, ry = ex - t * dx, ey - t * dy
+        far = rx * rx + ry * ry
+        if far > most:
+            most, at = far, k
+    return most, at
+
+
 def arc_kept(px: np.ndarray, py: np.ndarray, tolerance: float) -> np.ndarray:
     """Which vertices of an arc stay.
 
@@ -86,12 +106,15 @@ def arc_kept(px: np.ndarray, py: np.ndarray, tolerance: float) -> np.ndarray:
     kept = np.zeros(last + 1, dtype=bool)
     kept[[0, last]] = True
     forced = 2 if px[0] == px[last] and py[0] == py[last] else 1
+    farthest = _farthest
+    if last < FEW and max(np.abs(px).max(), np.abs(py).max()) < 1e100:  # larger ones can overflow
+        px, py, farthest = px.tolist(), py.tolist(), _farthest_of_few
     todo = [(0, last, 0)]
     while todo:
         low, high, depth = todo.pop()
         if high - low < 2:
             continue
-        far, k = _farthest(px, py, low, high)
+        far, k = farthest(px, py, low, high)
         if depth < forced or far > tolerance * tolerance:
             kept[k] = True
             todo += [(low, k, depth + 1), (k, high, depth + 1)]

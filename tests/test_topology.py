@@ -124,3 +124,12 @@ def test_junctions_are_found_by_numbers_alone(spark):
     assert sorted(r["x"] for r in found.collect()) == [1.0, 4.0, 5.0]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_short_arcs_are_thinned_alike_by_numbers_and_arrays(monkeypatch):
+    rng = np.random.default_rng(5)
+    arcs = [rng.integers(-9, 9, (2, rng.integers(2, 40))).astype(float) for _ in range(400)] + [rng.normal(size=(2, 30)) for _ in range(200)]
+    arcs += [np.concatenate([a, a[:, :1]], axis=1) for a in arcs[:200]]
+    few = [tp.arc_kept(*a, t) for a in arcs for t in (0.1, 2.0)]
+    monkeypatch.setattr(tp, "FEW", 0)
+    assert all((a == b).all() for a, b in zip(few, [tp.arc_kept(*a, t) for a in arcs for t in (0.1, 2.0)], strict=True))
