@@ -237,7 +237,9 @@ def mosaic(d):
         'off', IF(t.step % 10 = 0, 0, (t.side % 2 * 5 + t.cx * 7 + t.cy * 13 + t.step * t.step * 31) % 17 - 8)))"""
     ring = F.expr(f"""transform({steps}, t -> array(CAST(100 * t.cx + IF(t.flat, 10 * t.step, t.off) AS DOUBLE),
         CAST(100 * t.cy + IF(t.flat, t.off, 10 * t.step) AS DOUBLE)))""")
-    cells = d.table("customer").selectExpr("c_custkey AS shape_id", "c_custkey % 40 AS i", "c_custkey div 40 AS j")
+    # the table's file is small and comes in one task; its rings are forty times as large
+    customers = d.table("customer").select("c_custkey").repartition(4 * d.spark.sparkContext.defaultParallelism)
+    cells = customers.selectExpr("c_custkey AS shape_id", "c_custkey % 40 AS i", "c_custkey div 40 AS j")
     return cells.select("shape_id", F.array(F.array(ring)).alias("parts"))
 
 
