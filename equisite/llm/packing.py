@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from equisite.plans.session import materialise
 
 MAX_TOKENS = 4096
 END_ID = 1
+END = END_ID.to_bytes(4, "little")
 SLACK = 8
 """A sequence with at most this many free places is emitted before the last round."""
 
@@ -45,39 +47,40 @@ PLAIN = re.compile(r"[\n\t\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 PRE_TOKEN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s0-9a-zß-öø-ÿ]+")
 
 
-class WordIds:
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in the tokenizer's vocabulary: itself if it can be printed, else one from 256 on."""
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printed]
+    return {b: b for b in printed} | {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+class WordIds(dict):
     """Token ids of whole texts as little-endian bytes, remembering the ids of each pre-token.
 
-    A pre-token's ids do not depend on its neighbours, so unknown ones are encoded together, one call for a text, and
-    told apart by the end-of-word mark. The memory starts anew after ``CACHE_WORDS`` entries.
+    A pre-token's ids do not depend on its neighbours, so an unknown one goes to the tokenizer's model alone. The memory
+    starts anew after ``CACHE_WORDS`` entries.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        super().__init__()
         self.whole = Tokenizer.from_file(path)
-        vocabulary = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.tokens = self.whole.model.tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = self[word] = np.array([t.id for t in self.tokens(letters)], "<u4").tobytes()
+        return ids
 
     def encode(self, text: str) -> bytes:
         if "<|" in text or not PLAIN.fullmatch(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = PRE_TOKEN.findall(text.lower())
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list(set(words).difference(known))
-        if not new:
-            return b"".join(map(known.__getitem__, words))
-        ids = np.array(self.whole.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        assert len(stops) == len(new), "a pre-token without an end mark"
-        raw, at = ids.tobytes(), 0
-        for word, stop in zip(new, stops.tolist()):
-            known[word] = raw[4 * at:4 * stop]
-            at = stop
-        return b"".join(map(known.__getitem__, words))
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        return b"".join(map(self.__getitem__, PRE_TOKEN.findall(text.lower())))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -85,23 +88,27 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+PIECE = ("doc_id", "piece", "start", "length", "ids_crc32")
+
+
+def _cut(words: WordIds, text: str | None, limit: int) -> Iterator[tuple]:
+    """(piece, start, length, ids_crc32, ids) of a text's pieces, the end mark included."""
+    raw = words.encode(text or "") + END
+    for piece, at in enumerate(range(0, len(raw), 4 * limit)):
+        part = raw[at:at + 4 * limit]
+        yield piece, at // 4, len(part) // 4, zlib.crc32(part), part
+
+
 def pieces(docs: DataFrame, limit: int = MAX_TOKENS, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids (little-endian, 4 bytes each)."""
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
 
     def make():
         words = WordIds(path or tokenizer_path())
-        end = np.array([END_ID], "<u4").tobytes()
 
         def step(batch):
-            out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                raw = words.encode(text or "") + end
-                for piece, at in enumerate(range(0, len(raw), 4 * limit)):
-                    part = raw[at:at + 4 * limit]
-                    for k, v in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None)):
-                        out[k].append(v)
-            return out
+            rows = [(doc_id, *p) for doc_id, text in zip(batch["doc_id"], batch["text"]) for p in _cut(words, text, limit)]
+            return dict(zip((*PIECE, "ids"), zip(*rows)))
         return step
 
     return map_batches(docs.select("doc_id", "text"), schema, make)
@@ -130,8 +137,43 @@ def best_fit(sizes: list[int], limit: int = MAX_TOKENS) -> list[list[int]]:
     return bins
 
 
+Item = tuple[int, list[dict]]
+"""Size and members of something to be packed."""
+
+
+def _piece_items(limit: int, path: str | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[list[Item]]]:
+    """Items from (doc_id, text) rows: every piece for itself."""
+    def read(batches):
+        words = WordIds(path or tokenizer_path())
+        for batch in batches:
+            # long texts: a batch is worked off in parts, so that Python objects stay few
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                yield [(p[2], [dict(zip(PIECE, (doc_id, *p)))])
+                       for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()) for p in _cut(words, text, limit)]
+    return read
+
+
+def _open_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Item]]:
+    """Items from (size, members) rows: the bins of the round before."""
+    for batch in batches:
+        yield list(zip(batch.column("size").to_pylist(), batch.column("members").to_pylist()))
+
+
 def pack_round(items: DataFrame, number: int, slack: int, limit: int = MAX_TOKENS) -> DataFrame:
-    """Bins of one round: (sequence, done, size, members); ``slack`` = limit emits all."""
+    """Bins of one round over (size, members) rows: (sequence, done, size, members); ``slack`` = limit emits all."""
+    return _packed(items.select("size", "members"), _open_bins, number, slack, limit)
+
+
+def first_round(docs: DataFrame, slack: int, limit: int = MAX_TOKENS, path: str | None = None) -> DataFrame:
+    """``pack_round`` over the pieces of (doc_id, text) rows.
+
+    Tokenising and packing share a worker: two would stand side by side in every task, and pass it each piece.
+    """
+    return _packed(docs.select("doc_id", "text"), _piece_items(limit, path), 0, slack, limit)
+
+
+def _packed(rows_of: DataFrame, read: Callable[[Iterator[pa.RecordBatch]], Iterator[list[Item]]], number: int, slack: int, limit: int) -> DataFrame:
     schema = f"sequence bigint, done boolean, size bigint, members {MEMBERS}"
     arrow = arrow_schema(schema)
 
@@ -163,8 +205,8 @@ def pack_round(items: DataFrame, number: int, slack: int, limit: int = MAX_TOKEN
             return full, open_
 
         held: list = []
-        for batch in batches:
-            held += zip(batch.column("size").to_pylist(), batch.column("members").to_pylist())
+        for items in read(batches):
+            held += items
             if len(held) >= PORTION:
                 full, held = packed(held, False)
                 yield from rows(full, True)
@@ -175,7 +217,7 @@ def pack_round(items: DataFrame, number: int, slack: int, limit: int = MAX_TOKEN
         yield from rows(full, True)
         yield from rows(held, False)
 
-    return items.select("size", "members").mapInArrow(run, schema)
+    return rows_of.mapInArrow(run, schema)
 
 
 def joinable(counts: dict[int, int], limit: int) -> dict[int, int]:
@@ -214,12 +256,12 @@ def travelling(made: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None
 
 def pack(docs: DataFrame, limit: int = MAX_TOKENS, slack: int = SLACK, fan_in: int = FAN_IN, path: str | None = None) -> DataFrame:
     """One row per piece with its sequence and its place there."""
-    one = F.struct("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("bigint").alias("offset"))
-    items = pieces(docs, limit, path).select(F.col("length").alias("size"), F.array(one).alias("members"))
-    parts, number, done = max(1, docs.rdd.getNumPartitions()), 0, None
+    parts, number, done, items = max(1, docs.rdd.getNumPartitions()), 0, None, None
     while True:
         last = parts == 1
-        made = materialise(pack_round(items, number, limit if last else slack, limit), f"pack-{number}")
+        free = limit if last else slack
+        bins = first_round(docs, free, limit, path) if items is None else pack_round(items, number, free, limit)
+        made = materialise(bins, f"pack-{number}")
         out = made.filter("done")
         done = out if done is None else done.unionByName(out)
         if last:

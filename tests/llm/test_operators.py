@@ -461,3 +461,24 @@ def test_joinable_bins():
     assert packing.joinable({4000: 5, 3000: 4, 2500: 2, 96: 1, 50: 2}, 4096) == {4000: 3, 3000: 3}
     assert packing.joinable({3000: 4, 2500: 9}, 4096) == {3000: 0, 2500: 0}
     assert packing.joinable({2000: 9}, 4096) == {} and packing.joinable({2000: 1, 2500: 1}, 4096) == {2000: 0, 2500: 0}
+
+
+@pytest.mark.parametrize("start", [0x21, 0xc0, 0xdf])
+def test_ids_of_single_words(start):
+    """Every plain character, in words that the model sees alone, as the tokenizer has it; also after the memory started anew."""
+    from tokenizers import Tokenizer
+    path = packing.tokenizer_path()
+    words, whole = packing.WordIds(path), Tokenizer.from_file(path)
+    for text in ["".join(chr(c) for c in range(start, min(start + 90, 256)) if c not in (0xd7, 0xf7)), "Größe ñandú ÀÉ'Ve x''s 1a2 $%&", "zz"]:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        words.clear()
+
+
+def test_packing_has_one_worker_in_a_task(spark, monkeypatch):
+    """No stage tokenises in one worker and packs in another: both held their memory at once."""
+    plans = []
+    keep = packing.materialise
+    monkeypatch.setattr(packing, "materialise", lambda df, label: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df, label))[1])
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(50)], "doc_id bigint, text string").repartition(3)
+    assert len(packing.pack(docs, limit=64).collect()) == 50
+    assert plans and max(p.count("MapInArrow") for p in plans) == 1
