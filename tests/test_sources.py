@@ -157,3 +157,22 @@ def test_fingerprint_ignores_order_and_partitions(spark):
     assert snapshot.fingerprint(rows.unionByName(rows.limit(1))).head() != one
     swapped = spark.createDataFrame([(None, 1)], "k int, v int"), spark.createDataFrame([(1, None)], "k int, v int")
     assert snapshot.fingerprint(swapped[0]).head() != snapshot.fingerprint(swapped[1]).head()
+
+
+def test_written_relations_leave_no_shuffle_files(spark):
+    """What is written keeps no shuffle, and the session keeps its setting."""
+    import time
+
+    from equisite.plans.session import CLEANUP_KEY
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+    before, was = shuffled(), spark.conf.get(CLEANUP_KEY, None)
+    rows = spark.range(3000).withColumn("k", F.col("id") % 100).repartition(3, "id")
+    counted = materialise(rows.groupBy("k").count().repartition(3), "counted")
+    until = time.monotonic() + 10  # files are removed behind the scenes
+    while (left := shuffled() - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(CLEANUP_KEY, None) == was
+    assert counted.filter("count = 30").count() == 100
