@@ -28,12 +28,28 @@ ACCENTED, PLAIN = "".join(ACCENTED), "".join(PLAIN)
 LONGER = {c: e for c, e in EXPANSIONS.items() if len(e) > 1}
 
 
+def _class_of(characters: Sequence[str]) -> str:
+    """A character class of these, neighbours as ranges."""
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, characters)):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in runs) + "]"
+
+
+LONGER_MARK = _class_of([c for c in LONGER if ord(c) < 256]) + r"|(?=[^\x00-\xff])" + _class_of([c for c in LONGER if ord(c) >= 256])
+"""Pattern of the characters that stand for several: those beyond Latin-1, of which a text has few, meet the long class."""
+
+
 def _spelled_out(s: Column) -> Column:
     """Characters that stand for several letters, written as these; only texts that hold one are taken apart."""
     table = F.from_json(F.lit(json.dumps(LONGER)), "map<string,string>")
-    marks = "[" + "".join(LONGER) + "]"
-    apart = F.array_join(F.transform(F.split(s, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-    return F.when(s.rlike(marks), apart).otherwise(s)
+    def letters(c: Column) -> Column:  # the table is gone through entry by entry, so plain letters pass it by
+        return F.when(c < min(LONGER), c).otherwise(F.coalesce(F.try_element_at(table, c), c))
+    apart = F.array_join(F.transform(F.split(s, ""), letters), "")
+    return F.when(s.rlike(LONGER_MARK), apart).otherwise(s)
 
 
 # Words that carry no identity, and words that tell siblings apart.

@@ -227,3 +227,11 @@ def test_bounds_hold_and_spare_work(spark):
     pool = lk.pool_of(spark.createDataFrame([(i, "all", x) for i, x in enumerate(parents)], "parent_code long, parent_grp string, parent_name string"))
     work = lk.match_work(left, pool).head()
     assert work.names > 1000 and work.scored < 0.05 * work.pairs * work.by_index / work.names
+
+
+def test_pattern_of_spelled_out_characters():
+    """Exactly the characters of the table, as ranges; plain and Latin-1 characters do not meet the long class."""
+    import re
+    import sys
+    assert {c for c in map(chr, range(sys.maxunicode + 1)) if re.match(nm.LONGER_MARK, c)} == set(nm.LONGER)
+    assert len(nm.LONGER_MARK) < len(nm.LONGER)
