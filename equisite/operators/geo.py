@@ -7,6 +7,7 @@ stays inside the row (no shuffle); only the spatial join and the name match move
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ EDGES_OF_A_CELL, FINEST = 16, 5
 BUSY_POINTS = 100_000
 """Points of a cell that one task decides when cells are not broadcast."""
 
+FIRST_POLYGONS = 4096
+"""Polygons of the first round of a spatial join."""
+
 
 def _ring_edges(ring: Column) -> Column:
     def edge(i: Column) -> Column:
@@ -153,15 +157,19 @@ def polygon_cells(polygons: DataFrame) -> DataFrame:
     return cells.select("_side", "_cx", "_cy", "ordinal", "near", base.alias("base"))
 
 
-def spatial_join(points: DataFrame, polygons: DataFrame, point_id: str, name: str) -> DataFrame:
-    """Left join each point (px, py) to the first polygon (by ``ordinal``) that contains it.
+def _round_ends(polygons: DataFrame) -> list:
+    """Ordinals at which rounds end: the first has about ``FIRST_POLYGONS`` polygons, every other one as many as all before it."""
+    n = polygons.count()
+    halvings = max(0, (max(n, 1) // FIRST_POLYGONS).bit_length() - 1)
+    if not halvings:
+        return []
+    shares = [0.5 ** i for i in range(halvings, 0, -1)]
+    ends = polygons.agg(F.percentile_approx("ordinal", shares, 100_000).alias("ends")).head()["ends"]
+    return sorted(set(ends or []))
 
-    Polygons become cells (``polygon_cells``): a point meets the cell it lies in, of each grid that the layer uses, and is
-    decided there by the few edges near the cell, or by none in a cell that lies inside. Cells are broadcast if a count of
-    their edges shows them to be few; otherwise cells with very many points are dealt to several tasks. Points without a
-    place take no part in the joins. Matches are reduced by a minimum, per task before the shuffle.
-    """
-    cells = materialise(polygon_cells(polygons.select("ordinal", "parts")), "cells")
+
+def _first_found(points: DataFrame, cells: DataFrame, point_id: str) -> DataFrame:
+    """(point_id, ordinal): the first of the cells' polygons that contains the point; points in none are left out."""
     weight = cells.agg(F.coalesce(F.sum(F.size("near") + 1), F.lit(0)).alias("n")).head()["n"]
     sides = [r[0] for r in cells.select("_side").distinct().collect()]  # powers of two between the layer's sizes
     placed = (points.filter("px IS NOT NULL AND py IS NOT NULL").select(point_id, "px", "py")
@@ -178,7 +186,31 @@ def spatial_join(points: DataFrame, polygons: DataFrame, point_id: str, name: st
                   .withColumn("_salt", F.pmod(F.xxhash64(point_id), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts"))
         met = salted.join(dealt, [*cell, "_salt"])
     inside = (F.col("base") + _parity(F.col("near"), F.col("px"), F.col("py"), (F.col("_cx") + 1) * F.col("_side"))) % 2 == 1
-    first = met.filter(inside).groupBy(point_id).agg(F.min("ordinal").alias("ordinal"))
+    return met.filter(inside).groupBy(point_id).agg(F.min("ordinal").alias("ordinal"))
+
+
+def spatial_join(points: DataFrame, polygons: DataFrame, point_id: str, name: str) -> DataFrame:
+    """Left join each point (px, py) to the first polygon (by ``ordinal``) that contains it.
+
+    Polygons become cells (``polygon_cells``): a point meets the cell it lies in, of each grid that the layer uses, and is
+    decided there by the few edges near the cell, or by none in a cell that lies inside. Cells are broadcast if a count of
+    their edges shows them to be few; otherwise cells with very many points are dealt to several tasks. Points without a
+    place take no part in the joins. Matches are reduced by a minimum, per task before the shuffle.
+
+    A layer of many polygons is met in rounds by ordinal, each with as many polygons as all before it. A point that is found
+    leaves, so where polygons lie on top of each other a point meets about as many as stand before its first, not all.
+    """
+    cells = materialise(polygon_cells(polygons.select("ordinal", "parts")), "cells")
+    ends, left, parts = _round_ends(polygons), points, []
+    for low, high in zip([None, *ends], [*ends, None]):
+        own = cells if low is None else cells.filter(F.col("ordinal") > low)
+        own = own if high is None else own.filter(F.col("ordinal") <= high)
+        parts.append(_first_found(left, own, point_id))
+        if high is None:
+            break
+        parts[-1] = materialise(parts[-1], "first-found")
+        left = materialise(left.select(point_id, "px", "py").join(parts[-1], point_id, "left_anti"), "points-left")
+    first = reduce(DataFrame.unionByName, parts)
     named = first.join(polygons.select("ordinal", F.col(name).alias("_name")), "ordinal").select(point_id, F.col("_name").alias(name))
     return points.select(point_id).distinct().join(named, point_id, "left")
 

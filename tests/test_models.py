@@ -273,3 +273,29 @@ def test_sketched_bands_are_near_the_exact_ones(spark):
         for c, q in (("p05_need_e9", 0.05), ("p95_need_e9", 0.95)):
             under, upto = np.mean(vs < out[u][c]), np.mean(vs <= out[u][c])
             assert under <= q + sn.SKETCH_ERROR and upto >= q - sn.SKETCH_ERROR
+
+
+def test_spatial_join_by_rounds_is_the_first_polygon(spark, monkeypatch):
+    """Squares on top of each other, ids that repeat or are missing, points in no square; found points leave."""
+    rng = np.random.default_rng(8)
+    spots, sizes = rng.normal(0, 1, (300, 2)), rng.uniform(0.05, 0.6, 300)
+    numbers = [int(i) for i in rng.permutation(300) // 2]  # every ordinal twice
+
+    def square(i):
+        (x, y), h = map(float, spots[i]), float(sizes[i])
+        return [[[[x - h, y - h], [x + h, y - h], [x + h, y + h], [x - h, y + h], [x - h, y - h]]]]
+    polys = spark.createDataFrame([(numbers[i], numbers[i] * 10, square(i)) for i in range(300)] + [(None, 5, square(0))],
+                                  "ordinal long, found long, parts array<array<array<array<double>>>>")
+    places = [(int(i) if i % 50 else None, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(0, 1.2, (400, 2)))] + [(1, 0.0, 0.0), (401, None, 1.0)]
+    points = spark.createDataFrame(places, "id long, px double, py double")
+    want = {}
+    for i, x, y in places:
+        hits = [] if x is None or i is None else [numbers[k] * 10 for k in range(300) if abs(x - spots[k][0]) < sizes[k] and abs(y - spots[k][1]) < sizes[k]]
+        inside = [h for h in hits if hits.count(h) == 1]  # squares of one ordinal are one shape: even-odd
+        want[i] = min([*inside, *([want[i]] if want.get(i) is not None else [])], default=None)
+    monkeypatch.setattr(geo, "FIRST_POLYGONS", 20)
+    first, met = geo._first_found, []
+    monkeypatch.setattr(geo, "_first_found", lambda left, *rest: met.append(left.count()) or first(left, *rest))
+    got = {r["id"]: r["found"] for r in geo.spatial_join(points, polys, "id", "found").distinct().collect()}
+    assert got == want and any(v is None for v in want.values())
+    assert len(met) == 4 and met[0] == 402 and met[-1] < 402 / 2
