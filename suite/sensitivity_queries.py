@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from equisite.functions.classify import stability
 from equisite.operators import allocation as al
-from equisite.operators import index as ix
 from equisite.operators import sensitivity as sn
 from equisite.operators import snapshot as sp
 from equisite.operators import violations as vi
@@ -164,9 +163,9 @@ def _(d):
 @register("need_band_sketch", sql("SELECT unit_id, draws, mean_need_e9, true AS low_within, true AS high_within FROM uni_band", **_SENS))
 def _(d):
     """Bands from sketches, and whether their ranks among the unit's draws are within the stated error."""
-    need = ix.need_by_vector(sn.spread(base(d)), draws(d, "uniform"), IDS).select("unit_id", "need_e9")
-    bands = materialise(sn.need_band_sketch(need), "bands")
-    met = need.join(bands, "unit_id").groupBy("unit_id", "draws", "mean_need_e9").agg(
+    bands = sn.sketched_bands(base(d), draws(d, "uniform"), IDS)
+    need = sn.needs_by_unit(base(d).join(bands, "unit_id"), draws(d, "uniform"), IDS, keep=bands.columns[1:])
+    met = need.groupBy("unit_id", "draws", "mean_need_e9").agg(
         *[F.count_if(F.col("need_e9") < F.col(c)).alias(f"{c}_under") for c in ("p05_need_e9", "p95_need_e9")],
         *[F.count_if(F.col("need_e9") <= F.col(c)).alias(f"{c}_upto") for c in ("p05_need_e9", "p95_need_e9")])
 

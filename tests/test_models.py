@@ -275,6 +275,24 @@ def test_sketched_bands_are_near_the_exact_ones(spark):
             assert under <= q + sn.SKETCH_ERROR and upto >= q - sn.SKETCH_ERROR
 
 
+def test_sketched_bands_of_many_units_spill_nothing(spark, monkeypatch):
+    """Units beyond Spark's own bound of groups keep their sketches; units come once or twice, one has no number."""
+    rows = [(u, int(u * 7919 % 1000) * 10 ** 6, int(u * 31 % 977) * 10 ** 6) for u in [*range(900), 3, 3, 5]] + [(None, 1, 2)]
+    base = spark.createDataFrame(rows, "unit_id long, p1 long, p2 long")
+    draws = spark.range(50).selectExpr("id AS draw", "1000 + id AS w1", "999 - id AS w2")
+    monkeypatch.setattr(sn, "_tasks", lambda _: 1)
+    seen = []
+    monkeypatch.setattr(sn, "materialise", lambda df, label: seen.append(spark.conf.get(sn.FALLBACK_KEY)) or df)
+    was = spark.conf.get(sn.FALLBACK_KEY)
+    bands = sn.sketched_bands(base, draws, [1, 2])
+    assert int(seen[0]) > 2 * sn.UNITS_OF_A_TASK and spark.conf.get(sn.FALLBACK_KEY) == was
+    plan = bands._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # units are dealt, their rows under the draws are not
+    got = {r["unit_id"]: (r["draws"], r["mean_need_e9"]) for r in bands.collect()}
+    exact = {r["unit_id"]: (r["draws"], r["mean_need_e9"]) for r in sn.need_band(base, draws, [1, 2]).collect()}
+    assert got == exact and got[3][0] == 150 and len(got) == 901
+
+
 def test_spatial_join_by_rounds_is_the_first_polygon(spark, monkeypatch):
     """Squares on top of each other, ids that repeat or are missing, points in no square; found points leave."""
     rng = np.random.default_rng(8)
