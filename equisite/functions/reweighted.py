@@ -45,6 +45,14 @@ class Units:
         if self._doubles:
             self.p, self.has = self.p.astype(np.float64), None if self.all_there else self.has.astype(np.float64)
 
+    @classmethod
+    def of_rows(cls, p: np.ndarray, has: np.ndarray | None) -> Units:
+        """The same from one row per percentile, which is kept as it is; ``has`` is None if no unit lacks one."""
+        out = object.__new__(cls)
+        out.n, out.most, out.all_there = p.shape[1], max(int(p.max(initial=0)), -int(p.min(initial=0))), has is None
+        out.p, out.has, out._doubles = p, has, out.most < EXACT
+        return out
+
     def part(self, low: int, high: int) -> Units:
         out = copy(self)
         out.n, out.p, out.has = high - low, self.p[:, low:high], None if self.has is None else self.has[:, low:high]
@@ -82,9 +90,9 @@ def gains(need: np.ndarray, served: np.ndarray, by: np.ndarray, known: np.ndarra
     return np.where(there, out, NONE)
 
 
-def _bits(n: int) -> int:
+def _bits(n: int, most: int = 22) -> int:
     bits = max(1, (n - 1).bit_length())
-    if bits > 22:
+    if bits > most:
         raise OverflowError("too many units for one block")
     return bits
 
@@ -110,22 +118,42 @@ def best_of_groups(value: np.ndarray, starts: np.ndarray, cap: int) -> tuple[np.
     return (np.concatenate(rows), np.concatenate(places)) if rows else (np.zeros(0, int), np.zeros(0, int))
 
 
+def _keys(need: np.ndarray, bits: int, first: int = 0) -> np.ndarray:
+    """Sort keys, highest need first and ties by place, of units from place ``first``; a missing need comes last."""
+    limit = 1 << (62 - bits)
+    if limit < LIMIT:
+        there = need != NONE
+        if (np.abs(need, where=there, out=np.zeros_like(need)) >= limit).any():
+            raise OverflowError("a need is too large for so many units")
+        need = np.where(there, need, -limit)
+    return (-need << bits) | np.arange(first, first + need.shape[1])
+
+
 def order_keys(need: np.ndarray) -> tuple[np.ndarray, int]:
     """Sort keys, highest need first and ties by place, and the mask of a key's place."""
     bits = _bits(need.shape[1])
-    return (-need << bits) | np.arange(need.shape[1]), (1 << bits) - 1
+    return _keys(need, bits), (1 << bits) - 1
+
+
+STRIP = 1 << 14
+"""Units whose keys are made at once: what they take stays near the processor."""
 
 
 def rank_sums(units: Units, w: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per unit over all vectors: how often its rank is at most ``top``, and the sum, least and greatest of its ranks."""
-    in_top, total = np.zeros(units.n, np.int64), np.zeros(units.n, np.int64)
-    least, greatest = np.full(units.n, units.n + 1, np.int64), np.zeros(units.n, np.int64)
-    places, rank = np.arange(1, units.n + 1), np.empty(units.n, np.int64)
-    for part in vector_blocks(w, units.n):
-        keys, mask = order_keys(units.needs(w[part]))
-        for key in keys:
-            key.sort()
-            at = key & mask
+    n = units.n
+    bits = _bits(n, 30)
+    in_top, total = np.zeros(n, np.int32), np.zeros(n, np.int64)
+    least, greatest = np.full(n, n + 1, np.int32), np.zeros(n, np.int32)
+    places, rank = np.arange(1, n + 1, dtype=np.int32), np.empty(n, np.int32)
+    for part in vector_blocks(w, n):
+        keys = np.empty((len(w[part]), n), np.int64)
+        for low in range(0, n, STRIP):
+            high = min(n, low + STRIP)
+            keys[:, low:high] = _keys(units.part(low, high).needs(w[part]), bits, low)
+        for at in keys:
+            at.sort()
+            at &= (1 << bits) - 1
             rank[at] = places
             in_top[at[:top]] += 1
             total += rank

@@ -1,9 +1,11 @@
 """Packs of units under packs of draws against the same product spelled out as rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from equisite.functions import reweighted as rw
 from equisite.operators import allocation as al
 from equisite.operators import sensitivity as sn
 from equisite.operators.index import need_by_vector
@@ -79,3 +81,41 @@ def test_picks_and_reports(spark, small_packs, objective):
 def test_unknown_objective_fails(spark):
     with pytest.raises(ValueError):
         sn.dealt_by_draw(*made_up(spark), IDS, "other")
+
+
+def test_ranks_of_many_units_send_few_bytes(spark, small_packs, monkeypatch):
+    """Six times 900,000 customers are held, and sent to a bounded number of tasks; a bound that is met changes no rank."""
+    cores = spark.sparkContext.defaultParallelism
+    each = 8 + 7 * 4 + 28
+    assert sn.HELD > 5_400_000 and sn._blocks(spark, 1000, each, 10_000) == -(-10_000 // sn.DRAWS_OF_A_TASK)
+    blocks = sn._blocks(spark, 5_400_000, each, 10_000)
+    assert blocks % cores == 0 and blocks >= cores and (blocks == cores or blocks * 5_400_000 * each <= sn.SENT)
+    base, draws = made_up(spark)
+    dealt = sn.dealt_by_draw(base, draws, IDS)
+    monkeypatch.setattr(sn, "PIECE", 10)
+    many = sn.rank_stability(dealt, 5)
+    monkeypatch.setattr(sn, "SENT", 1)
+    monkeypatch.setattr(sn, "DRAWS_OF_A_TASK", 1)
+    assert sn._blocks(spark, 119, each, 46) == cores
+    same(many, sn.rank_stability(dealt, 5))
+    large = base.withColumn("p1", F.col("p1") * 1000)  # percentiles beyond 32 bits
+    ranked = sn.ranked_by_draw(sn.dealt_by_draw(large, draws, IDS)).groupBy("unit_id").agg(F.min("rank").alias("best_rank"), F.max("rank").alias("worst_rank"))
+    same(sn.rank_stability(sn.dealt_by_draw(large, draws, IDS), 5).select("unit_id", "best_rank", "worst_rank"), ranked)
+
+
+def test_keys_of_more_than_four_million_units(monkeypatch):
+    need = np.array([[5, rw.NONE, 10 ** 9, 5, -3, 0]])
+    for bits, first in ((22, 0), (23, 5_000_000), (30, 10 ** 9)):
+        keys = np.sort(rw._keys(need, bits, first)[0])
+        assert list((keys & ((1 << bits) - 1)) - first) == [2, 0, 3, 5, 4, 1]
+    with pytest.raises(OverflowError):
+        rw._keys(np.array([[1 << 39]]), 23)
+    rng = np.random.default_rng(1)
+    p, has, w = rng.integers(0, 9, (3, 50)) * 10 ** 8, rng.random((3, 50)) < 0.8, rng.integers(0, 5, (12, 3))
+    p[~has] = 0
+    monkeypatch.setattr(rw, "STRIP", 8)
+    told = rw.rank_sums(rw.Units.of_rows(p.astype(np.int32), has), w, 4)
+    needs = rw.Units(p.T, has.T).needs(w)
+    ranks = np.array([np.argsort(np.lexsort([np.arange(50), -v])) + 1 for v in needs])
+    for a, b in zip(told, ((ranks <= 4).sum(0), ranks.sum(0), ranks.min(0), ranks.max(0))):
+        assert (a == b).all()
