@@ -1,9 +1,12 @@
 """Files, tables, parameters, rules."""
 
+import gzip
+import hashlib
 import json
 import uuid
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from equisite.operators import load as ld
 from equisite.operators import snapshot
 from equisite.operators import violations as vi
 from equisite.plans import settings as cfg
-from equisite.plans.session import fresh_path, materialise, work_root
+from equisite.plans.session import fresh_path, materialise, setting, work_root
 from equisite.sources import files
 from fixtures import domain
 
@@ -176,3 +179,23 @@ def test_written_relations_leave_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not left and spark.conf.get(CLEANUP_KEY, None) == was
     assert counted.filter("count = 30").count() == 100
+
+
+def test_large_files_are_hashed_by_lines(spark, tmp_path, monkeypatch):
+    """Files are read in stretches between line breaks; the sums are those of their bytes, however these are laid out."""
+    monkeypatch.setattr(files, "STREAMED", 8)
+    noise = bytes(np.random.default_rng(2).integers(0, 256, 300_000, dtype=np.uint8))
+    held = {"noise.bin": noise, "breaks.bin": b"\n" * 20, "no_break.bin": b"a" * 50, "ends.txt": b"one line\n", "windows.txt": b"one\r\ntwo\r\n\r\n",
+            "mark.txt": b"\xef\xbb\xbfone\ntwo\n", "mark_only.txt": b"\xef\xbb\xbfone two", "zeros.bin": bytes(500), "short.txt": b"x\n",
+            "deep/more/a+b c%20d.bin": noise[:1000] + b"\n", "deep/noise.bin": noise[::-1], "packed.csv.gz": gzip.compress(b"text\n" * 1000)}
+    for name, content in held.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    told = files.file_manifest(spark, str(tmp_path))
+    assert told.columns == ["filename", "bytes", "sha256"]
+    wanted = sorted((n.split("/")[-1], len(c), hashlib.sha256(c).hexdigest()) for n, c in held.items())
+    assert sorted(map(tuple, told.collect())) == wanted
+    scanned = files.file_manifest(spark, str(tmp_path), "noise*")
+    assert scanned.filter("sha256 is not null").count() == 2
+    with setting(spark, "spark.sql.sources.binaryFile.maxLength", "1000"):  # a file that is one value could not be longer
+        assert [r["bytes"] for r in files.file_manifest(spark, str(tmp_path), "noise*").collect()] == [300_000, 300_000]
