@@ -118,3 +118,20 @@ def test_predictions_do_not_depend_on_partitions_and_folds_are_checked(spark):
     for wrong in ("fold + 1", "CAST(NULL AS INT)"):
         with pytest.raises(Exception, match="fold numbers"):
             rs.forest_models(frame.selectExpr("unit_id", f"{wrong} AS fold", "y", *NAMES), NAMES, folds=4, trees=1)
+
+
+def test_trees_in_rounds_are_the_same_trees(spark, monkeypatch):
+    """A bound on the rows that are sent at once changes neither trees nor predictions, with split nodes above the pieces too."""
+    frame = made(spark, 600)
+    whole = rs.forest_models(frame, NAMES, folds=4, trees=7)
+    assert len(fo._rounds(500, 14_679)) == 1 and [len(x) for x in fo._rounds(500, 880_000)][:2] == [20, 20]
+    assert sum(map(len, fo._rounds(47, 10 ** 9))) == 47
+    wanted, shares = told(rs.forest_predictions(frame, whole)), whole.bestModel.stages[-1].featureImportances.toArray()
+    monkeypatch.setattr(fo, "DEALT", 1)
+    monkeypatch.setattr(fo, "TREES_OF_A_TASK", 3)
+    monkeypatch.setattr(fo, "GROWN", 200)
+    rounds = rs.forest_models(frame, NAMES, folds=4, trees=7)
+    got = told(rs.forest_predictions(frame, rounds))
+    assert len(fo._rounds(7, 450)) == 3 and got.keys() == wanted.keys()
+    assert max(abs(got[k] - wanted[k]) for k in wanted) < 1e-9
+    assert np.allclose(rounds.bestModel.stages[-1].featureImportances.toArray(), shares)

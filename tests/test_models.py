@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from equisite.operators import index as ix
 from equisite.operators import residual as rs
 from equisite.operators import sensitivity as sn
 from fixtures import FEATURES, IDS, Residual, domain
+from suite import residual_queries as rq
 from suite import sensitivity_queries as sq
 
 
@@ -317,3 +319,11 @@ def test_spatial_join_by_rounds_is_the_first_polygon(spark, monkeypatch):
     got = {r["id"]: r["found"] for r in geo.spatial_join(points, polys, "id", "found").distinct().collect()}
     assert got == want and any(v is None for v in want.values())
     assert len(met) == 4 and met[0] == 402 and met[-1] < 402 / 2
+
+
+def test_registered_forests_have_all_trees_of_the_method(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(rq, "Residual", lambda d: SimpleNamespace(folded="folded"))
+    monkeypatch.setattr(rs, "forest_models", lambda frame, names, **given: seen.update(given, names=names))
+    rq.Fitted(None)
+    assert seen["trees"] == 500 and seen["names"] == list(FEATURES) and "max_depth" not in seen
